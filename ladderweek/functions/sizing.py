@@ -1,0 +1,12 @@
+"""Size checks that decide how a join runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Marks ``df`` for broadcast if it has at most ``max_rows`` rows, counted now; otherwise leaves it as it is."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df

@@ -1,0 +1 @@
+"""Nothing is streamed: all sources of this toolkit are landed files, read in batch."""
