@@ -19,6 +19,26 @@ STATE_PARAMETERS = {
     "org.phi[,2]": "org_phi_hnc",
 }
 
+# Weekly parameter name -> column of the passage table.
+WEEKLY_PARAMETERS = {
+    "X.all": "x_all",
+    "X.day": "x_day",
+    "X.night": "x_night",
+    "X.reasc": "x_reasc",
+    "X.all.wild": "x_all_wild",
+    "X.all.hnc": "x_all_hnc",
+    "X.all.hatch": "x_all_hatch",
+    "X.new.tot": "x_new_tot",
+    "X.new.wild": "x_new_wild",
+    "X.new.hnc": "x_new_hnc",
+    "X.new.hatch": "x_new_hatch",
+    "X.reasc.wild": "x_reasc_wild",
+    "X.night.wild": "x_night_wild",
+    "day.true": "day_true",
+    "reasc.true": "reasc_true",
+}
+ORIGIN_COLUMNS = ("prop_wild", "prop_hnc", "prop_hatch")
+
 # Season total -> weekly quantity it adds up.
 SEASON_TOTALS = {
     "x_tot_all": "x_all",
@@ -180,3 +200,28 @@ def season_totals(passage: DataFrame, wild_trapped: DataFrame | None = None) ->
     return totals.join(wild_trapped, "run_id", "left").withColumn(
         "prop_tagged", ratio(F.col("wild_fish"), F.col("x_tot_new_wild"))
     )
+
+
+def passage_long(passage: DataFrame, params: list[str] | None = None) -> DataFrame:
+    """Weekly passage quantities as draws: ``X.all[12]``, ``org.prop[12, 1]`` and so on."""
+    names = list(WEEKLY_PARAMETERS) + ["org.prop"] if params is None else params
+    week = F.col("week_num").cast("string")
+
+    def entry(name: str, index: str, column: str) -> Column:
+        label = F.concat(F.lit(f"{name}["), week, F.lit(f"{index}]"))
+        return F.struct(label.alias("param"), F.col(column).cast("double").alias("value"))
+
+    entries = [entry(n, "", WEEKLY_PARAMETERS[n]) for n in names if n in WEEKLY_PARAMETERS]
+    if "org.prop" in names:
+        entries += [entry("org.prop", f", {i}", c) for i, c in enumerate(ORIGIN_COLUMNS, start=1)]
+    return passage.select(*DRAW_KEYS, F.inline(F.array(*entries)))
+
+
+def totals_long(totals: DataFrame) -> DataFrame:
+    """Season totals as draws: ``x_tot_new_wild`` -> ``X.tot.new.wild``."""
+    columns = [c for c in totals.columns if c.startswith("x_tot")]
+    entries = [
+        F.struct(F.lit("X" + c[1:].replace("_", ".")).alias("param"), F.col(c).cast("double").alias("value"))
+        for c in columns
+    ]
+    return totals.select(*DRAW_KEYS, F.inline(F.array(*entries)))

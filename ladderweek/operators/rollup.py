@@ -38,25 +38,27 @@ def number_rows(weekly: DataFrame, keys: tuple[str, ...] = ("run_id",), order: s
     return weekly.withColumn("week", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
 
-def conservation_breaks(
+def conservation(
     daily: DataFrame, weekly: DataFrame, keys: tuple[str, ...], columns: tuple[str, ...]
 ) -> DataFrame:
-    """Groups whose daily and weekly totals differ; empty when every fish is counted once."""
+    """Daily and weekly totals of every group side by side, and whether they agree."""
     total = lambda df: df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
     d, w = total(daily).alias("d"), total(weekly).alias("w")
     on = [F.col(f"d.{k}") == F.col(f"w.{k}") for k in keys]
-    differs = F.lit(False)
+    agree = F.lit(True)
     for c in columns:
-        differs = differs | ~F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}"))
-    return d.join(w, on, "full").filter(differs).select(
+        agree = agree & F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}"))
+    return d.join(w, on, "full").select(
         *[F.coalesce(f"d.{k}", f"w.{k}").alias(k) for k in keys],
         *[F.col(f"d.{c}").alias(f"daily_{c}") for c in columns],
         *[F.col(f"w.{c}").alias(f"weekly_{c}") for c in columns],
+        agree.alias("conserved"),
     )
 
 
 def check_conservation(daily: DataFrame, weekly: DataFrame, keys: tuple[str, ...], columns: tuple[str, ...]) -> None:
-    broken = conservation_breaks(daily, weekly, keys, columns).limit(5).collect()
+    """Raises if any group's totals differ: a fish was lost or counted twice."""
+    broken = conservation(daily, weekly, keys, columns).filter(~F.col("conserved")).limit(5).collect()
     if broken:
         raise ValueError(f"daily and weekly totals differ, for example {broken}")
 
