@@ -33,6 +33,7 @@ SRR_OF_SEGMENT = {
 }
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -63,6 +64,7 @@ def _years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return row[0], row[1]
 
 
+@lru_cache(maxsize=64)
 def seasons(spark: SparkSession, sf_dir: str) -> Seasons:
     """Every dam, species and year of the tables; the seasons of a species leave no day out."""
     first, last = _years(spark, sf_dir)
@@ -82,6 +84,7 @@ def seasons(spark: SparkSession, sf_dir: str) -> Seasons:
     return Seasons(spark, runs)
 
 
+@lru_cache(maxsize=64)
 def orders_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -99,6 +102,7 @@ def window_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.parse_window_counts(window_raw(spark, sf_dir))
 
@@ -115,10 +119,12 @@ def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.parse_observations(observations_raw(spark, sf_dir))
 
 
+@lru_cache(maxsize=64)
 def shipments_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
@@ -148,10 +154,12 @@ def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def trap_records(spark: SparkSession, sf_dir: str, species_from: str = "srr") -> DataFrame:
     return records.harmonise_trap(trap_raw(spark, sf_dir), species_from=species_from)
 
 
+@lru_cache(maxsize=64)
 def trap_cohort(spark: SparkSession, sf_dir: str, species_from: str = "srr") -> DataFrame:
     return trap_ops.adult_cohort(trap_records(spark, sf_dir, species_from))
 
@@ -167,6 +175,7 @@ def detections_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.parse_detections(detections_raw(spark, sf_dir))
 
@@ -185,7 +194,7 @@ def event_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = {"1": "Chinook", "2": "Coho", "3": "Steelhead"}
     return shipments_at_dams(spark, sf_dir).select(
-        "dam", choose("digit", kind).alias("species"), F.date_format("day", "M/d/yyyy").alias("date"),
+        "dam", choose("digit", kind).alias("species"), F.col("day").alias("date"),
         F.year("day").alias("year"), F.dayofyear("day").alias("doy"),
         F.col("l_quantity").alias("samp_time"),
         F.col("l_linenumber").alias("number_samples"),
@@ -200,10 +209,12 @@ def rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def reported_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.parse_reported_rates(rates_raw(spark, sf_dir))
 
 
+@lru_cache(maxsize=64)
 def draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State draws: a vector's elements are four states in each of sixteen weeks; two chains per run."""
     first, _ = _years(spark, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from ladderweek.operators import (
 )
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
-from ladderweek.session import ensure_checkpoint_dir, shared_dir
+from ladderweek.session import shared_dir
 from ladderweek.sources import files, records
 
 S, D = SparkSession, str
@@ -32,7 +33,11 @@ S, D = SparkSession, str
 
 @dataclass
 class Query:
-    """``fields`` names the result columns and their kind: i whole number, d number to six places, s as it is."""
+    """``fields`` names the result columns and their kind.
+
+    i is a whole number, d a number to six places, r a rate (below 1 or so) to nine, s a value as it is. Rates are
+    quotients of short decimals, so six places would often fall on a tie.
+    """
 
     fields: str
     build: Callable[[SparkSession, str], DataFrame]
@@ -46,6 +51,7 @@ class Query:
         as_kind = {
             "i": lambda c: F.col(c).cast("bigint"),
             "d": lambda c: F.round(F.col(c).cast("double"), 6),
+            "r": lambda c: F.round(F.col(c).cast("double"), 9),
             "s": F.col,
         }
         return df.select(*[as_kind[kind](name).alias(name) for name, kind in self.columns()])
@@ -53,7 +59,8 @@ class Query:
     def sql(self) -> str | None:
         if self.body is None:
             return None
-        as_kind = {"i": "CAST({c} AS BIGINT)", "d": "round(CAST({c} AS DOUBLE), 6)", "s": "{c}"}
+        as_kind = {"i": "CAST({c} AS BIGINT)", "s": "{c}"}
+        as_kind |= {k: f"round(CAST({{c}} AS DOUBLE), {n})" for k, n in (("d", 6), ("r", 9))}
         listed = ", ".join(f"{as_kind[kind].format(c=name)} AS {name}" for name, kind in self.columns())
         return oracle.sql(f"SELECT {listed} FROM ({self.body})")
 
@@ -75,7 +82,7 @@ def kinds(names, kind: str) -> str:
 
 TAGS_I = kinds(oracle.TAG_COLUMNS, "i")
 TRAP_I = kinds([c for c in oracle.TRAP_COLUMNS if c != "tot_b_run_sthd"], "i")
-SUMS_D, MEANS_D = kinds(oracle.SUMS, "d"), kinds(oracle.MEANS, "d")
+SUMS_D, MEANS_R = kinds(oracle.SUMS, "d"), kinds(oracle.MEANS, "r")
 QUANT_D = kinds(posterior.QUANTILES, "d")
 
 
@@ -452,7 +459,7 @@ def species_semi_join(spark: S, sf: D) -> DataFrame:
     return kept.groupBy("run_id", "species_code").agg(F.count("*").alias("n_obs"))
 
 
-RATE_D = "n_trap_tags i, n_poss_tags i, trap_rate d, trap_rate_se d, trap_rate_cv d"
+RATE_D = "n_trap_tags i, n_poss_tags i, trap_rate r, trap_rate_se r, trap_rate_cv r"
 
 
 @query(
@@ -481,7 +488,7 @@ def legacy_trap_rate(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_D}, seconds_in_day i, trap_open s, rate_calc d",
+    f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_R}, seconds_in_day i, trap_open s, rate_calc r",
     "SELECT * FROM rep_daily2",
 )
 def reported_rate_daily(spark: S, sf: D) -> DataFrame:
@@ -494,7 +501,7 @@ def _reported(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    f"run_id s, week_num i, start_date s, {SUMS_D}, {MEANS_D}, seconds_in_week i, trap_open s, calc_rate d",
+    f"run_id s, week_num i, start_date s, {SUMS_D}, {MEANS_R}, seconds_in_week i, trap_open s, calc_rate r",
     "SELECT * FROM rep_weekly2",
 )
 def reported_rate_weekly(spark: S, sf: D) -> DataFrame:
@@ -502,7 +509,7 @@ def reported_rate_weekly(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    "run_id s, week_num i, trap_open s, trap_rate d, trap_rate_se d",
+    "run_id s, week_num i, trap_open s, trap_rate r, trap_rate_se r",
     """SELECT run_id, week_num, actual_rate_inclusive_time > 0 AS trap_open, actual_rate_inclusive_time AS trap_rate,
        actual_rate_inclusive_time * cv AS trap_rate_se FROM rep_weekly2 JOIN runs USING (run_id)""",
 )
@@ -546,7 +553,7 @@ def _joined_rates(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    "run_id s, week_num i, trap_fish i, trap_open s, trap_rate d, trap_est d, trap_est_se d",
+    "run_id s, week_num i, trap_fish i, trap_open s, trap_rate r, trap_est d, trap_est_se d",
     "SELECT * FROM expanded",
 )
 def trap_expansion(spark: S, sf: D) -> DataFrame:
@@ -590,7 +597,7 @@ def logit_prior(spark: S, sf: D) -> DataFrame:
 
 @query(
     f"""dam s, species s, spawn_year i, week_num i, {WEEK_FIELDS}, trap_open s, n_trap_tags i, n_poss_tags i,
-    trap_rate d, trap_rate_se d, trap_est d, trap_est_se d, lower_trap_lim i, upper_trap_lim i, trap_valid s,
+    trap_rate r, trap_rate_se r, trap_est d, trap_est_se d, lower_trap_lim i, upper_trap_lim i, trap_valid s,
     trap_alpha d, trap_beta d, trap_mu d, trap_sd d""",
     "SELECT * FROM weekly",
 )
@@ -676,8 +683,21 @@ def present_parameters(spark: S, sf: D) -> DataFrame:
     return draw_ops.present_parameters(landed.draws(spark, sf), asked)
 
 
+def _store(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back, as a job would between compile and report."""
+    path = f"{shared_dir(df.sparkSession)}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@lru_cache(maxsize=8)
+def _weekly(spark: S, sf: D) -> DataFrame:
+    """The compiled weekly table, written once per session for the queries that report on draws."""
+    return _store(_compiled(spark, sf).weekly, "weekly")
+
+
 def _passage(spark: S, sf: D) -> DataFrame:
-    observed = model.model_input(_compiled(spark, sf).weekly)
+    observed = model.model_input(_weekly(spark, sf))
     flags = observed.select("run_id", "week_num", "ladder", "wild_exist", "hnc_exist", "hatch_exist")
     states = draw_ops.states_from_draws(landed.draws(spark, sf)).join(flags, ["run_id", "week_num"], "left")
     known = states.fillna(1, ["ladder", "wild_exist", "hnc_exist", "hatch_exist"])
@@ -703,18 +723,21 @@ def draw_algebra(spark: S, sf: D) -> DataFrame:
        (SELECT run_id, sum(wild_fish) AS wild_fish FROM mi GROUP BY run_id) USING (run_id)""",
 )
 def season_totals(spark: S, sf: D) -> DataFrame:
-    weekly = plan.compile_weekly(_daily(spark, sf), landed.seasons(spark, sf))
-    trapped = weekly.groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish"))
+    trapped = _weekly(spark, sf).groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish"))
     return draw_ops.season_totals(_passage(spark, sf), trapped)
 
 
 MONITORED = ["X.all", "X.day", "X.night", "X.reasc", "X.new.tot", "X.new.wild", "day.true", "reasc.true", "org.prop"]
 
 
+@lru_cache(maxsize=8)
+def _passage_table(spark: S, sf: D) -> DataFrame:
+    return _store(_passage(spark, sf), "passage")
+
+
 def _summary(spark: S, sf: D) -> DataFrame:
-    """Draws of the monitored quantities, written once, then summarised."""
-    ensure_checkpoint_dir(spark)
-    passage = _passage(spark, sf).checkpoint()
+    """Summary of the monitored quantities, from the passage draws written once."""
+    passage = _passage_table(spark, sf)
     totals = draw_ops.season_totals(passage).select(*draw_ops.DRAW_KEYS, "x_tot_all", "x_tot_new_wild")
     long = draw_ops.passage_long(passage, MONITORED).unionByName(draw_ops.totals_long(totals))
     return posterior.posterior_summary(long)
@@ -735,7 +758,7 @@ def posterior_summary(spark: S, sf: D) -> DataFrame:
        UNION ALL SELECT run_id, chain, iter, week_num, 3, 'HOR', prop_hatch FROM pass""",
 )
 def origin_proportions(spark: S, sf: D) -> DataFrame:
-    return draw_ops.origin_proportions(draw_ops.passage_long(_passage(spark, sf), ["X.all", "org.prop"]))
+    return draw_ops.origin_proportions(draw_ops.passage_long(_passage_table(spark, sf), ["X.all", "org.prop"]))
 
 
 @query(
@@ -745,7 +768,7 @@ def origin_proportions(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name = 'X.new.tot'""",
 )
 def strata_export(spark: S, sf: D) -> DataFrame:
-    return posterior.strata_export(_summary(spark, sf), _compiled(spark, sf).weekly)
+    return posterior.strata_export(_summary(spark, sf), _weekly(spark, sf))
 
 
 @query(
@@ -756,7 +779,7 @@ def strata_export(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name = 'X.all'""",
 )
 def timeseries_frame(spark: S, sf: D) -> DataFrame:
-    return posterior.timeseries_frame(_summary(spark, sf), _compiled(spark, sf).weekly)
+    return posterior.timeseries_frame(_summary(spark, sf), _weekly(spark, sf))
 
 
 @query(
@@ -767,7 +790,7 @@ def timeseries_frame(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name IN ('day.true', 'reasc.true')""",
 )
 def rate_frame(spark: S, sf: D) -> DataFrame:
-    return posterior.rate_frame(_summary(spark, sf), _compiled(spark, sf).weekly)
+    return posterior.rate_frame(_summary(spark, sf), _weekly(spark, sf))
 
 
 def _pivot_sql(cell: str) -> str:
@@ -783,7 +806,7 @@ LABELS = list(posterior.REPORT_LABELS.values())
 
 @query(f"run_id s, week i, win_cnt d, {kinds(LABELS, 'd')}", _pivot_sql("round_even(mean, 0)"))
 def weekly_points(spark: S, sf: D) -> DataFrame:
-    return posterior.weekly_points(_summary(spark, sf), _compiled(spark, sf).weekly)
+    return posterior.weekly_points(_summary(spark, sf), _weekly(spark, sf))
 
 
 CELL = r"""format('{:,}', round_even(mean, 0)::BIGINT) || ' (' ||
@@ -792,7 +815,7 @@ CELL = r"""format('{:,}', round_even(mean, 0)::BIGINT) || ' (' ||
 
 @query(f"run_id s, week i, win_cnt d, {kinds(LABELS, 's')}", _pivot_sql(CELL))
 def weekly_report(spark: S, sf: D) -> DataFrame:
-    return posterior.weekly_report(_summary(spark, sf), _compiled(spark, sf).weekly)
+    return posterior.weekly_report(_summary(spark, sf), _weekly(spark, sf))
 
 
 @query("run_id s, param s, mean d, sd d", "SELECT run_id, param, mean, sd FROM summ WHERE param LIKE 'X.tot%'")
@@ -846,10 +869,10 @@ def trap_scan(spark: S, sf: D) -> DataFrame:
     return records.read_trap(spark, _land(text, "trap"))
 
 
-@query(f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_D}", "SELECT * FROM rep")
+@query(f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_R}", "SELECT * FROM rep")
 def trap_rate_scan(spark: S, sf: D) -> DataFrame:
-    raw = records.read_text_table(spark, _land(landed.rates_raw(spark, sf), "rates"))
-    return records.parse_reported_rates(raw)
+    text = landed.rates_raw(spark, sf).withColumn("date", F.date_format("date", "M/d/yyyy"))
+    return records.parse_reported_rates(records.read_text_table(spark, _land(text, "rates")))
 
 
 @query(

@@ -1,52 +1,43 @@
-"""Exact binomial quantiles as column expressions."""
+"""Exact binomial quantiles."""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 
-def binomial_quantile(n: Column, p: Column, q: float) -> Column:
-    """Smallest k with P(X <= k) >= q for X ~ Binomial(n, p); NULL unless n >= 0 and 0 <= p <= 1.
+def quantile_of(n: float, p: float, q: float) -> int | None:
+    """Smallest k with P(X <= k) >= q for X ~ Binomial(n, p); None unless n >= 0 and 0 <= p <= 1.
 
     Only counts within 12 standard deviations + 40 of the mean are visited. By Bernstein's inequality the rest
-    carries less than 1e-20 of the mass, below double precision, so the work per row grows with sqrt(n), not n.
-    Weights are built from the ratio of neighbouring terms and divided by their own sum: no gamma function.
+    carries less than 1e-20 of the mass, below double precision, so the work grows with sqrt(n), not n. Weights
+    come from the ratios of neighbouring terms and are divided by their own sum: no gamma function.
     """
-    n = n.cast("double")
+    if not (n >= 0 and 0 <= p <= 1):  # also refuses NaN
+        return None
+    if n == 0 or p == 0:
+        return 0
+    if p == 1:
+        return int(n)
     mean = n * p
-    reach = F.sqrt(F.greatest(mean * (1 - p), F.lit(0.0))) * 12 + 40
-    first = F.greatest(F.lit(0.0), F.floor(mean - reach).cast("double"))
-    last = F.least(n, F.ceil(mean + reach).cast("double"))
-    odds = F.try_divide(p, 1 - p)
-    steps = F.sequence((first + 1).cast("long"), F.greatest(last, first + 1).cast("long"))
-
-    def next_weight(acc: Column, k: Column) -> Column:
-        return acc["weight"] * (n - k + 1) / k * odds
-
-    def grow(acc: Column, k: Column) -> Column:
-        weight = next_weight(acc, k)
-        return F.struct(weight.alias("weight"), (acc["total"] + weight).alias("total"))
-
-    one = F.lit(1.0)
-    start = F.struct(one.alias("weight"), one.alias("total"))
-    target = F.aggregate(steps, start, grow, lambda acc: acc["total"] * q)
-
-    def seek(acc: Column, k: Column) -> Column:
-        weight = next_weight(acc, k)
-        return F.struct(
-            weight.alias("weight"),
-            (acc["below"] + weight).alias("below"),
-            F.when(acc["below"] < acc["target"], k.cast("double")).otherwise(acc["at"]).alias("at"),
-            acc["target"].alias("target"),
-        )
-
-    seed = F.struct(one.alias("weight"), one.alias("below"), first.alias("at"), target.alias("target"))
-    found = F.aggregate(steps, seed, seek, lambda acc: acc["at"])
-    usable = n.isNotNull() & (n >= 0) & (p >= 0) & (p <= 1) & ~F.isnan(p)
-    return (
-        F.when(usable & ((p == 0) | (n == 0)), F.lit(0.0))
-        .when(usable & (p == 1), n)
-        .when(usable, found)
-        .cast("long")
-    )
+    reach = 12 * math.sqrt(mean * (1 - p)) + 40
+    first, last = max(0, math.floor(mean - reach)), min(int(n), math.ceil(mean + reach))
+    k = np.arange(first + 1, last + 1, dtype=np.float64)
+    log_weight = np.concatenate(([0.0], np.cumsum(np.log((n - k + 1) / k) + math.log(p / (1 - p)))))
+    mass = np.cumsum(np.exp(log_weight - log_weight.max()))
+    return first + int(np.searchsorted(mass, q * mass[-1], side="left"))
+
+
+@F.pandas_udf(LongType())
+def _quantiles(n: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
+    return pd.Series([quantile_of(*row) for row in zip(n, p, q)], dtype="Int64")
+
+
+def binomial_quantile(n: Column, p: Column, q: float) -> Column:
+    """``quantile_of`` as a column. Weekly rows only pass through here, batched by Arrow."""
+    return _quantiles(n.cast("double"), p.cast("double"), F.lit(float(q)))

@@ -17,7 +17,7 @@ REPORT_LABELS = {
     "X.day": "day",
     "X.night": "night",
     "X.reasc": "reascension",
-    "X.new.tot": "unique",
+    "X.new.tot": "unique_fish",
 }
 
 

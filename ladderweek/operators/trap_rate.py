@@ -66,13 +66,20 @@ def trap_by_run(trap: DataFrame, seasons: Seasons) -> DataFrame:
     return attach_strata(needed, seasons, on=("dam", "date")).select("run_id", "week_num", "date", "tag_code", "srr")
 
 
+def trap_weeks(trap: DataFrame) -> DataFrame:
+    """Fish per run, stratum and species/run code: small, and shared by the uses below through exchange reuse."""
+    return trap.groupBy("run_id", "week_num", species_code(F.col("srr")).alias("species_code")).agg(
+        F.count("*").alias("n_fish")
+    )
+
+
 def known_species_only(obs: DataFrame, trap: DataFrame) -> DataFrame:
     """Observations whose species/run code was also trapped in that run.
 
     The codes are few, so after a count they are broadcast: shuffling observations on a key with a handful of
     values would pile them up in a handful of tasks.
     """
-    seen = trap.select("run_id", species_code(F.col("srr")).alias("species_code")).distinct()
+    seen = trap_weeks(trap).select("run_id", "species_code").distinct()
     return obs.join(checked_broadcast(seen), ["run_id", "species_code"], "left_semi")
 
 
@@ -185,7 +192,8 @@ def legacy_rate_from_tags(
 
 def trap_open_override(rate: DataFrame, trap: DataFrame, seasons: Seasons) -> DataFrame:
     """Weeks with fish in the trap were open, weeks of unknown state were not; fish-only weeks are added."""
-    fish = trap_by_run(trap, seasons).groupBy("run_id", "week_num").agg(F.count("*").alias("n_fish"))
+    weeks = trap_weeks(trap_by_run(trap, seasons))
+    fish = weeks.groupBy("run_id", "week_num").agg(F.sum("n_fish").alias("n_fish"))
     joined = rate.join(fish, ["run_id", "week_num"], "full")
     return joined.withColumn(
         "trap_open", F.when(F.col("n_fish") > 0, F.lit(True)).otherwise(is_true(F.col("trap_open")))

@@ -47,25 +47,42 @@ RATE_SUMS = (
 RATE_MEANS = ("rate", "actual_rate_inclusive_time")
 RATE_NAMES = {"number_samples": "n_samples", "number_sby_c": "n_sby_c", "number_close": "n_close"}
 
-MDY_TIMES = ("M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "M/d/yyyy")
-YMD_TIMES = ("yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d", "yyyyMMdd")
+# Shape of a date text -> how to read it. The shape is tested first, as a parser that fails costs far
+# more than a pattern that does not match.
+MDY_TIMES = {
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$": "M/d/yyyy H:mm",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$": "M/d/yyyy H:mm:ss",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$": "M/d/yyyy h:mm:ss a",
+}
+YMD_TIMES = {
+    r"^\d{4}-\d{1,2}-\d{1,2}$": "yyyy-M-d",
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$": "yyyy-M-d H:mm",
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$": "yyyy-M-d H:mm:ss",
+    r"^\d{4}-\d{2}-\d{2}T.*$": "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]",
+    r"^\d{8}$": "yyyyMMdd",
+}
 
 
 def _type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def to_time(df: DataFrame, column: str, patterns: tuple[str, ...]) -> Column:
-    """Timestamp of a text column by the first pattern that fits; NULL if none does. Typed columns pass."""
+def to_time(df: DataFrame, column: str, shapes: dict[str, str]) -> Column:
+    """Timestamp of a text column, read by its shape; NULL if it has none of them. Typed columns pass."""
+    text = F.col(column)
     if _type_of(df, column) != "string":
-        return F.col(column).cast("timestamp")
-    return F.coalesce(*[F.try_to_timestamp(F.col(column), F.lit(p)) for p in patterns])
+        return text.cast("timestamp")
+    read = F.lit(None).cast("timestamp")
+    for shape, pattern in reversed(shapes.items()):
+        read = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))).otherwise(read)
+    return read
 
 
-def to_day(df: DataFrame, column: str, patterns: tuple[str, ...]) -> Column:
+def to_day(df: DataFrame, column: str, shapes: dict[str, str]) -> Column:
     if _type_of(df, column) == "date":
         return F.col(column)
-    return to_time(df, column, patterns).cast("date")
+    return to_time(df, column, shapes).cast("date")
 
 
 def _cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -136,9 +153,9 @@ def harmonise_trap(raw: DataFrame, dam: str | None = None, species_from: str = "
     """
     df = rename_present(raw, TRAP_NAMES)
     if "date" not in df.columns and "collection_date" in df.columns:
-        df = df.withColumn("date", to_time(df, "collection_date", MDY_TIMES + YMD_TIMES).cast("date"))
+        df = df.withColumn("date", to_time(df, "collection_date", MDY_TIMES | YMD_TIMES).cast("date"))
     elif "date" in df.columns:
-        df = df.withColumn("date", to_day(df, "date", MDY_TIMES + YMD_TIMES))
+        df = df.withColumn("date", to_day(df, "date", MDY_TIMES | YMD_TIMES))
     if "tag_code" in df.columns:
         df = df.withColumn("tag_code", clean_tag(F.col("tag_code")))
     if "ad_clip" in df.columns and _type_of(df, "ad_clip") != "boolean":
