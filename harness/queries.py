@@ -423,10 +423,6 @@ def trap_crosstab(spark: S, sf: D) -> DataFrame:
 # ---- trap rate ----------------------------------------------------------------------------------------------
 
 
-def _trap_in(spark: S, sf: D) -> DataFrame:
-    return trap_rate.trap_by_run(landed.trap_cohort(spark, sf), landed.seasons(spark, sf))
-
-
 def _obs_in(spark: S, sf: D) -> DataFrame:
     return trap_rate.observations_by_run(landed.observations(spark, sf), landed.seasons(spark, sf))
 
@@ -455,7 +451,8 @@ def mark_site_exclusion(spark: S, sf: D) -> DataFrame:
     "SELECT run_id, code AS species_code, count(*) AS n_obs FROM obs_use GROUP BY run_id, code",
 )
 def species_semi_join(spark: S, sf: D) -> DataFrame:
-    kept = trap_rate.known_species_only(_obs_in(spark, sf), _trap_in(spark, sf))
+    weeks = trap_rate.trap_weeks(landed.trap_cohort(spark, sf), landed.seasons(spark, sf))
+    kept = trap_rate.known_species_only(_obs_in(spark, sf), weeks)
     return kept.groupBy("run_id", "species_code").agg(F.count("*").alias("n_obs"))
 
 
@@ -492,12 +489,15 @@ def legacy_trap_rate(spark: S, sf: D) -> DataFrame:
     "SELECT * FROM rep_daily2",
 )
 def reported_rate_daily(spark: S, sf: D) -> DataFrame:
+    return _reported_days(spark, sf)
+
+
+def _reported_days(spark: S, sf: D) -> DataFrame:
     return trap_rate.reported_daily(landed.reported_rates(spark, sf), records.RATE_SUMS, records.RATE_MEANS)
 
 
 def _reported(spark: S, sf: D) -> DataFrame:
-    daily = trap_rate.reported_daily(landed.reported_rates(spark, sf), records.RATE_SUMS, records.RATE_MEANS)
-    return trap_rate.reported_weekly(daily, landed.seasons(spark, sf), records.RATE_SUMS, records.RATE_MEANS)
+    return trap_rate.reported_weekly(_reported_days(spark, sf), landed.seasons(spark, sf), records.RATE_SUMS, records.RATE_MEANS)
 
 
 @query(
@@ -525,8 +525,9 @@ def reported_rate_adopted(spark: S, sf: D) -> DataFrame:
 )
 def trap_open_override(spark: S, sf: D) -> DataFrame:
     cohort, seasons = landed.trap_cohort(spark, sf), landed.seasons(spark, sf)
-    rate = trap_rate.rate_from_tags(landed.observations(spark, sf), cohort, seasons)
-    return trap_rate.trap_open_override(rate, cohort, seasons)
+    weeks = trap_rate.trap_weeks(cohort, seasons)
+    rate = trap_rate.rate_from_tags(landed.observations(spark, sf), cohort, seasons, weeks=weeks)
+    return trap_rate.trap_open_override(rate, weeks)
 
 
 # ---- weekly table with rates --------------------------------------------------------------------------------
@@ -540,14 +541,14 @@ def _compiled(spark: S, sf: D) -> plan.Compiled:
         landed.detections(spark, sf),
         landed.trap_records(spark, sf),
         landed.observations(spark, sf),
-        _reported(spark, sf),
+        _reported_days(spark, sf),
     )
 
 
 def _joined_rates(spark: S, sf: D) -> DataFrame:
     seasons, cohort = landed.seasons(spark, sf), landed.trap_cohort(spark, sf)
     weekly = plan.compile_weekly(_daily(spark, sf), seasons)
-    rates = plan.weekly_rates(landed.observations(spark, sf), cohort, _reported(spark, sf), seasons)
+    rates = plan.weekly_rates(landed.observations(spark, sf), cohort, _reported_days(spark, sf), seasons)
     named = rates.drop("start_date").withColumnRenamed("week_num", "week_num_org")
     return expansion.expand_trap(weekly.join(named, ["run_id", "week_num_org"], "left"))
 

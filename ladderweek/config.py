@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, fields
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,24 @@ from ladderweek.functions import codes
 BROADCAST_DAYS = 1_000_000
 MAX_RUNS = 200_000
 
-RUN_SCHEMA = (
-    "run_id string, dam string, species string, spawn_year int, start_date date, end_date date, tag_site string, "
-    "incl_jacks boolean, unclipped_only boolean, b_run boolean, strata_beg string, last_strata_min int, "
-    "trap_rate_source string, trap_rate_cv double, trap_rate_dist string"
+RUN_SCHEMA = pa.schema(
+    {
+        "run_id": pa.string(),
+        "dam": pa.string(),
+        "species": pa.string(),
+        "spawn_year": pa.int32(),
+        "start_date": pa.date32(),
+        "end_date": pa.date32(),
+        "tag_site": pa.string(),
+        "incl_jacks": pa.bool_(),
+        "unclipped_only": pa.bool_(),
+        "b_run": pa.bool_(),
+        "strata_beg": pa.string(),
+        "last_strata_min": pa.int32(),
+        "trap_rate_source": pa.string(),
+        "trap_rate_cv": pa.float64(),
+        "trap_rate_dist": pa.string(),
+    }
 )
 
 
@@ -124,7 +139,10 @@ class Seasons:
 
     @cached_property
     def frame(self) -> DataFrame:
-        return self.spark.createDataFrame([r.row() for r in self.runs], RUN_SCHEMA)
+        """The runs as a local relation: no Python tasks, and a size the optimizer knows."""
+        columns = list(zip(*[r.row() for r in self.runs]))
+        arrays = [pa.array(values, kind) for values, kind in zip(columns, RUN_SCHEMA.types)]
+        return self.spark.createDataFrame(pa.Table.from_arrays(arrays, schema=RUN_SCHEMA))
 
     @cached_property
     def first_day(self) -> dt.date:
@@ -138,6 +156,11 @@ class Seasons:
     def n_days(self) -> int:
         return sum((r.end_date - r.start_date).days + 1 for r in self.runs)
 
+    def subset(self, keep: Callable[[Run], bool]) -> Seasons | None:
+        """The runs that ``keep`` accepts, None if there are none."""
+        runs = [r for r in self.runs if keep(r)]
+        return Seasons(self.spark, runs) if runs else None
+
     def lookup(self, df: DataFrame, rows_per_day: int = 1) -> DataFrame:
         """Mark a frame derived from the calendar alone for broadcast, or for a sort-merge join beyond the bound."""
         small = self.n_days * rows_per_day <= BROADCAST_DAYS

@@ -75,7 +75,7 @@ def trap_daily(
     keys: tuple[str, ...] = ("date",),
 ) -> DataFrame:
     """Daily trap summary of one species; without clipped fish, steelhead of unknown clip drop out too."""
-    mine = trap.filter(F.initcap("species") == species)
+    mine = trap.filter(F.col("species") == species)
     if species == "Steelhead" and not incl_clipped:
         mine = mine.filter(~F.col("ad_clip"))
     return mine.groupBy(*keys).agg(*trap_aggregates(strict_null, unknown_srr, b_run))

@@ -10,6 +10,7 @@ from ladderweek.functions import codes
 from ladderweek.functions.expressions import is_true, not_nan, ratio
 from ladderweek.functions.sizing import checked_broadcast
 from ladderweek.operators.strata import attach_strata, calendar, strata, within_season
+from ladderweek.session import ensure_checkpoint_dir
 
 MIN_TAGS = 20
 SECONDS_PER_DAY = 86_400
@@ -66,20 +67,24 @@ def trap_by_run(trap: DataFrame, seasons: Seasons) -> DataFrame:
     return attach_strata(needed, seasons, on=("dam", "date")).select("run_id", "week_num", "date", "tag_code", "srr")
 
 
-def trap_weeks(trap: DataFrame) -> DataFrame:
-    """Fish per run, stratum and species/run code: small, and shared by the uses below through exchange reuse."""
-    return trap.groupBy("run_id", "week_num", species_code(F.col("srr")).alias("species_code")).agg(
-        F.count("*").alias("n_fish")
-    )
+def trap_weeks(trap: DataFrame, seasons: Seasons) -> DataFrame:
+    """Fish in the trap per run, stratum and species/run code.
+
+    A small table that several steps need, so it is checkpointed: one pass over the trap records, and the join
+    below can look at its size.
+    """
+    ensure_checkpoint_dir(trap.sparkSession)
+    weeks = trap_by_run(trap, seasons).groupBy("run_id", "week_num", species_code(F.col("srr")).alias("species_code"))
+    return weeks.agg(F.count("*").alias("n_fish")).checkpoint()
 
 
-def known_species_only(obs: DataFrame, trap: DataFrame) -> DataFrame:
-    """Observations whose species/run code was also trapped in that run.
+def known_species_only(obs: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Observations whose species/run code was also trapped in that run, by the table of ``trap_weeks``.
 
     The codes are few, so after a count they are broadcast: shuffling observations on a key with a handful of
     values would pile them up in a handful of tasks.
     """
-    seen = trap_weeks(trap).select("run_id", "species_code").distinct()
+    seen = weeks.select("run_id", "species_code").distinct()
     return obs.join(checked_broadcast(seen), ["run_id", "species_code"], "left_semi")
 
 
@@ -136,14 +141,16 @@ def rate_from_tags(
     dedupe: bool = True,
     chinook_until: str = "month_8",
     mark_sites: dict | None = None,
+    weeks: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly trap rate of every run from tags seen at the dam and, possibly, in its trap.
 
-    Adds the first day of the stratum, ``trap_open``, ``few_tags`` and the provisional ``trap_valid``.
+    Adds the first day of the stratum, ``trap_open``, ``few_tags`` and the provisional ``trap_valid``. ``weeks`` is
+    the table of ``trap_weeks`` where it is there already.
     """
-    trapped = trap_by_run(trap, seasons)
-    usable = known_species_only(observations_by_run(obs, seasons, chinook_until, mark_sites), trapped)
-    matched = match_to_trap(first_observations(usable), trap_tag_days(trapped, dedupe))
+    weeks = weeks if weeks is not None else trap_weeks(trap, seasons)
+    usable = known_species_only(observations_by_run(obs, seasons, chinook_until, mark_sites), weeks)
+    matched = match_to_trap(first_observations(usable), trap_tag_days(trap_by_run(trap, seasons), dedupe))
     weekly = rate_by_week(matched, seasons)
     starts = strata(seasons).select("run_id", "week_num", "start_date")
     return (
@@ -190,9 +197,8 @@ def legacy_rate_from_tags(
     return rate_by_week(matched, seasons)
 
 
-def trap_open_override(rate: DataFrame, trap: DataFrame, seasons: Seasons) -> DataFrame:
+def trap_open_override(rate: DataFrame, weeks: DataFrame) -> DataFrame:
     """Weeks with fish in the trap were open, weeks of unknown state were not; fish-only weeks are added."""
-    weeks = trap_weeks(trap_by_run(trap, seasons))
     fish = weeks.groupBy("run_id", "week_num").agg(F.sum("n_fish").alias("n_fish"))
     joined = rate.join(fish, ["run_id", "week_num"], "full")
     return joined.withColumn(

@@ -21,6 +21,13 @@ TRAP_INPUT = (
     "dam string, species string, date date, tag_code string, srr string, origin string, ad_clip boolean, "
     "length double, valid int, life_stage string, sort_by_code string"
 )
+RATE_SCHEMA = (
+    "run_id string, week_num int, n_trap_tags bigint, n_poss_tags bigint, trap_rate double, trap_rate_se double, "
+    "start_date date, trap_open boolean, few_tags boolean"
+)
+# What adopting a reported rate needs of the weekly report.
+REPORT_SUMS = ("total_time", "total_time_inclusive")
+REPORT_MEANS = ("actual_rate_inclusive_time",)
 OBS_INPUT = "dam string, tag_code string, sp_rrt string, mark_site string, obs_time timestamp"
 
 
@@ -56,19 +63,25 @@ def compile_weekly(daily: DataFrame, seasons: Seasons, open_rule: str = "any_day
 
 
 def weekly_rates(
-    obs: DataFrame, cohort: DataFrame, reported: DataFrame | None, seasons: Seasons, **options
+    obs: DataFrame, cohort: DataFrame, reported_daily: DataFrame | None, seasons: Seasons, **options
 ) -> DataFrame:
-    """Trap rates of all runs, each from the source the run asks for, with the trap-open override."""
-    source = seasons.lookup(seasons.frame.select("run_id", "trap_rate_source"))
-    from_tags = trap_rate.rate_from_tags(obs, cohort, seasons, **options).join(source, "run_id")
-    rates = from_tags.filter(F.col("trap_rate_source") == "pit").drop("trap_rate_source", "trap_valid", "trap_rate_cv")
-    if reported is not None:
-        mine = trap_rate.adopt_reported_rate(reported, seasons).join(source, "run_id")
-        mine = mine.filter(F.col("trap_rate_source") == "reported").select(
-            "run_id", "week_num", "start_date", "trap_open", "trap_rate", "trap_rate_se"
-        )
+    """Trap rates of all runs, each from the source the run asks for, with the trap-open override.
+
+    Each source is worked out for its own runs only. ``reported_daily`` comes from ``trap_rate.reported_daily``.
+    """
+    by_tags = seasons.subset(lambda r: r.trap_rate_source == "pit")
+    by_report = seasons.subset(lambda r: r.trap_rate_source == "reported")
+    weeks = trap_rate.trap_weeks(cohort, seasons)
+    rates = obs.sparkSession.createDataFrame([], RATE_SCHEMA)
+    if by_tags:
+        mine = trap_rate.rate_from_tags(obs, cohort, by_tags, weeks=weeks, **options).drop("trap_valid", "trap_rate_cv")
+        rates = rates.unionByName(mine)
+    if by_report and reported_daily is not None:
+        weekly = trap_rate.reported_weekly(reported_daily, by_report, REPORT_SUMS, REPORT_MEANS)
+        mine = trap_rate.adopt_reported_rate(weekly, by_report)
+        mine = mine.select("run_id", "week_num", "start_date", "trap_open", "trap_rate", "trap_rate_se")
         rates = rates.unionByName(mine, allowMissingColumns=True)
-    return trap_rate.trap_open_override(rates, cohort, seasons)
+    return trap_rate.trap_open_override(rates, weeks)
 
 
 def add_rates(weekly: DataFrame, rates: DataFrame) -> DataFrame:
@@ -103,7 +116,7 @@ def compile_seasons(
 ) -> Compiled:
     """All runs at once: daily table, weekly table with trap rates, strata and the trap records used.
 
-    Sources that do not exist may be left out. ``reported`` is the weekly reported rate of ``reported_weekly``.
+    Sources that do not exist may be left out. ``reported`` is the daily reported rate of ``reported_daily``.
     """
     empty = lambda schema: spark.createDataFrame([], schema)
     detections = detections if detections is not None else empty(TAG_INPUT)

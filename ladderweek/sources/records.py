@@ -170,7 +170,8 @@ def harmonise_trap(raw: DataFrame, dam: str | None = None, species_from: str = "
             species_from == "code"
         ) else codes.species_of_srr(F.col("srr"))
         df = df.withColumn("species", by_code)
-    df = df.withColumn("species", F.initcap("species"))
+    else:
+        df = df.withColumn("species", F.initcap("species"))
     return df.withColumn("dam", F.lit(dam)) if dam else df
 
 
