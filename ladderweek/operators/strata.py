@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,10 +49,12 @@ def weekly_strata(runs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     ).withColumn("n_days", F.datediff("end_date", "start_date") + 1)
 
 
+@lru_cache(maxsize=16)
 def strata(seasons: Seasons) -> DataFrame:
     return weekly_strata(seasons.frame)
 
 
+@lru_cache(maxsize=16)
 def calendar(seasons: Seasons) -> DataFrame:
     """One row per run and day, with the run's keys, options and the stratum of the day."""
     kept = ("dam", "species", "incl_jacks", "unclipped_only", "b_run")
@@ -58,8 +63,10 @@ def calendar(seasons: Seasons) -> DataFrame:
 
 
 def within_season(facts: DataFrame, seasons: Seasons, date_col: str = "date") -> DataFrame:
-    """Literal date bounds, so that the scan below can prune."""
-    return facts.filter(F.col(date_col).between(F.lit(seasons.first_day), F.lit(seasons.last_day)))
+    """Literal bounds on a date or timestamp column, so that the scan below can prune."""
+    column, beyond = F.col(date_col), seasons.last_day + dt.timedelta(days=1)
+    as_type = facts.schema[date_col].dataType.simpleString()
+    return facts.filter((column >= F.lit(seasons.first_day).cast(as_type)) & (column < F.lit(beyond).cast(as_type)))
 
 
 def attach_strata(facts: DataFrame, seasons: Seasons, on: tuple[str, ...] = ("dam", "species", "date")) -> DataFrame:

@@ -48,15 +48,15 @@ def observations_by_run(
     """Usable observations within each run's season: ``run_id, tag_code, sp_rrt, species_code, obs_date``."""
     cal = calendar(seasons).select("run_id", "dam", F.col("date").alias("obs_date"))
     kept = (
-        obs.select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
+        within_season(obs, seasons, "obs_time")
+        .select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
         .withColumn("obs_date", F.to_date("obs_time"))
         .filter(F.col("tag_code").isNotNull())
         .filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_time"), chinook_until))
         .filter(~marked_here(F.col("dam"), F.col("mark_site"), mark_sites))
     )
     return (
-        within_season(kept, seasons, "obs_date")
-        .join(seasons.lookup(cal), ["dam", "obs_date"])
+        kept.join(seasons.lookup(cal), ["dam", "obs_date"])
         .select("run_id", "tag_code", "sp_rrt", species_code(F.col("sp_rrt")).alias("species_code"), "obs_date")
     )
 
@@ -172,12 +172,13 @@ def legacy_rate_from_tags(
     """
     cal = calendar(seasons).select("run_id", "dam", F.col("date").alias("obs_date"))
     seen = (
-        obs.select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
+        within_season(obs, seasons, "obs_time")
+        .select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
         .withColumn("obs_date", F.to_date("obs_time"))
         .filter(F.col("tag_code").isNotNull())
         .filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_time")))
     )
-    seen = within_season(seen, seasons, "obs_date").join(seasons.lookup(cal), ["dam", "obs_date"])
+    seen = seen.join(seasons.lookup(cal), ["dam", "obs_date"])
     per_day = seen.groupBy("run_id", "tag_code", "obs_date").agg(
         F.count("*").alias("n_obs"), F.bool_or(is_true(F.col("mark_site").isin(*mark_sites))).alias("own")
     )
