@@ -157,7 +157,8 @@ def window_counts_pivot(spark: S, sf: D) -> DataFrame:
 
 @query(
     "dam s, year i, date s, species s, win_cnt d",
-    f"SELECT * FROM ({WIDE_SQL}) UNPIVOT INCLUDE NULLS (win_cnt FOR species IN ({', '.join(s.lower() for s in SERIES)}))",
+    f"SELECT * FROM ({WIDE_SQL}) UNPIVOT INCLUDE NULLS (win_cnt FOR species IN "
+    f"({', '.join(s.lower() for s in SERIES)}))",
 )
 def window_counts_unpivot(spark: S, sf: D) -> DataFrame:
     return window_counts.counts_long(window_counts.counts_wide(landed.window_counts(spark, sf), SERIES))
@@ -671,7 +672,8 @@ def draws_unpivot(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    "run_id s, chain i, iter i, week_num i, x_log_all d, day_true_logit d, reasc_true_logit d, org_phi_wild d, org_phi_hnc d",
+    "run_id s, chain i, iter i, week_num i, x_log_all d, day_true_logit d, reasc_true_logit d, "
+    "org_phi_wild d, org_phi_hnc d",
     "SELECT * FROM state",
 )
 def draw_states(spark: S, sf: D) -> DataFrame:
@@ -709,7 +711,8 @@ PASSAGE = [c for c in draw_ops.WEEKLY_PARAMETERS.values() if c.startswith("x_")]
 
 
 @query(
-    f"run_id s, chain i, iter i, week_num i, {kinds(PASSAGE, 'd')}, prop_wild d, prop_hnc d, prop_hatch d, day_true d, reasc_true d",
+    f"run_id s, chain i, iter i, week_num i, {kinds(PASSAGE, 'd')}, prop_wild d, prop_hnc d, prop_hatch d, "
+    "day_true d, reasc_true d",
     "SELECT * FROM pass",
 )
 def draw_algebra(spark: S, sf: D) -> DataFrame:
@@ -773,7 +776,8 @@ def strata_export(spark: S, sf: D) -> DataFrame:
 
 
 @query(
-    f"run_id s, week_num i, start_date s, {QUANT_D}, win_cnt d, win_cnt_adj d, trap_est d, trap_est_valid d, trap_valid s",
+    f"run_id s, week_num i, start_date s, {QUANT_D}, win_cnt d, win_cnt_adj d, trap_est d, trap_est_valid d, "
+    "trap_valid s",
     f"""SELECT m.run_id, m.week_num, w.start_date, {", ".join(posterior.QUANTILES)}, win_cnt,
        win_cnt / nullif(day_tags / nullif(tot_tags, 0)::DOUBLE, 0) AS win_cnt_adj, trap_est,
        CASE WHEN trap_valid THEN trap_est END AS trap_est_valid, trap_valid FROM summ m LEFT JOIN weekly w

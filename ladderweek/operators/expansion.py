@@ -80,10 +80,15 @@ def logit_prior(weekly: DataFrame) -> DataFrame:
 PRIORS = {"beta": beta_prior, "logit": logit_prior}
 
 
+def with_rate(weekly: DataFrame, rate: DataFrame) -> DataFrame:
+    """Joins the weekly trap rate on run and original stratum, then expands and tests the catch."""
+    named = rate.drop("start_date").withColumnRenamed("week_num", "week_num_org")
+    joined = weekly.join(named, ["run_id", "week_num_org"], "left")
+    return judge_trap(plausible_limits(expand_trap(joined)))
+
+
 def add_trap_rate(weekly: DataFrame, rate: DataFrame, trap_rate_dist: str = "beta") -> DataFrame:
-    """Joins the weekly trap rate on run and stratum, then expands, tests and derives the prior."""
+    """The weekly table with rate, expansion, limits, validity and one kind of prior."""
     if trap_rate_dist not in PRIORS:
         raise ValueError(f"trap_rate_dist must be one of {tuple(PRIORS)}, not {trap_rate_dist!r}")
-    added = rate.drop("start_date").withColumnRenamed("week_num", "week_num_org")
-    joined = weekly.join(added, ["run_id", "week_num_org"], "left")
-    return PRIORS[trap_rate_dist](judge_trap(plausible_limits(expand_trap(joined))))
+    return PRIORS[trap_rate_dist](with_rate(weekly, rate))

@@ -55,7 +55,9 @@ def _relevant_rows(values: DataFrame, keys: list[str], probs: list[float], hot:
     hot groups and their wanted bins are bounded by MAX_HOT_GROUPS and the number of probabilities.
     """
     joined = values.join(F.broadcast(hot), keys, "left")
-    binned = joined.withColumn("bin", F.coalesce(F.when(F.col("n").isNotNull(), _bin_of(F.col("v"), F.col("lo"), F.col("hi"))), F.lit(-1)))
+    is_hot = F.col("n").isNotNull()
+    number = F.when(is_hot, _bin_of(F.col("v"), F.col("lo"), F.col("hi"))).otherwise(F.lit(-1))
+    binned = joined.withColumn("bin", number)
     counts = binned.filter(F.col("bin") >= 0).groupBy(*keys, "n", "bin").agg(F.count("*").alias("c"))
     running = F.sum("c").over(Window.partitionBy(*keys).orderBy("bin"))
     placed = counts.withColumn("before", running - F.col("c"))

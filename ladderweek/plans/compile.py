@@ -86,10 +86,7 @@ def weekly_rates(
 
 def add_rates(weekly: DataFrame, rates: DataFrame) -> DataFrame:
     """Adds rate, expansion, limits, validity and the prior each run asks for."""
-    named = rates.drop("start_date").withColumnRenamed("week_num", "week_num_org")
-    joined = weekly.join(named, ["run_id", "week_num_org"], "left")
-    with_rate = expansion.judge_trap(expansion.plausible_limits(expansion.expand_trap(joined)))
-    both = expansion.logit_prior(expansion.beta_prior(with_rate))
+    both = expansion.logit_prior(expansion.beta_prior(expansion.with_rate(weekly, rates)))
     beta = F.col("trap_rate_dist") == "beta"
     return both.withColumns(
         {

@@ -98,7 +98,10 @@ def test_autumn_chinook(spark):
          ("Chinook", dt.datetime(2019, 9, 1)), ("Coho", dt.datetime(2019, 9, 1)), (None, dt.datetime(2019, 9, 1))],
         "species string, t timestamp",
     )
-    keep = lambda rule: [r[0] for r in df.select(trap_rate.usable_season(F.col("species"), F.col("t"), rule)).collect()]
+
+    def keep(rule):
+        return [r[0] for r in df.select(trap_rate.usable_season(F.col("species"), F.col("t"), rule)).collect()]
+
     assert keep("month_8") == [True, True, False, True, False]
     assert keep("aug_17") == [True, False, False, True, False]
 
@@ -106,7 +109,8 @@ def test_autumn_chinook(spark):
 def test_reported_rates(spark):
     seasons = Seasons(spark, [Run("LWG", "Coho", START, D(2019, 3, 17), run_id="r", trap_rate_cv=0.5)])
     df = spark.createDataFrame(
-        [("LWG", "Coho", START, 2019, 63, 100.0, 86400.0, 0.1, 0.2), ("LWG", "Coho", START, 2019, 63, 300.0, 0.0, 0.3, None),
+        [("LWG", "Coho", START, 2019, 63, 100.0, 86400.0, 0.1, 0.2),
+         ("LWG", "Coho", START, 2019, 63, 300.0, 0.0, 0.3, None),
          ("LWG", "Coho", D(2019, 3, 5), 2019, 64, 0.0, 0.0, 0.9, 0.6)],
         "dam string, species string, date date, year int, doy int, total_time double, total_time_inclusive double, "
         "rate double, actual_rate_inclusive_time double",
@@ -159,6 +163,23 @@ def test_expansion_limits_validity_and_priors(spark):
     assert logit[5] == (-25.0, 0.0)
 
 
+def test_rate_joins_on_the_original_stratum(spark):
+    weekly = spark.createDataFrame(
+        [("r", 5, 1, START, 1000.0, 170)],
+        "run_id string, week_num_org int, week_num int, start_date date, win_cnt double, trap_fish bigint",
+    )
+    rate = spark.createDataFrame(
+        [("r", 5, None, True, 0.17, 0.01, 17, 100), ("r", 1, START, True, 0.9, 0.01, 90, 100)],
+        "run_id string, week_num int, start_date date, trap_open boolean, trap_rate double, trap_rate_se double, "
+        "n_trap_tags bigint, n_poss_tags bigint",
+    )
+    for dist, column in (("beta", "trap_alpha"), ("logit", "trap_mu")):
+        got = expansion.add_trap_rate(weekly, rate, dist)
+        assert column in got.columns and rows(got, "trap_rate", "trap_valid") == [(0.17, True)]
+    with pytest.raises(ValueError):
+        expansion.add_trap_rate(weekly, rate, "gamma")
+
+
 def test_model_input_rules(spark):
     schema = WEEK + (
         ", window_open boolean, trap_valid boolean, wild_pbt bigint, hnc_pbt bigint, hatch_pbt bigint, "
