@@ -204,5 +204,5 @@ def near_components(
 def keep_first(docs: DataFrame, **how) -> DataFrame:
     """The documents without those whose component has a smaller id; of rows with that id all stay."""
     found = near_components(docs, **how)
-    gone = found.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct()
+    gone = stored(found.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct(), "duplicates")
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderweek.llm import chat, fingerprints, mixing, near_dedup, packing, token_files, url_rules
+from ladderweek.llm import (
+    chat,
+    cotraining,
+    fingerprints,
+    mixing,
+    near_dedup,
+    packing,
+    perplexity,
+    revisits,
+    token_files,
+    url_rules,
+)
 from ladderweek.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -29,6 +40,12 @@ def op1_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge(table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *base, "score", "spreads_away")
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_rules.rule_table(spark, URL_RULES)
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
@@ -41,6 +58,92 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Crawl records of the pages: a full response each, and a later revisit under another spelling of its address."""
+    page, tag = F.col("page_id"), F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 12), F.lit('"'))
+    when = F.pmod(page * 7919, F.lit(1_000_003)) * 60
+    day = F.concat(F.lit("day "), F.floor(when / 86_400).cast("string"))
+    full = pages.select(
+        (page * 2).alias("record_id"),
+        "url",
+        when.alias("ts"),
+        F.lit(200).alias("status"),
+        F.create_map(
+            F.lit("ETag"), F.when(page % 5 != 0, tag),
+            F.lit("Last-Modified"), day,
+            F.lit("Content-Type"), F.lit("text/html"),
+            F.lit("Cache-Control"), F.lit("no-store"),
+        ).alias("headers"),
+        F.col("html").alias("body"),
+    )
+    fresh = F.when(page % 5 == 0, None).when(page % 7 == 0, F.lit('"stale"')).otherwise(F.concat(F.lit("W/"), tag))
+    again = pages.select(
+        (page * 2 + 1).alias("record_id"),
+        F.concat("url", F.when(page % 3 == 0, "#part").otherwise("")).alias("url"),
+        (when + F.when(page % 11 == 0, -30).otherwise(page % 13 * 50_000 + 1)).alias("ts"),
+        F.lit(304).alias("status"),
+        F.create_map(
+            F.lit("etag"), fresh,
+            F.lit("last-modified"), F.when(page % 10 != 0, day),
+            F.lit("cache-control"), F.concat(F.lit("max-age="), (page % 9).cast("string")),
+            F.lit("content-type"), F.lit("text/plain"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    return full.unionByName(again)
+
+
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = revisits.resolve(captures(table(spark, sf_dir, "pages")))
+    named = F.array_sort(F.map_entries("headers"))
+    listed = F.array_join(F.transform(named, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), ";")
+    return resolved.select(
+        "record_id", "canonical_url", "source_id", "verdict", listed.alias("headers"), F.md5("body").alias("body_md5")
+    )
+
+
+OP6_SQL = r"""
+WITH records AS (
+  SELECT page_id, url, md5(html) AS digest, '"' || substr(md5(html), 1, 12) || '"' AS tag,
+         ((page_id * 7919) % 1000003) * 60 AS ts FROM pages),
+named AS (
+  SELECT *, 'day ' || CAST(ts // 86400 AS VARCHAR) AS day,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'),
+      lambda f: f <> '' AND NOT starts_with(f, 'utm_'))), '&') AS query FROM records),
+placed AS (
+  SELECT *, regexp_replace(host, ':(80|443)$', '') || CASE WHEN path = '' THEN '/' ELSE path END ||
+    CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical FROM named),
+responses AS (
+  SELECT canonical, ts, max(page_id) AS page_id FROM placed GROUP BY ALL),
+revisits AS (
+  SELECT page_id * 2 + 1 AS record_id, canonical,
+    ts + CASE WHEN page_id % 11 = 0 THEN -30 ELSE page_id % 13 * 50000 + 1 END AS ts,
+    CASE WHEN page_id % 5 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"stale"' ELSE tag END AS etag,
+    CASE WHEN page_id % 10 <> 0 THEN day END AS modified, 'max-age=' || (page_id % 9) AS cache FROM placed),
+found AS (
+  SELECT v.*, r.page_id AS source FROM revisits v ASOF LEFT JOIN responses r
+    ON v.canonical = r.canonical AND v.ts > r.ts),
+judged AS (
+  SELECT f.record_id, f.canonical, f.source, f.etag, f.modified, f.cache, p.day, p.digest,
+    CASE WHEN source % 5 <> 0 THEN p.tag END AS their_tag,
+    CASE WHEN f.source IS NULL THEN 'no_earlier' WHEN f.etag IS NULL AND f.modified IS NULL THEN 'no_validator'
+      WHEN f.etag IS NOT NULL AND f.etag = CASE WHEN source % 5 <> 0 THEN p.tag END THEN 'resolved'
+      WHEN f.etag IS NULL AND f.modified = p.day THEN 'resolved' ELSE 'validator_mismatch' END AS verdict
+  FROM found f LEFT JOIN placed p ON p.page_id = f.source)
+SELECT record_id, canonical AS canonical_url, source * 2 AS source_id, verdict,
+  CASE WHEN verdict = 'resolved' THEN 'cache-control=' || cache || ';content-type=text/html;etag=' ||
+    coalesce(CASE WHEN etag IS NULL THEN their_tag ELSE 'W/' || etag END, '') || ';last-modified=' || coalesce(modified, day) END AS headers,
+  CASE WHEN verdict = 'resolved' THEN digest END AS body_md5
+FROM judged
+"""
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints.fingerprint_pairs(table(spark, sf_dir, "documents"))
     near = fingerprints.near_counts(prints)
@@ -100,8 +203,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_balanced_mix,
+        op2_ngram_quality,
         op3_url_rules,
         op4_near_dedup,
+        op5_cotraining,
+        op6_revisits,
         op7_fingerprints,
         op8_chat_parts,
         op9_residual_packing,
@@ -109,4 +215,4 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_revisits": OP6_SQL}
