@@ -137,8 +137,8 @@ judged AS (
       WHEN f.etag IS NULL AND f.modified = p.day THEN 'resolved' ELSE 'validator_mismatch' END AS verdict
   FROM found f LEFT JOIN placed p ON p.page_id = f.source)
 SELECT record_id, canonical AS canonical_url, source * 2 AS source_id, verdict,
-  CASE WHEN verdict = 'resolved' THEN 'cache-control=' || cache || ';content-type=text/html;etag=' ||
-    coalesce(CASE WHEN etag IS NULL THEN their_tag ELSE 'W/' || etag END, '') || ';last-modified=' || coalesce(modified, day) END AS headers,
+  CASE WHEN verdict = 'resolved' THEN concat_ws(';', 'cache-control=' || cache, 'content-type=text/html',
+    'etag=' || CASE WHEN etag IS NULL THEN their_tag ELSE 'W/' || etag END, 'last-modified=' || coalesce(modified, day)) END AS headers,
   CASE WHEN verdict = 'resolved' THEN digest END AS body_md5
 FROM judged
 """

@@ -165,7 +165,7 @@ def write_tokens(
             yield segment()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    ordered = texts.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     segments = ordered.mapInArrow(run, "part int, number int, n_ids long, data binary")
     segments.write.parquet(path)
 

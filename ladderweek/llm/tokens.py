@@ -7,63 +7,121 @@ words in order. A text holding the file's own special tokens is encoded as it is
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 from ladderweek.llm.common import held
 
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+LOWER = re.compile("[A-Z]+")
+SIGNS = re.compile(r"(?<=[0-9a-zß-öø-ÿ])[!-/:-@\[-`{-~]+\Z")  # ASCII signs at the end, behind a Latin letter or digit
 
 
-class WordEncoder(dict):
-    """Word (bytes) -> number; the ids of all numbered words lie end to end in one array.
+class Ragged:
+    """Growing lists of ids laid end to end."""
 
-    ``most_words`` bounds the memory: beyond it the words are forgotten and encoded again when they come up.
+    def __init__(self):
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.lens, self.n = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64), 0
+
+    def add(self, flat: np.ndarray, lens: np.ndarray) -> None:
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.n + len(lens) > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+            self.lens = np.concatenate((self.lens, np.zeros_like(self.lens)))
+        here = slice(self.n, self.n + len(lens))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.starts[here], self.lens[here] = self.used + np.cumsum(lens) - lens, lens
+        self.used, self.n = self.used + len(flat), self.n + len(lens)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these lists in order, and how many each has."""
+        lens = self.lens[numbers]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[numbers] - (ends - lens), lens) + np.arange(total)], lens
+
+
+class Numbers(dict):
+    """Key -> number in order of first sight; ``new`` lists the keys numbered since it was last emptied."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
+class WordEncoder:
+    """Word (bytes) -> ids. A word is a stem and the signs behind it, which no token spans either; case is dropped by
+    the vocabulary file, so stems are kept in lower case.
+
+    ``most_words`` and ``most_stems`` bound the memory: beyond them they are forgotten and made again when they come up.
     """
 
-    def __init__(self, path: str, most_words: int = 600_000):
+    def __init__(self, path: str, most_words: int = 400_000, most_stems: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most_words = Tokenizer.from_file(path), most_words
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.new: list[bytes] = []
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.lens = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
+        self.tokenizer, self.most_words, self.most_stems = Tokenizer.from_file(path), most_words, most_stems
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self.words, self.word_ids = Numbers(), Ragged()
+        self.pieces, self.piece_ids = Numbers(), Ragged()
+
+    def encode_pieces(self, pieces: list[str]) -> None:
+        """Plain letters many at a time: each is one pre-token, so it ends where a token with an end mark stands."""
+        for at in range(0, len(pieces), 1000):
+            some = pieces[at : at + 1000]
+            flat, lens = np.zeros(0, np.uint32), None
+            if all(map(str.isalpha, some)):
+                (joined,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+                flat = np.array(joined.ids, np.uint32)
+                lens = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+            if lens is None or len(lens) != len(some):
+                ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                lens = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum()))
+            self.piece_ids.add(flat, lens)
 
     def learn(self) -> None:
-        first = len(self) - len(self.new)
-        for at in range(0, len(self.new), 4096):
-            some = [w.decode("utf-8") for w in self.new[at : at + 4096]]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            more = int(lens.sum())
-            while self.used + more > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            while first + at + len(ids) > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-                self.lens = np.concatenate((self.lens, np.zeros_like(self.lens)))
-            self.flat[self.used : self.used + more] = np.fromiter((i for x in ids for i in x), np.uint32, more)
-            here = slice(first + at, first + at + len(ids))
-            self.starts[here], self.lens[here] = self.used + np.cumsum(lens) - lens, lens
-            self.used += more
-        self.new = []
+        number, parts, counts = self.pieces.__getitem__, [], []
+        for word in self.words.new:
+            plain = word.decode("utf-8")
+            plain = plain.lower() if plain.isascii() else LOWER.sub(lambda m: m[0].lower(), plain)
+            signs = SIGNS.search(plain)
+            if signs:
+                parts += [plain[: signs.start()], signs[0]]
+                counts.append(2)
+            else:
+                parts.append(plain)
+                counts.append(1)
+        at, n = np.zeros(len(parts), np.int64), len(self.pieces)
+        self.words.new = []
+        # letters first, so that they are encoded together; numbers follow the order of encoding
+        for letters in (True, False):
+            mine = [k for k, x in enumerate(parts) if x.isalpha() is letters]
+            at[mine] = np.fromiter((number(parts[k]) for k in mine), np.int64, len(mine))
+        self.encode_pieces(self.pieces.new)
+        self.pieces.new = []
+        flat, lens = self.piece_ids.take(at)
+        first = np.cumsum(counts) - np.array(counts, np.int64)
+        self.word_ids.add(flat, np.add.reduceat(lens, first) if len(first) else lens)
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; NULL is an empty one."""
-        if len(self) > self.most_words:
-            self.forget()
+        if len(self.words) > self.most_words:
+            self.words, self.word_ids = Numbers(), Ragged()
+        if len(self.pieces) > self.most_stems:
+            self.pieces, self.piece_ids = Numbers(), Ragged()
         numbers: list[np.ndarray] = []
         whole: dict[int, np.ndarray] = {}
-        number = self.__getitem__
+        number = self.words.__getitem__
         for k, text in enumerate(texts):
             if text and b"<|" in text and any(x in text.lower() for x in SPECIAL):
                 ids = self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids
@@ -72,14 +130,7 @@ class WordEncoder(dict):
             words = (text or b"").split()
             numbers.append(np.fromiter(map(number, words), np.int64, len(words)))
         self.learn()
-        out = []
-        for k, n in enumerate(numbers):
-            lens = self.lens[n]
-            ends = np.cumsum(lens)
-            total = int(ends[-1]) if len(ends) else 0
-            at = np.repeat(self.starts[n] - (ends - lens), lens) + np.arange(total)
-            out.append(whole[k] if k in whole else self.flat[at])
-        return out
+        return [whole[k] if k in whole else self.word_ids.take(n)[0] for k, n in enumerate(numbers)]
 
 
 def encoder(path: str) -> WordEncoder:
