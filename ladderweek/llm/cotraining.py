@@ -229,11 +229,12 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int, unlabelled_rows:
 
     bound = labelled_rows + unlabelled_rows
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    sample = docs.join(wanted, "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "lang", "source", "good")
+    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"), "lang", "source")
+    sample = own.join(wanted, "doc_id").select("doc_id", "text", "lang", "source", "good")
     sample = sample.withColumn("one", one).where("one = 1").drop("one")
     seen = sample.mapInArrow(run, "doc_id long, good int, slots array<int>, meta array<float>").limit(bound)
     got = seen.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toArrow()
-    lens = np.array([len(x) for x in got.column("slots").to_pylist()])
+    lens = np.array([len(x) for x in got.column("slots").to_pylist()], np.int64)
     slots = got.column("slots").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     meta = got.column("meta").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_META)
     rows = Rows(slots, np.repeat(np.arange(len(lens)), lens), meta.astype(float))

@@ -31,6 +31,7 @@ PER_WORD = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 MAGIC = b"S8B1"
 HEAD = "<4sIQQQQ"
+SEGMENT = "part int, number int, n_ids long, data binary"
 
 
 def encode_words(ids: np.ndarray) -> np.ndarray:
@@ -166,7 +167,7 @@ def write_tokens(
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    segments = ordered.mapInArrow(run, "part int, number int, n_ids long, data binary")
+    segments = ordered.mapInArrow(run, SEGMENT)
     segments.write.parquet(path)
 
 
@@ -193,7 +194,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     ["part", "number", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    files = spark.read.parquet(path)
+    files = spark.read.schema(SEGMENT).parquet(path)
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = parts.select("part", before.alias("part_start"))  # one row per task of the writer
