@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -175,8 +176,8 @@ def co_train(rows: Rows, label: np.ndarray, rounds: int, share: float) -> Model
         weight = np.where(label[at] >= 0, 1.0, 0.5)
         if not text:
             return fit_dense(rows.meta[at], y, weight)
-        number = np.full(len(rows.meta), -1)
-        number[at] = np.arange(len(at))
+        number = np.full(len(rows.meta), -1, np.int32)
+        number[at] = np.arange(len(at), dtype=np.int32)
         mine = number[rows.owner] >= 0
         return fit_text(Rows(rows.slots[mine], number[rows.owner[mine]], rows.meta[at]), y, weight)
 
@@ -234,11 +235,13 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int, unlabelled_rows:
     sample = sample.withColumn("one", one).where("one = 1").drop("one")
     seen = sample.mapInArrow(run, "doc_id long, good int, slots array<int>, meta array<float>").limit(bound)
     got = seen.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toArrow()
-    lens = np.array([len(x) for x in got.column("slots").to_pylist()], np.int64)
+    lens = pc.list_value_length(got.column("slots")).to_numpy()
     slots = got.column("slots").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     meta = got.column("meta").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_META)
-    rows = Rows(slots, np.repeat(np.arange(len(lens)), lens), meta.astype(float))
-    return co_train(rows, np.array(got.column("good").to_pylist()), rounds, share)
+    rows = Rows(slots, np.repeat(np.arange(len(lens), dtype=np.int32), lens), meta.astype(float))
+    label = np.array(got.column("good").to_pylist())
+    del got
+    return co_train(rows, label, rounds, share)
 
 
 def scorer(model: Model):
@@ -260,8 +263,8 @@ def scorer(model: Model):
 def classify(
     docs: DataFrame,
     labels: DataFrame,
-    labelled_rows: int = 12_000,
-    unlabelled_rows: int = 6_000,
+    labelled_rows: int = 8_000,
+    unlabelled_rows: int = 4_000,
     rounds: int = 3,
     share: float = 0.05,
     keep_from: float = 0.5,
@@ -287,8 +290,8 @@ def classify(
 def keep_good(
     docs: DataFrame,
     labels: DataFrame,
-    labelled_rows: int = 12_000,
-    unlabelled_rows: int = 6_000,
+    labelled_rows: int = 8_000,
+    unlabelled_rows: int = 4_000,
     rounds: int = 3,
     share: float = 0.05,
     keep_from: float = 0.5,
