@@ -57,10 +57,10 @@ def dam_of(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str) ->
 @lru_cache(maxsize=16)
 def _years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     spans = [
-        table(spark, sf_dir, name).agg(F.min(F.year(c)).alias("a"), F.max(F.year(c)).alias("b"))
+        table(spark, sf_dir, name).agg(F.min(c).cast("date").alias("a"), F.max(c).cast("date").alias("b"))
         for name, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
     ]
-    row = spans[0].unionAll(spans[1]).agg(F.min("a"), F.max("b")).first()
+    row = spans[0].unionAll(spans[1]).agg(F.year(F.min("a")), F.year(F.max("b"))).first()
     return row[0], row[1]
 
 
@@ -134,9 +134,12 @@ def shipments_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("digit", choose("p_type", DIGIT_OF_TYPE)).withColumn("day", F.to_date("l_shipdate"))
 
 
+OTHER_LAYOUT = "PRD"  # the dam whose trap records come in the second layout
+
+
 def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rear = choose("l_returnflag", {"A": "W", "N": "H", "R": "U"})
-    return shipments_at_dams(spark, sf_dir).select(
+    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") != OTHER_LAYOUT).select(
         "dam",
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("master_id"),
         F.col("l_orderkey").cast("string").alias("lgd_num_pit"),
@@ -154,9 +157,26 @@ def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trap_raw_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second layout: other names, the species by name, and neither validity, life stage nor diversion."""
+    rear = choose("l_returnflag", {"A": "W", "N": "H", "R": "U"})
+    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") == OTHER_LAYOUT).select(
+        "dam",
+        F.col("l_orderkey").cast("string").alias("pit_tag"),
+        F.col("l_shipdate").alias("event_date"),
+        choose("digit", {"1": "chinook", "2": "coho", "3": "steelhead"}).alias("species"),
+        F.when(F.col("l_quantity") != 25, F.concat("digit", F.lit("1"), rear)).alias("species_run_rear_type"),
+        rear.alias("origin"),
+        F.when(F.col("l_quantity") == 50, "XX").otherwise(choose("l_linestatus", {"F": "AD", "O": "AI"})).alias("ad_clip"),
+        (F.col("p_size") * 20).cast("double").alias("length"),
+    )
+
+
 @lru_cache(maxsize=64)
 def trap_records(spark: SparkSession, sf_dir: str, species_from: str = "srr") -> DataFrame:
-    return records.harmonise_trap(trap_raw(spark, sf_dir), species_from=species_from)
+    lower = records.harmonise_trap(trap_raw(spark, sf_dir), species_from=species_from)
+    upper = records.harmonise_trap(trap_raw_upper(spark, sf_dir), species_from=species_from)
+    return lower.unionByName(upper, allowMissingColumns=True)
 
 
 @lru_cache(maxsize=64)

@@ -62,13 +62,13 @@ trap0 AS (SELECT dam, day AS date, l_orderkey, l_linenumber,
     CASE WHEN length(l_orderkey::VARCHAR) >= 3 THEN l_orderkey::VARCHAR END AS tag_code,
     CASE WHEN l_quantity <> 25 THEN digit || '1' || rear END AS srr,
     CASE digit WHEN '1' THEN 'Chinook' WHEN '2' THEN 'Coho' WHEN '3' THEN 'Steelhead' END AS code_species,
-    rear AS origin, CASE WHEN l_tax = 0.08 THEN 'RJ' ELSE 'RF' END AS life_stage,
+    rear AS origin, CASE WHEN l_tax = 0.08 AND dam <> 'PRD' THEN 'RJ' ELSE 'RF' END AS life_stage,
     CASE WHEN l_quantity = 50 THEN NULL WHEN l_linestatus = 'F' THEN true WHEN l_linestatus = 'O' THEN false END
       AS ad_clip,
-    CASE WHEN l_tax = 0 THEN 0 ELSE 1 END AS valid, p_size * 20 AS length,
-    CASE WHEN l_discount = 0.1 THEN 'Yes' WHEN l_discount > 0 THEN 'No' END AS sort_by_code,
-    CASE WHEN l_linenumber = 1 THEN true WHEN l_linenumber > 2 THEN false END AS cwt FROM ship),
-trap_all AS (SELECT *, CASE left(srr,1) WHEN '1' THEN 'Chinook' WHEN '2' THEN 'Coho' WHEN '3' THEN 'Steelhead' END
+    CASE WHEN l_tax = 0 AND dam <> 'PRD' THEN 0 ELSE 1 END AS valid, p_size * 20 AS length,
+    CASE WHEN dam = 'PRD' THEN NULL WHEN l_discount = 0.1 THEN 'Yes' WHEN l_discount > 0 THEN 'No' END AS sort_by_code,
+    CASE WHEN dam = 'PRD' THEN NULL WHEN l_linenumber = 1 THEN true WHEN l_linenumber > 2 THEN false END AS cwt FROM ship),
+trap_all AS (SELECT *, CASE CASE WHEN dam = 'PRD' THEN CASE code_species WHEN 'Chinook' THEN '1' WHEN 'Coho' THEN '2' ELSE '3' END ELSE left(srr,1) END WHEN '1' THEN 'Chinook' WHEN '2' THEN 'Coho' WHEN '3' THEN 'Steelhead' END
     AS species FROM trap0),
 trap AS (SELECT * FROM trap_all WHERE species IS NOT NULL AND life_stage = 'RF'
     AND coalesce(sort_by_code,'No') <> 'Yes'),
@@ -163,13 +163,16 @@ weekly0 AS (SELECT rolled.*, week_num_org - min(week_num_org) OVER (PARTITION BY
 RATES = """
 trap_in AS (SELECT c.run_id, c.week_num, t.date, t.tag_code, t.srr FROM trap t
   JOIN cal c ON t.dam = c.dam AND t.date = c.date),
-obs_season AS (SELECT c.run_id, o.*, regexp_extract(sp_rrt, '[0-9]+') AS code, c.dam AS run_dam
-  FROM obs o JOIN cal c ON o.dam = c.dam AND o.obs_date = c.date
-  WHERE (left(sp_rrt,1) IN ('2','3') OR (left(sp_rrt,1) = '1' AND month(obs_time) <= 8))),
+obs_any AS (SELECT c.run_id, o.*, regexp_extract(sp_rrt, '[0-9]+') AS code, c.dam AS run_dam, c.species AS run_species,
+    (left(sp_rrt,1) IN ('2','3') OR (left(sp_rrt,1) = '1' AND month(obs_time) <= 8)) AS in_season
+  FROM obs o JOIN cal c ON o.dam = c.dam AND o.obs_date = c.date),
+obs_season AS (SELECT * FROM obs_any WHERE CASE WHEN run_dam = 'PRD' THEN left(sp_rrt,1) =
+    CASE run_species WHEN 'Chinook' THEN '1' WHEN 'Coho' THEN '2' ELSE '3' END ELSE in_season END),
+obs_old AS (SELECT * FROM obs_any WHERE in_season),
 obs_free AS (SELECT * FROM obs_season o
   WHERE NOT coalesce(run_dam = 'LWG' AND mark_site IN ('LGRLDR','LGR'), false)
     AND NOT coalesce(run_dam = 'PRD' AND mark_site = 'PRDLD1', false)),
-obs_use AS (SELECT * FROM obs_free o WHERE EXISTS (SELECT 1 FROM trap_in t WHERE t.run_id = o.run_id
+obs_use AS (SELECT * FROM obs_free o WHERE run_dam = 'PRD' OR EXISTS (SELECT 1 FROM trap_in t WHERE t.run_id = o.run_id
    AND regexp_extract(t.srr, '[0-9]+') = o.code)),
 first_obs AS (SELECT run_id, tag_code, sp_rrt, min(obs_date) AS obs_date FROM obs_use GROUP BY ALL),
 trap_first AS (SELECT run_id, tag_code, min(date) AS trap_date FROM trap_in WHERE tag_code IS NOT NULL GROUP BY ALL),
@@ -177,9 +180,9 @@ matched AS (SELECT o.run_id, o.tag_code, t.trap_date IS NOT NULL AS in_trap, coa
   FROM first_obs o LEFT JOIN trap_first t ON t.run_id = o.run_id AND t.tag_code = o.tag_code),
 matched_dup AS (SELECT o.run_id, o.tag_code, t.date IS NOT NULL AS in_trap, coalesce(t.date, o.obs_date) AS d
   FROM first_obs o LEFT JOIN trap_in t ON t.run_id = o.run_id AND t.tag_code = o.tag_code),
-own AS (SELECT DISTINCT run_id, tag_code FROM obs_season WHERE mark_site IN ('LGRLDR','LGR')),
+own AS (SELECT DISTINCT run_id, tag_code FROM obs_old WHERE mark_site IN ('LGRLDR','LGR')),
 matched_old AS (SELECT o.run_id, o.tag_code, t.date IS NOT NULL AS in_trap, coalesce(t.date, o.obs_date) AS d
-  FROM obs_season o LEFT JOIN trap_in t ON t.run_id = o.run_id AND t.tag_code = o.tag_code
+  FROM obs_old o LEFT JOIN trap_in t ON t.run_id = o.run_id AND t.tag_code = o.tag_code
   WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.run_id = o.run_id AND own.tag_code = o.tag_code))
 """
 
@@ -302,19 +305,27 @@ p2 AS (SELECT *, x_all - x_day AS x_night, round(x_all * prop_wild) AS x_all_wil
     round(x_new_tot * prop_wild) AS x_new_wild, round(x_new_tot * prop_hnc) AS x_new_hnc,
     round(x_new_tot * prop_hatch) AS x_new_hatch FROM p1),
 pass AS (SELECT *, x_all_wild - x_new_wild AS x_reasc_wild, x_new_wild * (1 - day_true) AS x_night_wild FROM p2),
-pdraws AS (SELECT run_id, chain, iter, 'X.all[' || week_num || ']' AS param, x_all AS value FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.day[' || week_num || ']', x_day FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.night[' || week_num || ']', x_night FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.reasc[' || week_num || ']', x_reasc FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.new.tot[' || week_num || ']', x_new_tot FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.new.wild[' || week_num || ']', x_new_wild FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'day.true[' || week_num || ']', day_true FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'reasc.true[' || week_num || ']', reasc_true FROM pass
+totals AS (SELECT t.*, wild_fish / nullif(x_tot_new_wild, 0) AS prop_tagged FROM (SELECT run_id, chain, iter,
+    sum(x_all) AS x_tot_all, sum(x_day) AS x_tot_day, sum(x_night) AS x_tot_night, sum(x_reasc) AS x_tot_reasc,
+    sum(x_all_wild) AS x_tot_all_wild, sum(x_all_hatch) AS x_tot_all_hatch, sum(x_all_hnc) AS x_tot_all_hnc,
+    sum(x_new_tot) AS x_tot_new_all, sum(x_new_wild) AS x_tot_new_wild, sum(x_new_hatch) AS x_tot_new_hatch,
+    sum(x_new_hnc) AS x_tot_new_hnc, sum(x_night_wild) AS x_tot_night_wild, sum(x_reasc_wild) AS x_tot_reasc_wild,
+    sum(x_new_hatch) + sum(x_new_hnc) AS x_tot_new_hatch_all FROM pass GROUP BY ALL) t LEFT JOIN
+    (SELECT run_id, sum(wild_fish) AS wild_fish FROM mi GROUP BY run_id) USING (run_id)),
+pdraws AS (
+  SELECT run_id, chain, iter, replace(replace(name, 'x_', 'X.'), '_', '.') || '[' || week_num || ']' AS param, value
+  FROM (SELECT run_id, chain, iter, week_num, x_all, x_day, x_night, x_reasc, x_all_wild, x_all_hnc, x_all_hatch,
+      x_new_tot, x_new_wild, x_new_hnc, x_new_hatch, x_reasc_wild, x_night_wild, day_true, reasc_true FROM pass)
+    UNPIVOT INCLUDE NULLS (value FOR name IN (x_all, x_day, x_night, x_reasc, x_all_wild, x_all_hnc, x_all_hatch,
+      x_new_tot, x_new_wild, x_new_hnc, x_new_hatch, x_reasc_wild, x_night_wild, day_true, reasc_true))
   UNION ALL SELECT run_id, chain, iter, 'org.prop[' || week_num || ', 1]', prop_wild FROM pass
   UNION ALL SELECT run_id, chain, iter, 'org.prop[' || week_num || ', 2]', prop_hnc FROM pass
   UNION ALL SELECT run_id, chain, iter, 'org.prop[' || week_num || ', 3]', prop_hatch FROM pass
-  UNION ALL SELECT run_id, chain, iter, 'X.tot.all', sum(x_all) FROM pass GROUP BY run_id, chain, iter
-  UNION ALL SELECT run_id, chain, iter, 'X.tot.new.wild', sum(x_new_wild) FROM pass GROUP BY run_id, chain, iter),
+  UNION ALL SELECT run_id, chain, iter, CASE WHEN name = 'prop_tagged' THEN 'prop.tagged'
+      ELSE replace(replace(name, 'x_', 'X.'), '_', '.') END, value
+  FROM totals UNPIVOT INCLUDE NULLS (value FOR name IN (x_tot_all, x_tot_day, x_tot_night, x_tot_reasc,
+      x_tot_all_wild, x_tot_all_hatch, x_tot_all_hnc, x_tot_new_all, x_tot_new_wild, x_tot_new_hatch, x_tot_new_hnc,
+      x_tot_night_wild, x_tot_reasc_wild, x_tot_new_hatch_all, prop_tagged))),
 summ AS (SELECT run_id, param, split_part(param, '[', 1) AS name,
     nullif(regexp_extract(param, '[0-9]+'), '')::INT AS week_num,
     nullif(regexp_extract(param, ', ([0-9]+)', 1), '')::INT AS idx2, avg(value) AS mean, stddev_samp(value) AS sd,

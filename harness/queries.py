@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import landed, oracle
+from ladderweek.config import Run, Seasons
+from ladderweek.functions.codes import COMPILED_SPECIES, RUN_WINDOWS
 from ladderweek.functions.expressions import in_chinook_season, is_true, spawn_year
 from ladderweek.operators import draws as draw_ops
 from ladderweek.operators import (
@@ -26,7 +27,8 @@ from ladderweek.operators import (
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
 from ladderweek.session import shared_dir
-from ladderweek.sources import files, records
+from ladderweek.sources import records
+from ladderweek.sources.files import read_each as files_read
 
 S, D = SparkSession, str
 
@@ -120,8 +122,6 @@ def strata_calendar(spark: S, sf: D) -> DataFrame:
        GROUP BY dam""",
 )
 def records_outside_strata(spark: S, sf: D) -> DataFrame:
-    from ladderweek.config import Run, Seasons
-
     every = landed.seasons(spark, sf)
     spring = [
         Run(r.dam, r.species, r.start_date.replace(month=3), r.end_date.replace(month=8))
@@ -164,30 +164,25 @@ def window_counts_unpivot(spark: S, sf: D) -> DataFrame:
     return window_counts.counts_long(window_counts.counts_wide(landed.window_counts(spark, sf), SERIES))
 
 
+MERGED = ("Chinook", "Coho", "Jack_Chinook", "Steelhead", "Wild_Steelhead")
+
+
 @query(
-    "dam s, year i, date s, chinook d, coho d, steelhead d",
-    """SELECT dam, year, date, sum(CASE WHEN species = 'Chinook' THEN win_cnt END) AS chinook,
-         sum(CASE WHEN species = 'Coho' THEN win_cnt END) AS coho,
-         sum(CASE WHEN species = 'Steelhead' THEN win_cnt END) AS steelhead
-       FROM win WHERE win_cnt IS NOT NULL AND (species = 'Chinook' OR (species = 'Coho' AND dam <> 'LWG')
-         OR (species = 'Steelhead' AND dam <> 'PRD')) GROUP BY dam, year, date""",
+    "dam s, year i, date s, " + kinds([n.lower() for n in MERGED], "d"),
+    "SELECT dam, year, date, "
+    + ", ".join(f"sum(CASE WHEN species = '{n}' THEN win_cnt END) AS {n.lower()}" for n in MERGED)
+    + " FROM win WHERE win_cnt IS NOT NULL GROUP BY dam, year, date",
 )
 def window_counts_merge(spark: S, sf: D) -> DataFrame:
     counts = landed.window_counts(spark, sf)
     known = counts.filter(F.col("win_cnt").isNotNull())
 
-    def part(where, names: list[str]) -> DataFrame:
+    def part(names: list[str]) -> DataFrame:
         cells = [F.sum(F.when(F.col("species") == n, F.col("win_cnt"))).alias(n.lower()) for n in names]
-        return known.filter(where).groupBy("dam", "year", "date").agg(*cells)
-
-    dam = F.col("dam")
-    return window_counts.merge_wide(
-        [
-            part(dam == "LWG", ["Chinook", "Steelhead"]),
-            part(dam == "PRD", ["Coho", "Chinook"]),
-            part(~dam.isin("LWG", "PRD"), ["Steelhead", "Coho", "Chinook"]),
-        ]
-    )
+        return known.filter(F.col("species").isin(*names)).groupBy("dam", "year", "date").agg(*cells)
+
+    series = [["Steelhead", "Wild_Steelhead"], ["Coho"], ["Jack_Chinook", "Chinook"]]
+    return window_counts.merge_wide([part(names) for names in series])
 
 
 @query("run_id s, week_num i, date s, win_cnt d, window_open s", "SELECT * FROM win_daily")
@@ -276,23 +271,40 @@ def trap_cohort(spark: S, sf: D) -> DataFrame:
     )
 
 
+def _every_species(spark: S, sf: D, **options) -> DataFrame:
+    cohort, out = landed.trap_cohort(spark, sf), None
+    for name in COMPILED_SPECIES:
+        part = trap.trap_daily(cohort, name, keys=("dam", "species", "date"), **options)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(
-    f"dam s, date s, {TRAP_I}",
-    f"SELECT dam, date, {oracle.TRAP_SUMS} FROM trap WHERE species = 'Chinook' GROUP BY dam, date",
+    f"dam s, species s, date s, {TRAP_I}",
+    f"SELECT dam, species, date, {oracle.TRAP_SUMS} FROM trap GROUP BY dam, species, date",
 )
 def trap_daily(spark: S, sf: D) -> DataFrame:
-    return trap.trap_daily(landed.trap_cohort(spark, sf), "Chinook", keys=("dam", "date"))
+    return _every_species(spark, sf)
 
 
-STRICT_SQL = f"""SELECT dam, date, trap_fish, wild_morph, hatch_morph, na_morph, wild_pbt,
-  CASE WHEN unsure = 0 THEN hnc_pbt END AS hnc_pbt, CASE WHEN unsure = 0 THEN hatch_pbt END AS hatch_pbt,
-  na_pbt, n_invalid FROM (SELECT dam, date, {oracle.TRAP_SUMS},
-    count(*) FILTER (srr LIKE '%H' AND ad_clip IS NULL) AS unsure FROM trap WHERE species = 'Coho' GROUP BY dam, date)"""
+UNSURE = {
+    "wild_pbt": "srr LIKE '%W'",
+    "hnc_pbt": "srr LIKE '%H' AND NOT ad_clip",
+    "hatch_pbt": "srr LIKE '%H' AND ad_clip",
+    "na_pbt": "NOT (srr LIKE '%H' OR srr LIKE '%W')",
+}
+STRICT_SQL = (
+    "SELECT dam, species, date, trap_fish, wild_morph, hatch_morph, na_morph, n_invalid, "
+    + ", ".join(f"CASE WHEN unsure_{c} = 0 THEN {c} END AS {c}" for c in UNSURE)
+    + f" FROM (SELECT dam, species, date, {oracle.TRAP_SUMS}, "
+    + ", ".join(f"count(*) FILTER (({cond}) IS NULL) AS unsure_{c}" for c, cond in UNSURE.items())
+    + " FROM trap GROUP BY dam, species, date)"
+)
 
 
-@query(f"dam s, date s, {TRAP_I}", STRICT_SQL)
+@query(f"dam s, species s, date s, {TRAP_I}", STRICT_SQL)
 def trap_daily_strict_null(spark: S, sf: D) -> DataFrame:
-    return trap.trap_daily(landed.trap_cohort(spark, sf), "Coho", strict_null=True, keys=("dam", "date"))
+    return _every_species(spark, sf, strict_null=True)
 
 
 @query(
@@ -378,7 +390,7 @@ def weekly_rollup_legacy(spark: S, sf: D) -> DataFrame:
 )
 def conservation_check(spark: S, sf: D) -> DataFrame:
     seasons, daily = landed.seasons(spark, sf), _daily(spark, sf)
-    who = seasons.lookup(seasons.frame.select("run_id", "species", "spawn_year"))
+    who = seasons.frame.select("run_id", "species", "spawn_year")
     weekly = plan.compile_weekly(daily, seasons)
     return rollup.conservation(daily.join(who, "run_id"), weekly, ("species", "spawn_year"), ("win_cnt", "trap_fish"))
 
@@ -454,7 +466,7 @@ def mark_site_exclusion(spark: S, sf: D) -> DataFrame:
 def species_semi_join(spark: S, sf: D) -> DataFrame:
     weeks = trap_rate.trap_weeks(landed.trap_cohort(spark, sf), landed.seasons(spark, sf))
     kept = trap_rate.known_species_only(_obs_in(spark, sf), weeks)
-    return kept.groupBy("run_id", "species_code").agg(F.count("*").alias("n_obs"))
+    return kept.groupBy("run_id", "species_code").agg(F.sum("n_obs").alias("n_obs"))
 
 
 RATE_D = "n_trap_tags i, n_poss_tags i, trap_rate r, trap_rate_se r, trap_rate_cv r"
@@ -657,18 +669,17 @@ def draws_long(spark: S, sf: D) -> DataFrame:
     return draw_ops.extract_draws(landed.draws(spark, sf), ["x.LOG.all", "org"])
 
 
-@query(
-    "run_id s, chain i, iter i, param s, value d",
-    """SELECT run_id, chain, iter, unnest(['X.log.all[1]', 'day.true.logit[1]']) AS param,
-       unnest([5 + 4 * embedding[1]::DOUBLE, 8 * embedding[2]::DOUBLE]) AS value FROM
-       (SELECT 'LWG-Chinook-' || (y0 + label // 2) AS run_id, label AS chain, vec_id AS iter, embedding
-        FROM embeddings, yr)""",
-)
+STATE_WEEKS = [
+    pattern.format(week)
+    for week in range(1, 17)
+    for pattern in ("X.log.all[{}]", "day.true.logit[{}]", "reasc.true.logit[{}]", "org.phi[{}, 1]", "org.phi[{}, 2]")
+]
+
+
+@query("run_id s, chain i, iter i, param s, value d", "SELECT * FROM draws")
 def draws_unpivot(spark: S, sf: D) -> DataFrame:
-    first = landed.draws(spark, sf).filter(F.col("param").isin("X.log.all[1]", "day.true.logit[1]"))
-    names = ["X.log.all[1]", "day.true.logit[1]"]
-    cells = [F.max(F.when(F.col("param") == n, F.col("value"))).alias(n) for n in names]
-    return draw_ops.draws_long(first.groupBy(*draw_ops.DRAW_KEYS).agg(*cells))
+    cells = [F.max(F.when(F.col("param") == n, F.col("value"))).alias(n) for n in STATE_WEEKS]
+    return draw_ops.draws_long(landed.draws(spark, sf).groupBy(*draw_ops.DRAW_KEYS).agg(*cells))
 
 
 @query(
@@ -686,17 +697,8 @@ def present_parameters(spark: S, sf: D) -> DataFrame:
     return draw_ops.present_parameters(landed.draws(spark, sf), asked)
 
 
-def _store(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back, as a job would between compile and report."""
-    path = f"{shared_dir(df.sparkSession)}/stored/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-@lru_cache(maxsize=8)
 def _weekly(spark: S, sf: D) -> DataFrame:
-    """The compiled weekly table, written once per session for the queries that report on draws."""
-    return _store(_compiled(spark, sf).weekly, "weekly")
+    return _compiled(spark, sf).weekly
 
 
 def _passage(spark: S, sf: D) -> DataFrame:
@@ -721,29 +723,21 @@ def draw_algebra(spark: S, sf: D) -> DataFrame:
 
 @query(
     f"run_id s, chain i, iter i, {kinds(draw_ops.SEASON_TOTALS, 'd')}, x_tot_new_hatch_all d, prop_tagged d",
-    "SELECT t.*, wild_fish / nullif(x_tot_new_wild, 0) AS prop_tagged FROM (SELECT run_id, chain, iter, "
-    + ", ".join(f"sum({c}) AS {n}" for n, c in draw_ops.SEASON_TOTALS.items())
-    + """, sum(x_new_hatch) + sum(x_new_hnc) AS x_tot_new_hatch_all FROM pass GROUP BY ALL) t LEFT JOIN
-       (SELECT run_id, sum(wild_fish) AS wild_fish FROM mi GROUP BY run_id) USING (run_id)""",
+    "SELECT * FROM totals",
 )
 def season_totals(spark: S, sf: D) -> DataFrame:
-    trapped = _weekly(spark, sf).groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish"))
-    return draw_ops.season_totals(_passage(spark, sf), trapped)
-
-
-MONITORED = ["X.all", "X.day", "X.night", "X.reasc", "X.new.tot", "X.new.wild", "day.true", "reasc.true", "org.prop"]
+    return _totals(spark, sf, _passage(spark, sf))
 
 
-@lru_cache(maxsize=8)
-def _passage_table(spark: S, sf: D) -> DataFrame:
-    return _store(_passage(spark, sf), "passage")
+def _totals(spark: S, sf: D, passage: DataFrame) -> DataFrame:
+    trapped = _weekly(spark, sf).groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish"))
+    return draw_ops.season_totals(passage, trapped)
 
 
 def _summary(spark: S, sf: D) -> DataFrame:
-    """Summary of the monitored quantities, from the passage draws written once."""
-    passage = _passage_table(spark, sf)
-    totals = draw_ops.season_totals(passage).select(*draw_ops.DRAW_KEYS, "x_tot_all", "x_tot_new_wild")
-    long = draw_ops.passage_long(passage, MONITORED).unionByName(draw_ops.totals_long(totals))
+    """Summary of every monitored quantity and season total."""
+    passage = _passage(spark, sf)
+    long = draw_ops.passage_long(passage).unionByName(draw_ops.totals_long(_totals(spark, sf, passage)))
     return posterior.posterior_summary(long)
 
 
@@ -762,7 +756,7 @@ def posterior_summary(spark: S, sf: D) -> DataFrame:
        UNION ALL SELECT run_id, chain, iter, week_num, 3, 'HOR', prop_hatch FROM pass""",
 )
 def origin_proportions(spark: S, sf: D) -> DataFrame:
-    return draw_ops.origin_proportions(draw_ops.passage_long(_passage_table(spark, sf), ["X.all", "org.prop"]))
+    return draw_ops.origin_proportions(draw_ops.passage_long(_passage(spark, sf), ["X.all", "org.prop"]))
 
 
 @query(
@@ -823,7 +817,7 @@ def weekly_report(spark: S, sf: D) -> DataFrame:
     return posterior.weekly_report(_summary(spark, sf), _weekly(spark, sf))
 
 
-@query("run_id s, param s, mean d, sd d", "SELECT run_id, param, mean, sd FROM summ WHERE param LIKE 'X.tot%'")
+@query("run_id s, param s, mean d, sd d", "SELECT run_id, param, mean, sd FROM summ WHERE param LIKE 'X.tot%' OR param = 'prop.tagged'")
 def season_report(spark: S, sf: D) -> DataFrame:
     return posterior.season_report(_summary(spark, sf))
 
@@ -831,18 +825,18 @@ def season_report(spark: S, sf: D) -> DataFrame:
 # ---- readers and sink ---------------------------------------------------------------------------------------
 
 
-def _land(df: DataFrame, name: str) -> str:
+def _land(df: DataFrame, name: str, *by: str) -> str:
+    """Landed text files in the shared folder, a folder per value of ``by``."""
     path = f"{shared_dir(df.sparkSession)}/landed/{name}-{uuid.uuid4().hex}"
-    files.write_csv(df, path)
+    df.write.option("header", True).partitionBy(*by).csv(path)
     return path
 
 
 @query("dam s, year i, date s, species s, win_cnt d", "SELECT * FROM win")
 def window_scan(spark: S, sf: D) -> DataFrame:
-    raw = landed.window_raw(spark, sf)
-    sources = {dam: _land(raw.filter(F.col("location") == dam), dam) for dam in landed.DAM_OF_REGION.values()}
-    sources["ZOS"] = f"{shared_dir(spark)}/landed/absent-{uuid.uuid4().hex}.csv"
-    rows, _ = records.read_window_counts(spark, sources)
+    raw = landed.window_raw(spark, sf).withColumn("site", F.col("location"))
+    path = _land(raw, "window", "site")
+    rows, _ = records.read_window_counts(spark, {dam: f"{path}/site={dam}" for dam in (*landed.DAM_OF_REGION.values(), "ZOS")})
     return rows
 
 
@@ -869,9 +863,11 @@ def obs_scan(spark: S, sf: D) -> DataFrame:
     "SELECT *  REPLACE (code_species AS species) FROM trap_by_code",
 )
 def trap_scan(spark: S, sf: D) -> DataFrame:
-    raw = landed.trap_raw(spark, sf)
+    raw, upper = landed.trap_raw(spark, sf), landed.trap_raw_upper(spark, sf)
     text = raw.withColumn("collection_date", F.date_format("collection_date", "M/d/yyyy H:mm:ss")).drop("dam")
-    return records.read_trap(spark, _land(text, "trap"))
+    other = upper.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd HH:mm:ss")).drop("dam")
+    read = records.read_trap(spark, _land(text, "trap"))
+    return read.unionByName(records.read_trap(spark, _land(other, "trap"), dam="PRD"), allowMissingColumns=True)
 
 
 @query(f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_R}", "SELECT * FROM rep")
@@ -880,12 +876,80 @@ def trap_rate_scan(spark: S, sf: D) -> DataFrame:
     return records.parse_reported_rates(records.read_text_table(spark, _land(text, "rates")))
 
 
+WEEK_COUNTS = kinds([c for c in oracle.COUNTS if c != "win_cnt"], "i")
+
+
 @query(
-    "run_id s, week_num i, start_date s, win_cnt d, trap_fish i",
-    "SELECT run_id, week_num, start_date, win_cnt, trap_fish FROM weekly0",
+    f"run_id s, week_num i, week_num_org i, start_date s, win_cnt d, {WEEK_COUNTS}, window_open s, dam s, species s, "
+    "spawn_year i, trap_rate_dist s",
+    "SELECT *, dist AS trap_rate_dist FROM weekly0",
 )
 def csv_sink(spark: S, sf: D) -> DataFrame:
-    weekly = plan.compile_weekly(_daily(spark, sf), landed.seasons(spark, sf))
-    path = _land(weekly.select("run_id", "week_num", "start_date", "win_cnt", "trap_fish"), "weekly")
-    schema = "run_id string, week_num int, start_date date, win_cnt double, trap_fish bigint"
-    return spark.read.option("header", True).schema(schema).csv(path)
+    weekly = plan.compile_weekly(_daily(spark, sf), landed.seasons(spark, sf)).orderBy("run_id", "week_num")
+    return spark.read.option("header", True).schema(weekly.schema).csv(_land(weekly, "weekly"))
+
+
+@query(f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_R}", "SELECT * FROM rep")
+def reported_rate_files(spark: S, sf: D) -> DataFrame:
+    """A file per year and species; years without one are left out."""
+    text = landed.rates_raw(spark, sf).withColumn("of", F.concat_ws("-", "year", "species"))
+    folder = _land(text.withColumn("date", F.date_format("date", "M/d/yyyy")), "rates", "of")
+    seasons = landed.seasons(spark, sf)
+    years = range(seasons.first_day.year - 1, seasons.last_day.year + 1)
+    files = {f"{y}-{name}": f"{folder}/of={y}-{name}" for y in years for name in COMPILED_SPECIES}
+    rows, _ = files_read(spark, files, records.parse_reported_rates)
+    return rows
+
+
+@query(
+    "dam s, species s, year i, date s, tag_id s, rear_type s, period s, ascent_count i, previous_date s, previous_days d, ladder s",
+    """SELECT det.*, date - ascent_count AS previous_date, ascent_count / 2.0 AS previous_days,
+       'ladder ' || (tag_id::BIGINT % 3) AS ladder FROM det""",
+)
+def pit_scan_upper(spark: S, sf: D) -> DataFrame:
+    """Detections in the upper-river layout, with the provider's own headers."""
+    raw = landed.detections_raw(spark, sf)
+    count, tag = F.col("tag_id_ascent_count"), F.col("tag_id").cast("long")
+    text = raw.select(
+        F.col("dam"), F.col("species").alias("Species"), F.col("clock_date").alias("Clock Date"),
+        F.date_format("detection_date_time", "yyyy-MM-dd HH:mm:ss").alias("Detection Date Time"),
+        F.col("tag_id").alias("Tag ID"), F.col("rear_type").alias("Rear Type"), F.col("period").alias("Period"),
+        count.alias("TagID Ascent Count"), F.date_sub("clock_date", count).alias("Previous Detect Date"),
+        (count / 2).alias("Diff Previous Days"), F.concat(F.lit("ladder "), (tag % 3).cast("string")).alias("Ladder2"),
+    )
+    return records.read_detections(spark, _land(text, "upper"))
+
+
+@query("run_id s, window_days i, tot_tags i, trap_fish i", """SELECT run_id, count(*) AS window_days, 0 AS tot_tags,
+    0 AS trap_fish FROM win_daily GROUP BY run_id""")
+def compile_without_sources(spark: S, sf: D) -> DataFrame:
+    """Window counts alone: no detections, trap records or observations."""
+    done = plan.compile_seasons(spark, landed.seasons(spark, sf), landed.window_counts(spark, sf))
+    days = done.daily.groupBy("run_id").agg(F.count("*").alias("window_days"))
+    weeks = done.weekly.groupBy("run_id").agg(F.sum("tot_tags").alias("tot_tags"), F.sum("trap_fish").alias("trap_fish"))
+    return days.join(weeks, "run_id")
+
+
+@query(
+    "run_id s, first_day s, last_day s, win_cnt d",
+    """SELECT u.dam || '-' || sp || '-' || y AS run_id, a AS first_day, b AS last_day, sum(win_cnt) AS win_cnt FROM
+       (SELECT y, d.dam, d.sp, make_date(y - (d.fm > d.lm)::INT, d.fm, d.fd) AS a, make_date(y, d.lm, d.ld) AS b FROM
+         (SELECT unnest(generate_series(y0 + 1, y1)) AS y FROM yr), (VALUES ('LWG','Steelhead',7,1,6,30),
+          ('PRD','Steelhead',6,1,5,31), ('LWG','Chinook',3,1,8,17), ('PRD','Chinook',3,1,6,15)) d(dam, sp, fm, fd, lm, ld)) u
+       JOIN win w ON w.dam = u.dam AND w.date BETWEEN a AND b AND w.species = u.sp GROUP BY ALL""",
+)
+def customary_seasons(spark: S, sf: D) -> DataFrame:
+    """Window counts of the customary season of every species and dam that has one."""
+    every = landed.seasons(spark, sf)
+    first, last = landed._years(spark, sf)
+    runs = [
+        Run.usual(dam, species, year, incl_jacks=False)
+        for species, dam in RUN_WINDOWS
+        for year in range(first + 1, last + 1)
+        if dam in {r.dam for r in every.runs}
+    ]
+    seasons = Seasons(spark, runs)
+    daily = window_counts.window_daily(landed.window_counts(spark, sf), seasons)
+    total = daily.groupBy("run_id").agg(F.sum("win_cnt").alias("win_cnt"))
+    days = seasons.frame.select("run_id", F.col("start_date").alias("first_day"), F.col("end_date").alias("last_day"))
+    return days.join(total, "run_id")

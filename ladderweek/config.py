@@ -1,22 +1,17 @@
-"""Which dams, species and seasons a job compiles, and the day calendar that follows from it."""
+"""Which dams, species and seasons a job compiles."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass, fields
-from functools import cached_property
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderweek.functions import codes
 
-# A calendar row is about 100 bytes in memory, so this keeps a broadcast calendar near 100 MB.
-BROADCAST_DAYS = 1_000_000
-MAX_RUNS = 200_000
-
 RUN_SCHEMA = pa.schema(
     {
         "run_id": pa.string(),
@@ -113,55 +108,80 @@ class Run:
         )
 
 
-class Seasons:
-    """The runs of one job.
+def _filled(df: DataFrame) -> DataFrame:
+    """A configuration table with ``Run``'s field names, its defaults filled in as ``Run`` does, columns of RUN_SCHEMA."""
+    def given(name: str, default) -> Column:
+        default = default if isinstance(default, Column) else F.lit(default)
+        return F.coalesce(F.col(name), default) if name in df.columns else default
+
+    end = given("end_date", F.date_sub(F.add_months("start_date", 12), 1))
+    year = given("spawn_year", F.year(end)).cast("int")
+    weekday = F.col("strata_beg") if "strata_beg" in df.columns else F.lit("Mon")
+    unclipped = (F.col("species") == "Steelhead") & (given("steelhead_type", "all") == "unclipped")
+    return df.select(
+        given("run_id", F.concat_ws("-", "dam", "species", year.cast("string"))).alias("run_id"), "dam", "species",
+        year.alias("spawn_year"), "start_date", end.alias("end_date"),
+        codes.translate(F.col("dam"), codes.DAM_TO_TAG_SITE).alias("tag_site"),
+        given("incl_jacks", F.col("species").isin("Chinook", "Coho")).alias("incl_jacks"),
+        unclipped.alias("unclipped_only"), given("b_run", False).alias("b_run"),
+        weekday.alias("strata_beg"), given("last_strata_min", 3).cast("int").alias("last_strata_min"),
+        given("trap_rate_source", "pit").alias("trap_rate_source"),
+        given("trap_rate_cv", 0.0).cast("double").alias("trap_rate_cv"),
+        given("trap_rate_dist", "beta").alias("trap_rate_dist"),
+    )
+
+
+def _valid() -> Column:
+    among = lambda name, values: F.coalesce(F.col(name).isin(*values), F.lit(False))
+    weekday = F.col("strata_beg").isNull() | among("strata_beg", codes.WEEKDAYS)
+    lists = among("dam", codes.DAMS) & among("species", codes.COMPILED_SPECIES) & weekday
+    lists = lists & among("trap_rate_source", ("pit", "reported")) & among("trap_rate_dist", ("beta", "logit"))
+    return lists & F.coalesce((F.col("end_date") >= F.col("start_date")) & (F.col("last_strata_min") >= 0), F.lit(False))
 
-    Runs are configuration and live on the driver, so the size of everything derived from them alone (strata, day
-    calendar) is known exactly before any plan is built.
-    """
+
+class Seasons:
+    """The runs of one job: a small frame, and the days it spans."""
 
     def __init__(self, spark: SparkSession, runs: Iterable[Run]):
         self.spark = spark
         self.runs = list(runs)
         if not self.runs:
             raise ValueError("at least one run is needed")
-        if len(self.runs) > MAX_RUNS:
-            raise ValueError(f"{len(self.runs)} runs exceed the limit of {MAX_RUNS}; compile in several jobs")
         if len({r.run_id for r in self.runs}) < len(self.runs):
             raise ValueError("run_id must be unique")
-
-    @classmethod
-    def from_frame(cls, df: DataFrame) -> Seasons:
-        """Runs from a configuration table with ``Run``'s field names; refuses tables beyond ``MAX_RUNS``."""
-        known = [f.name for f in fields(Run) if f.name in df.columns]
-        rows = df.select(*known).limit(MAX_RUNS + 1).collect()
-        return cls(df.sparkSession, [Run(**row.asDict()) for row in rows])
-
-    @cached_property
-    def frame(self) -> DataFrame:
-        """The runs as a local relation: no Python tasks, and a size the optimizer knows."""
         columns = list(zip(*[r.row() for r in self.runs]))
         arrays = [pa.array(values, kind) for values, kind in zip(columns, RUN_SCHEMA.types)]
-        return self.spark.createDataFrame(pa.Table.from_arrays(arrays, schema=RUN_SCHEMA))
+        # A local relation: no Python tasks, and a size the optimizer knows.
+        self.frame = spark.createDataFrame(pa.Table.from_arrays(arrays, schema=RUN_SCHEMA))
+        self.first_day = min(r.start_date for r in self.runs)
+        self.last_day = max(r.end_date for r in self.runs)
 
-    @cached_property
-    def first_day(self) -> dt.date:
-        return min(r.start_date for r in self.runs)
-
-    @cached_property
-    def last_day(self) -> dt.date:
-        return max(r.end_date for r in self.runs)
+    @classmethod
+    def _of(cls, frame: DataFrame, first_day: dt.date, last_day: dt.date) -> Seasons:
+        out = cls.__new__(cls)
+        out.spark, out.runs, out.frame = frame.sparkSession, None, frame
+        out.first_day, out.last_day = first_day, last_day
+        return out
 
-    @cached_property
-    def n_days(self) -> int:
-        return sum((r.end_date - r.start_date).days + 1 for r in self.runs)
+    @classmethod
+    def from_frame(cls, df: DataFrame) -> Seasons:
+        """Runs from a configuration table with ``Run``'s field names. They stay a table; one aggregate checks them."""
+        frame = _filled(df)
+        seen = frame.agg(
+            F.min("start_date"), F.max("end_date"), F.count("*"), F.count_distinct("run_id"), F.count_if(~_valid())
+        ).first()
+        first_day, last_day, n, n_ids, bad = seen
+        if not n:
+            raise ValueError("at least one run is needed")
+        if bad:
+            raise ValueError(f"{bad} runs have values that are not allowed")
+        if n_ids < n:
+            raise ValueError("run_id must be unique")
+        return cls._of(frame, first_day, last_day)
 
-    def subset(self, keep: Callable[[Run], bool]) -> Seasons | None:
-        """The runs that ``keep`` accepts, None if there are none."""
-        runs = [r for r in self.runs if keep(r)]
+    def of_source(self, source: str) -> Seasons | None:
+        """The runs with this source of trap rates; None if it is known that there are none."""
+        if self.runs is None:
+            return Seasons._of(self.frame.filter(F.col("trap_rate_source") == source), self.first_day, self.last_day)
+        runs = [r for r in self.runs if r.trap_rate_source == source]
         return Seasons(self.spark, runs) if runs else None
-
-    def lookup(self, df: DataFrame, rows_per_day: int = 1) -> DataFrame:
-        """Mark a frame derived from the calendar alone for broadcast, or for a sort-merge join beyond the bound."""
-        small = self.n_days * rows_per_day <= BROADCAST_DAYS
-        return F.broadcast(df) if small else df.hint("merge")

@@ -2,42 +2,62 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 
-def quantile_of(n: float, p: float, q: float) -> int | None:
-    """Smallest k with P(X <= k) >= q for X ~ Binomial(n, p); None unless n >= 0 and 0 <= p <= 1.
+def binomial_quantile(n: Column, p: Column, q: float) -> Column:
+    """Smallest k with P(X <= k) >= q for X ~ Binomial(n, p); NULL unless n >= 0 and 0 <= p <= 1.
 
     Only counts within 12 standard deviations + 40 of the mean are visited. By Bernstein's inequality the rest
     carries less than 1e-20 of the mass, below double precision, so the work grows with sqrt(n), not n. Weights
-    come from the ratios of neighbouring terms and are divided by their own sum: no gamma function.
+    come from the ratios of neighbouring terms and are divided by their own sum: no gamma function. The terms are walked
+    three times, for the largest, the sum and the quantile; all of it is a JVM expression.
     """
-    if not (n >= 0 and 0 <= p <= 1):  # also refuses NaN
-        return None
-    if n == 0 or p == 0:
-        return 0
-    if p == 1:
-        return int(n)
+    given, p = n.cast("double"), p.cast("double")
+    usable = ~F.isnan(given) & ~F.isnan(p) & (given >= 0) & (p >= 0) & (p <= 1)
+    n = F.floor(given).cast("double")
     mean = n * p
-    reach = 12 * math.sqrt(mean * (1 - p)) + 40
-    first, last = max(0, math.floor(mean - reach)), min(int(n), math.ceil(mean + reach))
-    k = np.arange(first + 1, last + 1, dtype=np.float64)
-    log_weight = np.concatenate(([0.0], np.cumsum(np.log((n - k + 1) / k) + math.log(p / (1 - p)))))
-    mass = np.cumsum(np.exp(log_weight - log_weight.max()))
-    return first + int(np.searchsorted(mass, q * mass[-1], side="left"))
-
-
-@F.pandas_udf(LongType())
-def _quantiles(n: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
-    return pd.Series([quantile_of(*row) for row in zip(n, p, q)], dtype="Int64")
-
-
-def binomial_quantile(n: Column, p: Column, q: float) -> Column:
-    """``quantile_of`` as a column. Weekly rows only pass through here, batched by Arrow."""
-    return _quantiles(n.cast("double"), p.cast("double"), F.lit(float(q)))
+    reach = 12 * F.sqrt(mean * (1 - p)) + 40
+    first = F.greatest(F.lit(0.0), F.floor(mean - reach).cast("double"))
+    last = F.least(n, F.ceil(mean + reach).cast("double"))
+    inner = usable & (n > 0) & (p > 0) & (p < 1)
+    counts = F.when(inner & (last > first), F.sequence(first.cast("long") + 1, last.cast("long")))
+    counts = F.coalesce(counts, F.array().cast("array<bigint>"))
+    odds = F.log(p / (1 - p))
+    zero = F.lit(0.0)
+
+    def grown(weight: Column, k: Column) -> Column:
+        return weight + F.log((n - k + 1) / k) + odds
+
+    # What a walk needs of the one before it rides in its state, so that it is worked out once.
+    start = F.struct(zero.alias("w"), zero.alias("top"))
+    walk = lambda acc, k: F.struct(
+        grown(acc["w"], k).alias("w"), F.greatest(acc["top"], grown(acc["w"], k)).alias("top")
+    )
+    top = F.aggregate(counts, start, walk)["top"]
+    first_mass = lambda x: F.exp(-x["top"])
+    start = F.transform(F.array(F.struct(zero.alias("w"), top.alias("top"))), lambda x: x.withField("mass", first_mass(x)))[0]
+    walk = lambda acc, k: F.struct(
+        grown(acc["w"], k).alias("w"),
+        acc["top"].alias("top"),
+        (acc["mass"] + F.exp(grown(acc["w"], k) - acc["top"])).alias("mass"),
+    )
+    summed = F.aggregate(counts, start, walk)
+    begin = lambda x: F.struct(
+        zero.alias("w"),
+        x["top"].alias("top"),
+        first_mass(x).alias("mass"),
+        (x["mass"] * F.lit(float(q))).alias("wanted"),
+        first.alias("k"),
+    )
+    start = F.transform(F.array(summed), begin)[0]
+    walk = lambda acc, k: F.struct(
+        grown(acc["w"], k).alias("w"),
+        acc["top"].alias("top"),
+        (acc["mass"] + F.exp(grown(acc["w"], k) - acc["top"])).alias("mass"),
+        acc["wanted"].alias("wanted"),
+        F.when(acc["mass"] < acc["wanted"], k.cast("double")).otherwise(acc["k"]).alias("k"),
+    )
+    found = F.aggregate(counts, start, walk)["k"]
+    return F.when(usable, F.when((n == 0) | (p == 0), zero).when(p == 1, n).otherwise(found)).cast("long")

@@ -68,6 +68,9 @@ DAMS_WITHOUT_NIGHT_COUNTS = ("PRD", "RIS", "RRH")
 # Dam -> sites whose marked fish came through the dam's own trap.
 TRAP_MARK_SITES = {"PRD": ("PRDLD1",), "LWG": ("LGRLDR", "LGR")}
 
+# Dams whose trap rate rests on tags of the run's own species, whatever the trap holds and at any season.
+OWN_SPECIES_DAMS = ("PRD",)
+
 # Fixed values: (species, dam) -> first and last month-day of a run; a start after the end lies in the year before.
 RUN_WINDOWS = {
     ("Steelhead", "LWG"): ("07-01", "06-30"),

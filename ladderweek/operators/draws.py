@@ -218,10 +218,10 @@ def passage_long(passage: DataFrame, params: list[str] | None = None) -> DataFra
 
 
 def totals_long(totals: DataFrame) -> DataFrame:
-    """Season totals as draws: ``x_tot_new_wild`` -> ``X.tot.new.wild``."""
-    columns = [c for c in totals.columns if c.startswith("x_tot")]
+    """Season totals as draws: ``x_tot_new_wild`` -> ``X.tot.new.wild``, and ``prop.tagged`` where it is there."""
+    names = {c: "X" + c[1:].replace("_", ".") for c in totals.columns if c.startswith("x_tot")}
+    names |= {c: "prop.tagged" for c in totals.columns if c == "prop_tagged"}
     entries = [
-        F.struct(F.lit("X" + c[1:].replace("_", ".")).alias("param"), F.col(c).cast("double").alias("value"))
-        for c in columns
+        F.struct(F.lit(name).alias("param"), F.col(c).cast("double").alias("value")) for c, name in names.items()
     ]
     return totals.select(*DRAW_KEYS, F.inline(F.array(*entries)))

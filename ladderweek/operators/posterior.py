@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderweek.functions.expressions import calendar_week, ratio
 from ladderweek.operators.draws import base_name, first_number, second_index
-from ladderweek.operators.quantiles import HOT_ROWS, exact_quantiles
+from ladderweek.operators.quantiles import exact_quantiles
 
 QUANTILES = {"q2_5": 0.025, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q97_5": 0.975}
 
@@ -21,7 +21,7 @@ REPORT_LABELS = {
 }
 
 
-def posterior_summary(draws: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def posterior_summary(draws: DataFrame) -> DataFrame:
     """Mean, SD, naive standard error and quantiles per run and parameter, pooled over chains.
 
     ``draws`` is long: ``run_id, chain, iter, param, value``. Adds the parameter's base name, week and second index.
@@ -31,7 +31,7 @@ def posterior_summary(draws: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count("value").alias("n_draws")
     )
     moments = moments.withColumn("naive_se", F.col("sd") / F.sqrt("n_draws"))
-    joined = moments.join(exact_quantiles(draws, keys, "value", QUANTILES, hot_rows), keys, "left")
+    joined = moments.join(exact_quantiles(draws, keys, "value", QUANTILES), keys, "left")
     param = F.col("param")
     return joined.withColumns(
         {"name": base_name(param), "week_num": first_number(param), "idx2": second_index(param)}
@@ -51,7 +51,7 @@ def strata_export(summary: DataFrame, weekly: DataFrame, param: str = "X.new.tot
         calendar_week(F.col("start_date")).alias("strata"),
         F.bround("mean", 0).alias("estimate"), F.col("sd").alias("se"),
         F.lit(None).cast("string").alias("collapse"),
-    )
+    ).orderBy("run_id", "model_week")
 
 
 def adjusted_window(win_cnt: Column, day_tags: Column, tot_tags: Column, when_unknown: str = "null") -> Column:
@@ -93,9 +93,10 @@ def rate_frame(summary: DataFrame, weekly: DataFrame) -> DataFrame:
     return joined.select("run_id", "rate", "week_num", "start_date", *QUANTILES, "tot_tags", seen.alias("observed"))
 
 
-def season_report(summary: DataFrame, prefix: str = "X.tot") -> DataFrame:
-    """Parameters whose name starts with ``prefix`` with mean and SD."""
-    return summary.filter(F.col("param").startswith(prefix)).select("run_id", "param", "mean", "sd")
+def season_report(summary: DataFrame, prefix: str = "X.tot", others: tuple[str, ...] = ("prop.tagged",)) -> DataFrame:
+    """Parameters whose name starts with ``prefix``, and the others named, with mean and SD."""
+    wanted = F.col("param").startswith(prefix) | F.col("param").isin(*others)
+    return summary.filter(wanted).select("run_id", "param", "mean", "sd")
 
 
 def _plain_number(x: Column, digits: int) -> Column:

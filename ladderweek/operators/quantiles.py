@@ -5,114 +5,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladderweek.session import ensure_checkpoint_dir
+STEP = 16  # bits of the value that each round settles
 
-HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 10_000
-BINS = 65_536
 
+def _ordered_image(value: Column) -> Column:
+    """A long that sorts as the double does: its IEEE bits, those of negative numbers turned around."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("long")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
 
-def _hot_groups(values: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """The groups of more than ``hot_rows`` rows, at most the 10,000 largest; None if there are none.
 
-    A group beyond the 10,000 largest holds at most a ten-thousandth of all rows, an ordinary task's share. The
-    central range of each hot group only places bin edges. It is an approximation, so it is checkpointed: every
-    later use must see the same edges.
-    """
-    sizes = values.groupBy(*keys).agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), *keys).limit(MAX_HOT_GROUPS)
-    ensure_checkpoint_dir(values.sparkSession)
-    large = large.checkpoint()
-    if large.isEmpty():
-        return None
-    ends = F.percentile_approx("v", F.array(F.lit(0.001), F.lit(0.999)), F.lit(10_000))
-    return (
-        values.join(F.broadcast(large), keys)
-        .groupBy(*keys, "n")
-        .agg(ends.alias("ends"))
-        .select(*keys, "n", F.col("ends")[0].alias("lo"), F.col("ends")[1].alias("hi"))
-        .checkpoint()
-    )
-
-
-def _bin_of(value: Column, lo: Column, hi: Column) -> Column:
-    """Monotone bin number: 0 below the range, BINS + 1 above, equal widths between."""
-    width = (hi - lo) / BINS
-    inner = F.least(F.floor((value - lo) / width) + 1, F.lit(BINS))
-    return (
-        F.when(value < lo, F.lit(0))
-        .when(value > hi, F.lit(BINS + 1))
-        .when(width > 0, inner)
-        .otherwise(F.lit(1))
-        .cast("long")
-    )
-
-
-def _relevant_rows(values: DataFrame, keys: list[str], probs: list[float], hot: DataFrame) -> DataFrame:
-    """Rows of the ordinary groups, and of the hot groups those in bins that hold a wanted rank.
+def _value_of(image: Column) -> Column:
+    bits = F.when(image >= 0, image).otherwise(image.bitwiseXOR(F.lit(2**63 - 1)))
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
 
-    Each row learns how many rows of its group lie in lower bins. Only bin counts of hot groups are shuffled here;
-    hot groups and their wanted bins are bounded by MAX_HOT_GROUPS and the number of probabilities.
-    """
-    joined = values.join(F.broadcast(hot), keys, "left")
-    is_hot = F.col("n").isNotNull()
-    number = F.when(is_hot, _bin_of(F.col("v"), F.col("lo"), F.col("hi"))).otherwise(F.lit(-1))
-    binned = joined.withColumn("bin", number)
-    counts = binned.filter(F.col("bin") >= 0).groupBy(*keys, "n", "bin").agg(F.count("*").alias("c"))
-    running = F.sum("c").over(Window.partitionBy(*keys).orderBy("bin"))
-    placed = counts.withColumn("before", running - F.col("c"))
-    holds = F.lit(False)
-    for p in probs:
-        low, high = _ranks(p, F.col("n"))
-        for rank in (low, high):
-            holds = holds | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("c")))
-    wanted = placed.filter(holds).select(*keys, "bin", "before")
-    found = binned.select(*keys, "bin", "n", "v").join(F.broadcast(wanted), [*keys, "bin"], "left")
-    return found.filter((F.col("bin") == -1) | F.col("before").isNotNull())
-
-
-def _ranks(p: float, n: Column) -> tuple[Column, Column]:
-    at = F.lit(float(p)) * (n - 1)
-    return F.floor(at), F.ceil(at)
 
-
-def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles (the usual type 7) of ``value`` per ``keys``, one column per name in ``probs``.
 
-    NULL and NaN values are left out. Equal values are counted together before anything is sorted. Groups larger
-    than ``hot_rows`` are narrowed to the histogram bins that hold the wanted ranks, so no group is ever sorted
-    whole unless it is small; the result is exact either way.
+    NULL and NaN values are left out; -0.0 is 0.0. Equal values are counted together, and these counts are added
+    up by the leading 48, 32 and 16 bits of the value. Each wanted rank is then followed down from the 16 leading bits to
+    the whole value. A prefix has at most 65,536 prefixes below it, so no window or join key holds more rows than
+    that however large a group is, and nothing is sorted beyond them. One way for groups of all sizes.
     """
-    values = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    hot = _hot_groups(values, keys, hot_rows)
-    if hot is None:
-        rows = values.withColumns({"bin": F.lit(-1), "before": F.lit(None).cast("long"), "n": F.lit(None).cast("long")})
-    else:
-        rows = _relevant_rows(values, keys, list(probs.values()), hot)
-
-    group = [*keys, "bin"]
-    counted = rows.groupBy(*group, "v").agg(
-        F.count("*").alias("c"), F.first("before").alias("before"), F.first("n").alias("n")
-    )
-    by_value = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group)
-    ranked = (
-        counted.withColumn("upto", F.coalesce("before", F.lit(0)) + F.sum("c").over(by_value))
-        .withColumn("start", F.col("upto") - F.col("c"))
-        .withColumn("n", F.coalesce("n", F.sum("c").over(whole)))
-    )
+    plain = df.select(F.struct(*keys).alias("g"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"))
+    known = plain.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    prefix = _ordered_image(F.col("v")).alias("prefix")
+    counts = [known.select("g", prefix).groupBy("g", "prefix").agg(F.count("*").alias("c"))]
+    counts[0] = counts[0].persist()  # four uses; lazily filled, spilled to disk, worked out again where it is lost
+    for _ in range(64 // STEP - 1):
+        shorter = F.shiftright("prefix", STEP).alias("prefix")
+        counts.append(counts[-1].select("g", shorter, "c").groupBy("g", "prefix").agg(F.sum("c").alias("c")))
+    counts.reverse()
+
+    sizes = counts[0].groupBy("g").agg(F.sum("c").alias("n"))
+    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in at.values() for f in (F.floor, F.ceil)]))
+    found = sizes.select("g", "n", F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("before"))
+    for level, table in enumerate(counts):
+        above = F.shiftright("prefix", STEP) if level else F.lit(0).cast("long")
+        placed = table.withColumn("above", above)
+        upto = F.sum("c").over(Window.partitionBy("g", "above").orderBy("prefix"))
+        placed = placed.withColumn("upto", upto).withColumnRenamed("prefix", "below")
+        if not level:
+            found = found.withColumn("above", F.lit(0).cast("long"))
+        inside = F.col("rank") - F.col("before")
+        holds = (inside >= F.col("upto") - F.col("c")) & (inside < F.col("upto"))
+        met = found.join(placed, ["g", "above"]).filter(holds)
+        found = met.select(
+            "g", "n", "rank", (F.col("before") + F.col("upto") - F.col("c")).alias("before"), F.col("below").alias("above")
+        )
+    found = found.withColumn("v", _value_of(F.col("above")))
     columns = []
-    for name, p in probs.items():
-        low, high = _ranks(p, F.col("n"))
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        here = lambda rank: (rank >= F.col("start")) & (rank < F.col("upto"))
-        below = F.max(F.when(here(low), F.col("v")))
-        above = F.max(F.when(here(high), F.col("v")))
-        share = F.max(at - low)
-        columns.append((below + (above - below) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*columns)
+    for name, x in at.items():
+        low = F.max(F.when(F.col("rank") == F.floor(x), F.col("v")))
+        high = F.max(F.when(F.col("rank") == F.ceil(x), F.col("v")))
+        columns.append(F.when(low == high, low).otherwise(low + (high - low) * F.max(x - F.floor(x))).alias(name))
+    done = found.groupBy("g").agg(*columns)
+    return done.select(*[F.col("g").getField(k).alias(k) for k in keys], *probs)
 
 
 def ordinal_within(df: DataFrame, keys: list[str], column: str, alias: str, block: int = 65_536) -> DataFrame:

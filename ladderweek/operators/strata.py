@@ -1,4 +1,4 @@
-"""Weekly strata and the date -> stratum lookup."""
+"""Weekly strata, and the stratum of a date."""
 
 from __future__ import annotations
 
@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from ladderweek.config import Seasons
 
 
-def weekly_strata(runs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per run and stratum: ``run_id, week_num, start_date, end_date, n_days`` and the ``carry`` columns.
+def shapes(runs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """What the strata of a run follow from: ``run_id, carry, first, last, aligned, head, n, merged``.
 
     Strata begin on ``strata_beg`` (on the first day of the season where NULL). A last stratum of at most
     ``last_strata_min`` days joins the one before, then such a first stratum joins the one after it.
-    Plain date arithmetic per run and one explode: no shuffle, no window.
     """
     first, last, limit = F.col("first"), F.col("last"), F.col("last_strata_min")
     aligned = F.coalesce(F.expr("next_day(date_sub(start_date, 1), strata_beg)"), F.col("start_date"))
@@ -29,37 +28,45 @@ def weekly_strata(runs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     head = ((F.col("aligned") > first) & (first < last)).cast("int")
     weeks = F.greatest(F.lit(0), F.ceil(F.datediff(last, "aligned") / 7).cast("int"))
     sized = base.select("*", head.alias("head"), F.greatest(F.lit(1), head + weeks).alias("n"))
+    tail_days = F.datediff(last, _start_of(F.col("n") - 1)) + 1
+    kept = F.col("n") - ((F.col("n") > 1) & (tail_days <= limit)).cast("int")
+    merged = (kept > 1) & (F.datediff(_start_of(F.lit(1)), first) <= limit)
+    return sized.select(
+        "run_id", *carry, "first", "last", "aligned", "head", kept.alias("n"), merged.cast("int").alias("merged")
+    )
 
-    def start_of(k: Column) -> Column:
-        return F.when(k == 0, first).otherwise(F.date_add("aligned", (k - F.col("head")) * 7))
 
-    tail_days = F.datediff(last, start_of(F.col("n") - 1)) + 1
-    kept = F.col("n") - ((F.col("n") > 1) & (tail_days <= limit)).cast("int")
-    merged = (kept > 1) & (F.datediff(start_of(F.lit(1)), first) <= limit)
-    cut = sized.select(
-        "run_id", *carry, "first", "last", "aligned", "head",
-        kept.alias("n"), merged.cast("int").alias("merged"),
-        F.explode(F.sequence(F.lit(0), kept - merged.cast("int") - 1)).alias("pos"),
-    )
+def _start_of(k: Column) -> Column:
+    return F.when(k == 0, F.col("first")).otherwise(F.date_add("aligned", (k - F.col("head")) * 7))
+
+
+def weekly_strata(runs: DataFrame) -> DataFrame:
+    """One row per run and stratum: ``run_id, week_num, start_date, end_date, n_days``.
+
+    Plain date arithmetic per run and one explode: no shuffle, no window.
+    """
+    cut = shapes(runs).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("merged") - 1)).alias("pos"))
     this, following = F.col("pos"), F.col("pos") + 1 + F.col("merged")
-    start = F.when(this == 0, first).otherwise(start_of(this + F.col("merged")))
-    end = F.when(following < F.col("n"), F.date_sub(start_of(following), 1)).otherwise(last)
+    start = F.when(this == 0, F.col("first")).otherwise(_start_of(this + F.col("merged")))
+    end = F.when(following < F.col("n"), F.date_sub(_start_of(following), 1)).otherwise(F.col("last"))
     return cut.select(
-        "run_id", *carry, (this + 1).alias("week_num"), start.alias("start_date"), end.alias("end_date"),
+        "run_id", (this + 1).alias("week_num"), start.alias("start_date"), end.alias("end_date"),
     ).withColumn("n_days", F.datediff("end_date", "start_date") + 1)
 
 
-@lru_cache(maxsize=16)
-def strata(seasons: Seasons) -> DataFrame:
-    return weekly_strata(seasons.frame)
+def week_of(day: Column, prefix: str = "") -> Column:
+    """Number of the stratum a day of the season lies in, by the columns of ``shapes``."""
+    aligned, head, n, merged = (F.col(prefix + c) for c in ("aligned", "head", "n", "merged"))
+    raw = F.when((head == 1) & (day < aligned), F.lit(0)).otherwise(
+        head + F.floor(F.datediff(day, aligned) / 7).cast("int")
+    )
+    within = F.greatest(F.lit(0), F.least(raw, n - 1))
+    return F.greatest(F.lit(0), within - merged) + 1
 
 
 @lru_cache(maxsize=16)
-def calendar(seasons: Seasons) -> DataFrame:
-    """One row per run and day, with the run's keys, options and the stratum of the day."""
-    kept = ("dam", "species", "incl_jacks", "unclipped_only", "b_run")
-    days = F.explode(F.sequence("start_date", "end_date")).alias("date")
-    return weekly_strata(seasons.frame, carry=kept).select("run_id", "week_num", *kept, days)
+def strata(seasons: Seasons) -> DataFrame:
+    return weekly_strata(seasons.frame)
 
 
 def within_season(facts: DataFrame, seasons: Seasons, date_col: str = "date") -> DataFrame:
@@ -69,18 +76,58 @@ def within_season(facts: DataFrame, seasons: Seasons, date_col: str = "date") ->
     return facts.filter((column >= F.lit(seasons.first_day).cast(as_type)) & (column < F.lit(beyond).cast(as_type)))
 
 
-def attach_strata(facts: DataFrame, seasons: Seasons, on: tuple[str, ...] = ("dam", "species", "date")) -> DataFrame:
-    """Give every fact its run and stratum by an equi-join with the day calendar.
+def run_years(seasons: Seasons, carry: tuple[str, ...], series: Column | None = None) -> DataFrame:
+    """A row per run and calendar year it touches, with the shape of its strata; ``series`` multiplies it further."""
+    shaped = shapes(seasons.frame, carry)
+    if series is not None:
+        shaped = shaped.withColumn("series", F.explode(series))
+    years = F.explode(F.sequence(F.year("first"), F.year("last"))).alias("run_year")
+    return shaped.select("*", years)
+
+
+#: Columns of ``run_years`` that only place a fact; they carry a mark while they stand beside a fact's own.
+SHAPE = ("first", "last", "aligned", "head", "n", "merged", "run_year")
+MARK = "run__"
+
+
+def attach_strata(
+    facts: DataFrame,
+    seasons: Seasons,
+    on: tuple[str, ...] = ("dam", "species", "date"),
+    carry: tuple[str, ...] = (),
+    series: Column | None = None,
+) -> DataFrame:
+    """Give every fact its run and stratum, and the run's ``carry`` columns.
 
-    Facts outside every season drop out; a fact that belongs to several runs appears once in each. Joining on days
-    rather than on date ranges keeps this a hash join.
+    The last of ``on`` is the date. An equi-join with the runs, one row per run and year, on the other keys and the year;
+    the season's bounds are checked in the join, and the stratum is worked out from the date. Runs are so
+    few that the optimizer broadcasts them by its own measure. Facts outside every season drop out; a fact that belongs to
+    several runs appears once in each. ``series`` lists the values of ``species`` that a run reads, if not its own.
     """
-    keys = list(on)
-    cal = calendar(seasons).select(*keys, "run_id", "week_num")
-    return within_season(facts, seasons).join(seasons.lookup(cal), keys)
+    *keys, day = on
+    dated = within_season(facts, seasons, day)
+    kept = tuple(k for k in (*keys, *carry) if k != "run_id" and not (series is not None and k == "species"))
+    extra = ("species", "unclipped_only", "incl_jacks") if series is not None else ()
+    runs = run_years(seasons, tuple(dict.fromkeys((*kept, *extra))), series)
+    if series is not None:
+        runs = runs.drop(*[c for c in extra if c not in kept]).withColumnRenamed("series", "species")
+    hidden = [c for c in runs.columns if c in keys or c in SHAPE]
+    named = runs.select(*[F.col(c).alias(MARK + c) if c in hidden else F.col(c) for c in runs.columns])
+    same = F.year(dated[day]) == F.col(MARK + "run_year")
+    for k in keys:
+        same = same & (dated[k] == F.col(MARK + k))
+    inside = (dated[day] >= F.col(MARK + "first")) & (dated[day] <= F.col(MARK + "last"))
+    joined = dated.join(named, same & inside).withColumn("week_num", week_of(F.col(day), MARK))
+    return joined.drop(*[MARK + c for c in hidden])
 
 
 def outside_strata(facts: DataFrame, seasons: Seasons, on: tuple[str, ...] = ("dam", "species", "date")) -> DataFrame:
     """How many facts no stratum covers, per dam: ``dam, n_outside``."""
-    cal = calendar(seasons).select(*on).distinct()
-    return facts.join(seasons.lookup(cal), list(on), "left_anti").groupBy("dam").agg(F.count("*").alias("n_outside"))
+    *keys, day = on
+    runs = run_years(seasons, tuple(keys))
+    named = runs.select(*[F.col(c).alias(MARK + c) for c in ("first", "last", "run_year", *keys)])
+    same = F.year(facts[day]) == F.col(MARK + "run_year")
+    same = same & facts[day].between(F.col(MARK + "first"), F.col(MARK + "last"))
+    for k in keys:
+        same = same & (facts[k] == F.col(MARK + k))
+    return facts.join(named, same, "left_anti").groupBy("dam").agg(F.count("*").alias("n_outside"))

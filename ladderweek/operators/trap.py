@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladderweek.config import Seasons
 from ladderweek.functions import codes
 from ladderweek.functions.expressions import count_where, is_true
-from ladderweek.operators.strata import calendar, within_season
+from ladderweek.operators.strata import attach_strata
 
 TRAP_COUNTS = (
     "trap_fish", "wild_morph", "hatch_morph", "na_morph",
@@ -34,11 +34,14 @@ def wire_flag(tags: Column) -> Column:
 
 
 def adult_cohort(trap: DataFrame) -> DataFrame:
-    """Adults of the compiled species that were not diverted by sort-by-code; an unknown diversion is kept."""
-    diverted = is_true(F.col("sort_by_code") == "Yes")
-    return trap.filter(
-        F.col("species").isin(*codes.COMPILED_SPECIES) & (F.col("life_stage") == "RF") & ~diverted
-    )
+    """Adults of the compiled species that were not diverted by sort-by-code; an unknown diversion is kept.
+
+    Records of the layout that has neither life stage nor diversion are all of the cohort (``has_cohort`` is false).
+    """
+    adult = (F.col("life_stage") == "RF") & ~is_true(F.col("sort_by_code") == "Yes")
+    if "has_cohort" in trap.columns:
+        adult = adult | ~F.coalesce("has_cohort", F.lit(True))
+    return trap.filter(F.col("species").isin(*codes.COMPILED_SPECIES) & adult)
 
 
 def trap_aggregates(strict_null: bool = False, unknown_srr: str = "null", b_run: bool = True) -> list[Column]:
@@ -85,8 +88,7 @@ def trap_daily_by_run(
     trap: DataFrame, seasons: Seasons, strict_null: bool = False, unknown_srr: str = "null"
 ) -> DataFrame:
     """Daily trap summary of every run: ``run_id, week_num, date`` and the counts. B-run only where a run asks."""
-    cal = calendar(seasons).select("run_id", "dam", "species", "date", "week_num", "unclipped_only", "b_run")
-    placed = within_season(trap, seasons).join(seasons.lookup(cal), ["dam", "species", "date"])
+    placed = attach_strata(trap, seasons, carry=("unclipped_only", "b_run"))
     wanted = placed.filter(~F.col("unclipped_only") | ~F.col("ad_clip"))
     daily = wanted.groupBy("run_id", "week_num", "date").agg(
         *trap_aggregates(strict_null, unknown_srr), F.bool_or("b_run").alias("b_run")

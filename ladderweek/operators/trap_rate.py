@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderweek.config import Seasons
 from ladderweek.functions import codes
 from ladderweek.functions.expressions import is_true, not_nan, ratio
-from ladderweek.functions.sizing import checked_broadcast
-from ladderweek.operators.strata import attach_strata, calendar, strata, within_season
-from ladderweek.session import ensure_checkpoint_dir
+from ladderweek.operators.strata import attach_strata, strata, within_season
 
 MIN_TAGS = 20
 SECONDS_PER_DAY = 86_400
@@ -42,50 +40,60 @@ def first_observations(obs: DataFrame, keys: tuple[str, ...] = ("run_id",)) -> D
     return obs.groupBy(*keys, "tag_code", "sp_rrt").agg(F.min("obs_date").alias("obs_date"))
 
 
+def observation_days(obs: DataFrame, seasons: Seasons) -> DataFrame:
+    """Observations counted per dam, tag, code, mark site and day: ``dam, tag_code, sp_rrt, mark_site, obs_date, n_obs``.
+
+    Season rules look at the day only, so everything after this works on far fewer rows than there are observations,
+    and only these are multiplied by the runs of their dam.
+    """
+    known = within_season(obs, seasons, "obs_time").filter(F.col("tag_code").isNotNull())
+    day = F.to_date("obs_time").alias("obs_date")
+    return known.groupBy("dam", "tag_code", "sp_rrt", "mark_site", day).agg(F.count("*").alias("n_obs"))
+
+
 def observations_by_run(
     obs: DataFrame, seasons: Seasons, chinook_until: str = "month_8", mark_sites: dict | None = None
 ) -> DataFrame:
-    """Usable observations within each run's season: ``run_id, tag_code, sp_rrt, species_code, obs_date``."""
-    cal = calendar(seasons).select("run_id", "dam", F.col("date").alias("obs_date"))
-    kept = (
-        within_season(obs, seasons, "obs_time")
-        .select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
-        .withColumn("obs_date", F.to_date("obs_time"))
-        .filter(F.col("tag_code").isNotNull())
-        .filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_time"), chinook_until))
-        .filter(~marked_here(F.col("dam"), F.col("mark_site"), mark_sites))
-    )
-    return (
-        kept.join(seasons.lookup(cal), ["dam", "obs_date"])
-        .select("run_id", "tag_code", "sp_rrt", species_code(F.col("sp_rrt")).alias("species_code"), "obs_date")
+    """Usable days of observation of each run: ``run_id, dam, tag_code, sp_rrt, species_code, obs_date, n_obs``.
+
+    At ``OWN_SPECIES_DAMS`` a run uses the tags of its own species, all year; elsewhere those of every compiled
+    species but autumn Chinook.
+    """
+    kept = observation_days(obs, seasons).filter(~marked_here(F.col("dam"), F.col("mark_site"), mark_sites))
+    placed = attach_strata(kept, seasons, on=("dam", "obs_date"), carry=("species",))
+    species, own = codes.species_of_srr(F.col("sp_rrt")), F.col("dam").isin(*codes.OWN_SPECIES_DAMS)
+    usable = F.when(own, is_true(species == F.col("species"))).otherwise(
+        usable_season(species, F.col("obs_date"), chinook_until)
     )
+    code = species_code(F.col("sp_rrt")).alias("species_code")
+    return placed.filter(usable).select("run_id", "dam", "tag_code", "sp_rrt", code, "obs_date", "n_obs")
 
 
 def trap_by_run(trap: DataFrame, seasons: Seasons) -> DataFrame:
-    """Trap records of the dam in each run's season, all species: ``run_id, week_num, date, tag_code, srr``."""
-    needed = trap.select("dam", "date", "tag_code", "srr")
-    return attach_strata(needed, seasons, on=("dam", "date")).select("run_id", "week_num", "date", "tag_code", "srr")
+    """Trap records of the dam in each run's season, all species: ``run_id, week_num, date, tag_code, species_code, n``.
 
+    Counted per dam, day, code and tag before they are multiplied by the runs of their dam.
+    """
+    code = species_code(F.col("srr")).alias("species_code")
+    counted = trap.groupBy("dam", "date", code, "tag_code").agg(F.count("*").alias("n"))
+    placed = attach_strata(counted, seasons, on=("dam", "date"))
+    return placed.select("run_id", "week_num", "date", "tag_code", "species_code", "n")
 
-def trap_weeks(trap: DataFrame, seasons: Seasons) -> DataFrame:
-    """Fish in the trap per run, stratum and species/run code.
 
-    A small table that several steps need, so it is checkpointed: one pass over the trap records, and the join
-    below can look at its size.
-    """
-    ensure_checkpoint_dir(trap.sparkSession)
-    weeks = trap_by_run(trap, seasons).groupBy("run_id", "week_num", species_code(F.col("srr")).alias("species_code"))
-    return weeks.agg(F.count("*").alias("n_fish")).checkpoint()
+def trap_weeks(trap: DataFrame, seasons: Seasons) -> DataFrame:
+    """Fish in the trap per run, stratum and species/run code."""
+    weeks = trap_by_run(trap, seasons).groupBy("run_id", "week_num", "species_code")
+    return weeks.agg(F.sum("n").alias("n_fish"))
 
 
 def known_species_only(obs: DataFrame, weeks: DataFrame) -> DataFrame:
     """Observations whose species/run code was also trapped in that run, by the table of ``trap_weeks``.
 
-    The codes are few, so after a count they are broadcast: shuffling observations on a key with a handful of
-    values would pile them up in a handful of tasks.
+    Not asked for at ``OWN_SPECIES_DAMS``. The observations are days per tag by then.
     """
-    seen = weeks.select("run_id", "species_code").distinct()
-    return obs.join(checked_broadcast(seen), ["run_id", "species_code"], "left_semi")
+    seen = weeks.groupBy("run_id", "species_code").agg(F.lit(True).alias("trapped"))
+    joined = obs.join(seen, ["run_id", "species_code"], "left")
+    return joined.filter(F.col("dam").isin(*codes.OWN_SPECIES_DAMS) | F.col("trapped")).drop("trapped")
 
 
 def trap_tag_days(trap: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -99,7 +107,7 @@ def trap_tag_days(trap: DataFrame, dedupe: bool = True) -> DataFrame:
         first = tagged.groupBy("run_id", "tag_code").agg(F.min("date").alias("trap_date"))
         return first.withColumn("n_records", F.lit(1).cast("long"))
     per_day = tagged.groupBy("run_id", "tag_code", F.col("date").alias("trap_date"))
-    return per_day.agg(F.count("*").alias("n_records"))
+    return per_day.agg(F.sum("n").alias("n_records"))
 
 
 def match_to_trap(first_obs: DataFrame, tag_days: DataFrame) -> DataFrame:
@@ -117,9 +125,8 @@ def rate_by_week(matched: DataFrame, seasons: Seasons) -> DataFrame:
 
     Counted per tag first; that step runs on the partitioning of the tag join.
     """
-    cal = calendar(seasons).select("run_id", F.col("date").alias("mod_date"), "week_num")
     per_tag = (
-        matched.join(seasons.lookup(cal), ["run_id", "mod_date"])
+        attach_strata(matched, seasons, on=("run_id", "mod_date"))
         .groupBy("run_id", "week_num", "tag_code")
         .agg(F.sum("n_in_trap").alias("n_in_trap"))
     )
@@ -154,7 +161,7 @@ def rate_from_tags(
     weekly = rate_by_week(matched, seasons)
     starts = strata(seasons).select("run_id", "week_num", "start_date")
     return (
-        weekly.join(seasons.lookup(starts), ["run_id", "week_num"])
+        weekly.join(starts, ["run_id", "week_num"])
         .withColumn("trap_open", F.col("n_trap_tags") > 0)
         .withColumn("few_tags", F.col("n_poss_tags") < MIN_TAGS)
         .withColumn("trap_valid", ~F.col("few_tags") & F.col("trap_open"))
@@ -167,35 +174,23 @@ def legacy_rate_from_tags(
     """The older estimate: counts observations rather than first observations.
 
     Tags ever seen with the trap's mark site are removed from both sides, all other tags are joined fully, and a
-    record counts where there is an observation. Both sides are collapsed to tag and day with their multiplicity
-    before the join, so repeated records of one tag do not multiply out.
+    record counts where there is an observation. A trapped tag is dated by its trap days, each record counting
+    once for every observation of the tag, so the pairs are a product of two numbers and are never made.
     """
-    cal = calendar(seasons).select("run_id", "dam", F.col("date").alias("obs_date"))
-    seen = (
-        within_season(obs, seasons, "obs_time")
-        .select("dam", "tag_code", "sp_rrt", "mark_site", "obs_time")
-        .withColumn("obs_date", F.to_date("obs_time"))
-        .filter(F.col("tag_code").isNotNull())
-        .filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_time")))
+    days = attach_strata(observation_days(obs, seasons), seasons, on=("dam", "obs_date"))
+    days = days.filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_date")))
+    own = F.bool_or(is_true(F.col("mark_site").isin(*mark_sites)))
+    per_day = days.groupBy("run_id", "tag_code", "obs_date").agg(F.sum("n_obs").alias("n_obs"), own.alias("own"))
+    tag = Window.partitionBy("run_id", "tag_code")
+    seen = per_day.withColumns({"total": F.sum("n_obs").over(tag), "own": F.max("own").over(tag)}).filter(~F.col("own"))
+    trap_days = trap_tag_days(trap_by_run(trap, seasons), dedupe=False)
+    trapped = trap_days.join(seen.select("run_id", "tag_code", "total").distinct(), ["run_id", "tag_code"]).select(
+        "run_id", "tag_code", F.col("trap_date").alias("mod_date"), (F.col("total") * F.col("n_records")).alias("n_in_trap")
     )
-    seen = seen.join(seasons.lookup(cal), ["dam", "obs_date"])
-    per_day = seen.groupBy("run_id", "tag_code", "obs_date").agg(
-        F.count("*").alias("n_obs"), F.bool_or(is_true(F.col("mark_site").isin(*mark_sites))).alias("own")
+    others = seen.join(trap_days.select("run_id", "tag_code").distinct(), ["run_id", "tag_code"], "left_anti").select(
+        "run_id", "tag_code", F.col("obs_date").alias("mod_date"), F.lit(0).cast("long").alias("n_in_trap")
     )
-    own_tags = per_day.filter("own").select("run_id", "tag_code").distinct()
-    obs_days = per_day.drop("own").join(own_tags, ["run_id", "tag_code"], "left_anti")
-    trap_days = trap_tag_days(trap_by_run(trap, seasons), dedupe=False)
-    trap_days = trap_days.join(own_tags, ["run_id", "tag_code"], "left_anti")
-    matched = (
-        trap_days.join(obs_days, ["run_id", "tag_code"], "full")
-        .filter(F.col("obs_date").isNotNull())
-        .select(
-            "run_id", "tag_code",
-            F.coalesce("trap_date", "obs_date").alias("mod_date"),
-            (F.col("n_obs") * F.coalesce("n_records", F.lit(0))).alias("n_in_trap"),
-        )
-    )
-    return rate_by_week(matched, seasons)
+    return rate_by_week(trapped.unionByName(others), seasons)
 
 
 def trap_open_override(rate: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -256,7 +251,7 @@ def reported_weekly(
             *[F.avg(c).alias(c) for c in means],
             is_true(F.bool_or("trap_open")).alias("trap_open"),
         )
-        .join(seasons.lookup(length), ["run_id", "week_num"])
+        .join(length, ["run_id", "week_num"])
         .withColumn("calc_rate", F.col("total_time_inclusive") / F.col("seconds_in_week"))
     )
 
@@ -266,7 +261,7 @@ def adopt_reported_rate(weekly: DataFrame, seasons: Seasons) -> DataFrame:
     cv = seasons.frame.select("run_id", F.col("trap_rate_cv").alias("cv"))
     return (
         weekly.drop("trap_rate", "trap_rate_se", "trap_open")
-        .join(seasons.lookup(cv), "run_id")
+        .join(cv, "run_id")
         .withColumn("trap_rate", F.col("actual_rate_inclusive_time"))
         .withColumn("trap_rate_se", F.col("trap_rate") * F.col("cv"))
         .withColumn("trap_open", F.col("trap_rate") > 0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderweek.config import Seasons
 from ladderweek.functions import codes
-from ladderweek.operators.strata import calendar, within_season
+from ladderweek.operators.strata import attach_strata
 
 PLACE_AND_DAY = ("dam", "year", "date")
 
@@ -69,14 +69,11 @@ def season_series(wide: DataFrame, incl_jacks: bool = True, unclipped_only: bool
     return flagged.unpivot([*PLACE_AND_DAY, "window_open"], list(chosen), "species", "win_cnt")
 
 
-def run_series(seasons: Seasons) -> DataFrame:
-    """Calendar rows per counted series: a run reads its adult series and, with jacks, the jack series too."""
+def run_series() -> Column:
+    """The series a run counts: its adult series and, with jacks, the jack series too."""
     adult = F.when(F.col("unclipped_only"), F.lit("Wild_Steelhead")).otherwise(F.col("species"))
     jack = F.when(F.col("incl_jacks"), F.concat(F.lit("Jack_"), F.col("species")))
-    return calendar(seasons).select(
-        "run_id", "dam", "week_num", "date", "incl_jacks",
-        F.explode(F.array_compact(F.array(adult, jack))).alias("species"),
-    )
+    return F.array_compact(F.array(adult, jack))
 
 
 def window_daily(counts: DataFrame, seasons: Seasons, legacy_open: bool = False) -> DataFrame:
@@ -86,9 +83,7 @@ def window_daily(counts: DataFrame, seasons: Seasons, legacy_open: bool = False)
     counts as 0. The window is open on days whose adult count is known; ``legacy_open`` takes the flag after the
     NULLs were filled, so that with jacks each listed day is open.
     """
-    matched = within_season(counts, seasons).join(
-        seasons.lookup(run_series(seasons), rows_per_day=2), ["dam", "species", "date"]
-    )
+    matched = attach_strata(counts, seasons, carry=("incl_jacks",), series=run_series())
     is_jack = F.col("species").startswith("Jack_")
     adults = F.sum(F.when(~is_jack, F.col("win_cnt")))
     jacks = F.sum(F.when(is_jack, F.col("win_cnt")))

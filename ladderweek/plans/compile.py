@@ -59,7 +59,7 @@ def compile_weekly(daily: DataFrame, seasons: Seasons, open_rule: str = "any_day
     """Weekly sums, renumbered weeks and the run's identity."""
     weekly = rollup.renumber_weeks(rollup.weekly_rollup(daily, open_rule))
     who = seasons.frame.select("run_id", "dam", "species", "spawn_year", "trap_rate_dist")
-    return weekly.join(seasons.lookup(who), "run_id")
+    return weekly.join(who, "run_id")
 
 
 def weekly_rates(
@@ -69,8 +69,8 @@ def weekly_rates(
 
     Each source is worked out for its own runs only. ``reported_daily`` comes from ``trap_rate.reported_daily``.
     """
-    by_tags = seasons.subset(lambda r: r.trap_rate_source == "pit")
-    by_report = seasons.subset(lambda r: r.trap_rate_source == "reported")
+    by_tags = seasons.of_source("pit")
+    by_report = seasons.of_source("reported")
     weeks = trap_rate.trap_weeks(cohort, seasons)
     rates = obs.sparkSession.createDataFrame([], RATE_SCHEMA)
     if by_tags:

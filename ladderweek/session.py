@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,14 +25,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can see, as the cluster names it; a local one only where none is set (tests)."""
+    """Folder every executor can see: the one the cluster names in spark.checkpoint.dir, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="ladderweek-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/ladderweek-work"

@@ -149,7 +149,8 @@ def harmonise_trap(raw: DataFrame, dam: str | None = None, species_from: str = "
     """Trap records of either layout under common names.
 
     The species comes from the first digit of the species/run/rear code, or with ``species_from="code"`` from the
-    recorded species code, unless the records name it. Records without a validity column are valid.
+    recorded species code, unless the records name it. Records without a validity column are valid; ``has_cohort`` tells
+    whether the layout records life stage and diversion.
     """
     df = rename_present(raw, TRAP_NAMES)
     if "date" not in df.columns and "collection_date" in df.columns:
@@ -172,6 +173,9 @@ def harmonise_trap(raw: DataFrame, dam: str | None = None, species_from: str = "
         df = df.withColumn("species", by_code)
     else:
         df = df.withColumn("species", F.initcap("species"))
+    cohort = ("life_stage", "sort_by_code")
+    df = df.withColumn("has_cohort", F.lit("life_stage" in df.columns))
+    df = df.withColumns({c: F.lit(None).cast("string") for c in (*cohort, "srr") if c not in df.columns})
     return df.withColumn("dam", F.lit(dam)) if dam else df
 
 

@@ -1,16 +1,16 @@
 import datetime as dt
 import math
+import random
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ladderweek import Run, Seasons
-from ladderweek.functions.binomial import quantile_of
+from ladderweek.functions.binomial import binomial_quantile
 from ladderweek.operators import expansion, trap_rate
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
+from ladderweek.sources import records
 
 D = dt.date
 START = D(2019, 3, 4)
@@ -30,19 +30,28 @@ def brute_quantile(n, p, q):
     return n
 
 
-def test_binomial_goldens():
-    assert (quantile_of(5000, 0.17, 0.025), quantile_of(5000, 0.17, 0.975)) == (798, 902)
-    assert (quantile_of(10, 0.0, 0.5), quantile_of(10, 1.0, 0.5), quantile_of(0, 0.3, 0.5)) == (0, 10, 0)
-    assert quantile_of(-1, 0.3, 0.5) is None and quantile_of(5, 1.2, 0.5) is None
-    assert quantile_of(float("nan"), 0.3, 0.5) is None
-    assert abs(quantile_of(10**9, 0.25, 0.5) - 25 * 10**7) <= 1
+def quantiles_of(spark, cases):
+    df = spark.createDataFrame([(i, float(n), p) for i, (n, p, _) in enumerate(cases)], "i int, n double, p double")
+    out = {}
+    for q in {q for _, _, q in cases}:
+        out |= {(r.i, q): r.k for r in df.select("i", binomial_quantile(F.col("n"), F.col("p"), q).alias("k")).collect()}
+    return [out[i, q] for i, (_, _, q) in enumerate(cases)]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.integers(1, 3000), st.floats(1e-4, 1 - 1e-4), st.sampled_from([0.025, 0.5, 0.975]))
-def test_binomial_agrees_with_brute_force(n, p, q):
-    k = quantile_of(n, p, q)
-    assert k in {brute_quantile(n, p, q - 1e-9), brute_quantile(n, p, q + 1e-9)}
+def test_binomial_goldens(spark):
+    nan = float("nan")
+    cases = [(5000, 0.17, 0.025), (5000, 0.17, 0.975), (10, 0.0, 0.5), (10, 1.0, 0.5), (0, 0.3, 0.5), (1, 0.5, 0.5)]
+    cases += [(-1, 0.3, 0.5), (5, 1.2, 0.5), (nan, 0.3, 0.5), (5, nan, 0.5), (10**8, 0.25, 0.5)]
+    *got, large = quantiles_of(spark, cases)
+    assert got == [798, 902, 0, 10, 0, 0, None, None, None, None]
+    assert abs(large - 25 * 10**6) <= 1
+
+
+def test_binomial_agrees_with_brute_force(spark):
+    rng = random.Random(3)
+    cases = [(rng.randint(1, 3000), rng.uniform(1e-4, 1 - 1e-4), rng.choice([0.025, 0.5, 0.975])) for _ in range(300)]
+    for (n, p, q), k in zip(cases, quantiles_of(spark, cases), strict=True):
+        assert k in {brute_quantile(n, p, q - 1e-9), brute_quantile(n, p, q + 1e-9)}
 
 
 @pytest.fixture(scope="module")
@@ -225,3 +234,37 @@ def test_daily_sides_join_without_another_shuffle(spark):
     # one shuffle per side to (run, stratum, date), and the one by tag before it
     placed = text.count("hashpartitioning(run_id#") + text.count("hashpartitioning(date#")
     assert placed <= 4
+
+
+def test_layouts_compile_together_and_upper_dam_counts_its_own_species(spark):
+    """A dam of the second trap layout keeps its fish, and its rate rests on the run's own species only."""
+    seasons = Seasons(
+        spark,
+        [Run("PRD", "Steelhead", START, D(2019, 3, 17), run_id="p"), Run("LWG", "Steelhead", START, D(2019, 3, 17), run_id="l")],
+    )
+    t = dt.datetime(2019, 3, 5, 8)
+    seen = [("T01", "32W"), ("T02", "32W"), ("T03", "11W")]
+    obs = spark.createDataFrame([("PRD", tag, srr, "X", t) for tag, srr in seen], plan.OBS_INPUT)
+    counted = [(dam, D(2019, 3, day), "Steelhead", 50.0) for dam in ("PRD", "LWG") for day in (5, 6)]
+    window = spark.createDataFrame(counted, plan.WINDOW_INPUT)
+    upper = records.harmonise_trap(
+        spark.createDataFrame(
+            [("T01", "2019-03-05", "steelhead", "32W", "W", "AI", 700.0), ("T09", "2019-03-06", "steelhead", None, "W", "AI", 800.0)],
+            "pit_tag string, event_date string, species string, species_run_rear_type string, origin string, ad_clip string, length double",
+        ),
+        dam="PRD",
+    )
+    lower = records.harmonise_trap(
+        spark.createDataFrame(
+            [("L1", "2019-03-05", "32W", "RF", "No"), ("L2", "2019-03-05", "32W", None, "No"), ("L3", "2019-03-05", "32W", "RF", "Yes")],
+            "lgd_num_pit string, event_date string, srr string, lgd_life_stage string, ptagis_sxcgra_obs string",
+        ),
+        dam="LWG",
+    )
+    trap = upper.unionByName(lower, allowMissingColumns=True)
+    done = plan.compile_seasons(spark, seasons, window, None, trap, obs)
+    week = {r.run_id: r for r in done.weekly.collect()}
+    assert (week["p"].trap_fish, week["l"].trap_fish) == (2, 1)
+    assert (week["p"].n_poss_tags, week["p"].n_trap_tags, week["p"].trap_rate) == (2, 1, 0.5)
+    text = done.weekly._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text

@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ladderweek import Run, Seasons
 from ladderweek.config import one_year_on
@@ -85,13 +87,23 @@ def test_facts_join_by_day_and_outsiders_are_counted(spark):
     assert {tuple(r) for r in outside_strata(facts, seasons).collect()} == {("LWG", 6), ("PRD", 1)}
 
 
-def test_beyond_the_bound_the_calendar_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("ladderweek.config.BROADCAST_DAYS", 5)
-    seasons = Seasons(spark, [Run("LWG", "Chinook", D(2019, 3, 4), D(2019, 3, 18))])
-    facts = spark.createDataFrame([("LWG", "Chinook", d) for d in DAYS], "dam string, species string, date date")
-    placed = attach_strata(facts, seasons)
-    assert "BroadcastHashJoin" not in placed._jdf.queryExecution().executedPlan().toString()
-    assert placed.count() == 15
+def test_stratum_of_a_day_by_formula_equals_the_strata(spark):
+    rng, runs = random.Random(6), []
+    for i in range(60):
+        first = D(2015, 1, 1) + dt.timedelta(rng.randrange(2000))
+        weekday, merge = rng.choice([None, *WEEKDAYS]), rng.randrange(9)
+        runs.append(
+            Run("LWG", "Coho", first, first + dt.timedelta(rng.randrange(500)), strata_beg=weekday, last_strata_min=merge, run_id=str(i))
+        )
+    seasons = Seasons(spark, runs)
+    days = spark.range(3600).selectExpr("'LWG' dam", "'Coho' species", "date_add(date'2014-06-01', int(id)) date")
+    wanted = {
+        (r.run_id, r.week_num, r.start_date + dt.timedelta(k)) for r in strata(seasons).collect() for k in range(r.n_days)
+    }
+    for threshold in ("10485760", "-1"):  # the same rows whichever join the optimizer takes
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert {(r.run_id, r.week_num, r.date) for r in attach_strata(days, seasons).collect()} == wanted
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_run_arguments():
@@ -114,6 +126,11 @@ def test_run_arguments():
 def test_runs_from_a_table(spark):
     rows = [("LWG", "Chinook", D(2019, 3, 1), D(2019, 8, 17)), ("PRD", "Coho", D(2019, 3, 1), D(2019, 8, 17))]
     df = spark.createDataFrame(rows, "dam string, species string, start_date date, end_date date")
-    assert Seasons.from_frame(df).n_days == 340
+    seasons = Seasons.from_frame(df)
+    assert (seasons.first_day, seasons.last_day, seasons.frame.count()) == (D(2019, 3, 1), D(2019, 8, 17), 2)
+    listed = Seasons(spark, [Run(*r) for r in rows])
+    assert sorted(map(tuple, seasons.frame.collect())) == sorted(map(tuple, listed.frame.collect()))
+    with pytest.raises(ValueError):
+        Seasons.from_frame(df.withColumn("dam", F.lit("XXX")))
     with pytest.raises(ValueError):
         Seasons.from_frame(df.union(df))
