@@ -34,12 +34,23 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+WORKER = "ladderweek_worker_state"
+
+
 def held(name: str, make):
-    """A worker's own object of that name, made once for all tasks the Python worker runs."""
-    module = sys.modules.setdefault("ladderweek_worker_state", types.ModuleType("ladderweek_worker_state"))
-    if not hasattr(module, name):
-        setattr(module, name, make())
-    return getattr(module, name)
+    """A worker's own object of that name, made once for all tasks that ask for it; it replaces any of another name."""
+    module = sys.modules.setdefault(WORKER, types.ModuleType(WORKER))
+    if getattr(module, "held_name", None) != name:
+        release()
+        module.held_name, module.held_object = name, make()
+    return module.held_object
+
+
+def release() -> None:
+    """Frees what the worker holds for tasks of another kind."""
+    module = sys.modules.get(WORKER)
+    if module is not None:
+        module.held_name = module.held_object = None
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

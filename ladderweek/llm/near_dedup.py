@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladderweek.llm.common import components, stored
+from ladderweek.llm.common import components, release, stored
 
 SEED = 42
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle_words: int = 3
     """(id, fp array<long> of ``n_words`` words) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -63,7 +63,7 @@ class WordEncoder:
     ``most_words`` and ``most_stems`` bound the memory: beyond them they are forgotten and made again when they come up.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000, most_stems: int = 500_000):
+    def __init__(self, path: str, most_words: int = 300_000, most_stems: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
