@@ -1,10 +1,10 @@
 """Best-fit packing of token sequences by hierarchical residual rounds.
 
-Every task tokenizes its documents, cuts only those longer than a sequence, and packs its pieces best-fit, largest
-first. Bins that are nearly full leave at once. The others travel on as single items, are merged in fewer groups and
-packed again, round after round, until one group is left. A group passes on its emptiest bins only, at most a
-quarter of what a group holds; the fuller rest leaves as it is. So groups shrink to a quarter each round at least, no
-group grows with the input, and no piece is lost: the bound costs fill, never rows.
+Every task tokenizes its documents, cuts only those longer than a sequence, and writes down the pieces, without
+their ids. Pieces are dealt by hash over as many groups as they need, so that short and long ones of all tasks mix, and
+each group is packed best-fit, largest first. Bins that are nearly full leave; all others travel on as single items and are
+dealt and packed again, round after round, until one group has held all that was left or a round has merged too few
+bins over all groups to go on. No group grows with the input, and no piece is lost.
 
 Defined results: a NULL or empty text is the end id alone; repeated rows are pieces of their own; a NULL id stays; an
 empty table gives no piece. Other columns of the input are not read. Numbers of sequences are unique, not dense.
@@ -26,6 +26,8 @@ from ladderweek.llm.common import stored
 from ladderweek.llm.tokens import encoder
 
 FIELDS = (("doc_id", "long"), ("piece", "int"), ("start", "long"), ("length", "int"), ("ids_crc32", "long"))
+#: Rounds go on while one bin in so many is merged into others.
+LEAST_MERGED = 64
 ARROW = {"long": pa.int64(), "int": pa.int32()}
 BINS = "done boolean, sequence_id long, fill int, place array<int>, " + ", ".join(f"{n} array<{t}>" for n, t in FIELDS)
 
@@ -57,16 +59,8 @@ def places(lengths: np.ndarray) -> np.ndarray:
     return (np.cumsum(lengths) - lengths).astype(np.int32)
 
 
-def settle(fills: np.ndarray, room: int, slack: int, pass_on: int) -> np.ndarray:
-    """Which bins leave now: the nearly full ones, and the fullest beyond those a group may pass on."""
-    order = np.argsort(fills, kind="stable")
-    done = fills >= room - slack
-    done[order[pass_on:]] = True
-    return done
-
-
 def pack_documents(docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int) -> DataFrame:
-    """Round 0: pieces of each task's documents in bins."""
+    """Round 0: the pieces of all documents, a bin each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
@@ -75,21 +69,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, room: int, end_id: int,
 
         def bins() -> pa.RecordBatch:
             nonlocal serial
-            sizes = np.array([r[3] for r in rows], np.int64)
-            made = best_fit(sizes, room)
-            fills = np.array([sizes[b].sum() for b in made], np.int64)
-            done = settle(fills, room, slack, group // 4)
-            at = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in made]))).astype(np.int32))
-            order = [i for b in made for i in b]
-            place = pa.array(np.concatenate([places(sizes[b]) for b in made]))
-            parts = [
-                pa.ListArray.from_arrays(at, pa.array([rows[i][k] for i in order], ARROW[t]))
-                for k, (_, t) in enumerate(FIELDS)
-            ]
-            numbers = pa.array(np.arange(len(made), dtype=np.int64) + serial)
-            serial += len(made)
+            lengths = np.array([r[3] for r in rows], np.int32)
+            at = pa.array(np.arange(len(rows) + 1, dtype=np.int32))
+            columns = [pa.array(c, ARROW[t]) for c, (_, t) in zip(zip(*rows, strict=True), FIELDS, strict=True)]
+            numbers = pa.array(np.arange(len(rows), dtype=np.int64) + serial)
+            serial += len(rows)
             rows.clear()
-            head = [pa.array(done), numbers, pa.array(fills.astype(np.int32)), pa.ListArray.from_arrays(at, place)]
+            head = [pa.array(lengths >= room - slack), numbers, pa.array(lengths), pa.array(np.zeros(len(lengths), np.int32))]
+            parts = [pa.ListArray.from_arrays(at, c) for c in (head.pop(), *columns)]
             names = ["done", "sequence_id", "fill", "place", *[n for n, _ in FIELDS]]
             return pa.RecordBatch.from_arrays(head + parts, names)
 
@@ -110,22 +97,22 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, room: int, end_id: int,
     return texts.mapInArrow(run, BINS)
 
 
-def repack(open_bins: DataFrame, groups: int, level: int, room: int, group: int, slack: int) -> DataFrame:
+def repack(open_bins: DataFrame, groups: int, level: int, room: int, slack: int) -> DataFrame:
     """One more round: the open bins, as items, in so many groups."""
 
     def run(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values("sequence_id", kind="stable").reset_index(drop=True)
         made = best_fit(items["fill"].to_numpy(np.int64), room)
-        out = {"sequence_id": [(level << 56) + (key[0] << 28) + n for n in range(len(made))]}
+        out = {"sequence_id": [(level << 50) + (key[0] << 28) + n for n in range(len(made))]}
         out["fill"] = [int(items["fill"].to_numpy()[b].sum()) for b in made]
         for name, _ in FIELDS:
             column = items[name].tolist()
             out[name] = [np.concatenate([column[i] for i in b]) for b in made]
         out["place"] = [places(x) for x in out["length"]]
-        done = np.ones(len(made), bool) if groups == 1 else settle(np.array(out["fill"]), room, slack, group // 4)
+        done = np.array(out["fill"]) >= room - slack
         return pd.DataFrame({"done": done, **out})[["done", "sequence_id", "fill", "place", *[n for n, _ in FIELDS]]]
 
-    dealt = open_bins.drop("done").withColumn("at", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
+    dealt = open_bins.drop("done").withColumn("at", F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(groups)))
     return dealt.groupBy("at").applyInPandas(run, BINS)
 
 
@@ -137,18 +124,19 @@ def pack(
     ``room`` is the length of a sequence, ``group`` how many items are packed together, ``slack`` how many tokens a
     nearly full bin may lack.
     """
-    level, rounds = 0, [stored(pack_documents(docs, tokenizer_path, room, end_id, group, slack), "bins")]
-    groups = None
-    while groups != 1:
+    rounds = [stored(pack_documents(docs, tokenizer_path, room, end_id, group, slack), "bins")]
+    while True:
         open_bins = rounds[-1].where("not done")
         waiting = open_bins.count()
-        if not waiting:
+        if waiting < 2:
             break
         groups = -(-waiting // group)
-        level += 1
-        rounds.append(stored(repack(open_bins, groups, level, room, group, slack), "bins"))
-    full = rounds[0].where("done")
-    for one in rounds[1:]:
+        rounds.append(stored(repack(open_bins, groups, len(rounds), room, slack), "bins"))
+        merged = waiting - rounds[-1].count()
+        if groups == 1 or merged * LEAST_MERGED < waiting:
+            break
+    full = rounds[-1]  # its open bins found no company
+    for one in rounds[:-1]:
         full = full.unionByName(one.where("done"))
     names = [n for n, _ in FIELDS]
     members = full.select("sequence_id", F.explode(F.arrays_zip(*names, "place")).alias("m"))
