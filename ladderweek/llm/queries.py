@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ladderweek.llm import (
     chat,
     cotraining,
+    divergence,
     fingerprints,
     mixing,
     near_dedup,
@@ -199,6 +200,43 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce(text, '') AS text FROM documents),
+words AS (SELECT row, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+seen AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, sum(c) AS n FROM seen GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, coalesce(n, 0) AS n, coalesce(v, 0) AS v FROM
+    (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN n USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 5) // (n + 5 * v) AS BIGINT) AS p
+    FROM groups g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+q AS (SELECT s.lang, s.term, CAST(1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 5) // (any_value(m.n) + 5 * any_value(v)) AS BIGINT) AS q
+    FROM seen s JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM groups GROUP BY lang) m ON m.lang = s.lang
+    GROUP BY s.lang, s.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL),
+both_parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL SELECT p.lang, source, 'term', p.term, abs(p - q) FROM p JOIN q ON q.lang = p.lang AND q.term = p.term
+      WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -212,7 +250,8 @@ QUERIES = {
         op8_chat_parts,
         op9_residual_packing,
         op10_token_files,
+        op12_source_divergence,
     )
 }
 
-SQL: dict[str, str] = {"op6_revisits": OP6_SQL}
+SQL: dict[str, str] = {"op6_revisits": OP6_SQL, "op12_source_divergence": OP12_SQL}
