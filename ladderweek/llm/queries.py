@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ladderweek.llm import (
     chat,
+    codebooks,
     cotraining,
     divergence,
     fingerprints,
@@ -201,6 +202,44 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = codebooks.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op11_sql(rounds: int = 4) -> str:
+    steps = [
+        """kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+          list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+          WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))))""",
+        """pieces AS MATERIALIZED (SELECT row, vec_id, label, part,
+          list_slice(v, part * len(v) // 4 + 1, (part + 1) * len(v) // 4) AS x FROM kept, range(4) r(part))""",
+        "book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x AS e FROM pieces WHERE row <= 256)",
+    ]
+    far = "list_dot_product(x, x) - 2 * list_dot_product(x, e) + list_dot_product(e, e)"
+    for k in range(rounds + 1):
+        steps.append(
+            f"""near{k} AS MATERIALIZED (SELECT row, part, any_value(vec_id) AS vec_id, any_value(label) AS label,
+              any_value(x) AS x, min(struct_pack(d := {far}, entry := entry)) AS m
+              FROM pieces JOIN book{k} USING (part) GROUP BY row, part)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""book{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(n.e, b.e) AS e FROM book{k} b LEFT JOIN
+                  (SELECT part, entry, list(floor(total / n) ORDER BY place) AS e FROM
+                    (SELECT part, m.entry AS entry, place, sum(x[place]) AS total, count(*) AS n FROM near{k},
+                      range(1, 1 + (SELECT max(len(x)) FROM pieces)) r(place) GROUP BY ALL) GROUP BY part, entry) n
+                  ON n.part = b.part AND n.entry = b.entry)"""
+            )
+    return f"""WITH {", ".join(steps)},
+coded AS (SELECT any_value(vec_id) AS vec_id, any_value(label) AS label,
+  string_agg(lower(printf('%02x', m.entry)), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda z: CAST(CAST(z AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, entry))
+   FROM book{rounds}) AS codebooks_sha256 FROM coded"""
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -250,8 +289,9 @@ QUERIES = {
         op8_chat_parts,
         op9_residual_packing,
         op10_token_files,
+        op11_orchard_codes,
         op12_source_divergence,
     )
 }
 
-SQL: dict[str, str] = {"op6_revisits": OP6_SQL, "op12_source_divergence": OP12_SQL}
+SQL: dict[str, str] = {"op6_revisits": OP6_SQL, "op11_orchard_codes": _op11_sql(), "op12_source_divergence": OP12_SQL}
