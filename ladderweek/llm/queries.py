@@ -16,6 +16,7 @@ from ladderweek.llm import (
     near_dedup,
     packing,
     perplexity,
+    projection_passes,
     revisits,
     token_files,
     url_rules,
@@ -276,6 +277,25 @@ FROM both_parts QUALIFY part = 'pair' OR rank <= 50
 """
 
 
+def op13_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_passes.dedup(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+# Links by comparing all vectors of a label, and each vector's reach along them.
+OP13_SQL = """
+WITH RECURSIVE given AS (SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fine AS (SELECT * FROM given WHERE label IS NOT NULL AND list_bool_and(list_transform(e, lambda x: coalesce(isfinite(x), false)))
+  AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+links AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM fine a JOIN fine b ON a.label = b.label AND a.row <> b.row
+  AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT row AS a, row AS b FROM given UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN given ON given.row = b GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM given JOIN least ON least.a = given.row LEFT JOIN n ON n.a = given.row
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -291,7 +311,8 @@ QUERIES = {
         op10_token_files,
         op11_orchard_codes,
         op12_source_divergence,
+        op13_projection_dedup,
     )
 }
 
-SQL: dict[str, str] = {"op6_revisits": OP6_SQL, "op11_orchard_codes": _op11_sql(), "op12_source_divergence": OP12_SQL}
+SQL: dict[str, str] = {"op6_revisits": OP6_SQL, "op11_orchard_codes": _op11_sql(), "op12_source_divergence": OP12_SQL, "op13_projection_dedup": OP13_SQL}
