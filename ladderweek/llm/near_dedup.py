@@ -69,7 +69,7 @@ def vote(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle_words: int = 3, n_words: int = 1) -> DataFrame:
-    """(id, fp array<long> of ``n_words`` words) for every row."""
+    """(id, text_hash, fp array<long> of ``n_words`` words) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -83,10 +83,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle_words: int = 3
                 flat = np.stack(words, 1).ravel().view(np.int64)
                 offsets = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * n_words)
                 fps = pa.ListArray.from_arrays(offsets, pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), fps], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), fps], ["id", "text_hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, fp array<long>")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_hash")
+    )
+    return rows.mapInArrow(run, "id long, text_hash long, fp array<long>")
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,15 +180,15 @@ def near_links(fps: DataFrame, radius: int, segment_bits: int = 32, n_words: int
     return met.mapInArrow(run, "a array<long>, b array<long>")
 
 
-def near_components(
+def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
     shingle_words: int = 3,
     radius: int = 3,
     segment_bits: int = 32,
     n_words: int = 1,
-) -> DataFrame:
-    """(id, fp, component_id): the smallest id reachable over links of ``radius`` bits at most, itself included."""
+) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints (id, text_hash, fp), and the fingerprints (fp, first, root), root equal within a component."""
     found = stored(fingerprints(docs, id_col, shingle_words, n_words), "fingerprints")
     classes = stored(found.groupBy("fp").agg(F.min("id").alias("first")), "classes")
     links = near_links(classes.select("fp"), radius, segment_bits, n_words)
@@ -195,15 +197,37 @@ def near_components(
     else:
         node = F.xxhash64
     joined = components(links.select(node("a").alias("a"), node("b").alias("b")))
-    classes = classes.withColumn("node", node("fp"))
-    rooted = classes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = classes.withColumn("node", node("fp")).join(joined, "node", "left")
+    return found, rooted.select("fp", "first", F.coalesce("root", "node").alias("root"))
+
+
+def near_components(docs: DataFrame, **how) -> DataFrame:
+    """(id, fp, component_id): the smallest id reachable over links of ``radius`` bits at most, itself included."""
+    found, rooted = near_classes(docs, **how)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = rooted.join(smallest, "root").select("fp", "component_id")
     return found.join(of_class, "fp").select("id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """The documents without those whose component has a smaller id; of rows with that id all stay."""
-    found = near_components(docs, **how)
-    gone = stored(found.where("id <> component_id").select(F.col("id").alias("gone_id")).distinct(), "duplicates")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of each component, the columns of the input kept: the one with the smallest id, NULL ids last.
+
+    Among rows of that id the smallest hash of the text decides, among equal texts the smallest hash of the whole row.
+    Components are reduced to their first key before anything is joined to the documents.
+    """
+    found, rooted = near_classes(docs, **how)
+    keys = found.groupBy("fp", "id", "text_hash").agg(F.count("*").alias("rows")).join(rooted.select("fp", "root"), "fp")
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "rows")).alias("k")
+    chosen = keys.groupBy("root").agg(first)
+    chosen = stored(chosen.select(F.col("k.id").alias("k1"), F.col("k.text_hash").alias("k2"), "k.rows"), "kept")
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(
+        whole.alias("doc"), docs["doc_id"].cast("long").alias("own1"), F.xxhash64(docs["text"]).alias("own2")
+    )
+    same = F.col("own1").eqNullSafe(F.col("k1")) & (F.col("own2") == F.col("k2"))
+    single = keyed.join(chosen.where("rows = 1"), same).select("doc.*")
+    several = chosen.where("rows > 1")
+    if several.isEmpty():
+        return single
+    repeated = keyed.join(several, same).groupBy("k1", "k2").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    return single.unionByName(repeated.select("doc.*"))

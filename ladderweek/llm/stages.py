@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ladderweek.llm import cotraining, mixing as cube, packing as residual, perplexity, shingle_join
+from ladderweek.llm import cotraining, mixing as cube, near_dedup, packing as residual, perplexity
 from ladderweek.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles, each link checked on the shingles."""
-    return shingle_join.keep_first(docs, shingle_words=5)
+    """One document of each group of fingerprints over three words linked at three differing bits or fewer."""
+    return near_dedup.keep_first(docs, shingle_words=3, radius=3)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,7 @@ def test_stages_do_what_their_operators_decide(spark, tmp_path):
     decided = (
         lambda d: ids(r for r in perplexity.judge(d).collect() if r.kept),
         lambda d: ids(r for r in cotraining.classify(d, labels).collect() if r.kept),
-        lambda d: Counter({r.component_id: 1 for r in near_dedup.near_components(
-            d, shingle_words=5, radius=21, segment_bits=16, n_words=2).collect()}),
+        lambda d: Counter({r.component_id: 1 for r in near_dedup.near_components(d).collect()}),
         lambda d: +Counter({r.doc_id: r.copies for r in mixing.mix(d).collect()}),
     )
     for k, ((_, stage), wanted) in enumerate(zip(corpus_pipeline.STAGES, decided, strict=False)):
