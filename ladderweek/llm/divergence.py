@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,30 +116,64 @@ def partial_stripes(docs: DataFrame, spill_cells: int) -> DataFrame:
     return docs.select(*named, text_or_empty().cast("binary").alias("text")).mapInArrow(run, STRIPE)
 
 
+def run_starts(rows: pa.Table) -> np.ndarray:
+    """Where the stripes of another (lang, term) begin among sorted ones."""
+    n = rows.num_rows
+    other = np.ones(n, bool)
+    if n > 1:
+        differ = [pc.not_equal(rows.column(c).slice(1), rows.column(c).slice(0, n - 1)) for c in ("lang", "term")]
+        other[1:] = pc.or_(*differ).to_numpy(zero_copy_only=False) if n > 1 else other[1:]
+    return np.flatnonzero(other)
+
+
+def merge(rows: pa.Table, least_docs: int) -> pa.RecordBatch:
+    """One stripe per (lang, term) of sorted stripes; terms in fewer documents are left out."""
+    starts = run_starts(rows)
+    n_docs = np.add.reduceat(rows.column("n_docs").to_numpy(), starts)
+    empty = pc.equal(rows.column("term").take(pa.array(starts)), "").to_numpy(zero_copy_only=False)
+    stays = (n_docs >= least_docs) | empty
+    sizes = np.diff(np.append(starts, rows.num_rows))
+    some = rows.filter(pa.array(np.repeat(stays, sizes))).combine_chunks()
+    n = int(stays.sum())
+    lists = some.column("sources").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    of_row = np.repeat(np.arange(n), sizes[stays])
+    of_cell = np.repeat(of_row, lists.value_lengths().to_numpy(zero_copy_only=False))
+    named = lists.flatten().dictionary_encode()
+    counts = pc.list_flatten(some.column("counts")).to_numpy()
+    wide = max(1, len(named.dictionary))
+    cell = of_cell * wide + named.indices.to_numpy()
+    order = np.argsort(cell, kind="stable")
+    cells, first = np.unique(cell[order], return_index=True)
+    sums = np.add.reduceat(counts[order], first) if len(first) else counts
+    at = pa.array(np.searchsorted(cells, np.arange(n + 1) * wide).astype(np.int32))
+    keys = rows.select(["lang", "term"]).take(pa.array(starts[stays])).combine_chunks()
+    one = [keys.column(c).combine_chunks() for c in ("lang", "term")]
+    one = [c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in one]
+    sources = pa.ListArray.from_arrays(at, named.dictionary.take(pa.array(cells % wide)))
+    return pa.RecordBatch.from_arrays(
+        [*one, pa.array(n_docs[stays]), sources, pa.ListArray.from_arrays(at, pa.array(sums, pa.int64()))], schema=FIELDS
+    )
+
+
 def merged_stripes(partial: DataFrame, least_docs: int) -> DataFrame:
     """One stripe per (lang, term) in at least ``least_docs`` documents, and those that count documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n_docs, cells, rows = None, 0, {}, []
-
-        def done() -> None:
-            if key is not None and (n_docs >= least_docs or key[1] == ""):
-                rows.append((key[0], key[1].encode(), n_docs, cells))
-
+        rest = None  # the last term's stripes: more of them may follow
         for batch in batches:
-            for lang, term, n, sources, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (lang, term):
-                    done()
-                    key, n_docs, cells = (lang, term), 0, {}
-                n_docs += n
-                for s, c in zip(sources, counts, strict=True):
-                    cells[s] = cells.get(s, 0) + c
-            if len(rows) >= BATCH:
-                yield written(rows)
-                rows.clear()
-        done()
-        if rows:
-            yield written(rows)
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            cut = int(run_starts(rows)[-1])
+            if cut:
+                merged = merge(rows.slice(0, cut), least_docs)
+                if merged.num_rows:
+                    yield merged
+            rest = rows.slice(cut)
+        if rest is not None:
+            yield merge(rest, least_docs)
 
     met = partial.repartition("lang", "term").sortWithinPartitions("lang", "term")
     return met.mapInArrow(run, STRIPE)
