@@ -543,6 +543,72 @@ def trap_open_override(spark: S, sf: D) -> DataFrame:
     return trap_rate.trap_open_override(rate, weeks)
 
 
+# Strata as a caller might give them: 5 to 27 days long, every 11 days, so that some overlap and some leave a gap.
+SUPPLIED_SQL = """(SELECT run_id, k AS week_num, s + 11 * k AS start_date, s + (11 * k + 4 + (k * 7) % 23) AS end_date
+    FROM runs, (SELECT unnest(generate_series(0, 36))::INT AS k) WHERE k % 5 <> 3)"""
+GIVEN_CAL = f"""(SELECT run_id, dam, species, week_num, start_date, end_date,
+    unnest(generate_series(start_date::TIMESTAMP, end_date::TIMESTAMP, INTERVAL 1 DAY))::DATE AS date
+    FROM {SUPPLIED_SQL} JOIN runs USING (run_id))"""
+
+
+def _supplied(spark: S, sf: D) -> DataFrame:
+    runs = landed.seasons(spark, sf).frame.select("run_id", "start_date")
+    numbered = runs.select("*", F.explode(F.sequence(F.lit(0), F.lit(36))).alias("week_num")).where("week_num % 5 <> 3")
+    start = F.date_add("start_date", F.col("week_num") * 11)
+    return numbered.select(
+        "run_id", "week_num", start.alias("start_date"), F.date_add(start, 4 + F.col("week_num") * 7 % 23).alias("end_date")
+    )
+
+
+@query(
+    "run_id s, week_num i, date s, n_fish i, n_tagged i",
+    f"""SELECT c.run_id, c.week_num, t.date, count(*) AS n_fish, count(tag_code) AS n_tagged FROM trap t
+        JOIN {GIVEN_CAL} c ON t.dam = c.dam AND t.species = c.species AND t.date = c.date GROUP BY ALL""",
+)
+def supplied_strata_join(spark: S, sf: D) -> DataFrame:
+    """Trap records per day in overlapping, uneven strata that come as a table."""
+    placed = strata.attach_supplied(landed.trap_cohort(spark, sf), landed.seasons(spark, sf), _supplied(spark, sf))
+    return placed.groupBy("run_id", "week_num", "date").agg(
+        F.count("*").alias("n_fish"), F.count("tag_code").alias("n_tagged")
+    )
+
+
+@query(
+    f"run_id s, week_num i, start_date s, {SUMS_D}, {MEANS_R}, seconds_in_week i, trap_open s, calc_rate r",
+    f"""SELECT *, total_time_inclusive / seconds_in_week AS calc_rate FROM (SELECT c.run_id, c.week_num,
+        min(r.date) AS start_date, {oracle.each("sum({c}) AS {c}", oracle.SUMS)}, {oracle.each("avg({c}) AS {c}", oracle.MEANS)},
+        bool_or(trap_open) AS trap_open, any_value(end_date - c.start_date + 1) * 86400 - 1 AS seconds_in_week
+        FROM rep_daily2 r JOIN {GIVEN_CAL} c ON c.dam = r.dam AND c.species = r.species AND c.date = r.date
+        GROUP BY c.run_id, c.week_num)""",
+)
+def reported_rate_supplied(spark: S, sf: D) -> DataFrame:
+    return trap_rate.reported_weekly(
+        _reported_days(spark, sf), landed.seasons(spark, sf), records.RATE_SUMS, records.RATE_MEANS, supplied=_supplied(spark, sf)
+    )
+
+
+def _supplied_rate_sql(matched: str) -> str:
+    return f"""SELECT *, CASE WHEN trap_rate <= 1 THEN sqrt(trap_rate * (1 - trap_rate) / n_poss_tags) END AS trap_rate_se,
+        CASE WHEN trap_rate <= 1 THEN sqrt(trap_rate * (1 - trap_rate) / n_poss_tags) END / nullif(trap_rate, 0) AS trap_rate_cv
+      FROM (SELECT *, n_trap_tags / n_poss_tags::DOUBLE AS trap_rate FROM (SELECT m.run_id, c.week_num,
+        sum(in_trap::INT) AS n_trap_tags, count(DISTINCT tag_code) AS n_poss_tags FROM {matched} m
+        JOIN {GIVEN_CAL} c ON c.run_id = m.run_id AND c.date = m.d GROUP BY m.run_id, c.week_num))"""
+
+
+@query(f"run_id s, week_num i, {RATE_D}", _supplied_rate_sql("matched"))
+def pit_trap_rate_supplied(spark: S, sf: D) -> DataFrame:
+    return trap_rate.rate_from_tags(
+        landed.observations(spark, sf), landed.trap_cohort(spark, sf), landed.seasons(spark, sf), supplied=_supplied(spark, sf)
+    )
+
+
+@query(f"run_id s, week_num i, {RATE_D}", _supplied_rate_sql("matched_old"))
+def legacy_trap_rate_supplied(spark: S, sf: D) -> DataFrame:
+    return trap_rate.legacy_rate_from_tags(
+        landed.observations(spark, sf), landed.trap_cohort(spark, sf), landed.seasons(spark, sf), supplied=_supplied(spark, sf)
+    )
+
+
 # ---- weekly table with rates --------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -121,6 +122,82 @@ def attach_strata(
     return joined.drop(*[MARK + c for c in hidden])
 
 
+#: Day ranges of an interval index: 1, 16, 256 and 4096 days long, each beginning at a multiple of its length.
+RANGE_BITS = 4
+RANGE_LEVELS = 4
+
+
+def _range_of(level: int) -> Callable[[Column], Column]:
+    return lambda at: F.struct(F.lit(level).alias("range_level"), at.alias("range_at"))
+
+
+def day_ranges(intervals: DataFrame, first: str = "start_date", last: str = "end_date") -> DataFrame:
+    """The intervals, a row per day range they are cut into: ``range_level, range_at``.
+
+    The ranges of an interval do not overlap and leave no day out, so a date meets at most one of them. A longer range
+    is used wherever a whole one fits; an interval of n days has in the order of log(n) of them. Intervals without a
+    bound, or that end before they start, have none.
+    """
+    empty = F.array().cast("array<bigint>")
+    cut = intervals.withColumns({"range_lo": F.unix_date(first).cast("long"), "range_hi": F.unix_date(last).cast("long") + 1})
+    until = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(empty)
+    listed = []
+    for level in range(RANGE_LEVELS):
+        lo, hi, name = F.col("range_lo"), F.col("range_hi"), f"ranges_{level}"
+        up = F.shiftright(lo + (1 << RANGE_BITS) - 1, RANGE_BITS)
+        down = F.shiftright(hi, RANGE_BITS)
+        longer = (up < down) if level < RANGE_LEVELS - 1 else F.lit(False)
+        ends = F.concat(until(lo, F.shiftleft(up, RANGE_BITS)), until(F.shiftleft(down, RANGE_BITS), hi))
+        cut = cut.withColumn(name, F.when(longer, ends).otherwise(until(lo, hi)))
+        cut = cut.withColumns(
+            {"range_lo": F.when(longer, up).otherwise(F.lit(0)), "range_hi": F.when(longer, down).otherwise(F.lit(0))}
+        )
+        listed.append(F.transform(name, _range_of(level)))
+    return cut.select(*[intervals[c] for c in intervals.columns], F.inline(F.concat(*listed)))
+
+
+def attach_intervals(facts: DataFrame, intervals: DataFrame, keys: dict[str, str], day: str) -> DataFrame:
+    """Every fact once per interval its day lies in, with the interval's columns.
+
+    ``keys`` names the facts' columns and the intervals' columns that must agree. Intervals may overlap, leave gaps and be of any
+    length; the join is on equality of keys and day range, never a comparison of dates.
+    """
+    number = F.unix_date(F.col(day).cast("date")).cast("long")
+    levels = [
+        F.struct(F.lit(k).alias("fact_level"), F.shiftright(number, k * RANGE_BITS).alias("fact_at"))
+        for k in range(RANGE_LEVELS)
+    ]
+    placed = facts.select("*", F.inline(F.array(*levels)))
+    pieces = day_ranges(intervals)
+    same = (placed["fact_level"] == pieces["range_level"]) & (placed["fact_at"] == pieces["range_at"])
+    for of_fact, of_interval in keys.items():
+        same = same & (placed[of_fact] == pieces[of_interval])
+    return placed.join(pieces, same).drop("fact_level", "fact_at", "range_level", "range_at")
+
+
+def attach_supplied(
+    facts: DataFrame,
+    seasons: Seasons,
+    supplied: DataFrame,
+    on: tuple[str, ...] = ("dam", "species", "date"),
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """``attach_strata`` for strata that the caller gives: ``run_id, week_num, start_date, end_date`` of any shape.
+
+    A fact in several strata of a run appears in each, one in none drops out.
+    """
+    *keys, day = on
+    own = [k for k in keys if k != "run_id"]
+    runs = seasons.frame.select("run_id", *dict.fromkeys((*own, *carry)))
+    strata_of = supplied.select("run_id", "week_num", "start_date", "end_date").join(runs, "run_id")
+    named = strata_of.select(*[F.col(c).alias(MARK + c) for c in strata_of.columns]).withColumnsRenamed(
+        {MARK + "start_date": "start_date", MARK + "end_date": "end_date"}
+    )
+    met = attach_intervals(facts, named, {k: MARK + k for k in keys}, day)
+    new = [c for c in ("run_id", "week_num", *carry) if c not in keys]
+    return met.select(*facts.columns, *[F.col(MARK + c).alias(c) for c in new])
+
+
 def outside_strata(facts: DataFrame, seasons: Seasons, on: tuple[str, ...] = ("dam", "species", "date")) -> DataFrame:
     """How many facts no stratum covers, per dam: ``dam, n_outside``."""
     *keys, day = on

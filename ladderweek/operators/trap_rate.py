@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladderweek.config import Seasons
 from ladderweek.functions import codes
 from ladderweek.functions.expressions import is_true, not_nan, ratio
-from ladderweek.operators.strata import attach_strata, strata, within_season
+from ladderweek.operators.strata import attach_strata, attach_supplied, strata, within_season
 
 MIN_TAGS = 20
 SECONDS_PER_DAY = 86_400
@@ -120,19 +120,22 @@ def match_to_trap(first_obs: DataFrame, tag_days: DataFrame) -> DataFrame:
     )
 
 
-def rate_by_week(matched: DataFrame, seasons: Seasons) -> DataFrame:
+def rate_by_week(matched: DataFrame, seasons: Seasons, supplied: DataFrame | None = None) -> DataFrame:
     """``n_trap_tags, n_poss_tags, trap_rate, trap_rate_se, trap_rate_cv`` per run and stratum.
 
-    Counted per tag first; that step runs on the partitioning of the tag join.
+    Counted per tag first; that step runs on the partitioning of the tag join. ``supplied`` strata stand in for the run's own.
     """
-    per_tag = (
-        attach_strata(matched, seasons, on=("run_id", "mod_date"))
-        .groupBy("run_id", "week_num", "tag_code")
-        .agg(F.sum("n_in_trap").alias("n_in_trap"))
-    )
+    on = ("run_id", "mod_date")
+    placed = attach_strata(matched, seasons, on) if supplied is None else attach_supplied(matched, seasons, supplied, on)
+    per_tag = placed.groupBy("run_id", "week_num", "tag_code").agg(F.sum("n_in_trap").alias("n_in_trap"))
     counted = per_tag.groupBy("run_id", "week_num").agg(
         F.sum("n_in_trap").alias("n_trap_tags"), F.count("*").alias("n_poss_tags")
     )
+    return with_rate_error(counted)
+
+
+def with_rate_error(counted: DataFrame) -> DataFrame:
+    """Rate, standard error and coefficient of variation from ``n_trap_tags`` and ``n_poss_tags``."""
     rate = F.col("trap_rate")
     return (
         counted.withColumn("trap_rate", ratio(F.col("n_trap_tags"), F.col("n_poss_tags")))
@@ -149,17 +152,18 @@ def rate_from_tags(
     chinook_until: str = "month_8",
     mark_sites: dict | None = None,
     weeks: DataFrame | None = None,
+    supplied: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly trap rate of every run from tags seen at the dam and, possibly, in its trap.
 
     Adds the first day of the stratum, ``trap_open``, ``few_tags`` and the provisional ``trap_valid``. ``weeks`` is
-    the table of ``trap_weeks`` where it is there already.
+    the table of ``trap_weeks`` where it is there already, ``supplied`` are strata to use in place of the runs' own.
     """
     weeks = weeks if weeks is not None else trap_weeks(trap, seasons)
     usable = known_species_only(observations_by_run(obs, seasons, chinook_until, mark_sites), weeks)
     matched = match_to_trap(first_observations(usable), trap_tag_days(trap_by_run(trap, seasons), dedupe))
-    weekly = rate_by_week(matched, seasons)
-    starts = strata(seasons).select("run_id", "week_num", "start_date")
+    weekly = rate_by_week(matched, seasons, supplied)
+    starts = (supplied if supplied is not None else strata(seasons)).select("run_id", "week_num", "start_date")
     return (
         weekly.join(starts, ["run_id", "week_num"])
         .withColumn("trap_open", F.col("n_trap_tags") > 0)
@@ -169,13 +173,18 @@ def rate_from_tags(
 
 
 def legacy_rate_from_tags(
-    obs: DataFrame, trap: DataFrame, seasons: Seasons, mark_sites: tuple[str, ...] = codes.TRAP_MARK_SITES["LWG"]
+    obs: DataFrame,
+    trap: DataFrame,
+    seasons: Seasons,
+    mark_sites: tuple[str, ...] = codes.TRAP_MARK_SITES["LWG"],
+    supplied: DataFrame | None = None,
 ) -> DataFrame:
     """The older estimate: counts observations rather than first observations.
 
     Tags ever seen with the trap's mark site are removed from both sides, all other tags are joined fully, and a
     record counts where there is an observation. A trapped tag is dated by its trap days, each record counting
     once for every observation of the tag, so the pairs are a product of two numbers and are never made.
+    ``supplied`` strata stand in for the runs' own.
     """
     days = attach_strata(observation_days(obs, seasons), seasons, on=("dam", "obs_date"))
     days = days.filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_date")))
@@ -190,7 +199,7 @@ def legacy_rate_from_tags(
     others = seen.join(trap_days.select("run_id", "tag_code").distinct(), ["run_id", "tag_code"], "left_anti").select(
         "run_id", "tag_code", F.col("obs_date").alias("mod_date"), F.lit(0).cast("long").alias("n_in_trap")
     )
-    return rate_by_week(trapped.unionByName(others), seasons)
+    return rate_by_week(trapped.unionByName(others), seasons, supplied)
 
 
 def trap_open_override(rate: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -231,17 +240,24 @@ def reported_daily(
 
 
 def reported_weekly(
-    daily: DataFrame, seasons: Seasons, sums: tuple[str, ...], means: tuple[str, ...], split_years: bool = False
+    daily: DataFrame,
+    seasons: Seasons,
+    sums: tuple[str, ...],
+    means: tuple[str, ...],
+    split_years: bool = False,
+    supplied: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly sums and unweighted means of the daily reports per run and stratum.
 
     A stratum that crosses New Year stays whole; ``split_years`` cuts it in two. The length of a stratum is one
-    second short of its days, as its end is the last second of its last day.
+    second short of its days, as its end is the last second of its last day. ``supplied`` strata stand in for the
+    runs' own.
     """
     keys = ["run_id", "week_num", *(["year"] if split_years else [])]
-    placed = attach_strata(daily, seasons)
-    length = strata(seasons).select(
-        "run_id", "week_num", (F.col("n_days") * SECONDS_PER_DAY - 1).alias("seconds_in_week")
+    placed = attach_strata(daily, seasons) if supplied is None else attach_supplied(daily, seasons, supplied)
+    days = F.datediff("end_date", "start_date") + 1
+    length = (strata(seasons) if supplied is None else supplied).select(
+        "run_id", "week_num", (days * SECONDS_PER_DAY - 1).alias("seconds_in_week")
     )
     return (
         placed.groupBy(*keys)

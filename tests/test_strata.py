@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ladderweek import Run, Seasons
 from ladderweek.config import one_year_on
 from ladderweek.functions.codes import WEEKDAYS
-from ladderweek.operators.strata import attach_strata, outside_strata, strata
+from ladderweek.operators.strata import attach_strata, attach_supplied, day_ranges, outside_strata, strata
 
 D = dt.date
 DAYS = [D(2019, 3, 1) + dt.timedelta(k) for k in range(20)]
@@ -134,3 +134,35 @@ def test_runs_from_a_table(spark):
         Seasons.from_frame(df.withColumn("dam", F.lit("XXX")))
     with pytest.raises(ValueError):
         Seasons.from_frame(df.union(df))
+
+
+def test_supplied_strata_of_any_shape(spark):
+    """Overlaps, gaps, single days, very long ones, empty ones; every fact once per stratum that holds its day."""
+    runs = [Run("LWG", "Coho", D(2019, 1, 1), run_id="a"), Run("LWG", "Coho", D(2019, 1, 1), run_id="b")]
+    rng = random.Random(4)
+    given_strata = [("a", 0, D(1900, 1, 1), D(2200, 1, 1)), ("a", 1, D(2019, 5, 1), D(2019, 5, 1)), ("b", 2, D(2019, 5, 2), D(2019, 5, 1))]
+    given_strata += [("b", 3, None, D(2019, 5, 1)), ("b", 4, D(1969, 12, 1), D(1970, 2, 1)), ("other", 5, D(2019, 1, 1), D(2020, 1, 1))]
+    for k in range(6, 60):
+        first = D(2018, 12, 1) + dt.timedelta(rng.randrange(400))
+        given_strata.append((rng.choice("ab"), k, first, first + dt.timedelta(rng.choice([0, 1, 6, 15, 16, 17, 255, 256, 300]))))
+    days = [D(2018, 11, 1) + dt.timedelta(k) for k in range(500)] + [D(1970, 1, 1), D(1969, 12, 31), D(1899, 12, 31), None]
+    facts = spark.createDataFrame([("LWG", "Coho", d, i) for i, d in enumerate(days)], "dam string, species string, date date, n int")
+    supplied = spark.createDataFrame(given_strata, "run_id string, week_num int, start_date date, end_date date")
+    placed = attach_supplied(facts, Seasons(spark, runs), supplied)
+    got = sorted((r.run_id, r.week_num, r.n) for r in placed.collect())
+    assert got == sorted(
+        (run, week, i)
+        for i, d in enumerate(days)
+        for run, week, first, last in given_strata
+        if d and run in "ab" and first and first <= d <= last
+    )
+    plan = placed._jdf.queryExecution().optimizedPlan().toString() + placed._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_day_ranges_cut_an_interval_into_few_pieces(spark):
+    rows = spark.createDataFrame([(1, D(2000, 1, 1), D(2019, 12, 31))], "k int, start_date date, end_date date")
+    pieces = day_ranges(rows).collect()
+    days = [d for p in pieces for d in range(p.range_at * 16**p.range_level, (p.range_at + 1) * 16**p.range_level)]
+    first = (D(2000, 1, 1) - D(1970, 1, 1)).days
+    assert sorted(days) == list(range(first, first + 7305)) and len(pieces) < 100
