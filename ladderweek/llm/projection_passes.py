@@ -231,6 +231,13 @@ def compared_blocks(pairs: DataFrame, threshold: float) -> DataFrame:
     return met.select("root", "a", "b", "side", "node", "copies", "vector").mapInArrow(run, "node long, mass long")
 
 
+def beside(rows: DataFrame, of_group: DataFrame, *keys: str, salts: int = 16) -> DataFrame:
+    """``rows`` (with node) joined to a table of groups. A group may hold most rows, so each key is dealt over ``salts``."""
+    spread = of_group.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
+    return salted.join(spread, [*keys, "salt"]).drop("salt")
+
+
 def exact_masses(members: DataFrame, threshold: float, block: int) -> DataFrame:
     """(node, root, mass): the copies of all classes of the group within the threshold of the node, itself included.
 
@@ -238,20 +245,20 @@ def exact_masses(members: DataFrame, threshold: float, block: int) -> DataFrame:
     """
     limit = math.acos(threshold)
     pivots = members.where("node = root").select("root", F.col("vector").alias("pivot"))
-    angled = stored(angles(members.join(pivots, "root").select("node", "root", "copies", "vector", "pivot")), "angles")
+    angled = stored(angles(beside(members, pivots, "root").select("node", "root", "copies", "vector", "pivot")), "angles")
     groups = angled.groupBy("root").agg(
         F.max("angle").alias("wide"), F.sum("copies").alias("all_copies"), F.count("*").alias("n")
     )
     groups = stored(groups, "groups")
     told = (F.col("n") <= 2) | (2 * F.col("wide") <= F.lit(limit - DOUBT))
-    sure = angled.join(groups.where(told), "root").select("node", "root", F.col("all_copies").alias("mass"))
+    sure = beside(angled, groups.where(told), "root").select("node", "root", F.col("all_copies").alias("mass"))
 
     # Other groups: blocks of members with like angles, in small groups one block.
-    spread = angled.join(groups.where(~told).select("root", "n"), "root")
+    spread = beside(angled, groups.where(~told).select("root", "n"), "root")
     width = F.when(F.col("n") > block, F.floor(F.col("angle") / (limit / 8))).otherwise(0)
     spread = stored(spread.withColumn("bin", width.cast("long")), "spread")
     filled = spread.groupBy("root", "bin").agg(F.ceil(F.count("*") / F.lit(block)).alias("cuts"))
-    cut = spread.join(filled, ["root", "bin"]).withColumn(
+    cut = beside(spread, filled, "root", "bin").withColumn(
         "block", F.col("bin") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("cuts"))
     )
     cut = stored(cut.select("node", "root", "copies", "angle", "block"), "blocks")
@@ -314,7 +321,7 @@ def dedup(
     members = classes.select("node", "copies", "vector", "first").join(joined, "node")
     masses = exact_masses(members.select("node", "root", "copies", "vector"), threshold, block)
     least = members.groupBy("root").agg(F.min("first").alias("component"))
-    found = masses.join(least, "root").select("node", "mass", "component")
+    found = beside(masses, least, "root").select("node", "mass", "component")
     of_class = classes.select(*prints, "node", "first", "copies").join(found, "node", "left")
     of_class = of_class.select(
         *prints,
