@@ -26,6 +26,7 @@ from ladderweek.operators import (
 )
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
+from ladderweek.plans import union
 from ladderweek.session import shared_dir
 from ladderweek.sources import records
 from ladderweek.sources.files import read_each as files_read
@@ -625,11 +626,15 @@ def _compiled(spark: S, sf: D) -> plan.Compiled:
 
 
 def _joined_rates(spark: S, sf: D) -> DataFrame:
-    seasons, cohort = landed.seasons(spark, sf), landed.trap_cohort(spark, sf)
-    weekly = plan.compile_weekly(_daily(spark, sf), seasons)
-    rates = plan.weekly_rates(landed.observations(spark, sf), cohort, _reported_days(spark, sf), seasons)
-    named = rates.drop("start_date").withColumnRenamed("week_num", "week_num_org")
-    return expansion.expand_trap(weekly.join(named, ["run_id", "week_num_org"], "left"))
+    rated = union.weekly_table(
+        landed.seasons(spark, sf),
+        landed.window_counts(spark, sf),
+        landed.detections(spark, sf),
+        landed.trap_cohort(spark, sf),
+        landed.observations(spark, sf),
+        _reported_days(spark, sf),
+    )
+    return expansion.expand_trap(rated)
 
 
 @query(

@@ -24,21 +24,29 @@ def effective_period(dam: Column, period: Column) -> Column:
     )
 
 
+def tag_flags() -> dict[str, Column]:
+    """What a detection shows of its tag, by the name of the count (0 or 1)."""
+    day = F.col("period") == "D"
+    again = is_true(F.col("ascent_count") > 1)
+    done = {"tot_tags": F.lit(True), "day_tags": day, "reascent_tags": again}
+    reared = {"": F.lit(True), "_w": F.col("rear_type") == "W", "_h": F.col("rear_type") == "H"}
+    return {
+        f"{name}{rear}": F.coalesce(cond & who, F.lit(False)).cast("int")
+        for rear, who in reared.items()
+        for name, cond in done.items()
+    }
+
+
 def tag_counts_by(detections: DataFrame, keys: list[str]) -> DataFrame:
     """The nine distinct-tag counts per ``keys``.
 
     Two aggregations: first what each tag did within its key, then sums of flags. A day with very many detections
     is spread over its tags, and no distinct-expansion of the input is needed. NULL tags are not counted.
     """
-    day = F.col("period") == "D"
-    again = is_true(F.col("ascent_count") > 1)
-    done = {"tot_tags": F.lit(True), "day_tags": day, "reascent_tags": again}
-    reared = {"": F.lit(True), "_w": F.col("rear_type") == "W", "_h": F.col("rear_type") == "H"}
-    flags = {f"{name}{rear}": cond & who for rear, who in reared.items() for name, cond in done.items()}
     per_tag = (
         detections.filter(F.col("tag_id").isNotNull())
         .groupBy(*keys, "tag_id")
-        .agg(*[F.max(F.coalesce(flag, F.lit(False)).cast("int")).alias(name) for name, flag in flags.items()])
+        .agg(*[F.max(flag).alias(name) for name, flag in tag_flags().items()])
     )
     return per_tag.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in TAG_COUNTS])
 

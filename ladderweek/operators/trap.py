@@ -44,16 +44,16 @@ def adult_cohort(trap: DataFrame) -> DataFrame:
     return trap.filter(F.col("species").isin(*codes.COMPILED_SPECIES) & adult)
 
 
-def trap_aggregates(strict_null: bool = False, unknown_srr: str = "null", b_run: bool = True) -> list[Column]:
-    """Counts by origin as read from morphology and from genetics, B-run fish and invalid records.
+def trap_conditions(unknown_srr: str = "null", b_run: bool = True) -> dict[str, Column]:
+    """What a record is counted for: origin as read from morphology and from genetics, B-run fish, invalid records.
 
-    NULL conditions count as no; ``strict_null`` instead makes that day's count NULL. ``unknown_srr="no_match"``
-    lets a NULL species/run/rear code match nothing, so that such fish count as of unknown genetic origin.
+    ``unknown_srr="no_match"`` lets a NULL species/run/rear code match nothing, so that such fish count as of unknown
+    genetic origin.
     """
     srr = F.coalesce("srr", F.lit("")) if unknown_srr == "no_match" else F.col("srr")
     wild, hatchery = srr.endswith("W"), srr.endswith("H")
     large = (F.col("species") == "Steelhead") & (F.col("length") >= B_RUN_LENGTH_MM) & wild
-    conditions = {
+    return {
         "wild_morph": F.col("origin") == "W",
         "hatch_morph": F.col("origin") == "H",
         "na_morph": is_true(F.col("origin").isin("U", "NI")),
@@ -64,6 +64,14 @@ def trap_aggregates(strict_null: bool = False, unknown_srr: str = "null", b_run:
         **({"tot_b_run_sthd": large} if b_run else {}),
         "n_invalid": F.col("valid") != 1,
     }
+
+
+def trap_aggregates(strict_null: bool = False, unknown_srr: str = "null", b_run: bool = True) -> list[Column]:
+    """All fish and the counts of ``trap_conditions``.
+
+    NULL conditions count as no; ``strict_null`` instead makes that day's count NULL.
+    """
+    conditions = trap_conditions(unknown_srr, b_run)
     counts = [count_where(cond, strict_null).alias(name) for name, cond in conditions.items()]
     return [F.count("*").alias("trap_fish"), *counts]
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderweek.config import Seasons
-from ladderweek.operators import expansion, rollup, strata, tags, trap, trap_rate, window_counts
+from ladderweek.operators import expansion, rollup, strata, tags, trap, window_counts
+from ladderweek.plans import union
 
 DAY = ["run_id", "week_num", "date"]
 
@@ -21,13 +22,6 @@ TRAP_INPUT = (
     "dam string, species string, date date, tag_code string, srr string, origin string, ad_clip boolean, "
     "length double, valid int, life_stage string, sort_by_code string"
 )
-RATE_SCHEMA = (
-    "run_id string, week_num int, n_trap_tags bigint, n_poss_tags bigint, trap_rate double, trap_rate_se double, "
-    "start_date date, trap_open boolean, few_tags boolean"
-)
-# What adopting a reported rate needs of the weekly report.
-REPORT_SUMS = ("total_time", "total_time_inclusive")
-REPORT_MEANS = ("actual_rate_inclusive_time",)
 OBS_INPUT = "dam string, tag_code string, sp_rrt string, mark_site string, obs_time timestamp"
 
 
@@ -62,31 +56,10 @@ def compile_weekly(daily: DataFrame, seasons: Seasons, open_rule: str = "any_day
     return weekly.join(who, "run_id")
 
 
-def weekly_rates(
-    obs: DataFrame, cohort: DataFrame, reported_daily: DataFrame | None, seasons: Seasons, **options
-) -> DataFrame:
-    """Trap rates of all runs, each from the source the run asks for, with the trap-open override.
-
-    Each source is worked out for its own runs only. ``reported_daily`` comes from ``trap_rate.reported_daily``.
-    """
-    by_tags = seasons.of_source("pit")
-    by_report = seasons.of_source("reported")
-    weeks = trap_rate.trap_weeks(cohort, seasons)
-    rates = obs.sparkSession.createDataFrame([], RATE_SCHEMA)
-    if by_tags:
-        mine = trap_rate.rate_from_tags(obs, cohort, by_tags, weeks=weeks, **options).drop("trap_valid", "trap_rate_cv")
-        rates = rates.unionByName(mine)
-    if by_report and reported_daily is not None:
-        weekly = trap_rate.reported_weekly(reported_daily, by_report, REPORT_SUMS, REPORT_MEANS)
-        mine = trap_rate.adopt_reported_rate(weekly, by_report)
-        mine = mine.select("run_id", "week_num", "start_date", "trap_open", "trap_rate", "trap_rate_se")
-        rates = rates.unionByName(mine, allowMissingColumns=True)
-    return trap_rate.trap_open_override(rates, weeks)
-
-
-def add_rates(weekly: DataFrame, rates: DataFrame) -> DataFrame:
-    """Adds rate, expansion, limits, validity and the prior each run asks for."""
-    both = expansion.logit_prior(expansion.beta_prior(expansion.with_rate(weekly, rates)))
+def add_rates(weekly: DataFrame) -> DataFrame:
+    """Adds expansion, limits, validity and the prior each run asks for to weeks with their trap rate."""
+    judged = expansion.judge_trap(expansion.plausible_limits(expansion.expand_trap(weekly)))
+    both = expansion.logit_prior(expansion.beta_prior(judged))
     beta = F.col("trap_rate_dist") == "beta"
     return both.withColumns(
         {
@@ -114,6 +87,7 @@ def compile_seasons(
     """All runs at once: daily table, weekly table with trap rates, strata and the trap records used.
 
     Sources that do not exist may be left out. ``reported`` is the daily reported rate of ``reported_daily``.
+    ``rate_options`` are ``dedupe``, ``chinook_until`` and ``mark_sites`` of ``trap_rate.rate_from_tags``.
     """
     empty = lambda schema: spark.createDataFrame([], schema)
     detections = detections if detections is not None else empty(TAG_INPUT)
@@ -126,7 +100,12 @@ def compile_seasons(
         trap.trap_daily_by_run(cohort, seasons, strict_null),
         keep_unmatched,
     )
-    weekly = compile_weekly(daily, seasons, open_rule)
     if incl_trap_rate:
-        weekly = add_rates(weekly, weekly_rates(observations, cohort, reported, seasons, **rate_options))
+        rated = union.weekly_table(
+            seasons, window, detections, cohort, observations, reported, keep_unmatched, open_rule, legacy_open, strict_null,
+            **rate_options,
+        )
+        weekly = add_rates(rated)
+    else:
+        weekly = compile_weekly(daily, seasons, open_rule)
     return Compiled(strata.strata(seasons), daily, weekly, cohort)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ladderweek import Run, Seasons
 from ladderweek.functions.binomial import binomial_quantile
-from ladderweek.operators import expansion, trap_rate
+from ladderweek.operators import expansion, tags, trap, trap_rate, window_counts
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
+from ladderweek.plans import union
 from ladderweek.sources import records
 
 D = dt.date
@@ -268,3 +269,64 @@ def test_layouts_compile_together_and_upper_dam_counts_its_own_species(spark):
     assert (week["p"].n_poss_tags, week["p"].n_trap_tags, week["p"].trap_rate) == (2, 1, 0.5)
     text = done.weekly._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text
+
+
+def test_weekly_table_of_the_unions_equals_the_separate_operators(spark):
+    """Rates by the unions against those of the joins, with tags of several codes, repeated records and every option."""
+    rng = random.Random(11)
+    runs = [
+        Run("LWG", "Chinook", START, D(2019, 4, 30), run_id="c"),
+        Run("LWG", "Steelhead", START, D(2019, 4, 30), run_id="s", steelhead_type="unclipped"),
+        Run("PRD", "Steelhead", START, D(2019, 4, 30), run_id="p"),
+        Run("LWG", "Coho", START, D(2019, 4, 30), run_id="r", trap_rate_source="reported", trap_rate_cv=0.2),
+    ]
+    seasons = Seasons(spark, runs)
+    day = lambda: START + dt.timedelta(rng.randrange(60))
+    dams, srrs = ("LWG", "LWG", "PRD"), ("11W", "11H", "32W", "25W", "x", None)
+    tag = lambda: rng.choice([None, *(f"T{k:02}" for k in range(40))])
+    obs = [(rng.choice(dams), tag(), rng.choice(srrs), rng.choice(["X", None, "LGR"]), dt.datetime.combine(day(), dt.time(5))) for _ in range(300)]
+    caught = [
+        (rng.choice(dams), rng.choice(["Chinook", "Steelhead", "Coho"]), day(), tag(), rng.choice(srrs), rng.choice("WHU"),
+         rng.choice([True, False, None]), 800.0, 1, "RF", None)
+        for _ in range(150)
+    ]
+    seen = [(rng.choice(dams), rng.choice(["Chinook", "Steelhead"]), day(), tag(), rng.choice("WH"), rng.choice("DNX"), rng.randrange(3)) for _ in range(200)]
+    counts = [(rng.choice(dams), day(), rng.choice(["Chinook", "Jack_Chinook", "Wild_Steelhead", "Steelhead", "Coho"]), rng.choice([None, 5.0, 70.0])) for _ in range(120)]
+    told = [("LWG", "Coho", day(), 0.1 * k) for k in range(8)]
+    window = spark.createDataFrame(counts, plan.WINDOW_INPUT)
+    detections, cohort = spark.createDataFrame(seen, plan.TAG_INPUT), spark.createDataFrame(caught, plan.TRAP_INPUT)
+    observations = spark.createDataFrame(obs, plan.OBS_INPUT)
+    reported = spark.createDataFrame(told, "dam string, species string, date date, actual_rate_inclusive_time double")
+    weeks = trap_rate.trap_weeks(cohort, seasons)
+    for options in ({}, {"dedupe": False}, {"strict_null": True, "legacy_open": True, "dedupe": False}, {"keep_unmatched": True, "open_rule": "positive"}):
+        rate_options = {k: v for k, v in options.items() if k == "dedupe"}
+        strict, legacy = options.get("strict_null", False), options.get("legacy_open", False)
+        daily = plan.compile_daily(
+            window_counts.window_daily(window, seasons, legacy), tags.tag_daily_by_run(detections, seasons),
+            trap.trap_daily_by_run(cohort, seasons, strict), options.get("keep_unmatched", False),
+        )
+        weekly = plan.compile_weekly(daily, seasons, options.get("open_rule", "any_day"))
+        rates = trap_rate.rate_from_tags(observations, cohort, seasons.of_source("pit"), weeks=weeks, **rate_options)
+        rates = rates.drop("start_date", "trap_valid", "trap_rate_cv").withColumnRenamed("week_num", "week_num_org")
+        fish = weeks.groupBy("run_id", F.col("week_num").alias("week_num_org")).agg(F.sum("n_fish").alias("n_fish"))
+        by_join = weekly.join(rates, ["run_id", "week_num_org"], "left").join(fish, ["run_id", "week_num_org"], "left")
+        by_join = by_join.withColumn("trap_open", F.coalesce(F.col("trap_open"), F.lit(False)) | F.coalesce(F.col("n_fish") > 0, F.lit(False)))
+        by_union = union.weekly_table(seasons, window, detections, cohort, observations, reported, **options)
+        names = sorted(set(by_join.columns) - {"n_fish"})
+        assert names == sorted(by_union.columns)
+        tagged = [r for r in runs if r.trap_rate_source == "pit"]
+        mine, theirs = (
+            {(r.run_id, r.week_num): tuple(r) for r in df.select(names).collect()} for df in (by_union, by_join)
+        )
+        assert mine.keys() == theirs.keys() and len(mine) > 15
+        ids = {r.run_id for r in tagged}
+        for key, row in theirs.items():
+            if key[0] in ids:
+                assert mine[key] == pytest.approx(row)
+            else:
+                given = dict(zip(names, mine[key], strict=True))
+                assert given["trap_rate"] is None or given["trap_rate_se"] == pytest.approx(0.2 * given["trap_rate"])
+                differ = {n for n, a, b in zip(names, mine[key], row, strict=True) if a != b}
+                assert differ <= {"trap_rate", "trap_rate_se", "trap_open"}
+    text = by_union._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text
