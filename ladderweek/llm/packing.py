@@ -1,10 +1,11 @@
 """Best-fit packing of token sequences by hierarchical residual rounds.
 
-Every task tokenizes its documents, cuts only those longer than a sequence, and writes down the pieces, without
-their ids. Pieces are dealt by hash over as many groups as they need, so that short and long ones of all tasks mix, and
-each group is packed best-fit, largest first. Bins that are nearly full leave; all others travel on as single items and are
-dealt and packed again, round after round, until one group has held all that was left or a round has merged too few
-bins over all groups to go on. No group grows with the input, and no piece is lost.
+Every task tokenizes its documents, cuts only those longer than a sequence, and packs the pieces, without their ids,
+best-fit, largest first, a group of them at a time. Bins that are nearly full leave; all others travel on as single items,
+are dealt by hash over as many groups as they need, and packed again, round after round, until one group has held all that was
+left or a round has merged too few bins over all groups to go on. Short pieces are what fills the bins of other tasks: in the
+first round bins without a piece longer than half a sequence are taken apart again, and their pieces travel. No group grows with the input, and no piece is lost. Rounds run
+while the result is being built, each is stored.
 
 Defined results: a NULL or empty text is the end id alone; repeated rows are pieces of their own; a NULL id stays; an
 empty table gives no piece. Other columns of the input are not read. Numbers of sequences are unique, not dense.
@@ -29,7 +30,7 @@ FIELDS = (("doc_id", "long"), ("piece", "int"), ("start", "long"), ("length", "i
 #: Rounds go on while one bin in so many is merged into others.
 LEAST_MERGED = 64
 ARROW = {"long": pa.int64(), "int": pa.int32()}
-BINS = "done boolean, sequence_id long, fill int, place array<int>, " + ", ".join(f"{n} array<{t}>" for n, t in FIELDS)
+BINS = "done boolean, bin long, fill int, place array<int>, " + ", ".join(f"{n} array<{t}>" for n, t in FIELDS)
 
 
 def best_fit(sizes: np.ndarray, room: int) -> list[list[int]]:
@@ -59,26 +60,45 @@ def places(lengths: np.ndarray) -> np.ndarray:
     return (np.cumsum(lengths) - lengths).astype(np.int32)
 
 
+def bin_number(level: int, group: int, n: int) -> int:
+    """Orders and deals the bins of a round, so that reruns agree. Bins may share one; sequences are numbered at the end."""
+    return (level << 56 ^ group << 28 ^ n) & (2**63 - 1)
+
+
+def packed(rows: dict[str, np.ndarray], made: list[list[int]], numbers: list[int], room: int, slack: int) -> pa.RecordBatch:
+    """Bins of the pieces in ``rows``, a row each."""
+    order = np.concatenate([np.asarray(b, np.int64) for b in made])
+    at = np.zeros(len(made) + 1, np.int32)
+    np.cumsum([len(b) for b in made], out=at[1:])
+    lengths = rows["length"][order]
+    fill = np.add.reduceat(lengths, at[:-1])
+    place = (np.cumsum(lengths) - lengths) - np.repeat((np.cumsum(fill) - fill), np.diff(at))
+    lists = [pa.array(place, pa.int32())]
+    lists += [pa.array(rows[n], ARROW[t], from_pandas=False).take(pa.array(order)) for n, t in FIELDS]
+    columns = [pa.array(fill >= room - slack), pa.array(numbers, pa.int64()), pa.array(fill, pa.int32())]
+    columns += [pa.ListArray.from_arrays(pa.array(at), c) for c in lists]
+    return pa.RecordBatch.from_arrays(columns, ["done", "bin", "fill", "place", *[n for n, _ in FIELDS]])
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int) -> DataFrame:
-    """Round 0: the pieces of all documents, a bin each."""
+    """Round 0: each task's pieces, packed a group at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
-        serial = TaskContext.get().partitionId() << 32
+        task, serial = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
         def bins() -> pa.RecordBatch:
             nonlocal serial
-            lengths = np.array([r[3] for r in rows], np.int32)
-            at = pa.array(np.arange(len(rows) + 1, dtype=np.int32))
-            columns = [pa.array(c, ARROW[t]) for c, (_, t) in zip(zip(*rows, strict=True), FIELDS, strict=True)]
-            numbers = pa.array(np.arange(len(rows), dtype=np.int64) + serial)
-            serial += len(rows)
+            columns = dict(zip((n for n, _ in FIELDS), zip(*rows, strict=True), strict=True))
+            columns["length"] = np.array(columns["length"], np.int64)
             rows.clear()
-            head = [pa.array(lengths >= room - slack), numbers, pa.array(lengths), pa.array(np.zeros(len(lengths), np.int32))]
-            parts = [pa.ListArray.from_arrays(at, c) for c in (head.pop(), *columns)]
-            names = ["done", "sequence_id", "fill", "place", *[n for n, _ in FIELDS]]
-            return pa.RecordBatch.from_arrays(head + parts, names)
+            made = []
+            for b in best_fit(columns["length"], room):
+                made += [b] if columns["length"][b[0]] > room // 2 else [[i] for i in b]
+            numbers = [bin_number(0, task, serial + n) for n in range(len(made))]
+            serial += len(made)
+            return packed(columns, made, numbers, room, slack)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -101,18 +121,18 @@ def repack(open_bins: DataFrame, groups: int, level: int, room: int, slack: int)
     """One more round: the open bins, as items, in so many groups."""
 
     def run(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
-        items = items.sort_values("sequence_id", kind="stable").reset_index(drop=True)
+        items = items.sort_values("bin", kind="stable").reset_index(drop=True)
         made = best_fit(items["fill"].to_numpy(np.int64), room)
-        out = {"sequence_id": [(level << 50) + (key[0] << 28) + n for n in range(len(made))]}
+        out = {"bin": [bin_number(level, int(key[0]), n) for n in range(len(made))]}
         out["fill"] = [int(items["fill"].to_numpy()[b].sum()) for b in made]
         for name, _ in FIELDS:
             column = items[name].tolist()
             out[name] = [np.concatenate([column[i] for i in b]) for b in made]
         out["place"] = [places(x) for x in out["length"]]
         done = np.array(out["fill"]) >= room - slack
-        return pd.DataFrame({"done": done, **out})[["done", "sequence_id", "fill", "place", *[n for n, _ in FIELDS]]]
+        return pd.DataFrame({"done": done, **out})[["done", "bin", "fill", "place", *[n for n, _ in FIELDS]]]
 
-    dealt = open_bins.drop("done").withColumn("at", F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(groups)))
+    dealt = open_bins.drop("done").withColumn("at", F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(groups)))
     return dealt.groupBy("at").applyInPandas(run, BINS)
 
 
@@ -139,7 +159,8 @@ def pack(
     for one in rounds[:-1]:
         full = full.unionByName(one.where("done"))
     names = [n for n, _ in FIELDS]
-    members = full.select("sequence_id", F.explode(F.arrays_zip(*names, "place")).alias("m"))
+    numbered = full.withColumn("sequence_id", F.monotonically_increasing_id())  # a row is a sequence
+    members = numbered.select("sequence_id", F.explode(F.arrays_zip(*names, "place")).alias("m"))
     return members.select(
         "m.doc_id",
         "m.piece",

@@ -22,3 +22,29 @@ def test_short_pieces_of_other_partitions_fill_many_open_bins(spark):
         fill[r.sequence_id] += r.length
     assert max(fill.values()) <= 64
     assert len(fill) <= 1.02 * max(9000, -(-sum(fill.values()) // 64))
+
+
+def test_sequences_stay_apart_where_bins_share_their_numbers(spark, edge_docs, monkeypatch):
+    """The numbers that order bins within rounds may meet at any count of tasks and groups; sequences never do."""
+    apart = len({r.sequence_id for r in packing.pack(edge_docs, PATH, room=512, group=8, slack=2).collect()})
+    monkeypatch.setattr(packing, "bin_number", lambda level, group, n: 7)
+    for repeat in (1, 3):
+        docs = edge_docs.repartition(7 * repeat)
+        found = defaultdict(list)
+        for r in packing.pack(docs, PATH, room=512, group=8, slack=2).collect():
+            found[r.sequence_id].append((r.offset, r.length))
+        for members in found.values():
+            at = 0
+            for offset, length in sorted(members):
+                assert offset == at
+                at += length
+            assert at <= 512
+        assert len(found) <= 1.5 * apart
+
+
+def test_full_bins_leave_their_task(spark):
+    """Long and short pieces of one task meet before anything is shuffled."""
+    rows = [(i, " ".join(["the"] * (40 if i % 2 else 22)), "en", "s", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, FIELDS).coalesce(1)
+    first = packing.pack_documents(docs, PATH, 64, 1, 8192, 1).collect()
+    assert sum(r.done for r in first) == 200 and len(first) == 200
