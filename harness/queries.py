@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ from ladderweek.operators import (
 from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
 from ladderweek.plans import union
-from ladderweek.session import shared_dir
+from ladderweek.session import scratch_path
 from ladderweek.sources import records
 from ladderweek.sources.files import read_each as files_read
 
@@ -772,8 +771,19 @@ def _weekly(spark: S, sf: D) -> DataFrame:
     return _compiled(spark, sf).weekly
 
 
-def _passage(spark: S, sf: D) -> DataFrame:
-    observed = model.model_input(_weekly(spark, sf))
+def _landed_table(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back, as draws of a model and the weeks it was fitted to would be."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _landed_weekly(spark: S, sf: D) -> DataFrame:
+    return _landed_table(_weekly(spark, sf), "weekly")
+
+
+def _passage(spark: S, sf: D, weekly: DataFrame | None = None) -> DataFrame:
+    observed = model.model_input(weekly if weekly is not None else _weekly(spark, sf))
     flags = observed.select("run_id", "week_num", "ladder", "wild_exist", "hnc_exist", "hatch_exist")
     states = draw_ops.states_from_draws(landed.draws(spark, sf)).join(flags, ["run_id", "week_num"], "left")
     known = states.fillna(1, ["ladder", "wild_exist", "hnc_exist", "hatch_exist"])
@@ -797,19 +807,26 @@ def draw_algebra(spark: S, sf: D) -> DataFrame:
     "SELECT * FROM totals",
 )
 def season_totals(spark: S, sf: D) -> DataFrame:
-    return _totals(spark, sf, _passage(spark, sf))
+    weekly = _landed_weekly(spark, sf)
+    return _totals(weekly, _passage(spark, sf, weekly))
+
+
+def _totals(weekly: DataFrame, passage: DataFrame) -> DataFrame:
+    return draw_ops.season_totals(passage, weekly.groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish")))
 
 
-def _totals(spark: S, sf: D, passage: DataFrame) -> DataFrame:
-    trapped = _weekly(spark, sf).groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish"))
-    return draw_ops.season_totals(passage, trapped)
+def _summary(spark: S, sf: D, weekly: DataFrame | None = None) -> DataFrame:
+    """Summary of every monitored quantity and season total, from landed draws."""
+    weekly = weekly if weekly is not None else _landed_weekly(spark, sf)
+    passage = _landed_table(_passage(spark, sf, weekly), "passage")
+    draws = draw_ops.passage_long(passage).unionByName(draw_ops.totals_long(_totals(weekly, passage)))
+    return posterior.posterior_summary(draws)
 
 
-def _summary(spark: S, sf: D) -> DataFrame:
-    """Summary of every monitored quantity and season total."""
-    passage = _passage(spark, sf)
-    long = draw_ops.passage_long(passage).unionByName(draw_ops.totals_long(_totals(spark, sf, passage)))
-    return posterior.posterior_summary(long)
+def _of_summary(spark: S, sf: D, report: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """A report of the summary beside the weeks."""
+    weekly = _landed_weekly(spark, sf)
+    return report(_summary(spark, sf, weekly), weekly)
 
 
 @query(
@@ -837,7 +854,7 @@ def origin_proportions(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name = 'X.new.tot'""",
 )
 def strata_export(spark: S, sf: D) -> DataFrame:
-    return posterior.strata_export(_summary(spark, sf), _weekly(spark, sf))
+    return _of_summary(spark, sf, posterior.strata_export)
 
 
 @query(
@@ -849,7 +866,7 @@ def strata_export(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name = 'X.all'""",
 )
 def timeseries_frame(spark: S, sf: D) -> DataFrame:
-    return posterior.timeseries_frame(_summary(spark, sf), _weekly(spark, sf))
+    return _of_summary(spark, sf, posterior.timeseries_frame)
 
 
 @query(
@@ -860,7 +877,7 @@ def timeseries_frame(spark: S, sf: D) -> DataFrame:
        ON w.run_id = m.run_id AND w.week_num = m.week_num WHERE name IN ('day.true', 'reasc.true')""",
 )
 def rate_frame(spark: S, sf: D) -> DataFrame:
-    return posterior.rate_frame(_summary(spark, sf), _weekly(spark, sf))
+    return _of_summary(spark, sf, posterior.rate_frame)
 
 
 def _pivot_sql(cell: str) -> str:
@@ -876,7 +893,7 @@ LABELS = list(posterior.REPORT_LABELS.values())
 
 @query(f"run_id s, week i, win_cnt d, {kinds(LABELS, 'd')}", _pivot_sql("round_even(mean, 0)"))
 def weekly_points(spark: S, sf: D) -> DataFrame:
-    return posterior.weekly_points(_summary(spark, sf), _weekly(spark, sf))
+    return _of_summary(spark, sf, posterior.weekly_points)
 
 
 CELL = r"""format('{:,}', round_even(mean, 0)::BIGINT) || ' (' ||
@@ -885,7 +902,7 @@ CELL = r"""format('{:,}', round_even(mean, 0)::BIGINT) || ' (' ||
 
 @query(f"run_id s, week i, win_cnt d, {kinds(LABELS, 's')}", _pivot_sql(CELL))
 def weekly_report(spark: S, sf: D) -> DataFrame:
-    return posterior.weekly_report(_summary(spark, sf), _weekly(spark, sf))
+    return _of_summary(spark, sf, posterior.weekly_report)
 
 
 @query("run_id s, param s, mean d, sd d", "SELECT run_id, param, mean, sd FROM summ WHERE param LIKE 'X.tot%' OR param = 'prop.tagged'")
@@ -898,7 +915,7 @@ def season_report(spark: S, sf: D) -> DataFrame:
 
 def _land(df: DataFrame, name: str, *by: str) -> str:
     """Landed text files in the shared folder, a folder per value of ``by``."""
-    path = f"{shared_dir(df.sparkSession)}/landed/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, f"landed-{name}")
     df.write.option("header", True).partitionBy(*by).csv(path)
     return path
 

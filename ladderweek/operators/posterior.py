@@ -26,12 +26,9 @@ def posterior_summary(draws: DataFrame) -> DataFrame:
 
     ``draws`` is long: ``run_id, chain, iter, param, value``. Adds the parameter's base name, week and second index.
     """
-    keys = ["run_id", "param"]
-    moments = draws.groupBy(*keys).agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.count("value").alias("n_draws")
-    )
-    moments = moments.withColumn("naive_se", F.col("sd") / F.sqrt("n_draws"))
-    joined = moments.join(exact_quantiles(draws, keys, "value", QUANTILES), keys, "left")
+    moments = {"mean": F.avg("value"), "sd": F.stddev_samp("value"), "n_draws": F.count("value")}
+    joined = exact_quantiles(draws, ["run_id", "param"], "value", QUANTILES, moments)
+    joined = joined.withColumn("naive_se", F.col("sd") / F.sqrt("n_draws"))
     param = F.col("param")
     return joined.withColumns(
         {"name": base_name(param), "week_num": first_number(param), "idx2": second_index(param)}

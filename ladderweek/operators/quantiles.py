@@ -1,67 +1,84 @@
-"""Exact group quantiles that do not gather a large group in one task."""
+"""Exact group quantiles that do not gather a large group in one task, and ordinals."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16  # bits of the value that each round settles
+#: A sketch of so many parts puts a rank within one part of its place.
+PARTS = 50_000
+#: Brackets of groups with more values than the first number reach so far to either side of a wanted rank, as a share of
+#: the group: four parts of the sketch at least, and five ranks. Smaller groups are one bracket.
+MARGINS = ((65_536, 4 / PARTS), (1_000, 0.005))
 
 
-def _ordered_image(value: Column) -> Column:
-    """A long that sorts as the double does: its IEEE bits, those of negative numbers turned around."""
-    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("long")
-    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], moments: dict[str, Column] | None = None
+) -> DataFrame:
+    """Linearly interpolated quantiles (the usual type 7) of ``value`` per ``keys``, one column per name in ``probs``.
 
+    ``moments`` are further aggregates of the same groups. NULL and NaN values are left out of the quantiles; -0.0 is 0.0.
+    Two passes over ``df``: the first takes, beside the moments, a mergeable sketch that brackets every wanted rank; the
+    second counts the values between the brackets, and keeps only those inside, equal ones together. Ranks then
+    follow from running counts. In large groups a bracket holds 8 in ``PARTS`` of the values, and no window holds more than
+    the brackets of one group. A rank that its bracket misses, which the sketch's bound rules out, raises.
+    """
+    named = {k: f"of_{i}" for i, k in enumerate(keys)}
+    plain = df.withColumn("v_", F.col(value).cast("double") + F.lit(0.0))
+    known = F.when(~F.isnan("v_"), F.col("v_"))
+    shares = [min(1.0, max(0.0, p + side * margin)) for _, margin in MARGINS for side in (-1, 1) for p in probs.values()]
+    cuts = F.percentile_approx(known, shares, PARTS).alias("cuts_")
+    told = {name: f"m_{name}" for name in moments or {}}
+    asked = [c.alias(told[name]) for name, c in (moments or {}).items()]
+    groups = plain.groupBy(*keys).agg(F.count(known).alias("n_"), cuts, *asked)
+    brackets = groups.select(*[F.col(k).alias(of) for k, of in named.items()], "n_", "cuts_", *told.values())
+    # Rows without a value stay, counted 0, so that a group without any does.
+    values = plain.select(*[F.col(k).alias("k_" + of) for k, of in named.items()], known.alias("v_"))
+    same = F.lit(True)
+    for of in named.values():
+        same = same & values["k_" + of].eqNullSafe(brackets[of])
+    met = values.join(brackets, same)
+    inside, beyond = F.lit(False), F.lit(0)
 
-def _value_of(image: Column) -> Column:
-    bits = F.when(image >= 0, image).otherwise(image.bitwiseXOR(F.lit(2**63 - 1)))
-    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+    def cut(side: int, j: int) -> Column:
+        out = F.lit(float("inf" if side else "-inf"))
+        for i, (size, _) in reversed(list(enumerate(MARGINS))):
+            out = F.when(F.col("n_") > size, F.col("cuts_")[(2 * i + side) * len(probs) + j]).otherwise(out)
+        return out
 
+    for j in range(len(probs)):
+        first, last = cut(0, j), cut(1, j)
+        inside = inside | F.col("v_").between(first, last)
+        beyond = beyond + (F.col("v_") > last).cast("int")
+    # Values outside all brackets lie in stretches that hold none inside, so their count and least value place them.
+    kept = F.when(inside, F.col("v_")).alias("kept")
+    stretch = F.when(~inside, beyond).alias("stretch")
+    carried = [F.first(c).alias(c) for c in told.values()]
+    counted = met.groupBy(*named.values(), stretch, kept).agg(
+        F.count("v_").alias("c"), F.min("v_").alias("at"), F.first("n_").alias("n"), *carried
+    )
+    upto = F.sum("c").over(Window.partitionBy(*named.values()).orderBy("at"))
+    placed = counted.withColumn("upto", upto)
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Linearly interpolated quantiles (the usual type 7) of ``value`` per ``keys``, one column per name in ``probs``.
+    def at_rank(rank: Column) -> Column:
+        holds = (rank >= F.col("upto") - F.col("c")) & (rank < F.col("upto"))
+        missed = F.max((holds & F.col("kept").isNull()).cast("int")) == 1
+        found = F.max(F.when(holds, F.col("kept")))
+        return F.when(missed, F.raise_error("a bracket missed its rank").cast("double")).otherwise(found)
 
-    NULL and NaN values are left out; -0.0 is 0.0. Equal values are counted together, and these counts are added
-    up by the leading 48, 32 and 16 bits of the value. Each wanted rank is then followed down from the 16 leading bits to
-    the whole value. A prefix has at most 65,536 prefixes below it, so no window or join key holds more rows than
-    that however large a group is, and nothing is sorted beyond them. One way for groups of all sizes.
-    """
-    plain = df.select(F.struct(*keys).alias("g"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"))
-    known = plain.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    prefix = _ordered_image(F.col("v")).alias("prefix")
-    counts = [known.select("g", prefix).groupBy("g", "prefix").agg(F.count("*").alias("c"))]
-    counts[0] = counts[0].persist()  # four uses; lazily filled, spilled to disk, worked out again where it is lost
-    for _ in range(64 // STEP - 1):
-        shorter = F.shiftright("prefix", STEP).alias("prefix")
-        counts.append(counts[-1].select("g", shorter, "c").groupBy("g", "prefix").agg(F.sum("c").alias("c")))
-    counts.reverse()
+    columns, share = [], {}
+    for name, p in probs.items():
+        x = F.lit(float(p)) * (F.col("n") - 1)
+        columns += [at_rank(F.floor(x)).alias(f"low_{name}"), at_rank(F.ceil(x)).alias(f"high_{name}")]
+        share[name] = F.max(x - F.floor(x)).alias(f"share_{name}")
+    ranks = placed.groupBy(*named.values()).agg(*columns, *share.values(), *carried)
+
+    def between(name: str) -> Column:
+        lower, upper = F.col(f"low_{name}"), F.col(f"high_{name}")
+        return F.when(lower == upper, lower).otherwise(lower + (upper - lower) * F.col(f"share_{name}")).alias(name)
 
-    sizes = counts[0].groupBy("g").agg(F.sum("c").alias("n"))
-    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
-    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in at.values() for f in (F.floor, F.ceil)]))
-    found = sizes.select("g", "n", F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("before"))
-    for level, table in enumerate(counts):
-        above = F.shiftright("prefix", STEP) if level else F.lit(0).cast("long")
-        placed = table.withColumn("above", above)
-        upto = F.sum("c").over(Window.partitionBy("g", "above").orderBy("prefix"))
-        placed = placed.withColumn("upto", upto).withColumnRenamed("prefix", "below")
-        if not level:
-            found = found.withColumn("above", F.lit(0).cast("long"))
-        inside = F.col("rank") - F.col("before")
-        holds = (inside >= F.col("upto") - F.col("c")) & (inside < F.col("upto"))
-        met = found.join(placed, ["g", "above"]).filter(holds)
-        found = met.select(
-            "g", "n", "rank", (F.col("before") + F.col("upto") - F.col("c")).alias("before"), F.col("below").alias("above")
-        )
-    found = found.withColumn("v", _value_of(F.col("above")))
-    columns = []
-    for name, x in at.items():
-        low = F.max(F.when(F.col("rank") == F.floor(x), F.col("v")))
-        high = F.max(F.when(F.col("rank") == F.ceil(x), F.col("v")))
-        columns.append(F.when(low == high, low).otherwise(low + (high - low) * F.max(x - F.floor(x))).alias(name))
-    done = found.groupBy("g").agg(*columns)
-    return done.select(*[F.col("g").getField(k).alias(k) for k in keys], *probs)
+    kept_names = [F.col(of).alias(k) for k, of in named.items()] + [F.col(m).alias(name) for name, m in told.items()]
+    return ranks.select(*kept_names, *[between(name) for name in probs])
 
 
 def ordinal_within(df: DataFrame, keys: list[str], column: str, alias: str, block: int = 65_536) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -25,6 +27,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can see: the one the cluster names in spark.checkpoint.dir, else one in the warehouse."""
+    """Folder every executor can see: the one the cluster names in spark.checkpoint.dir, else one in the warehouse.
+
+    A warehouse on the driver's own disk will do for a local session only.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/ladderweek-work"
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    is_local = spark.conf.get("spark.master", "local").startswith("local") and "cluster" not in spark.conf.get("spark.master", "local")
+    if not is_local and (warehouse.startswith("file:") or warehouse.startswith("/")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/ladderweek-work"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table of this session; what is there goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    of_jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
+    of_jvm.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(of_jvm)
+    return path
