@@ -27,8 +27,7 @@ from ladderweek.plans import compile as plan
 from ladderweek.plans import model_input as model
 from ladderweek.plans import union
 from ladderweek.session import scratch_path
-from ladderweek.sources import records
-from ladderweek.sources.files import read_each as files_read
+from ladderweek.sources import files, records
 
 S, D = SparkSession, str
 
@@ -395,6 +394,23 @@ def conservation_check(spark: S, sf: D) -> DataFrame:
     return rollup.conservation(daily.join(who, "run_id"), weekly, ("species", "spawn_year"), ("win_cnt", "trap_fish"))
 
 
+@query(
+    "daily_win_cnt d, weekly_win_cnt d, daily_trap_fish d, weekly_trap_fish d, conserved s",
+    """SELECT sum(win_cnt) AS daily_win_cnt, sum(win_cnt) AS weekly_win_cnt, sum(trap_fish) AS daily_trap_fish,
+       sum(trap_fish) AS weekly_trap_fish, true AS conserved FROM daily""",
+)
+def conservation_observed(spark: S, sf: D) -> DataFrame:
+    """Totals of days and weeks noted during one run of the compile, beside those of the weeks it left."""
+    audit = rollup.Audit()
+    weekly = _landed_table(_compiled(spark, sf, audit=audit).weekly, "audited")
+    audit.check()
+    days, weeks = audit.totals()["days"], audit.totals()["weeks"]
+    left = weekly.agg(F.sum("win_cnt").alias("weekly_win_cnt"), F.sum("trap_fish").alias("weekly_trap_fish"))
+    same = (F.col("weekly_win_cnt") == weeks["win_cnt"]) & (F.col("weekly_trap_fish") == weeks["trap_fish"])
+    told = {f"daily_{c}": F.lit(days[c]) for c in days}
+    return left.select("*", *[v.alias(k) for k, v in told.items()], same.alias("conserved"))
+
+
 @query(
     "run_id s, week i, week_num i, start_date s",
     """SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY start_date) AS week, week_num, start_date
@@ -433,6 +449,28 @@ def trap_crosstab(spark: S, sf: D) -> DataFrame:
     return rollup.crosstab_percent(known, "dam", "in_trap", (False, True))
 
 
+@query(
+    "ladder s, in_trap s, row_total s, column_total s, n i, of_row d, of_column d, of_all d",
+    """SELECT ladder, in_trap, gl = 1 AS row_total, gt = 1 AS column_total, n,
+         n / max(n) FILTER (gt = 1) OVER (PARTITION BY gl, ladder)::DOUBLE AS of_row,
+         n / max(n) FILTER (gl = 1) OVER (PARTITION BY gt, in_trap)::DOUBLE AS of_column,
+         n / max(n) FILTER (gl = 1 AND gt = 1) OVER ()::DOUBLE AS of_all
+       FROM (SELECT ladder, in_trap, grouping(ladder) AS gl, grouping(in_trap) AS gt, count(*) AS n FROM
+         (SELECT d.tag_id, CASE WHEN d.tag_id::BIGINT % 7 <> 0 THEN 'ladder ' || (d.tag_id::BIGINT % 3) END AS ladder,
+            t.tag_code IS NOT NULL AS in_trap FROM (SELECT DISTINCT dam, tag_id FROM det) d LEFT JOIN
+            (SELECT DISTINCT dam, tag_code FROM trap) t ON t.dam = d.dam AND t.tag_code = d.tag_id)
+         GROUP BY CUBE (ladder, in_trap))""",
+)
+def ladder_crosstab(spark: S, sf: D) -> DataFrame:
+    """Ladder side by whether the tag was also in the trap; some detections know no side."""
+    tag = F.col("tag_id").cast("long")
+    side = F.when(tag % 7 != 0, F.concat(F.lit("ladder "), (tag % 3).cast("string")))
+    seen = landed.detections(spark, sf).select("dam", "tag_id").distinct().withColumn("ladder", side)
+    caught = landed.trap_cohort(spark, sf).select("dam", F.col("tag_code").alias("tag_id")).distinct().withColumn("hit", F.lit(True))
+    known = seen.join(caught, ["dam", "tag_id"], "left").withColumn("in_trap", is_true(F.col("hit")))
+    return rollup.cube_shares(known, "ladder", "in_trap")
+
+
 # ---- trap rate ----------------------------------------------------------------------------------------------
 
 
@@ -612,7 +650,7 @@ def legacy_trap_rate_supplied(spark: S, sf: D) -> DataFrame:
 # ---- weekly table with rates --------------------------------------------------------------------------------
 
 
-def _compiled(spark: S, sf: D) -> plan.Compiled:
+def _compiled(spark: S, sf: D, **options) -> plan.Compiled:
     return plan.compile_seasons(
         spark,
         landed.seasons(spark, sf),
@@ -621,6 +659,7 @@ def _compiled(spark: S, sf: D) -> plan.Compiled:
         landed.trap_records(spark, sf),
         landed.observations(spark, sf),
         _reported_days(spark, sf),
+        **options,
     )
 
 
@@ -694,9 +733,13 @@ MODEL_FIELDS = """run_id s, week_num i, ladder i, y_window d, y_trap i, wild_fis
     hatch_exist i, tot_ladder_weeks i"""
 
 
-@query(MODEL_FIELDS + ", b_trap i", "SELECT * FROM mi")
+@query(
+    MODEL_FIELDS + ", b_trap i, trap_fish_matrix s",
+    "SELECT *, concat_ws(',', wild_fish, hnc_fish, hatch_fish) AS trap_fish_matrix FROM mi",
+)
 def model_input(spark: S, sf: D) -> DataFrame:
-    return model.model_input(_compiled(spark, sf).weekly, b_run=True)
+    rows = model.model_input(_compiled(spark, sf).weekly, b_run=True)
+    return rows.withColumn("trap_fish_matrix", F.array_join(F.transform("trap_fish_matrix", lambda x: x.cast("string")), ","))
 
 
 @query(
@@ -977,6 +1020,43 @@ def csv_sink(spark: S, sf: D) -> DataFrame:
     return spark.read.option("header", True).schema(weekly.schema).csv(_land(weekly, "weekly"))
 
 
+@query(
+    "run_id s, week_num i, start_date s, position i",
+    "SELECT run_id, week_num, start_date, row_number() OVER (ORDER BY start_date, run_id) AS position FROM weekly0",
+)
+def ordered_sink(spark: S, sf: D) -> DataFrame:
+    """Weeks of all runs written in one order over several files, with the position each has there."""
+    weekly = plan.compile_weekly(_daily(spark, sf), landed.seasons(spark, sf)).select("run_id", "week_num", "start_date")
+    path = scratch_path(spark, "ordered")
+    files.write_ordered(weekly, path, ["start_date", "run_id"], 7)
+    return files.read_ordered(spark, path)
+
+
+REPORT_SQL = """WITH given AS (SELECT 'at-' || dam AS source, dam = 'RRH' AND day(date) = 7 AS bad FROM win
+      UNION ALL SELECT 'broken', true FROM win WHERE dam = 'LWG')
+    SELECT e.source, CASE WHEN count(g.source) = 0 THEN 'missing' WHEN bool_and(bad) THEN 'broken'
+        WHEN bool_or(bad) THEN 'partly' ELSE 'read' END AS status, count(*) FILTER (NOT bad) AS rows_read,
+      count(*) FILTER (bad) AS rows_rejected
+    FROM (SELECT 'at-' || dam AS source FROM dams UNION ALL VALUES ('broken'), ('at-ZOS')) e
+    LEFT JOIN given g ON g.source = e.source GROUP BY e.source"""
+
+
+@query("source s, status s, rows_read i, rows_rejected i", f"SELECT * FROM ({REPORT_SQL})")
+def source_report(spark: S, sf: D) -> DataFrame:
+    """What one scan of all landed window files tells of every expected source: one is missing, one is broken."""
+    raw = landed.window_raw(spark, sf)
+    day = F.split("mm_dd", "-")[1].cast("int")
+    unread = (F.col("location") == "RRH") & (day == 7)
+    value = F.when(unread, F.lit("closed")).otherwise(F.col("value").cast("string"))
+    good = raw.withColumn("site", F.concat(F.lit("at-"), "location")).withColumn("value", value)
+    broken = raw.where("location = 'LWG'").withColumn("site", F.lit("broken")).withColumn("value", F.lit("no number"))
+    path = _land(good.unionByName(broken), "reported", "site")
+    scanned = files.scan_folder(spark, path, "location string, year int, mm_dd string, parameter string, value double")
+    expected = [("at-" + dam,) for dam in (*landed.DAM_OF_REGION.values(), "ZOS")] + [("broken",)]
+    site = F.regexp_extract("file", "/site=([^/]+)/", 1)
+    return files.source_report(scanned, site, spark.createDataFrame(expected, "source string"))
+
+
 @query(f"dam s, species s, date s, year i, doy i, {SUMS_D}, {MEANS_R}", "SELECT * FROM rep")
 def reported_rate_files(spark: S, sf: D) -> DataFrame:
     """A file per year and species; years without one are left out."""
@@ -984,8 +1064,8 @@ def reported_rate_files(spark: S, sf: D) -> DataFrame:
     folder = _land(text.withColumn("date", F.date_format("date", "M/d/yyyy")), "rates", "of")
     seasons = landed.seasons(spark, sf)
     years = range(seasons.first_day.year - 1, seasons.last_day.year + 1)
-    files = {f"{y}-{name}": f"{folder}/of={y}-{name}" for y in years for name in COMPILED_SPECIES}
-    rows, _ = files_read(spark, files, records.parse_reported_rates)
+    wanted = {f"{y}-{name}": f"{folder}/of={y}-{name}" for y in years for name in COMPILED_SPECIES}
+    rows, _ = files.read_each(spark, wanted, records.parse_reported_rates)
     return rows
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,34 @@ def check_conservation(daily: DataFrame, weekly: DataFrame, keys: tuple[str, ...
         raise ValueError(f"daily and weekly totals differ, for example {broken}")
 
 
+class Audit:
+    """Totals of days and of weeks, taken while the compile computes both: no job or scan of their own.
+
+    Hand it to the compile, run one action on the weekly table, then ask for ``totals`` or ``check``.
+    """
+
+    def __init__(self, columns: tuple[str, ...] = ("win_cnt", "trap_fish")):
+        self.columns = columns
+        self.seen = {"days": Observation(), "weeks": Observation()}
+
+    def watch(self, of: str, df: DataFrame, counted: Column | None = None) -> DataFrame:
+        """``df`` itself; its totals, of the rows with ``counted``, are noted under ``of`` (days or weeks) as it runs."""
+        kept = F.lit(True) if counted is None else counted
+        sums = [F.sum(F.when(kept, F.col(c)).cast("double")).alias(c) for c in self.columns]
+        return df.observe(self.seen[of], *sums)
+
+    def totals(self) -> dict[str, dict[str, float]]:
+        """What the last action saw; waits for one."""
+        return {of: {c: seen.get[c] or 0.0 for c in self.columns} for of, seen in self.seen.items()}
+
+    def check(self) -> None:
+        """Raises if a fish was lost or counted twice between days and weeks."""
+        found = self.totals()
+        broken = [c for c in self.columns if abs(found["days"][c] - found["weeks"][c]) > 1e-9 * max(1.0, abs(found["days"][c]))]
+        if broken:
+            raise ValueError(f"daily and weekly totals differ in {broken}: {found}")
+
+
 def date_range(df: DataFrame, column: str = "date", keys: tuple[str, ...] = ()) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(column).alias("first_date"), F.max(column).alias("last_date"))
 
@@ -95,3 +123,27 @@ def crosstab_percent(df: DataFrame, row: str, column: str, values: tuple) -> Dat
         *[percent(F.col(n)).alias(f"{n}_pct") for n in names],
         total.alias("n"),
     )
+
+
+def cube_shares(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Cross-tabulation with all totals: ``row, column, row_total, column_total, n, of_row, of_column, of_all``.
+
+    Grouping marks tell a total from a group whose value is NULL. Shares are of the total of the row, of the column and of
+    all. Counted before it is cubed, so the input is expanded by nothing.
+    """
+    counted = df.groupBy(row, column).agg(F.count("*").alias("c"))
+    cubed = counted.cube(row, column).agg(
+        F.sum("c").alias("n"),
+        (F.grouping(row) == 1).alias("row_total"),
+        (F.grouping(column) == 1).alias("column_total"),
+    )
+    in_row, in_column = Window.partitionBy("row_total", row), Window.partitionBy("column_total", column)
+    whole = lambda total, window: F.max(F.when(F.col(total), F.col("n"))).over(window)
+    both = F.max(F.when(F.col("row_total") & F.col("column_total"), F.col("n"))).over(Window.partitionBy())  # the cube's few rows
+    share = lambda of: F.try_divide(F.col("n").cast("double"), of.cast("double"))
+    return cubed.select(
+        row, column, "row_total", "column_total", "n",
+        share(whole("column_total", in_row)).alias("of_row"),
+        share(whole("row_total", in_column)).alias("of_column"),
+        share(both).alias("of_all"),
+    )

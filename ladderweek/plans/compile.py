@@ -87,7 +87,8 @@ def compile_seasons(
     """All runs at once: daily table, weekly table with trap rates, strata and the trap records used.
 
     Sources that do not exist may be left out. ``reported`` is the daily reported rate of ``reported_daily``.
-    ``rate_options`` are ``dedupe``, ``chinook_until`` and ``mark_sites`` of ``trap_rate.rate_from_tags``.
+    ``rate_options`` are ``dedupe``, ``chinook_until`` and ``mark_sites`` of ``trap_rate.rate_from_tags``, and ``audit``, a
+    ``rollup.Audit`` that notes the totals of days and weeks while the weekly table is computed.
     """
     empty = lambda schema: spark.createDataFrame([], schema)
     detections = detections if detections is not None else empty(TAG_INPUT)

@@ -17,6 +17,7 @@ from ladderweek.config import Seasons
 from ladderweek.functions import codes
 from ladderweek.functions.expressions import is_true, ratio
 from ladderweek.operators import tags, trap, trap_rate, window_counts
+from ladderweek.operators.rollup import Audit
 from ladderweek.operators.strata import attach_strata, within_season
 
 # Marks of the sources.
@@ -79,7 +80,9 @@ def reported_rows(daily: DataFrame, seasons: Seasons) -> DataFrame:
     return _rows(attach_strata(daily, seasons), REPORTED, DAY_KEYS, week_num=F.col("week_num"), rate_sum=rate, rate_days=known)
 
 
-def rolled_days(parts: list[DataFrame], keep_unmatched: bool, strict_null: bool) -> DataFrame:
+def rolled_days(
+    parts: list[DataFrame], keep_unmatched: bool, strict_null: bool, audit: Audit | None = None
+) -> DataFrame:
     """One row per run and stratum with the sums of its days, and all its fish, rates and days of rates.
 
     A tag counts once a day. Counts are of days with a window count, or with ``keep_unmatched`` also of days with tags.
@@ -108,6 +111,8 @@ def rolled_days(parts: list[DataFrame], keep_unmatched: bool, strict_null: bool)
         "date", is_open.cast("int").alias("window_open"), "n_fish", "rate_sum", "rate_days",
         *[c.alias(name) for name, c in shown.items()],
     )
+    if audit is not None:
+        told = audit.watch("days", told, F.col("is_day"))
     only = lambda c: F.when(F.col("is_day"), F.col(c))
     return told.groupBy("run_id", "week_num_org").agg(
         F.max(F.col("is_day").cast("int")).alias("n_days"),
@@ -203,6 +208,7 @@ def weekly_table(
     dedupe: bool = True,
     chinook_until: str = "month_8",
     mark_sites: dict | None = None,
+    audit: Audit | None = None,
 ) -> DataFrame:
     """Weekly sums, renumbered weeks, the run's identity, and the trap rate by the run's own source.
 
@@ -217,7 +223,7 @@ def weekly_table(
     by_tags, by_report = seasons.of_source("pit"), seasons.of_source("reported")
     if by_report and reported is not None:
         by_day.append(reported_rows(reported, by_report))
-    weeks = rolled_days(by_day, keep_unmatched, strict_null)
+    weeks = rolled_days(by_day, keep_unmatched, strict_null, audit)
     if by_tags:
         by_tag = [trap_tag_rows(cohort, by_tags), observation_rows(observations, by_tags, chinook_until, mark_sites)]
         weeks = weeks.unionByName(rolled_tags(by_tag, dedupe), allowMissingColumns=True)
@@ -254,7 +260,7 @@ def weekly_table(
     told = F.col("trap_rate_source") == "reported"
     reported_rate = ratio(F.col("rate_sum"), F.col("rate_days"))
     fished = F.when(told, reported_rate > 0).otherwise(F.col("n_trap_tags") > 0)
-    return rated.withColumns(
+    rated = rated.withColumns(
         {
             "trap_rate": F.when(told, reported_rate).otherwise(F.col("trap_rate")),
             "trap_rate_se": F.when(told, reported_rate * F.col("cv")).otherwise(F.col("trap_rate_se")),
@@ -262,3 +268,4 @@ def weekly_table(
             "few_tags": F.when(~told, F.col("n_poss_tags") < trap_rate.MIN_TAGS),
         }
     ).drop("n_days", "n_fish", "rate_sum", "rate_days", "trap_rate_source", "cv")
+    return rated if audit is None else audit.watch("weeks", rated)

@@ -198,3 +198,48 @@ def test_rollup_rules(spark):
 def test_calendar_week_is_not_iso(spark):
     df = spark.createDataFrame([(D(2019, 8, 12),), (D(2019, 1, 7),), (D(2019, 1, 8),), (D(2020, 12, 31),)], "d date")
     assert [r[0] for r in df.select(calendar_week(F.col("d"))).collect()] == [32, 1, 2, 53]
+
+
+def test_one_scan_reports_every_source(spark, tmp_path):
+    for name, lines in {"a": ["LWG,5", "LWG,6"], "b": ["LWG,5", "LWG,x", "LWG"], "c": ["LWG,x"], "empty": []}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text("\n".join(["location,value", *lines]) + "\n")
+    (tmp_path / "a" / "more.csv").write_text("location,value\nPRD,7\n")
+    scanned = files.scan_folder(spark, str(tmp_path), "location string, value double")
+    expected = spark.createDataFrame([(x,) for x in ("a", "b", "c", "empty", "none")], "source string")
+    report = files.source_report(scanned, F.regexp_extract("file", "/([^/]+)/[^/]+$", 1), expected)
+    assert {tuple(r) for r in report.collect()} == {
+        ("a", "read", 2, 3, 0), ("b", "partly", 1, 1, 2), ("c", "broken", 1, 0, 1), ("empty", "missing", 0, 0, 0), ("none", "missing", 0, 0, 0),
+    }
+
+
+def test_ordered_files_tell_positions(spark, tmp_path):
+    rows = [(k * 37 % 101, "x" if k % 3 else None) for k in range(101)] + [(5, "y")] * 3
+    path = str(tmp_path / "ordered")
+    files.write_ordered(spark.createDataFrame(rows, "k int, t string").repartition(4), path, ["k", "t"], 6)
+    got = sorted((r.position, r.k, r.t) for r in files.read_ordered(spark, path).collect())
+    assert [(k, t) for _, k, t in got] == sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    assert [p for p, _, _ in got] == list(range(1, 105))
+
+
+def test_cube_tells_totals_from_unknown(spark):
+    df = spark.createDataFrame([("l", True)] * 3 + [("l", False)] + [(None, True)] * 4 + [("r", None)] * 2, "a string, b boolean")
+    got = {(r.a, r.b, r.row_total, r.column_total): r for r in rollup.cube_shares(df, "a", "b").collect()}
+    assert len(got) == 4 + 3 + 3 + 1
+    assert got["l", True, False, False].of_row == 0.75 and got["l", True, False, False].of_column == 3 / 7
+    assert got[None, None, True, True].n == 10 and got[None, None, False, True].n == 4 and got[None, None, True, False].n == 2
+
+
+def test_audit_raises_where_a_fish_is_lost(spark):
+    days = spark.createDataFrame([("r", 1, 5.0, 2), ("r", 1, 6.0, None), ("r", 2, None, 1)], "run_id string, week int, win_cnt double, trap_fish long")
+    for lost in (False, True):
+        audit = rollup.Audit()
+        weeks = audit.watch("days", days).groupBy("run_id", "week").agg(F.sum("win_cnt").alias("win_cnt"), F.sum("trap_fish").alias("trap_fish"))
+        kept = weeks.filter((F.col("week") < 2) | F.lit(not lost))
+        audit.watch("weeks", kept).write.format("noop").mode("overwrite").save()
+        assert audit.totals()["days"] == {"win_cnt": 11.0, "trap_fish": 3.0}
+        if lost:
+            with pytest.raises(ValueError):
+                audit.check()
+        else:
+            audit.check()
