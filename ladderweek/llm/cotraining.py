@@ -1,13 +1,15 @@
 """Quality classifier by co-training on two views of a document.
 
 One view is the text's content: which words it holds, hashed. The other is the page around it: language, source,
-size, and how lines, letters, signs and repeats are laid out. A logistic model per view is fitted to a sample of labelled
-documents. Over several rounds each view labels the unlabelled documents it is surest of for the other one, and both are
-fitted again. Labelled documents kept aside calibrate both views and their combination, which scores every document.
+size, and how lines, letters, signs and repeats are laid out. Both views of every document are worked out once and stored.
+A logistic model per view is fitted to a sample of labelled documents. Over several rounds both views score all unlabelled
+documents; those that one is sure of, and the other does not contradict, get its pseudo-label, chosen anew each round, and the other
+view is fitted again with them. Labelled documents kept aside calibrate both views and their combination, which scores all.
 
-Fitting sees at most ``labelled_rows`` labelled and ``unlabelled_rows`` other documents, chosen by a hash of the id; both
-bounds are parameters, so the models are fitted in the driver and are of fixed size. Scoring covers every whole text.
-A document is good if its quality label is 1 and it is not labelled toxic.
+Models are fitted in the driver to bounded samples of labelled rows: at most ``labelled_rows`` documents with a label, and of
+the documents with a pseudo-label at most ``taken`` of each view and class, drawn by a hash of the id; both are parameters. What
+is scored, searched and labelled in a round is every unlabelled document. A document is good if its quality label is 1
+and it is not labelled toxic. Rounds run while the result is being built.
 
 Defined results: a NULL text is empty; NULL language or source is a value of its own; of repeated labels the lower
 quality and the higher toxicity count, NULL labels are left out; without labels of both kinds every score is 0.5 and every
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ladderweek.llm.common import held
+from ladderweek.llm.common import held, stored
 
 TEXT_BITS = 18
 N_META = 14 + 16 + 64
@@ -159,153 +161,180 @@ class Model:
         return sigmoid(text_logit), sigmoid(meta_logit), sigmoid(both_views(text_logit, meta_logit) @ self.combine)
 
 
-def co_train(rows: Rows, label: np.ndarray, rounds: int, share: float) -> Model | None:
-    """``label``: 1 good, 0 bad, -1 unknown. A fifth of the labelled rows calibrates and is not fitted to."""
-    known = np.flatnonzero(label >= 0)
-    aside = known[::5]
-    fitted = np.setdiff1d(known, aside)
-    pool = np.flatnonzero(label < 0)
+def views_of(texts: list[bytes | None], langs: list, sources: list) -> tuple[list[np.ndarray], np.ndarray]:
+    slots = held("word_slots", WordSlots)
+    text = [text_view(t or b"", slots) for t in texts]
+    return text, np.stack([page_view(t or b"", a, b) for t, a, b in zip(texts, langs, sources, strict=True)])
+
+
+def both_views_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, slots, meta): the views of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                text, meta = views_of(*(some.column(i).to_pylist() for i in (1, 2, 3)))
+                sizes = np.zeros(len(text) + 1, np.int32)
+                np.cumsum([len(x) for x in text], out=sizes[1:])
+                slots = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(text).astype(np.int32)))
+                at_meta = pa.array(np.arange(len(text) + 1, dtype=np.int32) * N_META)
+                dense = pa.ListArray.from_arrays(at_meta, pa.array(meta.ravel().astype(np.float32)))
+                yield pa.RecordBatch.from_arrays([some.column(0), slots, dense], ["doc_id", "slots", "meta"])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), "lang", "source")
+    return own.mapInArrow(run, "doc_id long, slots array<int>, meta array<float>")
+
+
+def as_rows(slots: pa.Array, meta: pa.Array) -> Rows:
+    lens = pc.list_value_length(slots).to_numpy(zero_copy_only=False)
+    flat = [x.flatten().to_numpy(zero_copy_only=False) for x in (slots, meta)]
+    return Rows(flat[0], np.repeat(np.arange(len(lens), dtype=np.int32), lens), flat[1].reshape(-1, N_META).astype(float))
+
+
+def together(parts: list[Rows]) -> Rows:
+    """The rows of all parts, one after the other."""
+    firsts = np.cumsum([0] + [len(p.meta) for p in parts[:-1]])
+    owners = [p.owner + np.int32(first) for p, first in zip(parts, firsts.tolist(), strict=True)]
+    return Rows(np.concatenate([p.slots for p in parts]), np.concatenate(owners), np.concatenate([p.meta for p in parts]))
+
+
+def sure(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """1 or 0 where one view is sure and the other does not contradict, else -1; both are logits."""
+    return np.where((mine < -2) & (other < 1), 0, np.where((mine > 2) & (other > -1), 1, -1))
+
+
+def pseudo_labels(views: DataFrame, labelled: DataFrame, text: np.ndarray, meta: np.ndarray) -> DataFrame:
+    """(doc_id, by, good): every unlabelled document that a view (``by`` 0 text, 1 page) is sure of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = as_rows(batch.column(1), batch.column(2))
+                by_text, by_page = rows.text_scores(text), rows.meta @ meta
+                for by, label in enumerate((sure(by_text, by_page), sure(by_page, by_text))):
+                    at = np.flatnonzero(label >= 0)
+                    columns = [batch.column(0).take(pa.array(at)), pa.array(np.full(len(at), by, np.int32)), pa.array(label[at].astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "by", "good"])
+
+    known = views.where("doc_id is not null")
+    found = known.mapInArrow(run, "doc_id long, by int, good int")
+    return found.join(labelled.select("doc_id"), "doc_id", "left_anti").groupBy("doc_id", "by").agg(F.min("good").alias("good"))
+
+
+def drawn(rows: DataFrame, most: int) -> list:
+    """At most ``most`` rows, by a hash of the id."""
+    return rows.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(most).collect()
+
+
+def fetched(views: DataFrame, chosen: list[tuple[int, int]]) -> tuple[Rows, np.ndarray]:
+    """Views and labels of the chosen (doc_id, good), one row an id; as many as the bounds of the samples allow."""
+    wanted = F.broadcast(views.sparkSession.createDataFrame(chosen, "doc_id long, good int"))
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("slots", "meta")))
+    mine = views.join(wanted, "doc_id").withColumn("one", one).where("one = 1")
+    got = mine.select("doc_id", "good", "slots", "meta").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toArrow()
+    rows = as_rows(got.column("slots").combine_chunks(), got.column("meta").combine_chunks())
+    return rows, np.array(got.column("good").to_pylist())
+
+
+def co_train(rows: Rows, label: np.ndarray, rounds: int, ask) -> Model | None:
+    """Models of the labelled rows and of what ``ask(text weights, page weights)`` labels.
+
+    It returns, for the text view's labels and for the page view's, (rows, labels). A fifth of the labelled rows calibrates
+    and is not fitted to.
+    """
+    aside = np.arange(0, len(label), 5)
+    fitted = np.setdiff1d(np.arange(len(label)), aside)
     if len(set(label[fitted].tolist())) < 2 or len(set(label[aside].tolist())) < 2:
         return None
-    of_text = {int(i): int(label[i]) for i in fitted}
-    of_meta = dict(of_text)
-
-    def fit(given: dict[int, int], text: bool) -> np.ndarray:
-        at = np.array(sorted(given))
-        y = np.array([given[i] for i in at.tolist()], float)
-        weight = np.where(label[at] >= 0, 1.0, 0.5)
-        if not text:
-            return fit_dense(rows.meta[at], y, weight)
-        number = np.full(len(rows.meta), -1, np.int32)
+
+    def part(at: np.ndarray) -> Rows:
+        number = np.full(len(label), -1, np.int32)
         number[at] = np.arange(len(at), dtype=np.int32)
         mine = number[rows.owner] >= 0
-        return fit_text(Rows(rows.slots[mine], number[rows.owner[mine]], rows.meta[at]), y, weight)
+        return Rows(rows.slots[mine], number[rows.owner[mine]], rows.meta[at])
+
+    base, truth = part(fitted), label[fitted].astype(float)
+
+    def fit_view(more: tuple[Rows, np.ndarray] | None, text: bool) -> np.ndarray:
+        every, y = (base, truth) if more is None else (together([base, more[0]]), np.append(truth, more[1]))
+        weight = np.where(np.arange(len(y)) < len(truth), 1.0, 0.5)
+        return fit_text(every, y, weight) if text else fit_dense(every.meta, y, weight)
 
-    w_text, w_meta = fit(of_text, True), fit(of_meta, False)
+    w_text, w_meta = fit_view(None, True), fit_view(None, False)
     for _ in range(rounds):
-        by_text, by_page = rows.text_scores(w_text), rows.meta @ w_meta
-        for score, check, other in ((by_text, by_page, of_meta), (by_page, by_text, of_text)):
-            free = np.array([i for i in pool.tolist() if i not in other])
-            if not len(free):
-                continue
-            order = free[np.argsort(score[free], kind="stable")]
-            take = max(1, int(share * len(pool)))
-            lows, highs = order[:take], order[-take:]  # the surest, if sure at all and not contradicted
-            lows = lows[(score[lows] < -2) & (check[lows] < 1)]
-            highs = highs[(score[highs] > 2) & (check[highs] > -1)]
-            other.update({int(i): 0 for i in lows} | {int(i): 1 for i in highs})
-        w_text, w_meta = fit(of_text, True), fit(of_meta, False)
+        by_text, by_page = ask(w_text, w_meta)
+        w_text, w_meta = fit_view(by_page, True), fit_view(by_text, False)
     views = both_views(rows.text_scores(w_text), rows.meta @ w_meta)
     good = label[aside].astype(float)
     return Model(w_text, w_meta, fit_dense(views[aside], good, np.ones(len(good)), l2=1.0))
 
 
-def views_of(texts: list[bytes | None], langs: list, sources: list) -> tuple[list[np.ndarray], np.ndarray]:
-    slots = held("word_slots", WordSlots)
-    text = [text_view(t or b"", slots) for t in texts]
-    return text, np.stack([page_view(t or b"", a, b) for t, a, b in zip(texts, langs, sources, strict=True)])
-
-
-def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int, unlabelled_rows: int, rounds: int, share: float) -> Model | None:
-    clean = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+def fit(views: DataFrame, labels: DataFrame, labelled_rows: int, taken: int, rounds: int) -> Model | None:
+    clean = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good")
     )
-    ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    order = F.xxhash64("doc_id", F.lit(5))
-    with_label = ids.join(clean, "doc_id").orderBy(order, "doc_id").limit(labelled_rows)
-    without = ids.join(clean, "doc_id", "left_anti").orderBy(order, "doc_id").limit(unlabelled_rows)
-    chosen = [(r.doc_id, r.good) for r in with_label.collect()] + [(r.doc_id, -1) for r in without.collect()]
+    ids = views.select("doc_id").where("doc_id is not null").distinct()
+    chosen = [(r.doc_id, r.good) for r in drawn(ids.join(clean, "doc_id"), labelled_rows)]
     if not chosen:
         return None
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, good int"))  # bounded by the two parameters
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                text, meta = views_of(*(batch.column(i).to_pylist() for i in (1, 2, 3)))
-                parts = [batch.column(0), batch.column(4), pa.array(text, pa.list_(pa.int32()))]
-                parts.append(pa.array(list(meta), pa.list_(pa.float32())))
-                yield pa.RecordBatch.from_arrays(parts, ["doc_id", "good", "slots", "meta"])
-
-    bound = labelled_rows + unlabelled_rows
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"), "lang", "source")
-    sample = own.join(wanted, "doc_id").select("doc_id", "text", "lang", "source", "good")
-    sample = sample.withColumn("one", one).where("one = 1").drop("one")
-    seen = sample.mapInArrow(run, "doc_id long, good int, slots array<int>, meta array<float>").limit(bound)
-    got = seen.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toArrow()
-    lens = pc.list_value_length(got.column("slots")).to_numpy()
-    slots = got.column("slots").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    meta = got.column("meta").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_META)
-    rows = Rows(slots, np.repeat(np.arange(len(lens), dtype=np.int32), lens), meta.astype(float))
-    label = np.array(got.column("good").to_pylist())
-    del got
-    return co_train(rows, label, rounds, share)
-
-
-def scorer(model: Model):
-    """Scores of a batch of documents by a model, as a function that tasks can run."""
-    shared = SparkSession.active().sparkContext.broadcast((model.text, model.meta, model.combine))  # of fixed size
-
-    def scores(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        model, found = Model(*shared.value), []
-        for at in range(0, len(texts), 512):
-            part = [x.slice(at, 512) for x in (texts, langs, sources)]
-            text, meta = views_of(part[0].cast(pa.binary()).to_pylist(), part[1].to_pylist(), part[2].to_pylist())
-            logit = np.array([model.text[x].sum() for x in text]) + model.text[-1]
-            found.append(model.scores(logit, meta.astype(float)))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-    return scores
+    def ask(text: np.ndarray, meta: np.ndarray) -> list[tuple[Rows, np.ndarray] | None]:
+        found = stored(pseudo_labels(views, clean, text, meta), "pseudo")
+        given = []
+        for by in (0, 1):
+            picked = [(r.doc_id, r.good) for good in (0, 1) for r in drawn(found.where((F.col("by") == by) & (F.col("good") == good)), taken)]
+            given.append(fetched(views, picked) if picked else None)
+        return given
+
+    return co_train(*fetched(views, chosen), rounds, ask)
 
 
 def classify(
-    docs: DataFrame,
-    labels: DataFrame,
-    labelled_rows: int = 8_000,
-    unlabelled_rows: int = 4_000,
-    rounds: int = 3,
-    share: float = 0.05,
-    keep_from: float = 0.5,
+    docs: DataFrame, labels: DataFrame, labelled_rows: int = 8_000, taken: int = 500, rounds: int = 3, keep_from: float = 0.5
 ) -> DataFrame:
-    """(doc_id, text_score, page_score, score, kept) for every document."""
-    model = fit(docs, labels, labelled_rows, unlabelled_rows, rounds, share)
+    """(doc_id, text_score, page_score, score, kept) for every document, from its stored views."""
+    views = stored(both_views_of(docs), "views")
+    model = fit(views, labels, labelled_rows, taken, rounds)
     if model is None:
         half = [F.lit(0.5).alias(c) for c in ("text_score", "page_score", "score")]
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *half, F.lit(True).alias("kept"))
-    scores = scorer(model)
+        return views.select("doc_id", *half, F.lit(True).alias("kept"))
+    shared = shared_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
             if batch.num_rows:
-                found = scores(*batch.columns[1:])
+                rows = as_rows(batch.column(1), batch.column(2))
+                found = model.scores(rows.text_scores(model.text), rows.meta)
                 parts = [batch.column(0), *map(pa.array, found), pa.array(found[2] >= keep_from)]
                 yield pa.RecordBatch.from_arrays(parts, ["doc_id", "text_score", "page_score", "score", "kept"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source")
-    return rows.mapInArrow(run, "doc_id long, text_score double, page_score double, score double, kept boolean")
+    return views.mapInArrow(run, "doc_id long, text_score double, page_score double, score double, kept boolean")
+
+
+def shared_model(model: Model):
+    return SparkSession.active().sparkContext.broadcast((model.text, model.meta, model.combine))  # of fixed size
 
 
 def keep_good(
-    docs: DataFrame,
-    labels: DataFrame,
-    labelled_rows: int = 8_000,
-    unlabelled_rows: int = 4_000,
-    rounds: int = 3,
-    share: float = 0.05,
-    keep_from: float = 0.5,
+    docs: DataFrame, labels: DataFrame, labelled_rows: int = 8_000, taken: int = 500, rounds: int = 3, keep_from: float = 0.5
 ) -> DataFrame:
     """The documents with a score of ``keep_from`` or more, their columns as they are."""
-    model = fit(docs, labels, labelled_rows, unlabelled_rows, rounds, share)
+    model = fit(stored(both_views_of(docs), "views"), labels, labelled_rows, taken, rounds)
     if model is None:
         return docs
-    scores = scorer(model)
+    shared = shared_model(model)
     at = [docs.columns.index(c) for c in ("text", "lang", "source")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(scores(*(batch.column(i) for i in at))[2] >= keep_from))
+        model = Model(*shared.value)
+        for whole in batches:
+            for first in range(0, whole.num_rows, 512):
+                batch = whole.slice(first, 512)
+                columns = [batch.column(i) for i in at]
+                text, meta = views_of(columns[0].cast(pa.binary()).to_pylist(), columns[1].to_pylist(), columns[2].to_pylist())
+                logit = np.array([model.text[x].sum() for x in text]) + model.text[-1]
+                yield batch.filter(pa.array(model.scores(logit, meta.astype(float))[2] >= keep_from))
 
     return docs.mapInArrow(run, docs.schema)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ladderweek.llm import cotraining, fingerprints, perplexity
 
@@ -159,6 +160,55 @@ def test_held_out_documents_are_told_apart(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_every_unlabelled_document_is_asked(spark):
+    """Pseudo-labels against the plain rule over all documents, repeated ids and NULL ids included."""
+    docs, labels = labelled(spark)
+    docs = docs.unionByName(docs.where("doc_id % 50 = 0")).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    views = cotraining.both_views_of(docs)
+    rng = np.random.default_rng(3)
+    text, meta = rng.normal(0, 0.3, (1 << cotraining.TEXT_BITS) + 1), rng.normal(0, 1.5, cotraining.N_META)
+    got = cotraining.pseudo_labels(views, labels.where("doc_id < 100"), text, meta).collect()
+    want, slots = Counter(), cotraining.WordSlots()
+    for r in docs.collect():
+        a = text[-1] + text[cotraining.text_view(r.text.encode(), slots)].sum()
+        b = cotraining.page_view(r.text.encode(), r.lang, r.source) @ meta
+        if r.doc_id is not None and not (r.doc_id < 100 and r.doc_id % 3):
+            for by, (x, y) in enumerate(((a, b), (b, a))):
+                if (x < -2 and y < 1) or (x > 2 and y > -1):
+                    want[r.doc_id, by, int(x > 2)] = 1
+    assert Counter(map(tuple, got)) == want and len(want) > 50
+
+
+def test_rounds_move_labels_between_the_views(spark):
+    """The models of the whole run equal those of a plain loop that holds all documents."""
+    docs, labels = labelled(spark)
+    views = cotraining.both_views_of(docs).cache()
+    model = cotraining.fit(views, labels, 150, 10_000, 2)
+    good = {r.doc_id: int(r.quality == 1 and not r.toxic) for r in labels.collect() if r.doc_id is not None and r.quality is not None}
+    rows = views.where("doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toPandas()
+    marked = [i for i, d in enumerate(rows.doc_id) if d in good][:150]
+    free = [i for i, d in enumerate(rows.doc_id) if d not in good]
+
+    def part(at):
+        lens = [len(rows.slots[i]) for i in at]
+        owner = np.repeat(np.arange(len(at), dtype=np.int32), lens)
+        meta = np.array([rows.meta[i] for i in at], float).reshape(-1, cotraining.N_META)
+        return cotraining.Rows(np.concatenate([rows.slots[i] for i in at]), owner, meta)
+
+    def ask(text, meta):
+        every = part(free)
+        a, b = every.text_scores(text), every.meta @ meta
+        given = []
+        for label in (cotraining.sure(a, b), cotraining.sure(b, a)):
+            at = [k for k in range(len(free)) if label[k] >= 0]
+            given.append((part([free[k] for k in at]), label[at]) if at else None)
+        return given
+
+    plain = cotraining.co_train(part(marked), np.array([good[rows.doc_id[i]] for i in marked]), 2, ask)
+    for mine, theirs in ((model.text, plain.text), (model.meta, plain.meta), (model.combine, plain.combine)):
+        assert np.allclose(mine, theirs, atol=1e-6)
+
+
 def test_edges_are_scored(spark, edge_docs):
     _, labels = labelled(spark)
     some = labels.unionByName(spark.createDataFrame([(i, i % 2, 0) for i in range(700, 730)], labels.schema))
