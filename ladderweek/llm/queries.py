@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladderweek.llm import (
@@ -167,6 +167,25 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL = "\\### Assistant: </turn> ok"
 
 
+def typed_parts() -> Column:
+    """A turn's text among other parts: user turns bring an image, an audio or a document by a hash of their place."""
+    place = F.xxhash64("conv_id", "turn")
+    of = lambda n: F.pmod(place, F.lit(n))
+    ref = lambda kind: F.concat_ws("/", F.lit(kind), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    mine = F.col("role") == "user"
+    image = chat.part("image", ref=ref("image"), width=64 + of(1900), height=64 + of(1301))
+    audio = chat.part("audio", ref=ref("audio"), seconds=of(900) / 8)
+    document = chat.part("document", ref=ref("document"), pages=of(40))
+    return F.array_compact(
+        F.array(
+            F.when(mine & (of(3) == 0), image),
+            chat.part("text", text=F.col("text")),
+            F.when(mine & (of(5) == 0), audio),
+            F.when(mine & (of(7) == 0), document),
+        )
+    )
+
+
 def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -175,7 +194,7 @@ def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL).alias("text"),
     )
-    turns = turns.unionByName(extra).withColumn("parts", chat.text_parts(F.col("text")))
+    turns = turns.unionByName(extra).withColumn("parts", typed_parts())
     made = chat.format_conversations(turns)
     read = made.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn(
         "loss", chat.masked_text(F.col("formatted"), F.col("loss_spans"))
@@ -189,6 +208,10 @@ def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         sha(F.col("loss")).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        F.flatten(F.transform("turns", lambda t: t["placeholders"])).alias("placeholders"),
+        F.transform("attachments", lambda a: F.concat(a["type"], F.lit("#"), a["ordinal"].cast("string"))).alias("attached"),
+        F.transform("attachments", lambda a: a["ref"]).alias("refs"),
+        F.transform("attachments", lambda a: a["n_tokens"]).alias("expanded_tokens"),
     )
 
 

@@ -1,6 +1,7 @@
 """URL rules, chat formatting and revisit resolution."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -84,29 +85,72 @@ def test_formatting_is_read_back_exactly(spark):
         assert got[conv].n_turns == len(mine)
 
 
+def plain_tokens(kind, n, width, height, seconds, pages):
+    if n is not None:
+        return max(0, n)
+    if kind == "image":
+        tiles = -(-max(0, width or 0) // 512) * -(-max(0, height or 0) // 512)
+        return 85 + 170 * tiles if tiles else 0
+    if kind == "audio":
+        return math.ceil(max(0, seconds or 0) * 25)
+    return max(0, pages or 0) * 600 if kind == "document" else 0
+
+
 def test_parts_become_placeholders_in_order(spark):
+    none = (None,) * 4
     parts = [
-        ("text", "see <|end|>", None, None),
-        ("image", None, "s3://i/1.png", 256),
-        ("audio", "ignored", "a.wav", -3),
-        ("text", None, None, None),
-        (None, None, "r", None),
-        ("document", None, "d.pdf", 900),
-    ]
-    turns = spark.createDataFrame(
-        [(1, 0, "user", parts), (1, 1, "assistant", None), (1, 2, "assistant", [])],
-        f"conv_id long, turn long, role string, parts array<{chat.PART}>",
-    )
-    (row,) = chat.format_conversations(turns).collect()
-    body = "see <\\|end|><|attach:image|><|attach:audio|><|attach:null|><|attach:document|>"
-    assert row.formatted == f"<|user|>\n{body}<|end|>" + "<|assistant|>\n<|end|>" * 2
-    assert [tuple(a) for a in row.attachments] == [
-        ("image", "s3://i/1.png", 256), ("audio", "a.wav", 0), (None, "r", 0), ("document", "d.pdf", 900),
+        ("text", "see <|end|> <|attach:image#1|>", None, None, *none),
+        ("image", None, "s3://i/1.png", 256, 9000, 9000, None, None),
+        ("audio", "ignored", "a.wav", -3, *none),
+        ("text", None, None, None, *none),
+        (None, None, "r", None, 5, 5, 1.5, 5),
+        ("document", None, "d.pdf", None, None, None, None, 3),
+        ("image", None, "i", None, 513, 512, None, None), ("image", None, "i", None, 0, 512, None, None),
+        ("audio", None, "i", None, None, None, 0.05, None), ("odd|>#7", None, None, None, *none),
     ]
-    assert [s.length for s in row.loss_spans] == [0, 0]
+    rows = [(1, 0, "user", parts), (1, 1, "assistant", None), (1, 2, "assistant", []), (1, 3, "assistant", parts[:2])]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    made = chat.format_conversations(turns)
+    (row,) = made.withColumn("read", chat.read_turns(F.col("formatted"))).withColumn(
+        "loss", chat.masked_text(F.col("formatted"), F.col("loss_spans"))
+    ).collect()
+    text = "see <\\|end|> <\\|attach:image#1|>"
+    marks = ["image#1", "audio#2", "null#3", "document#4", "image#5", "image#6", "audio#7", "odd|\\>#7#8"]
+    body = text + "".join(f"<|attach:{m}|>" for m in marks)
+    last = f"<|assistant|>\n{text}<|attach:image#1|><|end|>"
+    assert row.formatted == f"<|user|>\n{body}<|end|>" + "<|assistant|>\n<|end|>" * 2 + last
+    wanted = [(p[0], p[2], plain_tokens(p[0], *p[3:]), k) for k, p in enumerate((p for p in parts if p[0] != "text"), 1)]
+    assert [tuple(a) for a in row.attachments] == [*wanted, ("image", "s3://i/1.png", 256, 1)]
+    assert [a.n_tokens for a in row.attachments] == [256, 0, 0, 1800, 425, 0, 2, 0, 256]
+    assert row.read[0].placeholders == [*marks[:-1], "odd|>#7#8"] and row.read[0].content == parts[0][1]
+    assert row.loss == parts[0][1] and len(row.loss_spans) == 3
     assert chat.format_conversations(turns.limit(0)).collect() == []
 
 
+def test_query_has_every_kind_of_part(spark):
+    from ladderweek.llm.queries import op8_chat_parts
+
+    sf = "/root/testdata/sf0.01"
+    turns = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        turns.setdefault(r.conv_id, []).append((r.turn, r.role, r.text or ""))
+    got = {r.conv_id: r for r in op8_chat_parts(spark, sf).collect()}
+    assert set(got) == {*turns, -7}
+    kinds = Counter()
+    for conv, rows in turns.items():
+        r, rows = got[conv], sorted(rows)
+        told = "".join(f"{role}\n{text}\n" for _, role, text in rows)
+        loss = "".join(text for _, role, text in rows if role == "assistant")
+        assert (r.n_turns, r.turns_sha256) == (len(rows), hashlib.sha256(told.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert r.placeholders == r.attached and len(r.refs) == len(r.expanded_tokens) == len(r.attached)
+        kinds.update(a.split("#")[0] for a in r.attached)
+        for name, ref in zip(r.attached, r.refs, strict=True):
+            kind, at, turn = ref.split("/")
+            assert name.startswith(kind) and int(at) == conv and (int(turn), "user") in {(t, role) for t, role, _ in rows}
+    assert min(kinds[k] for k in ("image", "audio", "document")) > 10
+
+
 RECORD = "record_id long, url string, ts long, status int, headers map<string,string>, body string, part int"
 
 
