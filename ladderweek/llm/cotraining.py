@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ladderweek.llm.common import held, stored
+from ladderweek.llm.common import held, release, stored
 
 TEXT_BITS = 18
 N_META = 14 + 16 + 64
@@ -38,10 +38,10 @@ SIGNS = b"#*$%&|<>!?@^~_=+{}[]\\"
 
 
 class WordSlots(dict):
-    """Word -> slots of the hashed text view: the word and its first 4, 5 and 6 bytes; forgets beyond 500,000 words."""
+    """Word -> slots of the hashed text view: the word and its first 4, 5 and 6 bytes; forgets beyond 250,000 words."""
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         bare = word.strip(b".,;:")
         forms = [bare, *(b"^" + bare[:k] for k in (4, 5, 6) if len(bare) > k)]
@@ -208,6 +208,7 @@ def pseudo_labels(views: DataFrame, labelled: DataFrame, text: np.ndarray, meta:
     """(doc_id, by, good): every unlabelled document that a view (``by`` 0 text, 1 page) is sure of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             if batch.num_rows:
                 rows = as_rows(batch.column(1), batch.column(2))
@@ -302,6 +303,7 @@ def classify(
     shared = shared_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = Model(*shared.value)
         for batch in batches:
             if batch.num_rows:
