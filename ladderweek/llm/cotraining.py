@@ -38,10 +38,10 @@ SIGNS = b"#*$%&|<>!?@^~_=+{}[]\\"
 
 
 class WordSlots(dict):
-    """Word -> slots of the hashed text view: the word and its first 4, 5 and 6 bytes; forgets beyond 250,000 words."""
+    """Word -> slots of the hashed text view: the word and its first 4, 5 and 6 bytes; forgets beyond 100,000 words."""
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 250_000:
+        if len(self) > 100_000:
             self.clear()
         bare = word.strip(b".,;:")
         forms = [bare, *(b"^" + bare[:k] for k in (4, 5, 6) if len(bare) > k)]
