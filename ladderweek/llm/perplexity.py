@@ -1,37 +1,41 @@
 """Quality rules: layout rules, then perplexity bands of a Kneser-Ney n-gram model per language.
 
-The model's tokens are characters, folded to 64 symbols: blanks, digits, capitals, a to z, signs, and other letters in
-twenty classes. Spark counts the 4-grams of all documents that pass the layout rules, for each language. Modified
-Kneser-Ney smoothing (three discounts per order, lower orders by the number of different left neighbours) turns
-them into sorted arrays of n-gram hashes with their discounted probability, and of context hashes with their back-off
-weight; a hash is the four symbols packed in 24 bits, so it is exact. A language has at most 2 ** 24 of them
-whatever the size of the corpus. That bounds what one task builds and what is broadcast; models that together are larger
-than ``broadcast_bytes`` are broadcast and applied one language after the other.
+The model's tokens are characters, each for itself (those beyond the 65,536 of the basic plane in 6,400 classes). Spark counts
+the 4-grams of all documents that pass the layout rules, for each language; a gram is its four symbols side by side in a
+64-bit number, so nothing is merged and the model grows with what is written in the corpus. Modified Kneser-Ney smoothing
+(three discounts per order from the counts of counts, lower orders by the number of different left neighbours, interpolated down to even
+chances) is done by Spark as well, in groups of one context, which has 65,536 followers at most. The log probabilities are
+stored as shards by hash of the gram, each a sorted array of grams with its probabilities beside it. Shards of up
+to ``broadcast_bytes`` together are sent to the workers at a time, which look grams up by binary search; a larger model
+takes several passes over the documents, whose sums are added up.
 
 A text's score is its negative log probability per word, the logarithm of its perplexity. Per language, the middle and the spread around it
 come from exact counts of rounded scores, for texts of similar length (by powers of two), because short texts scatter more.
 Both are taken where the scores lie closest, from different texts, so that a third of bad texts does not widen the band.
 A text outside ``below`` and ``above`` spreads of its band is rejected.
 
-Defined results: a NULL or blank text has no word, fails the layout rules and has a NULL score; NULL is a language of its
-own; a band of fewer than ``band_rows`` texts uses that of all lengths of its language; repeated rows are judged alike;
-an empty table gives an empty one. Other columns of the input are not read.
+Defined results: a NULL or blank text has no word; a text that fails the layout rules is not asked for its score, which is
+NULL; NULL is a language of its own; a band of fewer than ``band_rows`` texts uses that of all lengths of its language;
+repeated rows are judged alike; an empty table gives an empty one. Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderweek.llm.common import release, stored
 
-ORDER, BITS = 4, 6
+ORDER, BITS = 4, 16
+#: Symbols beyond the basic plane share the codes of its private-use area.
+PRIVATE, PRIVATE_CODES = 0xE000, 6400
+#: Grams that a worker holds before it counts them, and that one shard of a model holds on average.
+WAITING, SHARD_GRAMS = 2_000_000, 4_000_000
 SYMBOLS = b"#*$%&|<>"
 BLANK = b" \t\n\x0b\x0c\r"
 #: Multipliers of the eight words of a window, drawn once from a fixed seed.
@@ -41,38 +45,18 @@ MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 FEW = 20
 
 
-def symbol_table() -> np.ndarray:
-    """Symbol of every ASCII code: 1 blank, 2 line break, 3 digit, 4 capital, 5-30 a-z, 51-63 other signs."""
-    out = np.zeros(128, np.uint32)
-    for code in range(128):
-        char = chr(code)
-        if char == "\n":
-            out[code] = 2
-        elif code <= 32:
-            out[code] = 1
-        elif char.isdigit():
-            out[code] = 3
-        elif char.isupper():
-            out[code] = 4
-        elif char.islower():
-            out[code] = 5 + code - ord("a")
-        else:
-            out[code] = 51 + code % 13
-    return out
-
-
-def symbols_of(text: str, ascii_symbols: np.ndarray) -> np.ndarray:
+def symbols_of(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(codes < 128, ascii_symbols[np.minimum(codes, 127)], 31 + codes % 20)
+    return np.where(codes < 1 << BITS, codes, PRIVATE + codes % PRIVATE_CODES).astype(np.uint64)
 
 
 def ngrams(symbols: np.ndarray) -> np.ndarray:
-    """The 24-bit n-gram that ends at each symbol; symbol 0 stands before the text."""
-    padded = np.concatenate((np.zeros(ORDER - 1, np.uint32), symbols))
-    out = np.zeros(len(symbols), np.uint32)
+    """The 64-bit n-gram that ends at each symbol, as a signed number; symbol 0 stands before the text."""
+    padded = np.concatenate((np.zeros(ORDER - 1, np.uint64), symbols))
+    out = np.zeros(len(symbols), np.uint64)
     for k in range(ORDER):
-        out = (out << np.uint32(BITS)) | padded[k : k + len(symbols)]
-    return out
+        out = (out << np.uint64(BITS)) | padded[k : k + len(symbols)]
+    return out.view(np.int64)
 
 
 def repeat_words(words: list[list[bytes]]) -> np.ndarray:
@@ -123,7 +107,6 @@ def layout(texts: list[str | None]) -> dict[str, np.ndarray]:
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over all documents that pass the layout rules."""
-    ascii_symbols = symbol_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -134,8 +117,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
             grams, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
             sizes.pop(lang)
             langs = pa.array([lang] * len(grams), pa.string())
-            parts = [langs, pa.array(grams.astype(np.int32)), pa.array(n.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(parts, ["lang", "gram", "n"])
+            return pa.RecordBatch.from_arrays([langs, pa.array(grams), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -144,107 +126,158 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
                 failed = layout(texts)["base_failed"]
                 for lang, text, bad in zip(langs, texts, failed.tolist(), strict=True):
                     if not bad:
-                        grams = ngrams(symbols_of(text, ascii_symbols))
+                        grams = ngrams(symbols_of(text))
                         waiting.setdefault(lang, []).append(grams)
                         sizes[lang] = sizes.get(lang, 0) + len(grams)
-                        if sizes[lang] > 2_000_000:
-                            yield merged(lang)
+                        if sum(sizes.values()) > WAITING:
+                            yield merged(max(sizes, key=sizes.get))
         for lang in list(waiting):
             yield merged(lang)
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, gram int, n long")
+    rows = docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """The discounts of counts 1, 2 and 3 or more, from how many n-grams have count 1 to 4."""
-    n = [max(1, int((counts == k).sum())) for k in (1, 2, 3, 4)]
+def suffix(symbols: int) -> Column:
+    """The last symbols of a gram."""
+    return F.col("gram").bitwiseAND(F.lit((1 << BITS * symbols) - 1))
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """(key, d1, d2, d3): the discounts of counts 1, 2 and 3 or more, from how many n-grams have count 1 to 4."""
+    seen = [F.greatest(F.lit(1.0), F.count_if(F.col("n") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    n = [F.col(f"n{k}") for k in (1, 2, 3, 4)]
     y = n[0] / (n[0] + 2 * n[1])
-    return np.clip([1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]], 0.05, [0.95, 1.9, 2.85])
-
-
-def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """Per order from 1 up: sorted n-grams, their discounted probability, sorted contexts, their back-off weight."""
-    levels = []
-    for order in range(ORDER, 0, -1):
-        context = grams >> np.uint32(BITS)
-        cut = discounts(counts)[np.minimum(counts, 3) - 1]
-        heads, where = np.unique(context, return_inverse=True)
-        total = np.bincount(where, counts)
-        levels.append(
-            (
-                grams.astype(np.uint32),
-                ((counts - cut) / total[where]).astype(np.float32),
-                heads.astype(np.uint32),
-                (np.bincount(where, cut) / total).astype(np.float32),
-            )
-        )
-        if order > 1:  # lower orders count different left neighbours
-            grams, counts = np.unique(grams & np.uint32((1 << BITS * (order - 1)) - 1), return_counts=True)
-    return levels[::-1]
+    cuts = [
+        F.greatest(F.lit(0.05), F.least(F.lit(0.95 * k), k - (k + 1) * y * n[k] / n[k - 1])).alias(f"d{k}") for k in (1, 2, 3)
+    ]
+    return counts.groupBy("key").agg(*seen).select("key", *cuts)
+
 
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """(lang, gram, logp) of every counted gram.
 
-def log_table(levels: list[tuple[np.ndarray, ...]]) -> np.ndarray:
-    """Log probability of every possible 24-bit n-gram."""
-    lower = np.full(1 << BITS, 1 / (1 << BITS), np.float32)
-    for order, (grams, probability, heads, backoff) in enumerate(levels, 1):
-        weight = np.ones(1 << BITS * (order - 1), np.float32)
-        weight[heads] = backoff
-        here = np.tile(lower, 1 << BITS) if order > 1 else lower
-        here.reshape(-1, 1 << BITS)[:] *= weight[:, None]
-        here[grams] += probability
-        lower = here
-    return np.log(lower, out=lower)
+    Each order takes one window over the followers of a context and one join with the order below by the gram's last symbols.
+    """
+    named = F.when(F.col("lang").isNull(), "").otherwise(F.concat(F.lit("="), F.col("lang")))  # a key without NULL
+    levels = [counts.select(named.alias("key"), "gram", "n")]
+    for order in range(ORDER - 1, 0, -1):  # lower orders count different left neighbours
+        levels.append(levels[-1].groupBy("key", suffix(order).alias("gram")).agg(F.count("*").alias("n")))
+    lower = None
+    for order, level in enumerate(reversed(levels), 1):
+        context = F.shiftrightunsigned("gram", BITS) if order > 1 else F.lit(0).cast("long")
+        cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        rows = level.join(F.broadcast(discounts(level)), "key")  # a row per language
+        rows = rows.select("key", "gram", "n", cut.alias("cut"), context.alias("context"), suffix(order - 1).alias("last"))
+        same = Window.partitionBy("key", "context")
+        total, held = F.sum("n").over(same), F.sum("cut").over(same)
+        rows = rows.withColumns({"total": total, "held": held, "followers": F.count("*").over(same)})
+        if lower is None:
+            below = 1 / F.col("followers")
+        else:
+            rows, below = rows.join(lower, ["key", "last"]), F.col("below")
+        chance = (F.col("n") - F.col("cut") + F.col("held") * below) / F.col("total")
+        lower = rows.select("key", F.col("gram").alias("last"), chance.alias("below"))
+    lang = F.when(F.col("key") != "", F.substring("key", 2, 1 << 30))
+    return lower.select(lang.alias("lang"), F.col("last").alias("gram"), F.log("below").alias("logp"))
 
 
 def build_models(counts: DataFrame) -> DataFrame:
-    """(lang, size, model): the sorted arrays of each language, pickled."""
+    """(lang, shard, size, grams, logp): sorted arrays as bytes."""
+    shards = 1 + counts.count() // SHARD_GRAMS
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("gram")
-        grams, n = rows["gram"].to_numpy().astype(np.uint32), rows["n"].to_numpy(np.int64)
-        model = pickle.dumps(kneser_ney(grams, n))
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "size": [len(model)], "model": [model]})
+        grams, logp = rows["gram"].to_numpy(np.int64).tobytes(), rows["logp"].to_numpy(np.float32).tobytes()
+        first = {"lang": [rows["lang"].iloc[0]], "shard": [rows["shard"].iloc[0]], "size": [len(grams) + len(logp)]}
+        return pd.DataFrame({**first, "grams": [grams], "logp": [logp]})
 
-    return counts.groupBy("lang").applyInPandas(run, "lang string, size long, model binary")
+    dealt = kneser_ney(counts).withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int"))
+    return dealt.groupBy("lang", "shard").applyInPandas(run, "lang string, shard int, size long, grams binary, logp binary")
 
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
 
-def score(docs: DataFrame, models: dict[str | None, bytes]) -> DataFrame:
-    """(doc_id, text_hash, lang, base columns, score) of the documents in the models' languages or in none of them."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    ascii_symbols = symbol_table()
-    names = [x.split()[0] for x in BASE.split(", ")]
+NAMES = [x.split()[0] for x in BASE.split(", ")]
+Shards = dict[str | None, list[tuple[bytes, bytes]]]
+
+
+def log_probabilities(grams: np.ndarray, shards: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """Of each gram, 0 where no shard has it."""
+    out = np.zeros(len(grams), np.float32)
+    for known, logp in shards:
+        known, logp = np.frombuffer(known, np.int64), np.frombuffer(logp, np.float32)
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        out += np.where(known[at] == grams, logp[at], np.float32(0))
+    return out
+
+
+def score(docs: DataFrame, shards: Shards) -> DataFrame:
+    """(doc_id, text_hash, lang, base columns, total) with the texts' log probability in these shards.
+
+    It is NULL where the layout rules fail or the language has no shard here.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            langs = np.array([x is not None and x or "" for x in batch.column(2).to_pylist()], object)
-            nulls = np.array(batch.column(2).is_null())
-            found = np.full(batch.num_rows, np.nan)
-            for lang in shared.value:
-                mine = np.flatnonzero(nulls if lang is None else (langs == lang) & ~nulls)
-                if not len(mine):
-                    continue
-                table = log_table(pickle.loads(shared.value[lang]))
-                for at in range(0, len(mine), 512):
-                    some = mine[at : at + 512]
-                    for k, text in zip(some.tolist(), batch.column(3).take(pa.array(some)).to_pylist(), strict=True):
-                        if text:
-                            found[k] = -table[ngrams(symbols_of(text, ascii_symbols))].sum(dtype=np.float64)
-            parts = [batch.column(0), batch.column(1), batch.column(2)]
-            bases = [layout(batch.column(3).slice(at, 512).to_pylist()) for at in range(0, batch.num_rows, 512)]
-            parts += [pa.array(np.concatenate([b[n] for b in bases])) for n in names] if bases else []
-            if bases:
-                n_words = np.concatenate([b["n_words"] for b in bases])
-                found = np.where(n_words > 0, found / np.maximum(n_words, 1), np.nan)
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                langs, texts = some.column(2).to_pylist(), some.column(3).to_pylist()
+                base = layout(texts)
+                found = np.full(some.num_rows, np.nan)
+                for k in np.flatnonzero(~base["base_failed"]).tolist():
+                    if langs[k] in shared.value:
+                        logp = log_probabilities(ngrams(symbols_of(texts[k])), shared.value[langs[k]])
+                        found[k] = logp.sum(dtype=np.float64)
+                parts = [some.column(0), some.column(1), some.column(2), *(pa.array(base[n]) for n in NAMES)]
                 parts.append(pa.array(found, from_pandas=True))
-                yield pa.RecordBatch.from_arrays(parts, ["doc_id", "text_hash", "lang", *names, "score"])
+                yield pa.RecordBatch.from_arrays(parts, ["doc_id", "text_hash", "lang", *NAMES, "total"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "lang", "text")
-    return rows.mapInArrow(run, f"doc_id long, text_hash long, lang string, {BASE}, score double")
+    return rows.mapInArrow(run, f"doc_id long, text_hash long, lang string, {BASE}, total double")
+
+
+def score_in_passes(docs: DataFrame, models: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """(doc_id, text_hash, lang, base columns, score). Each pass holds shards of ``broadcast_bytes``, or one that is larger."""
+    sizes = models.select("lang", "shard", "size").collect()  # a row per shard
+    passes: list[list[tuple[str | None, int]]] = [[]]
+    room = broadcast_bytes
+    for r in sorted(sizes, key=lambda r: (r.lang is not None, r.lang or "", r.shard)):
+        if passes[-1] and r.size > room:
+            passes.append([])
+            room = broadcast_bytes
+        passes[-1].append((r.lang, r.shard))
+        room -= r.size
+    found = []
+    for wanted in passes:
+        shards: Shards = {}
+        if wanted:
+            own = [F.col("lang").eqNullSafe(F.lit(lang)) & (F.col("shard") == shard) for lang, shard in wanted]
+            either = own[0]
+            for one in own[1:]:
+                either = either | one
+            for r in models.where(either).collect():
+                shards.setdefault(r.lang, []).append((bytes(r.grams), bytes(r.logp)))
+        found.append(stored(score(docs, shards), "scores"))
+    rows = found[0]
+    if len(found) > 1:  # equal texts have equal sums, so one row of each pass tells
+        summed = None
+        for k, part in enumerate(found):
+            part = part.groupBy("lang", "text_hash").agg(F.max("total").alias("part")).withColumn("k", F.lit(k))
+            summed = part if summed is None else summed.unionByName(part)
+        summed = summed.groupBy(F.col("lang").alias("its_lang"), F.col("text_hash").alias("its_hash")).agg(
+            F.aggregate(  # in the order of the passes
+                F.array_sort(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("k", "part")))),
+                F.lit(None).cast("double"),
+                lambda sofar, x: F.coalesce(sofar, F.lit(0.0)) + x["part"],
+            ).alias("total")
+        )
+        own = F.col("lang").eqNullSafe(F.col("its_lang")) & F.col("text_hash").eqNullSafe(F.col("its_hash"))
+        rows = rows.drop("total").join(summed, own, "left")
+    return rows.select("doc_id", "text_hash", "lang", *NAMES, (-F.col("total") / F.col("n_words")).alias("score"))
 
 
 def centre_and_width(scores: np.ndarray, times: np.ndarray) -> tuple[float, float]:
@@ -300,32 +333,7 @@ def judge(
 ) -> DataFrame:
     """One row per document: doc_id, text_hash, lang, base columns, score, kept."""
     models = stored(build_models(stored(count_ngrams(docs), "ngrams")), "models")
-    sizes = [(r.lang, r.size) for r in models.select("lang", "size").collect()]  # a row per language
-    groups: list[list[str | None]] = []
-    room = 0
-    for lang, size in sorted(sizes, key=lambda x: (x[0] is not None, x[0] or "")):
-        if not groups or size > room:
-            groups.append([])
-            room = broadcast_bytes
-        groups[-1].append(lang)
-        room -= size
-    scored = None
-    for group in groups or [[]]:
-        own = models.where(F.col("lang").isin([x for x in group if x is not None]) | (F.col("lang").isNull() & F.lit(None in group)))
-        pickled = {r.lang: bytes(r.model) for r in own.collect()}
-        wanted = docs
-        if len(groups) > 1:
-            listed = F.coalesce(F.col("lang").isin([x for x in group if x is not None]), F.lit(False))
-            wanted = docs.where(listed | (F.col("lang").isNull() & F.lit(None in group)))
-        part = score(wanted, pickled)
-        scored = part if scored is None else scored.unionByName(part)
-    if len(groups) > 1:
-        known = [x for g in groups for x in g if x is not None]
-        rest = ~F.coalesce(F.col("lang").isin(known), F.lit(False))
-        if any(None in g for g in groups):
-            rest = rest & F.col("lang").isNotNull()
-        scored = scored.unionByName(score(docs.where(rest), {}))
-    scored = stored(scored, "scores").withColumn("octave", F.floor(F.log2(F.col("n_words") + F.lit(1.0))))
+    scored = score_in_passes(docs, models, broadcast_bytes).withColumn("octave", F.floor(F.log2(F.col("n_words") + F.lit(1.0))))
     clean = scored.where("not base_failed and score is not null")
     clean = clean.select("lang", "octave", "text_hash", "score").distinct()
     of_length = spread(clean, ["lang", "octave"]).where(F.col("n") >= band_rows)
@@ -343,7 +351,7 @@ def judge(
         "doc_id",
         "text_hash",
         "lang",
-        *[x.split()[0] for x in BASE.split(", ")],
+        *NAMES,
         "score",
         away.alias("spreads_away"),
         (~F.col("base_failed") & inside).alias("kept"),

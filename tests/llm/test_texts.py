@@ -95,19 +95,65 @@ def test_layout_rules_equal_brute_force(edge_docs):
     assert [tuple(found[n][i].item() for n in names[1:]) for i in range(len(tricky))] == [plain_layout(t) for t in tricky]
 
 
-def test_kneser_ney_is_a_distribution_and_matches_a_direct_count():
-    rng = np.random.default_rng(2)
-    grams, counts = np.unique(perplexity.ngrams(rng.choice([5, 6, 7, 1], 4000, p=[0.5, 0.3, 0.1, 0.1]).astype(np.uint32)), return_counts=True)
-    levels = perplexity.kneser_ney(grams, counts)
-    table = np.exp(perplexity.log_table(levels)).reshape(-1, 64)
-    assert np.allclose(table.sum(1), 1, atol=1e-4)
-    context = (5 << 12) | (6 << 6) | 5
-    inside = {int(g) & 63: int(c) for g, c in zip(grams, counts, strict=True) if int(g) >> 6 == context}
-    cut, total = perplexity.discounts(counts), sum(inside.values())
-    held = sum(cut[min(c, 3) - 1] for c in inside.values()) / total
-    lower = table[(0 << 12) | (6 << 6) | 5]  # no such context: its back-off is the next order's
-    for symbol, c in inside.items():
-        assert abs(table[context][symbol] - ((c - cut[min(c, 3) - 1]) / total + held * lower[symbol])) < 1e-5
+def plain_discounts(counts):
+    n = [max(1, sum(c == k for c in counts.values())) for k in (1, 2, 3, 4)]
+    y = n[0] / (n[0] + 2 * n[1])
+    return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), 0.95 * k) for k in (1, 2, 3)]
+
+
+def plain_model(texts):
+    """Probability of a symbol after three, by the textbook formula, from strings."""
+    counts = [Counter("\0\0\0"[i:] + t[max(0, i - 3) : i + 1] for t in texts for i in range(len(t)))]
+    for _ in range(3):
+        counts.append(Counter(g[1:] for g in counts[-1]))
+    counts.reverse()
+    cuts = [plain_discounts(c) for c in counts]
+    followers = [defaultdict(list) for _ in counts]
+    for k, level in enumerate(counts):
+        for g, c in level.items():
+            followers[k][g[:-1]].append(c)
+
+    def chance(gram):
+        if not gram:
+            return 1 / len(counts[0])
+        k, cut = len(gram) - 1, cuts[len(gram) - 1]
+        after = followers[k].get(gram[:-1])
+        if after is None:
+            return chance(gram[1:])
+        c = counts[k].get(gram, 0)
+        held = sum(cut[min(x, 3) - 1] for x in after)
+        return ((c - cut[min(c, 3) - 1] if c else 0) + held * chance(gram[1:])) / sum(after)
+
+    return chance, counts
+
+
+def test_scores_equal_a_plain_model(edge_docs, monkeypatch):
+    monkeypatch.setattr(perplexity, "SHARD_GRAMS", 300)
+    rows = [r for r in edge_rows() if r[0] != 104] + [
+        (300 + i, "".join("\u6f22\u5b57\u304b\u306a\u4ea4 \U0001f642 Z"[(i * j * j + j // 7) % 9] for j in range(150 + i)), "zh", "s") for i in range(12)
+    ]
+    docs = edge_docs.sparkSession.createDataFrame([(*r[:4], len(r[1] or "")) for r in rows], FIELDS)
+    want, seen = {}, defaultdict(list)
+    for r in rows:
+        if not plain_layout(r[1])[-1]:
+            seen[r[2]].append(r[1].translate({0x1F642: chr(perplexity.PRIVATE + 0x1F642 % perplexity.PRIVATE_CODES)}))
+    for lang, texts in seen.items():
+        chance, counts = plain_model(texts)
+        for context in list(followed(counts[-1]))[:5]:
+            assert abs(sum(chance(context + s) for s in counts[0]) - 1) < 1e-9
+        for r in rows:
+            if r[2] == lang and not plain_layout(r[1])[-1]:
+                text = r[1].translate({0x1F642: chr(perplexity.PRIVATE + 0x1F642 % perplexity.PRIVATE_CODES)})
+                grams = ["\0\0\0"[i:] + text[max(0, i - 3) : i + 1] for i in range(len(text))]
+                want[r[0]] = -sum(np.log(chance(g)) for g in grams) / len(text.encode().split())
+    for broadcast_bytes in (1 << 20, 2000):
+        got = perplexity.judge(docs, broadcast_bytes=broadcast_bytes).collect()
+        assert {r.doc_id for r in got if r.score is not None} == set(want)
+        assert all(r.score is None or abs(r.score - want[r.doc_id]) < 1e-4 for r in got)
+
+
+def followed(grams):
+    return sorted({g[:-1] for g in grams})
 
 
 def test_odd_texts_leave_their_band(spark):
