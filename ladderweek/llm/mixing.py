@@ -142,6 +142,27 @@ def rounds(open_rows: DataFrame, block_rows: int) -> DataFrame:
     return out
 
 
+def with_draws(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
+    """The rows with ``draw``, a number from 0 to 1 by hash of id, source and text.
+
+    Rows equal in these share it, unless they are more than a block may hold: those are numbered, partition by partition
+    of the input, and each has a draw of its own, so that they spread over all blocks of their source.
+    """
+    rows = rows.withColumn("digest", F.xxhash64("doc_id", "source", "text_hash", F.lit(seed)))
+    often = rows.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
+    often = stored(often.select("digest"), "often")
+    part = F.shiftrightunsigned("row", 33).alias("part")  # the partition's place in a row number
+    equal = rows.join(often, "digest", "left_semi").select("row", "digest", part)
+    before = F.sum("n").over(Window.partitionBy("digest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = equal.groupBy("digest", "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    within = F.row_number().over(Window.partitionBy("digest", "part").orderBy("row"))
+    numbered = equal.withColumn("within", within).join(parts, ["digest", "part"])
+    numbered = stored(numbered.select("row", (F.col("before") + F.col("within")).alias("nth")), "repeats")
+    own = F.when(F.col("nth").isNull(), F.col("digest")).otherwise(F.xxhash64("digest", "nth"))
+    drawn = rows.join(numbered, "row", "left").withColumn("draw", F.shiftrightunsigned(own, 11) / float(1 << 53))
+    return drawn.drop("digest", "nth")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
@@ -164,9 +185,7 @@ def mix(
     every = rows.join(names, rows["source"].eqNullSafe(names["of"])).drop("of")
     whole = F.floor(F.col("due") + EPS)
     every = every.withColumn("whole", whole).withColumn("p", F.greatest(F.col("due") - whole, F.lit(0.0)))
-    digest = F.xxhash64("doc_id", "source", "text_hash", F.lit(seed))
-    every = every.withColumn("draw", F.shiftrightunsigned(digest, 11) / float(1 << 53))
-    open_rows = every.where(F.col("p") > EPS).select("row", "source_id", "size", "draw", "p", "blocks")
+    open_rows = with_draws(every, block_rows, seed).where(F.col("p") > EPS).select("row", "source_id", "size", "draw", "p", "blocks")
     drawn = rounds(open_rows, block_rows).withColumnRenamed("p", "extra")
     out = every.join(drawn, "row", "left")
     copies = F.col("whole") + F.coalesce(F.col("extra"), F.lit(0.0)).cast("long")

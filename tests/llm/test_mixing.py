@@ -1,10 +1,11 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ladderweek.llm import mixing
 
-from .conftest import edge_rows
+from .conftest import FIELDS, edge_rows, prose
 
 
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
@@ -68,3 +69,17 @@ def test_mix_keeps_columns_and_counts(edge_docs):
 def test_no_rows(no_docs):
     assert mixing.mix(no_docs).collect() == []
     assert mixing.repeat_rows(no_docs).collect() == []
+
+
+def test_many_equal_rows_spread_over_all_blocks(spark):
+    rows = [(i, prose(i, 5 + i % 40), "en", "s") for i in range(400)] + [(7000, prose(1, 30), "en", "s")] * 500 + [(None, None, "en", "s")] * 300
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], FIELDS)
+    numbered = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash")).withColumn("row", F.monotonically_increasing_id())
+    drawn = mixing.with_draws(numbered, 64, 1).collect()
+    assert len(drawn) == len(rows) and len({r.row for r in drawn}) == len(rows)
+    assert len({r.draw for r in drawn if r.doc_id == 7000}) == 500 and len({r.draw for r in drawn if r.doc_id is None}) == 300
+    blocks = Counter(int(r.draw * 19) for r in drawn)
+    assert max(blocks.values()) < 2 * len(rows) / 19
+    mixes = [Counter((r.doc_id, r.copies) for r in mixing.mix(d, block_rows=64).collect()) for d in (docs, docs.repartition(7))]
+    assert mixes[0] == mixes[1]
+    assert sum(mixes[0].values()) == len(rows)
