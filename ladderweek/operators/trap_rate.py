@@ -186,20 +186,33 @@ def legacy_rate_from_tags(
     once for every observation of the tag, so the pairs are a product of two numbers and are never made.
     ``supplied`` strata stand in for the runs' own.
     """
-    days = attach_strata(observation_days(obs, seasons), seasons, on=("dam", "obs_date"))
-    days = days.filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("obs_date")))
-    own = F.bool_or(is_true(F.col("mark_site").isin(*mark_sites)))
-    per_day = days.groupBy("run_id", "tag_code", "obs_date").agg(F.sum("n_obs").alias("n_obs"), own.alias("own"))
-    tag = Window.partitionBy("run_id", "tag_code")
-    seen = per_day.withColumns({"total": F.sum("n_obs").over(tag), "own": F.max("own").over(tag)}).filter(~F.col("own"))
-    trap_days = trap_tag_days(trap_by_run(trap, seasons), dedupe=False)
-    trapped = trap_days.join(seen.select("run_id", "tag_code", "total").distinct(), ["run_id", "tag_code"]).select(
-        "run_id", "tag_code", F.col("trap_date").alias("mod_date"), (F.col("total") * F.col("n_records")).alias("n_in_trap")
+    known = within_season(obs, seasons, "obs_time")
+    seen = known.select("dam", "tag_code", "sp_rrt", "mark_site", F.to_date("obs_time").alias("mod_date"))
+    seen = seen.filter(usable_season(codes.species_of_srr(F.col("sp_rrt")), F.col("mod_date"))).select(
+        "dam", "tag_code", "mod_date", F.lit(1).alias("n_obs"), F.lit(0).alias("n_records"),
+        is_true(F.col("mark_site").isin(*mark_sites)).alias("own"),
+    )
+    caught = within_season(trap, seasons).select(
+        "dam", "tag_code", F.col("date").alias("mod_date"), F.lit(0).alias("n_obs"), F.lit(1).alias("n_records"),
+        F.lit(False).alias("own"),
+    )
+    counts = ("n_obs", "n_records")
+    days = seen.unionByName(caught).filter(F.col("tag_code").isNotNull()).groupBy("tag_code", "dam", "mod_date").agg(
+        *[F.sum(c).alias(c) for c in counts], F.max("own").alias("own")
+    )
+    # A row per tag and day from here on, and only tags observed at their dam are multiplied by its runs.
+    observed = F.sum("n_obs").over(Window.partitionBy("tag_code", "dam")) > 0
+    days = days.withColumn("observed", observed).filter("observed").drop("observed")
+    placed = attach_strata(days, seasons, on=("dam", "mod_date"))
+    tag = Window.partitionBy("tag_code", "dam", "run_id")
+    of_tag = placed.withColumns(
+        {"total": F.sum("n_obs").over(tag), "records": F.sum("n_records").over(tag), "own": F.max("own").over(tag)}
     )
-    others = seen.join(trap_days.select("run_id", "tag_code").distinct(), ["run_id", "tag_code"], "left_anti").select(
-        "run_id", "tag_code", F.col("obs_date").alias("mod_date"), F.lit(0).cast("long").alias("n_in_trap")
+    counted = F.when(F.col("records") > 0, F.col("n_records") > 0).otherwise(F.col("n_obs") > 0)
+    matched = of_tag.filter((F.col("total") > 0) & ~F.col("own") & counted).select(
+        "run_id", "tag_code", "mod_date", (F.col("total") * F.col("n_records")).alias("n_in_trap")
     )
-    return rate_by_week(trapped.unionByName(others), seasons, supplied)
+    return rate_by_week(matched, seasons, supplied)
 
 
 def trap_open_override(rate: DataFrame, weeks: DataFrame) -> DataFrame:
