@@ -127,11 +127,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @lru_cache(maxsize=64)
 def shipments_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    digit = choose("p_type", DIGIT_OF_TYPE).alias("digit")
+    part = table(spark, sf_dir, "part").select("p_partkey", digit, "p_size")
     lines = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    placed = dam_of(lines, spark, sf_dir, "s_nationkey")
-    return placed.withColumn("digit", choose("p_type", DIGIT_OF_TYPE)).withColumn("day", F.to_date("l_shipdate"))
+    return dam_of(lines, spark, sf_dir, "s_nationkey").withColumn("day", F.to_date("l_shipdate"))
 
 
 OTHER_LAYOUT = "PRD"  # the dam whose trap records come in the second layout

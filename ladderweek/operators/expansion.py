@@ -27,7 +27,12 @@ def expand_trap(weekly: DataFrame) -> DataFrame:
 
 
 def plausible_limits(weekly: DataFrame) -> DataFrame:
-    """95% binomial limits of the fish in the trap, given the window count and the range of the trap rate."""
+    """95% binomial limits of the fish in the trap, given the window count and the range of the trap rate.
+
+    A week's work grows with the root of its count while its row stays as small, so weeks are dealt over the session's shuffle
+    partitions by number, not by size.
+    """
+    weekly = weekly.repartition(int(weekly.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = F.col("trap_rate_se") * Z_975
     low = F.when(spread.isNotNull(), F.greatest(F.lit(0.0), F.col("trap_rate") - spread))
     high = F.when(spread.isNotNull(), F.least(F.lit(1.0), F.col("trap_rate") + spread))

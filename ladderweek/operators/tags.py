@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,15 +42,14 @@ def tag_flags() -> dict[str, Column]:
 def tag_counts_by(detections: DataFrame, keys: list[str]) -> DataFrame:
     """The nine distinct-tag counts per ``keys``.
 
-    Two aggregations: first what each tag did within its key, then sums of flags. A day with very many detections
-    is spread over its tags, and no distinct-expansion of the input is needed. NULL tags are not counted.
+    Two aggregations: first what each tag did within its key, a bit for each count, then sums of bits. A day with very
+    many detections is spread over its tags, and no distinct-expansion of the input is needed. NULL tags are not counted.
     """
-    per_tag = (
-        detections.filter(F.col("tag_id").isNotNull())
-        .groupBy(*keys, "tag_id")
-        .agg(*[F.max(flag).alias(name) for name, flag in tag_flags().items()])
-    )
-    return per_tag.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in TAG_COUNTS])
+    flags = tag_flags()
+    shown = reduce(Column.bitwiseOR, [F.shiftleft(flags[name], i) for i, name in enumerate(TAG_COUNTS)])
+    per_tag = detections.filter(F.col("tag_id").isNotNull()).groupBy(*keys, "tag_id").agg(F.bit_or(shown).alias("shown"))
+    counts = [F.sum(F.getbit("shown", F.lit(i))).alias(name) for i, name in enumerate(TAG_COUNTS)]
+    return per_tag.groupBy(*keys).agg(*counts)
 
 
 def tag_daily(detections: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """The weekly table out of two unions of all records, one by day and one by tag.
 
-Window counts, detections, trap records, observations and reported rates are placed on their runs and strata and reduced to
-rows of one shape with a mark of their source. Rows that tell of days are rolled up together by day and by week, rows that tell
-of tags by tag and by week, and both meet by run. Every shuffle follows a partial aggregation and carries far fewer rows than the
-one before. The only joins are with the table of runs; every source is read once, trap records once by each union.
+Detections and trap records are counted by dam and day, trapped and observed tags by dam, tag and day, before they are multiplied
+by the runs of their dam. What is left is placed on runs and strata, as rows of one shape with a mark of their source. Rows that
+tell of days are rolled up together by day and by week, rows that tell of tags by tag and by week, and both meet by run. The only
+joins are with the table of runs; every source is read once, trap records once by each union.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from ladderweek.operators.rollup import Audit
 from ladderweek.operators.strata import attach_strata, within_season
 
 # Marks of the sources.
-WINDOW, DETECTED, TRAPPED, REPORTED, TRAP_TAG, TRAP_CODE, OBSERVED = range(7)
-DAY_KEYS = {"run_id": "string", "source": "int", "week_num": "int", "date": "date", "tag_id": "string"}
-TAG_KEYS = {"run_id": "string", "source": "int", "week_num": "int", "tag": "string", "code": "string"}
+WINDOW, DETECTED, TRAPPED, REPORTED, TRAP_TAG, OBSERVED = range(6)
+DAY_KEYS = {"run_id": "string", "source": "int", "week_num": "int", "date": "date", "code": "string"}
+TAG_KEYS = ("tag", "dam", "run_id", "source", "week_num", "code")
 
 
 def _rows(placed: DataFrame, source: int, keys: dict[str, str], **columns: Column) -> DataFrame:
@@ -52,26 +52,33 @@ def window_rows(counts: DataFrame, seasons: Seasons, legacy_open: bool = False)
 
 
 def detection_rows(detections: DataFrame, seasons: Seasons) -> DataFrame:
+    """The tag counts of a day. A run has one dam and species, so they are counted by these, and tags stay behind."""
     needed = detections.select("dam", "species", "date", "tag_id", "rear_type", "period", "ascent_count")
-    placed = attach_strata(needed.filter(F.col("tag_id").isNotNull()), seasons)
-    placed = placed.withColumn("period", tags.effective_period(F.col("dam"), F.col("period")))
-    keys = {c: F.col(c) for c in ("week_num", "date", "tag_id")}
-    return _rows(placed, DETECTED, DAY_KEYS, **keys, **tags.tag_flags())
+    needed = needed.withColumn("period", tags.effective_period(F.col("dam"), F.col("period")))
+    placed = attach_strata(tags.tag_counts_by(within_season(needed, seasons), ["dam", "species", "date"]), seasons)
+    counts = {c: F.col(c) for c in ("week_num", "date", *tags.TAG_COUNTS)}
+    return _rows(placed, DETECTED, DAY_KEYS, **counts)
 
 
 def trap_day_rows(cohort: DataFrame, seasons: Seasons, strict_null: bool = False) -> DataFrame:
-    """All fish of the trap (``n_fish``), and the counts of the run's own."""
-    named = cohort.withColumnRenamed("species", "fish_species")
-    placed = attach_strata(named, seasons, on=("dam", "date"), carry=("species", "unclipped_only", "b_run"))
-    own = is_true((F.col("fish_species") == F.col("species")) & (~F.col("unclipped_only") | ~F.col("ad_clip")))
+    """All fish of the trap (``n_fish``), the counts of the run's own, and the species/run codes among all.
+
+    Counted by dam, day and what a run or its codes look at before the fish are multiplied by the runs of their dam.
+    """
     conditions = trap.trap_conditions()
-    conditions["tot_b_run_sthd"] = conditions["tot_b_run_sthd"] & F.col("b_run")
-    count = lambda cond: (own & is_true(cond)).cast("long")
-    counted = {"n_fish": F.lit(1).cast("long"), "trap_fish": own.cast("long")}
-    counted |= {name: count(cond) for name, cond in conditions.items()}
     if strict_null:
-        counted |= {f"unsure_{name}": count(cond.isNull()) for name, cond in conditions.items()}
-    return _rows(placed, TRAPPED, DAY_KEYS, week_num=F.col("week_num"), date=F.col("date"), **counted)
+        conditions |= {f"unsure_{name}": cond.isNull() for name, cond in conditions.items()}
+    alike = within_season(cohort, seasons).groupBy("dam", "date", "species", "ad_clip", "srr").agg(
+        F.count("*").alias("n_fish"), *[F.count_if(cond).alias(name) for name, cond in conditions.items()]
+    )
+    named = alike.withColumnRenamed("species", "fish_species")
+    placed = attach_strata(named, seasons, on=("dam", "date"), carry=("species", "unclipped_only", "b_run"))
+    own = is_true((F.col("fish_species") == F.col("species")) & (~F.col("unclipped_only") | ~F.col("ad_clip")))
+    of_own = lambda c, asked=own: F.when(asked, F.col(c)).otherwise(F.lit(0).cast("long"))
+    counted = {"n_fish": F.col("n_fish"), "trap_fish": of_own("n_fish")}
+    counted |= {c: of_own(c, own & F.col("b_run") if c.endswith("tot_b_run_sthd") else own) for c in conditions}
+    keys = {"week_num": F.col("week_num"), "date": F.col("date"), "code": trap_rate.species_code(F.col("srr"))}
+    return _rows(placed, TRAPPED, DAY_KEYS, **keys, **counted)
 
 
 def reported_rows(daily: DataFrame, seasons: Seasons) -> DataFrame:
@@ -83,19 +90,19 @@ def reported_rows(daily: DataFrame, seasons: Seasons) -> DataFrame:
 def rolled_days(
     parts: list[DataFrame], keep_unmatched: bool, strict_null: bool, audit: Audit | None = None
 ) -> DataFrame:
-    """One row per run and stratum with the sums of its days, and all its fish, rates and days of rates.
+    """One row per run and stratum with the sums of its days, and all its fish and their codes, rates and days of rates.
 
-    A tag counts once a day. Counts are of days with a window count, or with ``keep_unmatched`` also of days with tags.
+    Counts are of days with a window count, or with ``keep_unmatched`` also of days with tags.
     """
     union = _union(parts)
-    most = {"with_jacks", "listed_open", *tags.TAG_COUNTS}
-    numbers = [c for c in union.columns if c not in DAY_KEYS]
-    once = union.groupBy(*DAY_KEYS).agg(*[(F.max if c in most else F.sum)(c).alias(c) for c in numbers])
     source, listed = F.col("source"), {"with_jacks", "listed_open"}
+    numbers = [c for c in union.columns if c not in DAY_KEYS]
+    once = union.groupBy(*DAY_KEYS).agg(*[(F.max if c in listed else F.sum)(c).alias(c) for c in numbers])
     days = once.groupBy("run_id", "week_num", "date").agg(
         F.max((source == WINDOW).cast("int")).alias("listed"),
         F.max((source == DETECTED).cast("int")).alias("with_tags"),
         *[(F.max if c in listed else F.sum)(c).alias(c) for c in numbers],
+        F.collect_set("code").alias("fish_codes"),
     )
     missing = {c: F.lit(None).cast("double") for c in ("rate_sum", "rate_days") if c not in numbers}
     days = days.withColumns(missing) if missing else days
@@ -108,7 +115,7 @@ def rolled_days(
     is_open = (F.col("listed") == 1) & (F.col("adults").isNotNull() | (F.col("listed_open") == 1))
     told = days.select(
         "run_id", F.col("week_num").alias("week_num_org"), (counted & F.col("date").isNotNull()).alias("is_day"),
-        "date", is_open.cast("int").alias("window_open"), "n_fish", "rate_sum", "rate_days",
+        "date", is_open.cast("int").alias("window_open"), "n_fish", "fish_codes", "rate_sum", "rate_days",
         *[c.alias(name) for name, c in shown.items()],
     )
     if audit is not None:
@@ -120,60 +127,69 @@ def rolled_days(
         *[F.sum(only(c)).alias(c) for c in shown],
         F.max(only("window_open")).alias("window_open"),
         *[F.sum(c).alias(c) for c in ("n_fish", "rate_sum", "rate_days")],
+        F.array_distinct(F.flatten(F.collect_set("fish_codes"))).alias("fish_codes"),
     )
 
 
 # ---- rows by tag --------------------------------------------------------------------------------------------
 
 
-def trap_tag_rows(cohort: DataFrame, seasons: Seasons) -> DataFrame:
-    """Two rows a record: its tag, and its species/run code."""
-    code = trap_rate.species_code(F.col("srr")).alias("code")
-    needed = cohort.select("dam", "date", F.col("tag_code").cast("string").alias("tag"), code)
-    placed = attach_strata(needed, seasons, on=("dam", "date"))
-    row = lambda source, **c: F.struct(
-        F.lit(source).alias("source"), *[c.get(k, F.lit(None)).cast(kind).alias(k) for k, kind in TAG_KEYS.items() if k not in ("run_id", "source")]
-    )
-    both = F.array(row(TRAP_TAG, week_num=F.col("week_num"), tag=F.col("tag")), row(TRAP_CODE, code=F.col("code")))
-    told = placed.select("run_id", F.inline(both)).filter(F.col("tag").isNotNull() | F.col("code").isNotNull())
-    return told.withColumn("n", F.lit(1).cast("long"))
+def tag_days(cohort: DataFrame, obs: DataFrame, seasons: Seasons, mark_sites: dict | None = None) -> DataFrame:
+    """Trap records and observations of every tag that was observed: ``dam, tag, day, source, code, n``.
 
+    Counted by dam, tag, day and species/run/rear code, so a tag recorded over and over costs a row a day, and trap records
+    of tags never observed at their dam go before any of this is multiplied by runs.
+    """
+    caught = within_season(cohort, seasons).select(
+        "dam", F.col("tag_code").cast("string").alias("tag"), F.col("date").alias("day"),
+        F.lit(TRAP_TAG).alias("source"), F.lit(None).cast("string").alias("code"),
+    )
+    known = within_season(obs, seasons, "obs_time")
+    free = known.filter(~trap_rate.marked_here(F.col("dam"), F.col("mark_site"), mark_sites)).select(
+        "dam", F.col("tag_code").cast("string").alias("tag"), F.to_date("obs_time").alias("day"),
+        F.lit(OBSERVED).alias("source"), F.col("sp_rrt").cast("string").alias("code"),
+    )
+    both = caught.unionByName(free).filter(F.col("tag").isNotNull())
+    counted = both.groupBy("tag", "dam", "day", "source", "code").agg(F.count("*").alias("n"))
+    seen = F.max(F.col("source") == OBSERVED).over(Window.partitionBy("tag", "dam"))
+    return counted.withColumn("seen", seen).filter("seen").drop("seen")
 
-def observation_rows(
-    obs: DataFrame, seasons: Seasons, chinook_until: str = "month_8", mark_sites: dict | None = None
-) -> DataFrame:
-    """Usable observations by tag and species/run/rear code, with their stratum."""
-    known = within_season(obs, seasons, "obs_time").filter(F.col("tag_code").isNotNull())
-    free = known.filter(~trap_rate.marked_here(F.col("dam"), F.col("mark_site"), mark_sites))
-    dated = free.select("dam", "tag_code", "sp_rrt", F.to_date("obs_time").alias("obs_date"))
-    placed = attach_strata(dated, seasons, on=("dam", "obs_date"), carry=("species",))
-    species, own = codes.species_of_srr(F.col("sp_rrt")), F.col("dam").isin(*codes.OWN_SPECIES_DAMS)
+
+def tag_rows(days: DataFrame, seasons: Seasons, chinook_until: str = "month_8") -> DataFrame:
+    """The rows of ``tag_days`` in each run of their dam: trap records with their stratum, usable observations with theirs."""
+    placed = attach_strata(days, seasons, on=("dam", "day"), carry=("species",))
+    species, own = codes.species_of_srr(F.col("code")), F.col("dam").isin(*codes.OWN_SPECIES_DAMS)
     usable = F.when(own, is_true(species == F.col("species"))).otherwise(
-        trap_rate.usable_season(species, F.col("obs_date"), chinook_until)
-    )
-    return _rows(
-        placed.filter(usable), OBSERVED, TAG_KEYS, tag=F.col("tag_code"), code=F.col("sp_rrt"), first_week=F.col("week_num")
+        trap_rate.usable_season(species, F.col("day"), chinook_until)
     )
+    caught, week = F.col("source") == TRAP_TAG, F.col("week_num")
+    return placed.filter(caught | usable).select(
+        "dam", "run_id", "tag", "source", "code", "n",
+        F.when(caught, week).alias("week_num"), F.when(~caught, week).alias("first_week"),
+    )
 
 
-def rolled_tags(parts: list[DataFrame], dedupe: bool) -> DataFrame:
-    """Tags per run, stratum and set of codes (``tag_codes, n_tags, n_records``), and a row per run with the trap's codes.
+def rolled_tags(rows: DataFrame, dedupe: bool) -> DataFrame:
+    """Tags per run, stratum and set of codes: ``tag_codes, n_tags, n_records``.
 
     A trapped tag counts where its trap records lie, with ``dedupe`` once at the earliest, for each code it was observed
-    with; another counts for each code in the stratum where it was first observed with it.
+    with; another counts for each code in the stratum where it was first observed with it. Grouped by dam and tag as ``tag_days``
+    leaves them, so only the last step moves rows; lists are gathered over sorted rows, not in a hash table.
     """
-    once = _union(parts).groupBy(*TAG_KEYS).agg(F.sum("n").alias("n"), F.min("first_week").alias("first_week"))
+    once = rows.groupBy(*TAG_KEYS).agg(F.sum("n").alias("n"), F.min("first_week").alias("first_week"))
     source = F.col("source")
-    code = F.when(source == OBSERVED, F.coalesce(trap_rate.species_code(F.col("code")), F.lit(""))).otherwise(F.col("code"))
+    code = F.coalesce(trap_rate.species_code(F.col("code")), F.lit(""))
     record = F.struct(F.col("week_num").alias("week"), F.col("n").alias("n"))
-    seen = F.struct(F.col("first_week").alias("week"), F.col("code").alias("code"))
-    found = once.withColumn("code", code).groupBy("run_id", "tag").agg(
-        F.collect_set(F.when(source == TRAP_CODE, F.col("code"))).alias("fish_codes"),
-        F.min(F.when(source == TRAP_TAG, F.col("week_num"))).alias("trap_week"),
-        *([] if dedupe else [F.collect_list(F.when(source == TRAP_TAG, record)).alias("records")]),
-        F.collect_list(F.when(source == OBSERVED, seen)).alias("observed"),
-    )
-    found = found.filter((F.size("observed") > 0) | F.col("tag").isNull())
+    seen = F.struct(F.col("first_week").alias("week"), code.alias("code"))
+    tag = Window.partitionBy("tag", "dam", "run_id")
+    gathered = {
+        "nth": F.row_number().over(tag.orderBy("source")),
+        "trap_week": F.min(F.when(source == TRAP_TAG, F.col("week_num"))).over(tag),
+        "observed": F.collect_list(F.when(source == OBSERVED, seen)).over(tag),
+    }
+    if not dedupe:
+        gathered["records"] = F.collect_list(F.when(source == TRAP_TAG, record)).over(tag)
+    found = once.withColumns(gathered).filter((F.col("nth") == 1) & (F.size("observed") > 0))
     entry = lambda week, names, n: F.struct(week.alias("week"), names.alias("codes"), n.alias("records"))
     every = F.sort_array("observed.code")
     if dedupe:
@@ -183,14 +199,10 @@ def rolled_tags(parts: list[DataFrame], dedupe: bool) -> DataFrame:
     mine = lambda week: F.sort_array(F.filter("observed", lambda o: o["week"] == week)["code"])
     free = F.transform(F.array_distinct("observed.week"), lambda week: entry(week, mine(week), F.lit(0).cast("long")))
     alone = F.array(entry(F.col("observed.week")[0], F.col("observed.code"), F.lit(0).cast("long")))
-    none = F.array(F.struct(F.lit(None).cast("int").alias("week"), F.lit(None).cast("array<string>").alias("codes"), F.lit(None).cast("long").alias("records")))
-    entries = F.when(F.col("tag").isNull(), none).when(F.col("trap_week").isNotNull(), caught)
-    entries = entries.when(F.size("observed") == 1, alone).otherwise(free)
-    told = found.select("run_id", "fish_codes", "tag", F.inline(entries))
+    entries = F.when(F.col("trap_week").isNotNull(), caught).when(F.size("observed") == 1, alone).otherwise(free)
+    told = found.select("run_id", "tag", F.inline(entries))
     return told.groupBy("run_id", F.col("week").alias("week_num_org"), F.col("codes").alias("tag_codes")).agg(
-        F.count("tag").alias("n_tags"),
-        F.sum("records").alias("n_records"),
-        F.max("fish_codes").alias("fish_codes"),
+        F.count("tag").alias("n_tags"), F.sum("records").alias("n_records")
     )
 
 
@@ -225,10 +237,10 @@ def weekly_table(
         by_day.append(reported_rows(reported, by_report))
     weeks = rolled_days(by_day, keep_unmatched, strict_null, audit)
     if by_tags:
-        by_tag = [trap_tag_rows(cohort, by_tags), observation_rows(observations, by_tags, chinook_until, mark_sites)]
+        by_tag = tag_rows(tag_days(cohort, observations, by_tags, mark_sites), by_tags, chinook_until)
         weeks = weeks.unionByName(rolled_tags(by_tag, dedupe), allowMissingColumns=True)
     else:
-        nothing = {"tag_codes": "array<string>", "fish_codes": "array<string>", "n_tags": "long", "n_records": "long"}
+        nothing = {"tag_codes": "array<string>", "n_tags": "long", "n_records": "long"}
         weeks = weeks.withColumns({c: F.lit(None).cast(kind) for c, kind in nothing.items()})
 
     run = Window.partitionBy("run_id")
