@@ -31,26 +31,34 @@ PER_WORD = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 MAGIC = b"S8B1"
 HEAD = "<4sIQQQQ"
+#: Rank of the width an id needs, by the id; from the last on it is worked out.
+WIDTHS = sorted({60 // p for p in PER_WORD})
+RANK = np.searchsorted(1 << np.array(WIDTHS), np.arange(1 << 16), "right").astype(np.uint8)
 SEGMENT = "part int, number int, n_ids long, data binary"
 
 
 def encode_words(ids: np.ndarray) -> np.ndarray:
     """Simple-8b words of the ids (uint64); greedy: each word takes the most ids that fit."""
     n = len(ids)
-    wide = np.zeros(n, np.uint8)
-    for bits in sorted({60 // p for p in PER_WORD}):
-        wide += ids >= np.uint64(1 << bits)  # rank of the width needed
-    ranks = {bits: r for r, bits in enumerate(sorted({60 // p for p in PER_WORD}))}
-    take, chosen = np.zeros(n, np.int64), np.full(n, ESCAPE, np.uint8)
+    if n and ids.max() < len(RANK):
+        wide = RANK[ids]
+    else:
+        wide = np.zeros(n, np.uint8)
+        for bits in WIDTHS:
+            wide += ids >= np.uint64(1 << bits)  # rank of the width needed
+    take, chosen = np.zeros(n, np.uint8), np.full(n, ESCAPE, np.uint8)
+    widest, reach = wide, 1  # the greatest rank among so many ids from here on
     for selector in reversed(range(len(PER_WORD))):
         per = PER_WORD[selector]
         if per > n:
             break
-        over = np.concatenate(([0], np.cumsum(wide > ranks[60 // per], dtype=np.int32)))
-        fits = np.flatnonzero(over[per:] == over[:-per])
-        if not len(fits) and per > 1:
+        while reach < per:
+            widest, reach = np.maximum(widest[:-1], wide[reach:]), reach + 1
+        fits = widest <= WIDTHS.index(60 // per)
+        if per > 1 and not fits.any():
             break  # nothing wider fits either
-        take[fits], chosen[fits] = per, selector
+        np.copyto(take[: len(fits)], per, where=fits)
+        np.copyto(chosen[: len(fits)], selector, where=fits)
     step = np.where(take == 0, 1, take).tolist()
     heads, at = [], 0
     while at < n:

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from itertools import compress
 
 import numpy as np
 
 from ladderweek.llm.common import held
 
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
-LOWER = re.compile("[A-Z]+")
 SIGNS = re.compile(r"(?<=[0-9a-zß-öø-ÿ])[!-/:-@\[-`{-~]+\Z")  # ASCII signs at the end, behind a Latin letter or digit
+ENDING = frozenset(string.punctuation)  # what such a word ends with
 
 
 class Ragged:
@@ -90,28 +92,29 @@ class WordEncoder:
             self.piece_ids.add(flat, lens)
 
     def learn(self) -> None:
-        number, parts, counts = self.pieces.__getitem__, [], []
-        for word in self.words.new:
-            plain = word.decode("utf-8")
-            plain = plain.lower() if plain.isascii() else LOWER.sub(lambda m: m[0].lower(), plain)
-            signs = SIGNS.search(plain)
+        if not self.words.new:
+            return
+        number, parts = self.pieces.__getitem__, []
+        # all words at once: no word holds a line break, and bytes lower A-Z alone
+        plain = b"\n".join(self.words.new).lower().decode("utf-8").split("\n")
+        counts = np.ones(len(plain), np.int64)
+        for k, word in enumerate(plain):
+            signs = SIGNS.search(word) if word[-1] in ENDING else None
             if signs:
-                parts += [plain[: signs.start()], signs[0]]
-                counts.append(2)
+                parts += [word[: signs.start()], signs[0]]
+                counts[k] = 2
             else:
-                parts.append(plain)
-                counts.append(1)
-        at, n = np.zeros(len(parts), np.int64), len(self.pieces)
+                parts.append(word)
+        at = np.zeros(len(parts), np.int64)
         self.words.new = []
         # letters first, so that they are encoded together; numbers follow the order of encoding
-        for letters in (True, False):
-            mine = [k for k, x in enumerate(parts) if x.isalpha() is letters]
-            at[mine] = np.fromiter((number(parts[k]) for k in mine), np.int64, len(mine))
+        plainly = np.fromiter(map(str.isalpha, parts), bool, len(parts))
+        for mine in (plainly, ~plainly):
+            at[mine] = np.fromiter(map(number, compress(parts, mine.tolist())), np.int64, int(mine.sum()))
         self.encode_pieces(self.pieces.new)
         self.pieces.new = []
         flat, lens = self.piece_ids.take(at)
-        first = np.cumsum(counts) - np.array(counts, np.int64)
-        self.word_ids.add(flat, np.add.reduceat(lens, first) if len(first) else lens)
+        self.word_ids.add(flat, np.add.reduceat(lens, np.cumsum(counts) - counts))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; NULL is an empty one."""
