@@ -89,36 +89,68 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Rows:
-    """Documents as seen by both views; the text view is a ragged list of slots laid end to end."""
+    """Documents as seen by both views; the text view is a ragged list of slots laid end to end, document by document."""
 
     slots: np.ndarray
     owner: np.ndarray
     meta: np.ndarray
 
+    def blocks(self, docs: int = 128) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """First document, slots and owners of so many documents at a time: what is worked out per slot stays small."""
+        firsts = np.arange(0, len(self.meta), docs)
+        ends = np.searchsorted(self.owner, np.append(firsts, len(self.meta)).astype(self.owner.dtype)).tolist()
+        for first, lo, hi in zip(firsts.tolist(), ends, ends[1:], strict=False):
+            yield first, self.slots[lo:hi], self.owner[lo:hi]
+
     def text_scores(self, w: np.ndarray) -> np.ndarray:
-        n = len(self.meta)
-        return w[-1] + np.bincount(self.owner, w[self.slots], n)
+        out = np.zeros(len(self.meta))
+        for first, slots, owner in self.blocks():
+            some = out[first : first + 128]
+            some += np.bincount(owner - first, w[slots], len(some))
+        return w[-1] + out
+
 
+def labels_of(parts: list[Rows], y: np.ndarray) -> Iterator[tuple[Rows, np.ndarray, int]]:
+    """Each part with its own labels and the number of its first row among all."""
+    first = 0
+    for part in parts:
+        yield part, y[first : first + len(part.meta)], first
+        first += len(part.meta)
 
-def telling(rows: Rows, y: np.ndarray, least: float = 4.0) -> np.ndarray:
+
+def telling(parts: list[Rows], y: np.ndarray, least: float = 4.0) -> np.ndarray:
     """Slots that occur in good and in bad documents unevenly, by ``least`` standard deviations or more."""
     size = 1 << TEXT_BITS
-    bad = np.bincount(rows.slots, (y == 0)[rows.owner], size)
-    every = np.bincount(rows.slots, minlength=size)
+    bad, every = np.zeros(size), np.zeros(size, np.int64)
+    for part, of_part, _ in labels_of(parts, y):
+        for _, slots, owner in part.blocks(1024):
+            bad += np.bincount(slots, (of_part == 0)[owner], size)
+            every += np.bincount(slots, minlength=size)
     share = (y == 0).mean()
     expected = every * share
     spread = np.sqrt(np.maximum(every * share * (1 - share) * (1 - every / max(1, len(y))), 1e-9))
     return np.flatnonzero((every > 2) & (np.abs(bad - expected) >= least * spread))
 
 
-def fit_text(rows: Rows, y: np.ndarray, weight: np.ndarray, steps: int = 200, l2: float = 0.05) -> np.ndarray:
-    """Weights of the telling slots and, last, the bias: logistic loss with L2, by steps scaled per slot."""
+def fit_text(parts: list[Rows], y: np.ndarray, weight: np.ndarray, steps: int = 200, l2: float = 0.05) -> np.ndarray:
+    """Weights of the telling slots and, last, the bias: logistic loss with L2, by steps scaled per slot.
+
+    The rows of all parts are never laid together, only their telling slots.
+    """
     size = 1 << TEXT_BITS
-    chosen = telling(rows, y)
-    place = np.full(size, -1)
-    place[chosen] = np.arange(len(chosen))
-    mine = place[rows.slots] >= 0
-    small = Rows(place[rows.slots[mine]], rows.owner[mine], rows.meta)
+    chosen = telling(parts, y)
+    place = np.full(size, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    kept: list[np.ndarray] = [np.zeros(0, np.int32)]
+    owners: list[np.ndarray] = [np.zeros(0, np.int32)]
+    for part, _, first in labels_of(parts, y):
+        for _, slots, owner in part.blocks(1024):
+            at = place[slots]
+            mine = at >= 0
+            kept.append(at[mine])
+            owners.append((owner[mine] + first).astype(np.int32))
+    small = Rows(np.concatenate(kept), np.concatenate(owners), np.zeros((len(y), 0)))
+    del kept, owners
     w, seen, moment = (np.zeros(len(chosen) + 1) for _ in range(3))
     for step in range(1, steps + 1):
         error = weight * (sigmoid(small.text_scores(w)) - y)
@@ -192,13 +224,6 @@ def as_rows(slots: pa.Array, meta: pa.Array) -> Rows:
     return Rows(flat[0], np.repeat(np.arange(len(lens), dtype=np.int32), lens), flat[1].reshape(-1, N_META).astype(float))
 
 
-def together(parts: list[Rows]) -> Rows:
-    """The rows of all parts, one after the other."""
-    firsts = np.cumsum([0] + [len(p.meta) for p in parts[:-1]])
-    owners = [p.owner + np.int32(first) for p, first in zip(parts, firsts.tolist(), strict=True)]
-    return Rows(np.concatenate([p.slots for p in parts]), np.concatenate(owners), np.concatenate([p.meta for p in parts]))
-
-
 def sure(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
     """1 or 0 where one view is sure and the other does not contradict, else -1; both are logits."""
     return np.where((mine < -2) & (other < 1), 0, np.where((mine > 2) & (other > -1), 1, -1))
@@ -234,8 +259,11 @@ def fetched(views: DataFrame, chosen: list[tuple[int, int]]) -> tuple[Rows, np.n
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("slots", "meta")))
     mine = views.join(wanted, "doc_id").withColumn("one", one).where("one = 1")
     got = mine.select("doc_id", "good", "slots", "meta").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").toArrow()
-    rows = as_rows(got.column("slots").combine_chunks(), got.column("meta").combine_chunks())
-    return rows, np.array(got.column("good").to_pylist())
+    good = np.array(got.column("good").to_pylist())
+    slots, meta = (got.column(c).combine_chunks() for c in ("slots", "meta"))
+    del got
+    pa.default_memory_pool().release_unused()
+    return as_rows(slots, meta), good
 
 
 def co_train(rows: Rows, label: np.ndarray, rounds: int, ask) -> Model | None:
@@ -252,15 +280,16 @@ def co_train(rows: Rows, label: np.ndarray, rounds: int, ask) -> Model | None:
     def part(at: np.ndarray) -> Rows:
         number = np.full(len(label), -1, np.int32)
         number[at] = np.arange(len(at), dtype=np.int32)
-        mine = number[rows.owner] >= 0
-        return Rows(rows.slots[mine], number[rows.owner[mine]], rows.meta[at])
+        owner = number[rows.owner]
+        mine = owner >= 0
+        return Rows(rows.slots[mine], owner[mine], rows.meta[at])
 
     base, truth = part(fitted), label[fitted].astype(float)
 
     def fit_view(more: tuple[Rows, np.ndarray] | None, text: bool) -> np.ndarray:
-        every, y = (base, truth) if more is None else (together([base, more[0]]), np.append(truth, more[1]))
+        parts, y = ([base], truth) if more is None else ([base, more[0]], np.append(truth, more[1]))
         weight = np.where(np.arange(len(y)) < len(truth), 1.0, 0.5)
-        return fit_text(every, y, weight) if text else fit_dense(every.meta, y, weight)
+        return fit_text(parts, y, weight) if text else fit_dense(np.concatenate([p.meta for p in parts]), y, weight)
 
     w_text, w_meta = fit_view(None, True), fit_view(None, False)
     for _ in range(rounds):
