@@ -137,10 +137,10 @@ def shipments_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
 OTHER_LAYOUT = "PRD"  # the dam whose trap records come in the second layout
 
 
-def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lower_layout() -> list[Column]:
     rear = choose("l_returnflag", {"A": "W", "N": "H", "R": "U"})
-    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") != OTHER_LAYOUT).select(
-        "dam",
+    return [
+        F.col("dam"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("master_id"),
         F.col("l_orderkey").cast("string").alias("lgd_num_pit"),
         F.col("l_shipdate").alias("collection_date"),
@@ -154,14 +154,14 @@ def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") * 20).cast("double").alias("lgdf_lmm"),
         F.when(F.col("l_discount") == 0.1, "Yes").when(F.col("l_discount") > 0, "No").alias("ptagis_sxcgra_obs"),
         F.when(F.col("l_linenumber") == 1, "Wire, left").when(F.col("l_linenumber") > 2, "none").alias("lgd_tags_all"),
-    )
+    ]
 
 
-def trap_raw_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upper_layout() -> list[Column]:
     """The second layout: other names, the species by name, and neither validity, life stage nor diversion."""
     rear = choose("l_returnflag", {"A": "W", "N": "H", "R": "U"})
-    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") == OTHER_LAYOUT).select(
-        "dam",
+    return [
+        F.col("dam"),
         F.col("l_orderkey").cast("string").alias("pit_tag"),
         F.col("l_shipdate").alias("event_date"),
         choose("digit", {"1": "chinook", "2": "coho", "3": "steelhead"}).alias("species"),
@@ -169,14 +169,39 @@ def trap_raw_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
         rear.alias("origin"),
         F.when(F.col("l_quantity") == 50, "XX").otherwise(choose("l_linestatus", {"F": "AD", "O": "AI"})).alias("ad_clip"),
         (F.col("p_size") * 20).cast("double").alias("length"),
-    )
+    ]
+
+
+def trap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") != OTHER_LAYOUT).select(*_lower_layout())
+
+
+def trap_raw_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipments_at_dams(spark, sf_dir).filter(F.col("dam") == OTHER_LAYOUT).select(*_upper_layout())
 
 
 @lru_cache(maxsize=64)
 def trap_records(spark: SparkSession, sf_dir: str, species_from: str = "srr") -> DataFrame:
-    lower = records.harmonise_trap(trap_raw(spark, sf_dir), species_from=species_from)
-    upper = records.harmonise_trap(trap_raw_upper(spark, sf_dir), species_from=species_from)
-    return lower.unionByName(upper, allowMissingColumns=True)
+    """Records of both layouts out of one scan: read as either, a record keeps the columns of its own."""
+    ships = shipments_at_dams(spark, sf_dir).filter(F.col("dam").isNotNull())
+    upper_raw = ships.select(*_upper_layout()[1:]).columns
+    raw = ships.select(*_lower_layout(), *[c.alias("upper_" + name) for name, c in zip(upper_raw, _upper_layout()[1:])])
+    lower = records.harmonise_trap(raw, species_from=species_from)
+    names = [c for c in lower.columns if not c.startswith("upper_")]
+    kept = lower.withColumnsRenamed({c: "lower_" + c for c in names if c != "dam"})
+    beside = kept.withColumnsRenamed({"upper_" + c: c for c in upper_raw})
+    upper = records.harmonise_trap(beside, species_from=species_from)
+    is_upper = F.col("dam") == OTHER_LAYOUT
+    theirs = [c for c in upper.columns if not c.startswith("lower_")]
+
+    def of_own(name: str) -> Column:
+        given = F.col(name) if name in theirs else F.lit(None)
+        if name == "dam":
+            return given
+        chosen = F.when(is_upper, given)
+        return (chosen.otherwise(F.col("lower_" + name)) if name in names else chosen).alias(name)
+
+    return upper.select(*[of_own(c) for c in (*names, *[c for c in theirs if c not in names])])
 
 
 @lru_cache(maxsize=64)

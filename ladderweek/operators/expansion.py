@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderweek.functions.binomial import binomial_quantile
 from ladderweek.functions.expressions import is_true, not_nan, ratio
+from ladderweek.session import shuffle_tasks
 
 # Fixed value: 97.5% point of the standard normal distribution.
 Z_975 = 1.959963984540054
@@ -32,7 +33,7 @@ def plausible_limits(weekly: DataFrame) -> DataFrame:
     A week's work grows with the root of its count while its row stays as small, so weeks are dealt over the session's shuffle
     partitions by number, not by size.
     """
-    weekly = weekly.repartition(int(weekly.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    weekly = weekly.repartition(shuffle_tasks(weekly))
     spread = F.col("trap_rate_se") * Z_975
     low = F.when(spread.isNotNull(), F.greatest(F.lit(0.0), F.col("trap_rate") - spread))
     high = F.when(spread.isNotNull(), F.least(F.lit(1.0), F.col("trap_rate") + spread))

@@ -11,6 +11,7 @@ from ladderweek.config import Seasons
 from ladderweek.functions import codes
 from ladderweek.functions.expressions import is_true, spawn_year
 from ladderweek.operators.strata import attach_strata
+from ladderweek.session import shuffle_tasks
 
 TAG_COUNTS = (
     "tot_tags", "day_tags", "reascent_tags",
@@ -39,15 +40,20 @@ def tag_flags() -> dict[str, Column]:
     }
 
 
-def tag_counts_by(detections: DataFrame, keys: list[str]) -> DataFrame:
+def tag_counts_by(detections: DataFrame, keys: list[str], dealt: bool = False) -> DataFrame:
     """The nine distinct-tag counts per ``keys``.
 
     Two aggregations: first what each tag did within its key, a bit for each count, then sums of bits. A day with very
     many detections is spread over its tags, and no distinct-expansion of the input is needed. NULL tags are not counted.
+    With ``dealt`` detections are dealt to tasks by key and tag before the first: where a tag is seen about once a day, tables of
+    single tags are not worth making on either side.
     """
     flags = tag_flags()
     shown = reduce(Column.bitwiseOR, [F.shiftleft(flags[name], i) for i, name in enumerate(TAG_COUNTS)])
-    per_tag = detections.filter(F.col("tag_id").isNotNull()).groupBy(*keys, "tag_id").agg(F.bit_or(shown).alias("shown"))
+    needed = detections.filter(F.col("tag_id").isNotNull()).select(*keys, "tag_id", shown.alias("shown"))
+    if dealt:
+        needed = needed.repartition(shuffle_tasks(needed), *keys, "tag_id")
+    per_tag = needed.groupBy(*keys, "tag_id").agg(F.bit_or("shown").alias("shown"))
     counts = [F.sum(F.getbit("shown", F.lit(i))).alias(name) for i, name in enumerate(TAG_COUNTS)]
     return per_tag.groupBy(*keys).agg(*counts)
 

@@ -1,7 +1,7 @@
 """The weekly table out of two unions of all records, one by day and one by tag.
 
-Detections and trap records are counted by dam and day, trapped and observed tags by dam, tag and day, before they are multiplied
-by the runs of their dam. What is left is placed on runs and strata, as rows of one shape with a mark of their source. Rows that
+Detections and trap records are counted by dam and day, trapped and observed tags by dam, tag and day, and tags with the same
+records by these, before they are multiplied by the runs of their dam. What is left is placed on runs and strata, as rows of one shape with a mark of their source. Rows that
 tell of days are rolled up together by day and by week, rows that tell of tags by tag and by week, and both meet by run. The only
 joins are with the table of runs; every source is read once, trap records once by each union.
 """
@@ -19,6 +19,7 @@ from ladderweek.functions.expressions import is_true, ratio
 from ladderweek.operators import tags, trap, trap_rate, window_counts
 from ladderweek.operators.rollup import Audit
 from ladderweek.operators.strata import attach_strata, within_season
+from ladderweek.session import shuffle_tasks
 
 # Marks of the sources.
 WINDOW, DETECTED, TRAPPED, REPORTED, TRAP_TAG, OBSERVED = range(6)
@@ -55,7 +56,8 @@ def detection_rows(detections: DataFrame, seasons: Seasons) -> DataFrame:
     """The tag counts of a day. A run has one dam and species, so they are counted by these, and tags stay behind."""
     needed = detections.select("dam", "species", "date", "tag_id", "rear_type", "period", "ascent_count")
     needed = needed.withColumn("period", tags.effective_period(F.col("dam"), F.col("period")))
-    placed = attach_strata(tags.tag_counts_by(within_season(needed, seasons), ["dam", "species", "date"]), seasons)
+    counted = tags.tag_counts_by(within_season(needed, seasons), ["dam", "species", "date"], dealt=True)
+    placed = attach_strata(counted, seasons)
     counts = {c: F.col(c) for c in ("week_num", "date", *tags.TAG_COUNTS)}
     return _rows(placed, DETECTED, DAY_KEYS, **counts)
 
@@ -137,26 +139,46 @@ def rolled_days(
 def tag_days(cohort: DataFrame, obs: DataFrame, seasons: Seasons, mark_sites: dict | None = None) -> DataFrame:
     """Trap records and observations of every tag that was observed: ``dam, tag, day, source, code, n``.
 
-    Counted by dam, tag, day and species/run/rear code, so a tag recorded over and over costs a row a day, and trap records
-    of tags never observed at their dam go before any of this is multiplied by runs.
+    What is known of a tag at a dam is dealt to one place, once. There trap records of tags never observed at their dam go
+    first, before anything is counted or sorted; then the rest is counted by day and species/run/rear code, so a tag recorded
+    over and over costs a row a day.
     """
-    caught = within_season(cohort, seasons).select(
-        "dam", F.col("tag_code").cast("string").alias("tag"), F.col("date").alias("day"),
-        F.lit(TRAP_TAG).alias("source"), F.lit(None).cast("string").alias("code"),
-    )
+    tag, tasks = F.col("tag_code").cast("string").alias("tag"), shuffle_tasks(cohort)
+    caught = within_season(cohort, seasons).select("dam", tag, F.col("date").alias("day"))
     known = within_season(obs, seasons, "obs_time")
     free = known.filter(~trap_rate.marked_here(F.col("dam"), F.col("mark_site"), mark_sites)).select(
-        "dam", F.col("tag_code").cast("string").alias("tag"), F.to_date("obs_time").alias("day"),
-        F.lit(OBSERVED).alias("source"), F.col("sp_rrt").cast("string").alias("code"),
-    )
-    both = caught.unionByName(free).filter(F.col("tag").isNotNull())
-    counted = both.groupBy("tag", "dam", "day", "source", "code").agg(F.count("*").alias("n"))
-    seen = F.max(F.col("source") == OBSERVED).over(Window.partitionBy("tag", "dam"))
-    return counted.withColumn("seen", seen).filter("seen").drop("seen")
+        "dam", tag, F.to_date("obs_time").alias("day"), F.col("sp_rrt").cast("string").alias("code")
+    )
+    dealt = lambda df: df.filter(F.col("tag").isNotNull()).repartition(tasks, "tag", "dam")
+    observed = dealt(free).groupBy("tag", "dam", "day", "code").agg(F.count("*").alias("n"))
+    # told by their counts, so that both readings of the observations need the same columns and share one exchange
+    seen = observed.groupBy("tag", "dam").agg(F.sum("n").alias("times")).filter("times > 0").hint("shuffle_hash")
+    trapped = dealt(caught).join(seen, ["tag", "dam"], "left_semi").groupBy("tag", "dam", "day").agg(F.count("*").alias("n"))
+    named = lambda df, source, code: df.select(
+        "dam", "tag", "day", F.lit(source).alias("source"), code.cast("string").alias("code"), "n"
+    )
+    return named(trapped, TRAP_TAG, F.lit(None)).unionByName(named(observed, OBSERVED, F.col("code")))
+
+
+def alike_tags(days: DataFrame) -> DataFrame:
+    """The rows of ``tag_days`` once for all tags that have the same at a dam, with their number ``n_alike``.
+
+    Whatever a run makes of a tag follows from its rows, so tags with the same rows differ in name only; ``tag`` becomes a
+    digest of the rows.
+    """
+    of_tag = Window.partitionBy("tag", "dam").orderBy("source", "day", "code")
+    whole = of_tag.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    listed = days.select(
+        "dam", F.collect_list(F.struct("source", "day", "code", "n")).over(whole).alias("listed"),
+        F.row_number().over(of_tag).alias("nth"),
+    ).filter(F.col("nth") == 1)
+    alike = listed.groupBy("dam", "listed").agg(F.count("*").alias("n_alike"))
+    name = F.sha2(F.to_json("listed"), 256).alias("tag")
+    return alike.select("dam", name, "n_alike", F.inline("listed")).repartition(shuffle_tasks(days), "tag", "dam")
 
 
 def tag_rows(days: DataFrame, seasons: Seasons, chinook_until: str = "month_8") -> DataFrame:
-    """The rows of ``tag_days`` in each run of their dam: trap records with their stratum, usable observations with theirs."""
+    """The rows of ``alike_tags`` in each run of their dam: trap records with their stratum, usable observations with theirs."""
     placed = attach_strata(days, seasons, on=("dam", "day"), carry=("species",))
     species, own = codes.species_of_srr(F.col("code")), F.col("dam").isin(*codes.OWN_SPECIES_DAMS)
     usable = F.when(own, is_true(species == F.col("species"))).otherwise(
@@ -164,7 +186,7 @@ def tag_rows(days: DataFrame, seasons: Seasons, chinook_until: str = "month_8")
     )
     caught, week = F.col("source") == TRAP_TAG, F.col("week_num")
     return placed.filter(caught | usable).select(
-        "dam", "run_id", "tag", "source", "code", "n",
+        "dam", "run_id", "tag", "n_alike", "source", "code", "n",
         F.when(caught, week).alias("week_num"), F.when(~caught, week).alias("first_week"),
     )
 
@@ -173,10 +195,13 @@ def rolled_tags(rows: DataFrame, dedupe: bool) -> DataFrame:
     """Tags per run, stratum and set of codes: ``tag_codes, n_tags, n_records``.
 
     A trapped tag counts where its trap records lie, with ``dedupe`` once at the earliest, for each code it was observed
-    with; another counts for each code in the stratum where it was first observed with it. Grouped by dam and tag as ``tag_days``
-    leaves them, so only the last step moves rows; lists are gathered over sorted rows, not in a hash table.
+    with; another counts for each code in the stratum where it was first observed with it. A tag stands for ``n_alike``. Grouped
+    by dam and tag as ``alike_tags`` leaves them, so only the last step moves rows; lists are gathered over sorted rows, not in a
+    hash table.
     """
-    once = rows.groupBy(*TAG_KEYS).agg(F.sum("n").alias("n"), F.min("first_week").alias("first_week"))
+    once = rows.groupBy(*TAG_KEYS).agg(
+        F.sum("n").alias("n"), F.min("first_week").alias("first_week"), F.max("n_alike").alias("n_alike")
+    )
     source = F.col("source")
     code = F.coalesce(trap_rate.species_code(F.col("code")), F.lit(""))
     record = F.struct(F.col("week_num").alias("week"), F.col("n").alias("n"))
@@ -200,9 +225,9 @@ def rolled_tags(rows: DataFrame, dedupe: bool) -> DataFrame:
     free = F.transform(F.array_distinct("observed.week"), lambda week: entry(week, mine(week), F.lit(0).cast("long")))
     alone = F.array(entry(F.col("observed.week")[0], F.col("observed.code"), F.lit(0).cast("long")))
     entries = F.when(F.col("trap_week").isNotNull(), caught).when(F.size("observed") == 1, alone).otherwise(free)
-    told = found.select("run_id", "tag", F.inline(entries))
+    told = found.select("run_id", "n_alike", F.inline(entries))
     return told.groupBy("run_id", F.col("week").alias("week_num_org"), F.col("codes").alias("tag_codes")).agg(
-        F.count("tag").alias("n_tags"), F.sum("records").alias("n_records")
+        F.sum("n_alike").alias("n_tags"), F.sum(F.col("records") * F.col("n_alike")).alias("n_records")
     )
 
 
@@ -237,7 +262,8 @@ def weekly_table(
         by_day.append(reported_rows(reported, by_report))
     weeks = rolled_days(by_day, keep_unmatched, strict_null, audit)
     if by_tags:
-        by_tag = tag_rows(tag_days(cohort, observations, by_tags, mark_sites), by_tags, chinook_until)
+        alike = alike_tags(tag_days(cohort, observations, by_tags, mark_sites))
+        by_tag = tag_rows(alike, by_tags, chinook_until)
         weeks = weeks.unionByName(rolled_tags(by_tag, dedupe), allowMissingColumns=True)
     else:
         nothing = {"tag_codes": "array<string>", "n_tags": "long", "n_records": "long"}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +26,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+def shuffle_tasks(df: DataFrame) -> int:
+    """The session's shuffle partitions, for rows that are dealt by number: small as they are, their work is not."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can see: the one the cluster names in spark.checkpoint.dir, else one in the warehouse.
 

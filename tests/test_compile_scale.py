@@ -2,10 +2,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from harness import landed
 from ladderweek import Run, Seasons
-from ladderweek.operators import expansion, trap_rate
+from ladderweek.operators import expansion, trap, trap_rate
 from ladderweek.plans import compile as plan
 from ladderweek.plans import union
+from ladderweek.sources import records
 
 D = dt.date
 RUNS = [
@@ -48,3 +50,54 @@ def test_older_rate_reads_each_source_once(spark):
     assert sorted((r.run_id, r.n_trap_tags, r.n_poss_tags) for r in rate.collect()) == [("c", 3, 1), ("s", 3, 1)]
     plan_text = rate._jdf.queryExecution().optimizedPlan().toString()
     assert plan_text.count("LogicalRDD") + plan_text.count("LocalRelation") <= 4  # both sources, and the runs twice
+
+
+def test_tags_with_the_same_records_meet_the_runs_once(spark):
+    """Thirty tags alike, one caught a day later, one only seen: three kinds, whatever their names."""
+    caught = [(*FISH[:3], f"T{k:02}", *FISH[4:]) for k in range(30) for _ in range(2)]
+    caught.append((*FISH[:2], D(2019, 3, 6), "T90", *FISH[4:]))
+    seen = [("LWG", t, "11W", "X", dt.datetime(2019, 3, 6, 5)) for t in (*(f"T{k:02}" for k in range(30)), "T90", "T91")]
+    cohort, obs, seasons = spark.createDataFrame(caught, plan.TRAP_INPUT), spark.createDataFrame(seen, plan.OBS_INPUT), Seasons(spark, RUNS)
+    alike = union.alike_tags(union.tag_days(cohort, obs, seasons))
+    assert sorted((r.n_alike, r.source, r.n) for r in alike.collect()) == [(1, 4, 1), (1, 5, 1), (1, 5, 1), (30, 4, 2), (30, 5, 1)]
+    for dedupe, n_records in ((True, 31), (False, 61)):
+        rows = union.rolled_tags(union.tag_rows(alike, seasons), dedupe).filter("run_id = 'c'").collect()
+        assert [(r.week_num_org, list(r.tag_codes), r.n_tags, r.n_records) for r in rows] == [(1, ["11"], 32, n_records)]
+
+
+def test_a_null_code_and_an_empty_one_are_not_alike(spark):
+    seen = [("LWG", "T01", None, "X", dt.datetime(2019, 3, 6, 5)), ("LWG", "T02", "", "X", dt.datetime(2019, 3, 6, 5))]
+    days = union.tag_days(spark.createDataFrame([], plan.TRAP_INPUT), spark.createDataFrame(seen, plan.OBS_INPUT), Seasons(spark, RUNS))
+    rows = union.alike_tags(days).collect()
+    assert sorted((r.code is None, r.n_alike) for r in rows) == [(False, 1), (True, 1)] and len({r.tag for r in rows}) == 2
+
+
+def test_detections_are_dealt_before_they_are_counted(spark):
+    seen = [("LWG", "Chinook", D(2019, 3, 5), f"T{k % 30}", "W", "D", 1) for k in range(60)]
+    rows = union.detection_rows(spark.createDataFrame(seen, plan.TAG_INPUT), Seasons(spark, RUNS))
+    assert "RepartitionByExpression" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.collect()[0].tot_tags == 30
+
+
+def test_both_layouts_come_out_of_one_scan(spark, tmp_path):
+    day = dt.datetime(2019, 3, 5, 4)
+    lines = [(1000 + k, k % 3 + 1, k % 3 + 1, k % 4 + 1, float(20 + k % 31), 0.02 * (k % 6), 0.01 * (k % 9), "ANR"[k % 3], "FO"[k % 2], day) for k in range(200)]
+    tables = {
+        "lineitem": spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "supplier": spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "s_suppkey long, s_nationkey int"),
+        "part": spark.createDataFrame([(1, "PROMO", 39), (2, "SMALL", 40), (3, None, None)], "p_partkey long, p_type string, p_size int"),
+        "nation": spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "n_nationkey int, n_regionkey int"),
+        "region": spark.createDataFrame([(1, "AFRICA"), (2, "AMERICA"), (3, "ATLANTIS")], "r_regionkey int, r_name string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    for how in ("srr", "code"):
+        both = landed.trap_records(spark, str(tmp_path), how)
+        text = trap.adult_cohort(both)._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("l_shipdate" in line for line in text.splitlines() if "Relation [" in line) == 1
+        raw = (landed.trap_raw(spark, str(tmp_path)), landed.trap_raw_upper(spark, str(tmp_path)))
+        apart = [records.harmonise_trap(r, species_from=how) for r in raw]
+        wanted = apart[0].unionByName(apart[1], allowMissingColumns=True)
+        assert both.columns == wanted.columns and wanted.count() > 100
+        assert both.exceptAll(wanted).isEmpty() and wanted.exceptAll(both).isEmpty()
