@@ -58,11 +58,31 @@ class Numbers(dict):
         return n
 
 
+def counted(uses: np.ndarray, numbers: np.ndarray, n: int) -> np.ndarray:
+    """The uses of so many keys with these numbers added."""
+    out = np.bincount(numbers, minlength=n)
+    out[: len(uses)] += uses
+    return out
+
+
+def often_used(keys: Numbers, ids: Ragged, uses: np.ndarray, most: int) -> tuple[Numbers, Ragged, np.ndarray]:
+    """The keys used more than once, at most so many and the most used of them, numbered anew; one use each is on record."""
+    often = np.flatnonzero(uses > 1)
+    often = np.sort(often[np.argsort(-uses[often], kind="stable")[:most]])
+    kept = np.zeros(len(keys), bool)
+    kept[often] = True
+    left, left_ids = Numbers(), Ragged()
+    left.update(zip(compress(keys, kept.tolist()), range(len(often))))
+    left_ids.add(*ids.take(often))
+    return left, left_ids, np.ones(len(often), np.int64)
+
+
 class WordEncoder:
     """Word (bytes) -> ids. A word is a stem and the signs behind it, which no token spans either; case is dropped by
     the vocabulary file, so stems are kept in lower case.
 
-    ``most_words`` and ``most_stems`` bound the memory: beyond them they are forgotten and made again when they come up.
+    ``most_words`` and ``most_stems`` bound the memory: beyond them those used once, and all but half as many, are forgotten and
+    made again when they come up.
     """
 
     def __init__(self, path: str, most_words: int = 300_000, most_stems: int = 400_000):
@@ -73,8 +93,8 @@ class WordEncoder:
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        self.words, self.word_ids = Numbers(), Ragged()
-        self.pieces, self.piece_ids = Numbers(), Ragged()
+        self.words, self.word_ids, self.word_uses = Numbers(), Ragged(), np.zeros(0, np.int64)
+        self.pieces, self.piece_ids, self.piece_uses = Numbers(), Ragged(), np.zeros(0, np.int64)
 
     def encode_pieces(self, pieces: list[str]) -> None:
         """Plain letters many at a time: each is one pre-token, so it ends where a token with an end mark stands."""
@@ -113,15 +133,18 @@ class WordEncoder:
             at[mine] = np.fromiter(map(number, compress(parts, mine.tolist())), np.int64, int(mine.sum()))
         self.encode_pieces(self.pieces.new)
         self.pieces.new = []
+        self.piece_uses = counted(self.piece_uses, at, len(self.pieces))
         flat, lens = self.piece_ids.take(at)
         self.word_ids.add(flat, np.add.reduceat(lens, np.cumsum(counts) - counts))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; NULL is an empty one."""
         if len(self.words) > self.most_words:
-            self.words, self.word_ids = Numbers(), Ragged()
+            most = self.most_words // 2
+            self.words, self.word_ids, self.word_uses = often_used(self.words, self.word_ids, self.word_uses, most)
         if len(self.pieces) > self.most_stems:
-            self.pieces, self.piece_ids = Numbers(), Ragged()
+            most = self.most_stems // 2
+            self.pieces, self.piece_ids, self.piece_uses = often_used(self.pieces, self.piece_ids, self.piece_uses, most)
         numbers: list[np.ndarray] = []
         whole: dict[int, np.ndarray] = {}
         number = self.words.__getitem__
@@ -133,6 +156,8 @@ class WordEncoder:
             words = (text or b"").split()
             numbers.append(np.fromiter(map(number, words), np.int64, len(words)))
         self.learn()
+        if numbers:
+            self.word_uses = counted(self.word_uses, np.concatenate(numbers), len(self.words))
         return [whole[k] if k in whole else self.word_ids.take(n)[0] for k, n in enumerate(numbers)]
 
 

@@ -94,3 +94,16 @@ def test_no_rows(spark, no_docs):
     path = token_files.new_folder(spark)
     token_files.write_tokens(no_docs, path, PATH)
     assert token_files.read_tokens(spark, path).collect() == []
+
+
+def test_words_used_often_outlive_a_full_memory():
+    """The words of a passage that comes again and again are not learned anew whenever rare ones have filled the memory."""
+    words = WordEncoder(PATH, most_words=50, most_stems=50)
+    passage, learned, learn = "the river runs low today", [], words.learn
+    words.learn = lambda: (learned.extend(words.words.new), learn())
+    for at in range(0, 400, 20):
+        texts = [passage, *(f"rare{'abcdefghij'[k % 10]}{k}" for k in range(at, at + 20)), passage]
+        for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+            assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+    assert learned.count(b"river") == 1 and learned.count(b"rarea0") == 1
+    assert len(words.words) <= 50 + 25 and len(words.word_uses) == len(words.words)
