@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import re
 import string
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 
@@ -93,15 +93,27 @@ class WordEncoder:
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        # Letters a-z pass the file's normalizer and splitter as they are, where a trial says so; then its model is asked at once.
+        trial = ["a", "the", "running", "zqxjkv", "internationalisation"]
+        self.model = self.tokenizer.model
+        self.direct = all(self.modelled(x) == self.tokenizer.encode(x, add_special_tokens=False).ids for x in trial)
         self.words, self.word_ids, self.word_uses = Numbers(), Ragged(), np.zeros(0, np.int64)
         self.pieces, self.piece_ids, self.piece_uses = Numbers(), Ragged(), np.zeros(0, np.int64)
 
+    def modelled(self, letters: str) -> list[int]:
+        return [token.id for token in self.model.tokenize(letters)]
+
     def encode_pieces(self, pieces: list[str]) -> None:
         """Plain letters many at a time: each is one pre-token, so it ends where a token with an end mark stands."""
         for at in range(0, len(pieces), 1000):
             some = pieces[at : at + 1000]
             flat, lens = np.zeros(0, np.uint32), None
-            if all(map(str.isalpha, some)):
+            letters = all(map(str.isalpha, some))
+            if letters and self.direct and (text := "".join(some)).isascii() and text.islower():
+                ids = list(map(self.modelled, some))
+                lens = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum()))
+            elif letters:
                 (joined,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
                 flat = np.array(joined.ids, np.uint32)
                 lens = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
@@ -127,12 +139,13 @@ class WordEncoder:
                 parts.append(word)
         at = np.zeros(len(parts), np.int64)
         self.words.new = []
-        # letters first, so that they are encoded together; numbers follow the order of encoding
+        # letters first, a-z before others, so that they are encoded together; numbers follow the order of encoding
         plainly = np.fromiter(map(str.isalpha, parts), bool, len(parts))
-        for mine in (plainly, ~plainly):
+        latin = plainly & np.fromiter(map(str.isascii, parts), bool, len(parts))
+        for mine in (latin, plainly & ~latin, ~plainly):
             at[mine] = np.fromiter(map(number, compress(parts, mine.tolist())), np.int64, int(mine.sum()))
-        self.encode_pieces(self.pieces.new)
-        self.pieces.new = []
+            self.encode_pieces(self.pieces.new)
+            self.pieces.new = []
         self.piece_uses = counted(self.piece_uses, at, len(self.pieces))
         flat, lens = self.piece_ids.take(at)
         self.word_ids.add(flat, np.add.reduceat(lens, np.cumsum(counts) - counts))

@@ -107,3 +107,13 @@ def test_words_used_often_outlive_a_full_memory():
             assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
     assert learned.count(b"river") == 1 and learned.count(b"rarea0") == 1
     assert len(words.words) <= 50 + 25 and len(words.word_uses) == len(words.words)
+
+
+def test_letters_are_asked_of_the_model_and_agree_with_the_library():
+    words = WordEncoder(PATH)
+    whole, asked = [], words.modelled
+    words.modelled = lambda letters: (whole.append(letters), asked(letters))[1]
+    texts = ["Rivers RUN low, d'accord", "straße Fluß o's", "'s t 've l'll unaffable##", "x", "É naïve sch"]
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+    assert words.direct and {"rivers", "run", "low", "unaffable", "x", "sch"} <= set(whole)
