@@ -49,14 +49,14 @@ def held(name: str, make):
 
 
 def release() -> None:
-    """Frees what the worker holds for tasks of another kind, and gives the memory back to the machine."""
+    """Frees what the worker holds for tasks of another kind, and gives all free memory back to the machine."""
     module = sys.modules.get(WORKER)
-    if module is not None and getattr(module, "held_name", None) is not None:
+    if module is not None:
         module.held_name = module.held_object = None
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim is not None:
-            trim(0)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

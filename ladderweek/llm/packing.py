@@ -80,11 +80,13 @@ def packed(rows: dict[str, np.ndarray], made: list[list[int]], numbers: list[int
     return pa.RecordBatch.from_arrays(columns, ["done", "bin", "fill", "place", *[n for n, _ in FIELDS]])
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int, memory: dict[str, int]
+) -> DataFrame:
     """Round 0: each task's pieces, packed a group at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, **memory).encode
         task, serial = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
@@ -137,14 +139,14 @@ def repack(open_bins: DataFrame, groups: int, level: int, room: int, slack: int)
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, room: int = 4096, end_id: int = 1, group: int = 8192, slack: int = 16
+    docs: DataFrame, tokenizer_path: str, room: int = 4096, end_id: int = 1, group: int = 8192, slack: int = 16, **memory: int
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     ``room`` is the length of a sequence, ``group`` how many items are packed together, ``slack`` how many tokens a
-    nearly full bin may lack.
+    nearly full bin may lack. ``memory`` bounds the words a worker remembers (``most_words``, ``most_stems``); ids do not depend on it.
     """
-    rounds = [stored(pack_documents(docs, tokenizer_path, room, end_id, group, slack), "bins")]
+    rounds = [stored(pack_documents(docs, tokenizer_path, room, end_id, group, slack, memory), "bins")]
     while True:
         open_bins = rounds[-1].where("not done")
         waiting = open_bins.count()

@@ -9,6 +9,8 @@ from ladderweek.llm import cotraining, mixing as cube, near_dedup, packing as re
 from ladderweek.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
+#: An executor that has been through the other stages has less room for words than one that only packs.
+WORD_MEMORY = {"most_words": 100_000, "most_stems": 130_000}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,4 +35,4 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens."""
-    return residual.pack(docs, public_tokenizers.path(VOCABULARY))
+    return residual.pack(docs, public_tokenizers.path(VOCABULARY), **WORD_MEMORY)

@@ -174,6 +174,7 @@ class WordEncoder:
         return [whole[k] if k in whole else self.word_ids.take(n)[0] for k, n in enumerate(numbers)]
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, most_words: int = 300_000, most_stems: int = 400_000) -> WordEncoder:
     """The worker's encoder for that file."""
-    return held("encoder_" + path, lambda: WordEncoder(path))
+    name = f"encoder_{most_words}_{most_stems}_{path}"
+    return held(name, lambda: WordEncoder(path, most_words, most_stems))

@@ -1,10 +1,11 @@
 """Fill where more bins stay open than a group holds."""
 
+import inspect
 from collections import defaultdict
 
 import public_tokenizers
 
-from ladderweek.llm import packing
+from ladderweek.llm import packing, stages, tokens
 
 from .conftest import FIELDS
 
@@ -48,3 +49,15 @@ def test_full_bins_leave_their_task(spark):
     docs = spark.createDataFrame(rows, FIELDS).coalesce(1)
     first = packing.pack_documents(docs, PATH, 64, 1, 8192, 1).collect()
     assert sum(r.done for r in first) == 200 and len(first) == 200
+
+
+def test_the_pipeline_remembers_fewer_words_than_an_encoder_alone(spark, monkeypatch):
+    """An executor that has been through the other stages has less room; pieces and ids are the same."""
+    asked, pack_documents = [], packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda docs, *how: asked.append(how[-1]) or pack_documents(docs, *how))
+    docs = spark.createDataFrame([(k, " ".join(f"word{k * j % 97}" for j in range(40 * k))) for k in range(30)], "doc_id long, text string")
+    pieces = lambda df: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
+    own = pieces(stages.packing(spark, docs, ""))
+    assert own == pieces(packing.pack(docs, PATH)) == pieces(packing.pack(docs, PATH, most_words=8, most_stems=8))
+    most = inspect.signature(tokens.encoder).parameters
+    assert all(asked[0][name] < most[name].default for name in ("most_words", "most_stems"))
