@@ -151,8 +151,8 @@ def tag_days(cohort: DataFrame, obs: DataFrame, seasons: Seasons, mark_sites: di
     )
     dealt = lambda df: df.filter(F.col("tag").isNotNull()).repartition(tasks, "tag", "dam")
     observed = dealt(free).groupBy("tag", "dam", "day", "code").agg(F.count("*").alias("n"))
-    # told by their counts, so that both readings of the observations need the same columns and share one exchange
-    seen = observed.groupBy("tag", "dam").agg(F.sum("n").alias("times")).filter("times > 0").hint("shuffle_hash")
+    # counted as above, so that both readings of the observations need the same columns and share one exchange
+    seen = observed.select("tag", "dam").hint("shuffle_hash")
     trapped = dealt(caught).join(seen, ["tag", "dam"], "left_semi").groupBy("tag", "dam", "day").agg(F.count("*").alias("n"))
     named = lambda df, source, code: df.select(
         "dam", "tag", "day", F.lit(source).alias("source"), code.cast("string").alias("code"), "n"

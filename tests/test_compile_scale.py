@@ -101,3 +101,11 @@ def test_both_layouts_come_out_of_one_scan(spark, tmp_path):
         wanted = apart[0].unionByName(apart[1], allowMissingColumns=True)
         assert both.columns == wanted.columns and wanted.count() > 100
         assert both.exceptAll(wanted).isEmpty() and wanted.exceptAll(both).isEmpty()
+
+
+def test_observations_are_counted_once_for_each_reading(spark):
+    """Trap records look for a tag among its counted observations, which are not counted again by tag."""
+    obs = spark.createDataFrame([("LWG", "T01", "11W", "X", dt.datetime(2019, 3, 6, 5))] * 2, plan.OBS_INPUT)
+    days = union.tag_days(spark.createDataFrame([FISH], plan.TRAP_INPUT), obs, Seasons(spark, RUNS))
+    assert sorted((r.tag, r.source, r.n) for r in days.collect()) == [("T01", union.TRAP_TAG, 1), ("T01", union.OBSERVED, 2)]
+    assert days._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 3
