@@ -81,12 +81,12 @@ def packed(rows: dict[str, np.ndarray], made: list[list[int]], numbers: list[int
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int, memory: dict[str, int]
+    docs: DataFrame, tokenizer_path: str, room: int, end_id: int, group: int, slack: int, memory: dict[str, int] | None = None
 ) -> DataFrame:
     """Round 0: each task's pieces, packed a group at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, **memory).encode
+        encode = encoder(tokenizer_path, **(memory or {})).encode
         task, serial = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
