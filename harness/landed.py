@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ladderweek.config import Run, Seasons
 from ladderweek.operators import trap as trap_ops
+from ladderweek.session import scratch_path
 from ladderweek.sources import records
+from ladderweek.sources.files import path_exists
 
 DAM_OF_REGION = {"AFRICA": "LWG", "AMERICA": "PRD", "ASIA": "RIS", "EUROPE": "RRH", "MIDDLE EAST": "BON"}
 PARAMETER_OF_PRIORITY = {
@@ -47,11 +49,12 @@ def choose(column: str, options: dict[str, str]) -> Column:
 
 
 def dam_of(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str) -> DataFrame:
+    """The rows with their dam. Nations do not grow with the tables, so they go to the rows, never the rows to them."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", choose("r_name", DAM_OF_REGION).alias("dam")
     )
-    return df.join(places, F.col(nation_key) == F.col("n_nationkey"))
+    return df.join(F.broadcast(places), F.col(nation_key) == F.col("n_nationkey"))
 
 
 @lru_cache(maxsize=16)
@@ -92,9 +95,13 @@ def orders_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counts per dam and series; no count on the 13th of a month (window closed)."""
+    """Daily counts per dam and series; no count on the 13th of a month (window closed).
+
+    The day is taken from what was counted, not from the key, so that whoever reads its text reads it once a day, not once an order.
+    """
     fish = F.sum(F.floor(F.col("o_totalprice") / 2000)).cast("double")
-    daily = orders_at_dams(spark, sf_dir).groupBy("dam", "day", "o_orderpriority").agg(fish.alias("fish"))
+    keyed = orders_at_dams(spark, sf_dir).withColumn("counted_on", F.col("day"))
+    daily = keyed.groupBy("dam", "counted_on", "o_orderpriority").agg(fish.alias("fish"), F.max("day").alias("day"))
     return daily.select(
         F.col("dam").alias("location"), F.year("day").alias("year"), F.date_format("day", "M-d").alias("mm_dd"),
         choose("o_orderpriority", PARAMETER_OF_PRIORITY).alias("parameter"),
@@ -130,10 +137,35 @@ def shipments_at_dams(spark: SparkSession, sf_dir: str) -> DataFrame:
     digit = choose("p_type", DIGIT_OF_TYPE).alias("digit")
     part = table(spark, sf_dir, "part").select("p_partkey", digit, "p_size")
     lines = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.join(part.hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey"))
     return dam_of(lines, spark, sf_dir, "s_nationkey").withColumn("day", F.to_date("l_shipdate"))
 
 
+#: What the providers' files are made of, out of a shipment.
+SHIPMENT = (
+    "dam", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    "l_shipdate", "digit", "p_size",
+)
+
+
+@lru_cache(maxsize=64)
+def _stored_at(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    return {}
+
+
+def stored_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All shipments, joined once, written to the shared folder and read back: for jobs that read them several times.
+
+    Each file is in order of days, so a task that counts by day meets the groups of one day together.
+    """
+    ships, at = shipments_at_dams(spark, sf_dir).select(*SHIPMENT), _stored_at(spark, sf_dir)
+    if "shipments" not in at or not path_exists(spark, at["shipments"]):
+        path = scratch_path(spark, "shipments")
+        ships.sortWithinPartitions("l_shipdate").write.parquet(path)
+        at["shipments"] = path
+    return spark.read.schema(ships.schema).parquet(at["shipments"]).withColumn("day", F.to_date("l_shipdate"))
+
+
 OTHER_LAYOUT = "PRD"  # the dam whose trap records come in the second layout
 
 
@@ -182,8 +214,12 @@ def trap_raw_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def trap_records(spark: SparkSession, sf_dir: str, species_from: str = "srr") -> DataFrame:
+    return trap_records_of(shipments_at_dams(spark, sf_dir), species_from)
+
+
+def trap_records_of(shipments: DataFrame, species_from: str = "srr") -> DataFrame:
     """Records of both layouts out of one scan: read as either, a record keeps the columns of its own."""
-    ships = shipments_at_dams(spark, sf_dir).filter(F.col("dam").isNotNull())
+    ships = shipments.filter(F.col("dam").isNotNull())
     upper_raw = ships.select(*_upper_layout()[1:]).columns
     raw = ships.select(*_lower_layout(), *[c.alias("upper_" + name) for name, c in zip(upper_raw, _upper_layout()[1:])])
     lower = records.harmonise_trap(raw, species_from=species_from)
@@ -210,7 +246,11 @@ def trap_cohort(spark: SparkSession, sf_dir: str, species_from: str = "srr") ->
 
 
 def detections_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shipments_at_dams(spark, sf_dir).select(
+    return detections_raw_of(shipments_at_dams(spark, sf_dir))
+
+
+def detections_raw_of(shipments: DataFrame) -> DataFrame:
+    return shipments.select(
         "dam", F.col("digit").alias("species"), F.col("day").alias("clock_date"),
         F.col("l_shipdate").alias("detection_date_time"),
         F.col("l_partkey").cast("string").alias("tag_id"),
@@ -222,7 +262,11 @@ def detections_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.parse_detections(detections_raw(spark, sf_dir))
+    return detections_of(shipments_at_dams(spark, sf_dir))
+
+
+def detections_of(shipments: DataFrame) -> DataFrame:
+    return records.parse_detections(detections_raw_of(shipments))
 
 
 def event_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,8 +281,12 @@ def event_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates_raw_of(shipments_at_dams(spark, sf_dir))
+
+
+def rates_raw_of(shipments: DataFrame) -> DataFrame:
     kind = {"1": "Chinook", "2": "Coho", "3": "Steelhead"}
-    return shipments_at_dams(spark, sf_dir).select(
+    return shipments.select(
         "dam", choose("digit", kind).alias("species"), F.col("day").alias("date"),
         F.year("day").alias("year"), F.dayofyear("day").alias("doy"),
         F.col("l_quantity").alias("samp_time"),
@@ -256,7 +304,11 @@ def rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def reported_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.parse_reported_rates(rates_raw(spark, sf_dir))
+    return reported_rates_of(shipments_at_dams(spark, sf_dir))
+
+
+def reported_rates_of(shipments: DataFrame) -> DataFrame:
+    return records.parse_reported_rates(rates_raw_of(shipments))
 
 
 @lru_cache(maxsize=64)

@@ -543,8 +543,9 @@ def reported_rate_daily(spark: S, sf: D) -> DataFrame:
     return _reported_days(spark, sf)
 
 
-def _reported_days(spark: S, sf: D) -> DataFrame:
-    return trap_rate.reported_daily(landed.reported_rates(spark, sf), records.RATE_SUMS, records.RATE_MEANS)
+def _reported_days(spark: S, sf: D, shipments: DataFrame | None = None) -> DataFrame:
+    rates = landed.reported_rates(spark, sf) if shipments is None else landed.reported_rates_of(shipments)
+    return trap_rate.reported_daily(rates, records.RATE_SUMS, records.RATE_MEANS)
 
 
 def _reported(spark: S, sf: D) -> DataFrame:
@@ -651,26 +652,28 @@ def legacy_trap_rate_supplied(spark: S, sf: D) -> DataFrame:
 
 
 def _compiled(spark: S, sf: D, **options) -> plan.Compiled:
+    ships = landed.stored_shipments(spark, sf)
     return plan.compile_seasons(
         spark,
         landed.seasons(spark, sf),
         landed.window_counts(spark, sf),
-        landed.detections(spark, sf),
-        landed.trap_records(spark, sf),
+        landed.detections_of(ships),
+        landed.trap_records_of(ships),
         landed.observations(spark, sf),
-        _reported_days(spark, sf),
+        _reported_days(spark, sf, ships),
         **options,
     )
 
 
 def _joined_rates(spark: S, sf: D) -> DataFrame:
+    ships = landed.stored_shipments(spark, sf)
     rated = union.weekly_table(
         landed.seasons(spark, sf),
         landed.window_counts(spark, sf),
-        landed.detections(spark, sf),
-        landed.trap_cohort(spark, sf),
+        landed.detections_of(ships),
+        trap.adult_cohort(landed.trap_records_of(ships)),
         landed.observations(spark, sf),
-        _reported_days(spark, sf),
+        _reported_days(spark, sf, ships),
     )
     return expansion.expand_trap(rated)
 
