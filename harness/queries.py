@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import landed, oracle
@@ -861,12 +861,12 @@ def _totals(weekly: DataFrame, passage: DataFrame) -> DataFrame:
     return draw_ops.season_totals(passage, weekly.groupBy("run_id").agg(F.sum("wild_pbt").alias("wild_fish")))
 
 
-def _summary(spark: S, sf: D, weekly: DataFrame | None = None) -> DataFrame:
-    """Summary of every monitored quantity and season total, from landed draws."""
+def _summary(spark: S, sf: D, weekly: DataFrame | None = None, wanted: Column | None = None) -> DataFrame:
+    """Summary of every monitored quantity and season total, or of the ``wanted`` ones, from landed draws."""
     weekly = weekly if weekly is not None else _landed_weekly(spark, sf)
     passage = _landed_table(_passage(spark, sf, weekly), "passage")
     draws = draw_ops.passage_long(passage).unionByName(draw_ops.totals_long(_totals(weekly, passage)))
-    return posterior.posterior_summary(draws)
+    return posterior.posterior_summary(draws if wanted is None else draws.filter(wanted))
 
 
 def _of_summary(spark: S, sf: D, report: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
@@ -953,7 +953,7 @@ def weekly_report(spark: S, sf: D) -> DataFrame:
 
 @query("run_id s, param s, mean d, sd d", "SELECT run_id, param, mean, sd FROM summ WHERE param LIKE 'X.tot%' OR param = 'prop.tagged'")
 def season_report(spark: S, sf: D) -> DataFrame:
-    return posterior.season_report(_summary(spark, sf))
+    return posterior.season_report(_summary(spark, sf, wanted=posterior.of_season(F.col("param"))))
 
 
 # ---- readers and sink ---------------------------------------------------------------------------------------

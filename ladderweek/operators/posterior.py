@@ -90,10 +90,14 @@ def rate_frame(summary: DataFrame, weekly: DataFrame) -> DataFrame:
     return joined.select("run_id", "rate", "week_num", "start_date", *QUANTILES, "tot_tags", seen.alias("observed"))
 
 
+def of_season(param: Column, prefix: str = "X.tot", others: tuple[str, ...] = ("prop.tagged",)) -> Column:
+    """Whether a parameter tells of a whole season. Asked of the draws too, it spares summaries that no report shows."""
+    return param.startswith(prefix) | param.isin(*others)
+
+
 def season_report(summary: DataFrame, prefix: str = "X.tot", others: tuple[str, ...] = ("prop.tagged",)) -> DataFrame:
     """Parameters whose name starts with ``prefix``, and the others named, with mean and SD."""
-    wanted = F.col("param").startswith(prefix) | F.col("param").isin(*others)
-    return summary.filter(wanted).select("run_id", "param", "mean", "sd")
+    return summary.filter(of_season(F.col("param"), prefix, others)).select("run_id", "param", "mean", "sd")
 
 
 def _plain_number(x: Column, digits: int) -> Column:

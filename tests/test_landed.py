@@ -69,3 +69,17 @@ def test_texts_of_window_days_are_read_once_a_day(spark, sf):
     assert "gettimestamp" in plan and "gettimestamp" not in plan[plan.index("Aggregate ["):]
     orders = landed.orders_at_dams(spark, sf).filter((F.col("day") >= dt.date(2019, 3, 6)) & F.col("dam").isNotNull())
     assert counts.count() == orders.select("dam", "day", "o_orderpriority").distinct().count() > 0
+
+
+def test_a_report_of_the_season_summarises_no_week(spark, sf, monkeypatch):
+    weekly = spark.createDataFrame([("r", 1, 4)], "run_id string, week_num int, wild_pbt long")
+    columns = dict.fromkeys([*harness_queries.draw_ops.WEEKLY_PARAMETERS.values(), *harness_queries.draw_ops.ORIGIN_COLUMNS], F.lit(2.0))
+    passage = spark.sql("SELECT 'r' AS run_id, 1 AS chain, id AS iter, 1 AS week_num FROM range(5)").withColumns(columns)
+    monkeypatch.setattr(harness_queries, "_landed_weekly", lambda spark, sf: weekly)
+    monkeypatch.setattr(harness_queries, "_passage", lambda spark, sf, weekly: passage)
+    summarised, summary = [], harness_queries.posterior.posterior_summary
+    monkeypatch.setattr(harness_queries.posterior, "posterior_summary", lambda draws: summarised.append(draws) or summary(draws))
+    rows = {r.param: (r.mean, r.sd) for r in harness_queries.season_report(spark, sf).collect()}
+    every = {r.param: (r["mean"], r.sd) for r in harness_queries.posterior.season_report(harness_queries._summary(spark, sf)).collect()}
+    assert rows == every and rows["prop.tagged"] == (2.0, 0.0) and len(rows) == 15
+    assert {r.param for r in summarised[0].select("param").distinct().collect()} == set(rows)
