@@ -2,8 +2,9 @@
 
 Terms are pairs of neighbouring words (the last word alone); a term weighs a point per four characters, eight
 at most. Every bit of a term's hash votes for or against that bit with the term's weight, and the sign decides. The
-votes of four bits share a long, sixteen bits wide each; 8,000 terms at most are added up that way before they are
-spread out, so a text may be of any length. Only DataFrame functions are used.
+votes of four bits share a long, sixteen bits wide each; 4,095 terms at most are added up that way before they are
+spread out, so that not even the upper one reaches the sign of the long and a text may be of any length. Only DataFrame
+functions are used.
 
 The search cuts the fingerprint into blocks and keeps one table per choice of blocks that must be equal: of
 radius + m blocks, some m are equal in any two fingerprints within the radius. Tables are met by equality joins and the
@@ -29,8 +30,8 @@ from ladderweek.llm.common import BLANKS, stored, text_or_empty
 NO_ID = -(2**63)
 SHIFT = 9
 LANES = 0x0001000100010001
-CHUNK = 8000  # times the largest weight below 2 ** 16
 WEIGHT = 8
+CHUNK = (2**15 - 1) // WEIGHT  # sums stay below 2 ** 15 each: the upper lane ends in the sign, and sums may not overflow
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -52,6 +52,14 @@ def test_votes_equal_a_plain_count(spark):
         assert got[k] & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * ones[k, b] > total[k])
 
 
+@pytest.mark.parametrize("n", [4_096, 4_097, 8_001, 20_000])
+def test_votes_of_a_long_word_said_very_often(spark, n):
+    words = [f"{c * 15}{i}" for i, c in enumerate("abcdefgh")]  # 32 characters a pair, the largest weight
+    rows = spark.createDataFrame([(w, " ".join([w] * n)) for w in words], "k string, text string")
+    got = dict(map(tuple, fingerprints.votes(rows, "text", ["k"]).collect()))
+    assert got == dict(map(tuple, rows.select("k", F.xxhash64("k", "k")).collect()))
+
+
 @pytest.mark.parametrize(("radius", "equal"), [(3, 2), (5, 1)])
 def test_radius_search_finds_all(spark, radius, equal):
     rng = np.random.default_rng(5)
